@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrain.llm import bpe_codec, token_counts
+from tallygrain.llm import bpe_codec, token_counts, token_files
 from tallygrain.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digests(docs, vocabulary("word_bpe_49k.json"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return token_files.read_token_files(*token_files.write_token_files(docs, vocabulary("byte_bpe_50k.json"), end_id=2))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
