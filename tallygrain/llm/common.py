@@ -46,19 +46,18 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, text, y): at most `rows` documents with a label outside the held-out fold, in an
-    order by hash. A document with labels that disagree is left out."""
-    y = (
+def labelled_ids(labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, y): at most `rows` ids with a label outside the held-out fold, the first in an order
+    by hash. An id whose labels disagree is left out."""
+    return (
         labels.where(~held_out() & F.col(label).isin(0, 1))
         .groupBy("doc_id")
-        .agg(F.min(label).alias("y"), F.max(label).alias("y2"))
+        .agg(F.min(label).cast("int").alias("y"), F.max(label).cast("int").alias("y2"))
         .where("y = y2")
         .select("doc_id", "y")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrain.llm import bpe_codec, token_counts, token_files
+from tallygrain.llm import bpe_codec, quality_fm, token_counts, token_files, toxicity
 from tallygrain.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = tables(spark, sf_dir, "documents", "labels")
+    return quality_fm.quality(docs, labels, cut=0.3)
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
     return bpe_codec.encode_digests(docs, vocabulary("word_bpe_49k.json"))
@@ -33,6 +38,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(*token_files.write_token_files(docs, vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
+def op8_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = tables(spark, sf_dir, "documents", "labels")
+    return toxicity.toxicity(docs, labels, cut=0.5)
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
