@@ -47,11 +47,6 @@ class Rows:
         self.col = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64)
         self.val = np.ones(len(self.col), np.float32) if values is None else np.concatenate([*values, np.zeros(0)]).astype(np.float32)
 
-    def keep_frequent(self, width: int, least: int) -> None:
-        """Drop features that fewer than `least` rows have."""
-        ok = np.bincount(self.col, minlength=width)[self.col] >= least
-        self.row, self.col, self.val = self.row[ok], self.col[ok], self.val[ok]
-
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.val * w[self.col], minlength=self.n)
 

@@ -31,7 +31,10 @@ BITS = 20
 POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 6_000
 #: A word's beginnings that count as features.
 BEGINNINGS = (4, 5, 6)
-ROUNDS, RATE, SHRINK, LEAST_ROWS = 150, 0.1, 2e-4, 3
+#: A feature takes part if so many confirmed texts have it and its share among them exceeds that
+#: among unlabelled texts by so many standard errors.
+LEAST_ROWS, LEAST_Z = 3, 5.0
+ROUNDS, RATE, SHRINK = 300, 0.05, 1e-4
 
 
 def word_features(chunk: str) -> list[int]:
@@ -74,8 +77,17 @@ class ToxicityModel:
         return score
 
 
+def telling(positive: Rows, unlabelled: Rows, width: int) -> np.ndarray:
+    """The features that are clearly commoner in confirmed toxic than in unlabelled texts."""
+    n1, n0 = positive.n, unlabelled.n
+    c1, c0 = np.bincount(positive.col, minlength=width), np.bincount(unlabelled.col, minlength=width)
+    p = (c1 + c0) / (n1 + n0)
+    z = (c1 / n1 - c0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
+    return np.flatnonzero((c1 >= LEAST_ROWS) & (z >= LEAST_Z))
+
+
 def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, width: int) -> tuple[float, np.ndarray]:
-    """Bias and weights that minimise the non-negative risk, with weights pulled to zero."""
+    """Bias and weights that minimise the non-negative risk, with a small penalty on weights."""
     w, b = np.zeros(width), -1.0
     step_w, step_b = adam((width,), RATE), adam((1,), RATE)
     for _ in range(ROUNDS):
@@ -88,10 +100,9 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, width: int) -> tupl
             ep, eu = up + down_p, down_u
         else:  # the estimate has gone below zero, which no true risk does: undo the fit to it
             ep, eu = -down_p, -down_u
-        gw = positive.back(ep, width) + unlabelled.back(eu, width)
+        gw = positive.back(ep, width) + unlabelled.back(eu, width) + SHRINK * w
         w -= step_w(gw)
         b -= float(step_b(np.array([ep.sum() + eu.sum()]))[0])
-        w = np.sign(w) * np.maximum(np.abs(w) - RATE * SHRINK * 10, 0)
     return b, w
 
 
@@ -123,13 +134,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     width = 1 << BITS
     positive = Rows([f for y, f in known if y == 1])
     unlabelled = Rows(loose)
-    both = np.bincount(np.r_[positive.col, unlabelled.col], minlength=width)
+    names = telling(positive, unlabelled, width)
+    place = np.full(width, -1)
+    place[names] = np.arange(len(names))
     for r in (positive, unlabelled):
-        ok = both[r.col] >= LEAST_ROWS
-        r.row, r.col, r.val = r.row[ok], r.col[ok], r.val[ok]
-    names, place = np.unique(np.r_[positive.col, unlabelled.col], return_inverse=True)
-    positive.col, unlabelled.col = place[: len(positive.col)], place[len(positive.col) :]
-    b, w = fit_nnpu(positive, unlabelled, prior, len(names))
+        ok = place[r.col] >= 0
+        r.row, r.col, r.val = r.row[ok], place[r.col[ok]], r.val[ok]
+    _, w = fit_nnpu(positive, unlabelled, prior, len(names))
     full = np.zeros(width)
     full[names] = w
     g = np.array([full[f].sum() for _, f in known])
