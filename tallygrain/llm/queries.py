@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrain.llm import bpe_codec, quality_fm, token_counts, token_files, toxicity
+from tallygrain.llm import bpe_codec, quality_fm, simhash_vp, token_counts, token_files, toxicity
 from tallygrain.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op8_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, labels, cut=0.5)
 
 
+def op9_simhash_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return simhash_vp.near_duplicates(docs)
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
