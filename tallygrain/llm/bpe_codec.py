@@ -16,28 +16,26 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.llm.common import small_batches
-from tallygrain.llm.pretokens import Kept
+from tallygrain.llm.pretokens import Kept, as_text, space_units
 from tallygrain.llm.token_counts import NO_RANK, PairRanks, byte_letters
 
 #: What of a text is a word (fixed value of the vocabulary); all else is dropped.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: str.split() also cuts at these, which are no white space to the vocabulary.
-CONTROL = re.compile("[\x1c-\x1f]")
-SPACES = regex.compile(r"\s+")
 END = "</w>"
 NEVER = NO_RANK
+#: Chunks whose codes a Python worker keeps, at about 400 bytes each.
+KEPT = 600_000
 Code = tuple[int, str, str]
 
 
@@ -70,8 +68,15 @@ class WordVocabulary:
         # tokens that exact merging of their own letters doesn't give back are never proposed
         names = list(self.vocab)
         own = self.exact(names)
-        self.proposable = {s: self.vocab[s] for s, got in zip(names, own, strict=True) if got == [self.vocab[s]]}
-        self.longest = max(map(len, self.proposable))
+        proposable = {s: self.vocab[s] for s, got in zip(names, own, strict=True) if got == [self.vocab[s]]}
+        self.closing = {s[: -len(END)]: t for s, t in proposable.items() if s.endswith(END) and s != END}
+        self.inner = {s: t for s, t in proposable.items() if not s.endswith(END) or s == END}
+        # by the first three letters, the lengths of tokens that begin so, the longest first
+        sizes: dict[str, set[int]] = {}
+        for s in self.inner:
+            if len(s) > 2:
+                sizes.setdefault(s[:3], set()).add(len(s))
+        self.sizes = {k: tuple(sorted(x, reverse=True)) for k, x in sizes.items()}
 
     def exact(self, words: list[str]) -> list[list[int]]:
         """The encodings by merging, all words at once. A word is byte letters, then END or not."""
@@ -88,17 +93,22 @@ class WordVocabulary:
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest match over byte letters; the last token is one that ends a word."""
-        out, at, n, have, longest = [], 0, len(word), self.proposable, self.longest
+        out, at, n, last, have, sizes = [], 0, len(word), self.closing, self.inner, self.sizes
         while at < n:
-            if n - at <= longest and (t := have.get(word[at:] + END)) is not None:
+            rest = word[at:]
+            if (t := last.get(rest)) is not None:
                 out.append(t)
                 break
             # a token that reaches the end must carry END, so any other stops one letter short
-            for stop in range(min(n - 1, at + longest), at, -1):
-                if (t := have.get(word[at:stop])) is not None:
-                    out.append(t)
-                    at = stop
+            left = n - at
+            for size in sizes.get(rest[:3], ()):
+                if size < left and (t := have.get(rest[:size])) is not None:
                     break
+            else:
+                size = 2 if left > 2 and (t := have.get(rest[:2])) is not None else 1
+                t = have[rest[:size]]
+            out.append(t)
+            at += size
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,7 +150,7 @@ class WordVocabulary:
 
 @lru_cache(2)
 def _vocabulary(path: str) -> tuple[WordVocabulary, Kept]:
-    return WordVocabulary(path), Kept()
+    return WordVocabulary(path), Kept(KEPT)
 
 
 def words_of(chunk: str, v: WordVocabulary) -> list[str]:
@@ -163,27 +173,27 @@ def codes(chunks: list[str], v: WordVocabulary) -> list[Code]:
     return out
 
 
-def encode_batch(texts: list[str | None], path: str) -> list[Code]:
+def encode_batch(texts: pa.Array, path: str) -> Iterator[Code]:
     """(number of tokens, decimal ids joined by a space, decoded text) of each text."""
     v, kept = _vocabulary(path)
-    cut = [[] if not t else SPACES.split(t) if CONTROL.search(t) else t.split() for t in texts]
-    new = kept.missing(cut)
-    kept.update(zip(new, codes(new, v), strict=True))
-    out = []
-    for chunks in cut:
-        got = [c for c in map(kept.__getitem__, chunks) if c[0]]
-        out.append((sum(c[0] for c in got), " ".join([c[1] for c in got]), " ".join([c[2] for c in got])))
-    kept.forget_long(new)
-    return out
+    cut = space_units(as_text(texts))
+    got = kept.values_for(cut.distinct, lambda new: codes(new, v))
+    counts = cut.sums(np.array([c[0] for c in got], np.int64))
+    ids, shown = [c[1] for c in got], [c[2] for c in got]
+    # a piece without a word would leave a second space
+    empty = not all(ids)
+    for n, a, b in zip(counts.tolist(), cut.lists(ids), cut.lists(shown), strict=True):
+        yield n, " ".join(filter(None, a) if empty else a), " ".join(filter(None, b) if empty else b)
 
 
 def encoded(text: Column, path: str) -> Column:
     """Column struct: n_tokens, ids (decimal, joined by a space), decoded."""
 
-    @F.pandas_udf("n_tokens long, ids string, decoded string")
-    def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_tokens long, ids string, decoded string")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.DataFrame(encode_batch(texts.tolist(), path), columns=["n_tokens", "ids", "decoded"])
+            n, ids, shown = zip(*encode_batch(texts, path), strict=True) if len(texts) else ([], [], [])
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())], ["n_tokens", "ids", "decoded"])
 
     return code(text)
 
@@ -191,12 +201,13 @@ def encoded(text: Column, path: str) -> Column:
 def digested(text: Column, path: str) -> Column:
     """Column struct: n_tokens and the SHA-256 of ids and of the decoded text, which stay in the task."""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for texts in batches:
-            rows = [(n, sha(i), sha(d)) for n, i, d in encode_batch(texts.tolist(), path)]
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            rows = [(n, sha(i), sha(d)) for n, i, d in encode_batch(texts, path)]
+            n, ids, shown = zip(*rows, strict=True) if rows else ([], [], [])
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return code(text)
 

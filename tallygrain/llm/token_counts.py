@@ -18,13 +18,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.llm.common import small_batches
-from tallygrain.llm.pretokens import RULE, Kept, blocks, units
+from tallygrain.llm.pretokens import RULE, Kept, as_text, rule_units
 
 NO_RANK = np.iinfo(np.int64).max
 #: Symbols that one call of the merging loop holds.
@@ -104,8 +104,8 @@ class MergeTable:
         self.byte_id = np.array([vocab[c] for c in byte_letters()], np.int64)
         pairs, made = [(vocab[a], vocab[b]) for a, b in merges], [vocab[a + b] for a, b in merges]
         self.pairs = PairRanks(pairs, made, max(vocab.values()) + 1)
-        added = [t["content"] for t in spec["added_tokens"]]
-        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
     def surviving(self, words: list[bytes]) -> np.ndarray:
         """How many symbols each word has after all merges."""
@@ -114,32 +114,29 @@ class MergeTable:
         _, seq = self.pairs.merge_all(sym, np.repeat(np.arange(len(words)), size))
         return np.bincount(seq, minlength=len(words))
 
-    def unit_counts(self, names: list[str]) -> list[int]:
-        """Tokens of each unit: its words, cut by the vocabulary's rule, merged together."""
+    def words_of(self, names: list[str]) -> tuple[list[bytes], list[int], np.ndarray]:
+        """All words of the units, the unit of each, and each unit's number of special tokens."""
         words: list[bytes] = []
         owner: list[int] = []
-        total = np.zeros(len(names), np.int64)
-        held = 0
-
-        def flush() -> None:
-            nonlocal held
-            if words:
-                np.add.at(total, np.array(owner), self.surviving(words))
-            words.clear()
-            owner.clear()
-            held = 0
-
+        special = np.zeros(len(names), np.int64)
         for k, name in enumerate(names):
-            parts = self.special.split(name) if self.special else [name]
-            total[k] += len(parts) // 2
-            for w in (w for p in parts[::2] for w in RULE.findall(p)):
-                b = w.encode()
-                words.append(b)
-                owner.append(k)
-                held += len(b)
-            if held > SYMBOLS:
-                flush()
-        flush()
+            parts = self.special.split(name) if self.special and "<|" in name else [name]
+            special[k] = len(parts) // 2
+            for p in parts[::2]:
+                for w in RULE.findall(p):
+                    words.append(w.encode())
+                    owner.append(k)
+        return words, owner, special
+
+    def unit_counts(self, names: list[str]) -> list[int]:
+        """Tokens of each unit: its words, cut by the vocabulary's rule, merged together."""
+        words, owner, total = self.words_of(names)
+        held = np.cumsum([0, *map(len, words)])
+        at = 0
+        while at < len(words):  # as many words at once as SYMBOLS allows
+            to = max(at + 1, int(np.searchsorted(held, held[at] + SYMBOLS, "right")) - 1)
+            np.add.at(total, np.array(owner[at:to]), self.surviving(words[at:to]))
+            at = to
         return total.tolist()
 
 
@@ -149,23 +146,19 @@ def _table(path: str) -> tuple[MergeTable, Kept]:
     return MergeTable(path), Kept()
 
 
-def count_batch(texts: list[str | None], path: str) -> list[int]:
+def count_batch(texts: pa.Array, path: str) -> np.ndarray:
     table, kept = _table(path)
-    cut = [[u for b in blocks(t) for u in [units(b, table.special)]] if t else [] for t in texts]
-    new = kept.missing([u for x in cut for u in x])
-    kept.update(zip(new, table.unit_counts(new), strict=True))
-    out = [sum(sum(map(kept.__getitem__, u)) for u in x) for x in cut]
-    kept.forget_long(new)
-    return out
+    cut = rule_units(as_text(texts), table.special)
+    return cut.sums(np.array(kept.values_for(cut.distinct, table.unit_counts), np.int64))
 
 
 def n_tokens(text: Column, path: str) -> Column:
     """Column: how many tokens the whole text has under the vocabulary at `path`."""
 
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(count_batch(texts.tolist(), path), dtype="int64")
+            yield pa.array(count_batch(texts, path), pa.int64())
 
     return count(text)
 

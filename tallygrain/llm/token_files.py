@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -33,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.llm.common import scratch_dir, small_batches
-from tallygrain.llm.pretokens import Kept, blocks, units
+from tallygrain.llm.pretokens import Kept, as_text, rule_units
+from tallygrain.llm.token_counts import MergeTable
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -45,37 +47,36 @@ MANIFEST = "file string, n_docs long, n_ids long, n_bytes long"
 
 
 @lru_cache(2)
-def _encoder(path: str):
-    import os
+def _encoder(path: str) -> tuple[MergeTable, int, Kept]:
+    table = MergeTable(path)
+    return table, 2 if table.pairs.width <= 1 << 16 else 4, Kept()
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
-    width = 2 if t.get_vocab_size(True) <= 1 << 16 else 4
-    import regex
-
-    special = [x.content for x in t.get_added_tokens_decoder().values()]
-    rule = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-    return t, rule, width, Kept(200_000)
-
-
-def encode_texts(texts: list[str | None], path: str, end_id: int) -> list[bytes]:
-    """Ids of each whole text with the end id, little-endian. Each distinct unit is encoded once."""
-    t, rule, width, kept = _encoder(path)
+def unit_ids(names: list[str], table: MergeTable, width: int) -> list[bytes]:
+    """The ids of each unit as the tokenizers library gives them, little-endian."""
     kind = f"<u{width}"
-    cut = [[u for b in blocks(x) for u in units(b, rule)] if x else [] for x in texts]
-    new = kept.missing(cut)
-    got = t.encode_batch_fast(new, add_special_tokens=False)
-    kept.update((u, np.array(e.ids, kind).tobytes()) for u, e in zip(new, got, strict=True))
-    end = np.array([end_id], kind).tobytes()
-    out = [b"".join([*map(kept.__getitem__, x), end]) for x in cut]
-    kept.forget_long(new)
+    words, owner, _ = table.words_of(names)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    sym, seq = table.pairs.merge_all(table.byte_id[np.frombuffer(b"".join(words), np.uint8)], np.repeat(np.arange(len(words)), size))
+    stop = np.cumsum(np.bincount(np.array(owner, np.int64)[seq], minlength=len(names)))
+    flat, width = sym.astype(kind).tobytes(), np.dtype(kind).itemsize
+    at = [0, *(stop * width).tolist()]
+    out = [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
+    for k, name in enumerate(names):
+        if "<|" in name and table.special and table.special.search(name):
+            parts = [np.array([table.added[p]], kind).tobytes() if j % 2 else b"".join(unit_ids([p], table, width)) for j, p in enumerate(table.special.split(name))]
+            out[k] = b"".join(parts)
     return out
 
 
+def encode_texts(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
+    """Ids of each whole text with the end id, little-endian."""
+    table, width, kept = _encoder(path)
+    cut = rule_units(as_text(texts), table.special)
+    end = np.array([end_id], f"<u{width}").tobytes()
+    return [b"".join([*x, end]) for x in cut.lists(kept.values_for(cut.distinct, lambda new: unit_ids(new, table, width)))]
+
+
 class FrameWriter:
     """Writes a file of frames to an open stream."""
 
@@ -164,8 +165,8 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
             if writer is None:
                 fs.create_dir(base, recursive=True)
                 sink = fs.open_output_stream(own)
-                writer = FrameWriter(sink, _encoder(path)[2])
-            for known, doc_id, ids in zip(pdf["known"], pdf["doc_id"].tolist(), encode_texts(pdf["text"].tolist(), path, end_id), strict=True):
+                writer = FrameWriter(sink, _encoder(path)[1])
+            for known, doc_id, ids in zip(pdf["known"], pdf["doc_id"].tolist(), encode_texts(pa.array(pdf["text"], pa.large_string(), from_pandas=True), path, end_id), strict=True):
                 writer.add(doc_id if known else None, ids)
         if writer is not None:
             writer.close()
