@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrain.llm import bpe_codec, quality_fm, simhash_vp, token_counts, token_files, toxicity
+from tallygrain.llm import bpe_codec, ogg_media, quality_fm, sharding, simhash_vp, token_counts, token_files, toxicity, url_filter
 from tallygrain.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,21 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digests(docs, vocabulary("word_bpe_49k.json"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (pages,) = tables(spark, sf_dir, "pages")
+    return url_filter.verdicts(pages)
+
+
+def op5_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return ogg_media.media_digests(ogg_media.media_table(docs))
+
+
+def op6_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return sharding.shard(docs, [1.0] * 16)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
     return token_files.read_token_files(*token_files.write_token_files(docs, vocabulary("byte_bpe_50k.json"), end_id=2))
