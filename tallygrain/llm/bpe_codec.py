@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.llm.common import small_batches
-from tallygrain.llm.pretokens import Kept, as_text, space_units
+from tallygrain.llm.pretokens import Kept, as_text, gathered_batches, space_units
 from tallygrain.llm.token_counts import NO_RANK, PairRanks, byte_letters
 
 #: What of a text is a word (fixed value of the vocabulary); all else is dropped.
@@ -36,6 +36,8 @@ END = "</w>"
 NEVER = NO_RANK
 #: Chunks whose codes a Python worker keeps, at about 400 bytes each.
 KEPT = 600_000
+#: Bytes of text that are encoded together.
+HELD = 1 << 23
 Code = tuple[int, str, str]
 
 
@@ -177,7 +179,7 @@ def encode_batch(texts: pa.Array, path: str) -> Iterator[Code]:
     """(number of tokens, decimal ids joined by a space, decoded text) of each text."""
     v, kept = _vocabulary(path)
     cut = space_units(as_text(texts))
-    got = kept.values_for(cut.distinct, lambda new: codes(new, v))
+    got = kept.values_for(cut.names.to_pylist(), lambda new: codes(new, v))
     counts = cut.sums(np.array([c[0] for c in got], np.int64))
     ids, shown = [c[1] for c in got], [c[2] for c in got]
     # a piece without a word would leave a second space
@@ -191,7 +193,7 @@ def encoded(text: Column, path: str) -> Column:
 
     @F.arrow_udf("n_tokens long, ids string, decoded string")
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, HELD)):
             n, ids, shown = zip(*encode_batch(texts, path), strict=True) if len(texts) else ([], [], [])
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())], ["n_tokens", "ids", "decoded"])
 
@@ -204,7 +206,7 @@ def digested(text: Column, path: str) -> Column:
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for texts in batches:
+        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, HELD)):
             rows = [(n, sha(i), sha(d)) for n, i, d in encode_batch(texts, path)]
             n, ids, shown = zip(*rows, strict=True) if rows else ([], [], [])
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])

@@ -70,16 +70,24 @@ class Kept(dict):
 
 
 class Units:
-    """A batch of texts as codes: text k has distinct[c] for c in codes[bounds[k]:bounds[k + 1]]."""
+    """A batch of texts as codes: text k has the distinct units c for c in codes[bounds[k]:bounds[k + 1]].
+    The first of them, `names`, are an Arrow array; `extra` are the others."""
 
-    def __init__(self, codes: np.ndarray, bounds: np.ndarray, distinct: list[str]):
-        self.codes, self.bounds, self.distinct = codes, bounds, distinct
+    def __init__(self, codes: np.ndarray, bounds: np.ndarray, names: pa.Array, extra: list[str]):
+        self.codes, self.bounds, self.names, self.extra = codes, bounds, names, extra
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """For each text, the sum of its units' values."""
         total = np.r_[0, np.cumsum(values[self.codes])]
         return total[self.bounds[1:]] - total[self.bounds[:-1]]
 
+    def gathered(self, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' values, where unit c has flat[start[c]:start[c] + size[c]], and each text's bounds."""
+        n = size[self.codes]
+        stop = np.r_[0, np.cumsum(n)]
+        at = np.repeat(start[self.codes] - stop[:-1], n) + np.arange(stop[-1])
+        return flat[at], stop[self.bounds]
+
     def lists(self, values: list) -> Iterator[list]:
         """For each text, its units' values."""
         get = values.__getitem__
@@ -92,25 +100,40 @@ def as_text(texts: pa.Array) -> pa.Array:
     return pc.fill_null(texts.cast(pa.large_string()), "")
 
 
-def _split(cut: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def gathered_batches(batches: Iterator[pa.Array], size: int = 1 << 24) -> Iterator[list[pa.Array]]:
+    """Batches together as long as they hold about `size` bytes: more texts share more units."""
+    held: list[pa.Array] = []
+    n = 0
+    for b in batches:
+        held.append(b)
+        n += b.nbytes
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _split(cut: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Codes, bounds and distinct strings of an array of lists of strings."""
     coded = cut.flatten().dictionary_encode()
     bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds.astype(np.int64), coded.dictionary.to_pylist()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds.astype(np.int64), coded.dictionary
 
 
 def rule_units(texts: pa.Array, special: regex.Pattern | None) -> Units:
-    """Units for the byte-level vocabulary, of an array of large strings without nulls."""
+    """Units for the byte-level vocabulary, of an array of large strings without nulls. A space stands
+    before each of `names`."""
     odd = pc.or_(pc.match_substring_regex(texts, ODD), pc.greater(pc.utf8_length(texts), BLOCK)).to_numpy(zero_copy_only=False)
     plain = np.flatnonzero(~odd)
-    codes, bounds, names = _split(pc.split_pattern(texts.take(pa.array(plain)), " "))
-    distinct = [" " + s for s in names]
+    codes, bounds, names = _split(pc.split_pattern(texts.take(pa.array(plain)) if odd.any() else texts, " "))
     # the first unit of a text has no space before it
     extra: dict[str, int] = {}
     some = bounds[:-1][bounds[1:] > bounds[:-1]]
-    codes[some] = [len(distinct) + extra.setdefault(names[c], len(extra)) for c in codes[some].tolist()]
+    firsts = names.take(pa.array(codes[some])).to_pylist()
+    codes[some] = [len(names) + extra.setdefault(u, len(extra)) for u in firsts]
     if not odd.any():
-        return Units(codes, bounds, distinct + list(extra))
+        return Units(codes, bounds, names, list(extra))
     out = [np.zeros(0, np.int64)] * len(texts)
     for k, i in enumerate(plain.tolist()):
         out[i] = codes[bounds[k] : bounds[k + 1]]
@@ -119,15 +142,15 @@ def rule_units(texts: pa.Array, special: regex.Pattern | None) -> Units:
         for block in blocks(texts[i].as_py()):
             for k, part in enumerate(special.split(block) if special else [block]):
                 own += [part] if k % 2 else RULE.findall(part)
-        out[i] = np.array([len(distinct) + extra.setdefault(u, len(extra)) for u in own], np.int64)
-    return Units(np.concatenate(out), np.r_[0, np.cumsum([len(x) for x in out])].astype(np.int64), distinct + list(extra))
+        out[i] = np.array([len(names) + extra.setdefault(u, len(extra)) for u in own], np.int64)
+    return Units(np.concatenate(out), np.r_[0, np.cumsum([len(x) for x in out])].astype(np.int64), names, list(extra))
 
 
 def space_units(texts: pa.Array) -> Units:
     """Pieces between white space, for vocabularies that drop it; some may be empty."""
     odd = pc.match_substring_regex(texts, f"[{CONTROL}]").to_numpy(zero_copy_only=False)
     if not odd.any():
-        return Units(*_split(pc.utf8_split_whitespace(texts)))
+        return Units(*_split(pc.utf8_split_whitespace(texts)), [])
     cut = [SPACES.split(t) if o else t.split() for t, o in zip(texts.to_pylist(), odd, strict=True)]
-    return Units(*_split(pa.array(cut, pa.large_list(pa.large_string()))))
+    return Units(*_split(pa.array(cut, pa.large_list(pa.large_string()))), [])
 

@@ -19,16 +19,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.llm.common import small_batches
-from tallygrain.llm.pretokens import RULE, Kept, as_text, rule_units
+from tallygrain.llm.pretokens import RULE, Units, as_text, gathered_batches, rule_units
 
 NO_RANK = np.iinfo(np.int64).max
-#: Symbols that one call of the merging loop holds.
-SYMBOLS = 1 << 21
+#: Letters that every version of Unicode has, and a mark: such a unit is a word, or a word and a mark.
+PLAIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{17F}]+[.,;:!?]?$"
+MARKED = np.array([chr(b) in ".,;:!?" for b in range(256)], np.int64)
 
 
 def byte_letters() -> list[str]:
@@ -49,10 +51,21 @@ class PairRanks:
         order = np.argsort(key)
         self.width, self.keys, self.ranks, self.made = width, key[order], order.astype(np.int64), np.array(made, np.int64)
 
+        # most pairs are of bytes and early merges: those have a table of their own
+        n = self.small = min(1024, width)
+        low = [(k, (a, b)) for k, (a, b) in enumerate(pairs) if a < n and b < n]
+        self.table = np.full(n * n, NO_RANK)
+        self.table[[a * n + b for _, (a, b) in low]] = [k for k, _ in low]
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left * self.width + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
+        n = self.small
+        out = self.table[np.minimum(left, n - 1) * n + np.minimum(right, n - 1)]
+        far = np.flatnonzero((left >= n) | (right >= n))
+        if len(far):
+            key = left[far] * self.width + right[far]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[far] = np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
+        return out
 
     def merge_all(self, sym: np.ndarray, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols and their sequence numbers (ascending) before and after all merges."""
@@ -84,7 +97,9 @@ class PairRanks:
             moved = np.cumsum(stay) - 1
             sym, seq, rank = sym[stay], seq[stay], rank[stay]
             # only the pairs at a merged symbol are new
-            redo = np.unique(np.r_[moved[at], np.maximum(moved[at] - 1, 0)])
+            new = np.zeros(len(sym), bool)
+            new[moved[at]] = new[np.maximum(moved[at] - 1, 0)] = True
+            redo = np.flatnonzero(new)
             rank[redo] = NO_RANK
             redo = redo[redo < len(sym) - 1]
             redo = redo[seq[redo] == seq[redo + 1]]
@@ -114,42 +129,71 @@ class MergeTable:
         _, seq = self.pairs.merge_all(sym, np.repeat(np.arange(len(words)), size))
         return np.bincount(seq, minlength=len(words))
 
-    def words_of(self, names: list[str]) -> tuple[list[bytes], list[int], np.ndarray]:
-        """All words of the units, the unit of each, and each unit's number of special tokens."""
-        words: list[bytes] = []
+    def _plain(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols, words and units of units that are a space, letters, and at most one mark."""
+        offset = np.frombuffer(names.buffers()[1], np.int64)[names.offset : names.offset + len(names) + 1]
+        raw = np.frombuffer(names.buffers()[2], np.uint8)[offset[0] : offset[-1]]
+        size = np.diff(offset) + 1
+        stop = np.cumsum(size)
+        sym = np.full(int(stop[-1]), self.byte_id[32])
+        inner = np.ones(len(sym), bool)
+        inner[stop - size] = False
+        sym[inner] = self.byte_id[raw]
+        marked = MARKED[raw[offset[1:] - offset[0] - 1]]
+        words = 1 + marked
+        seq = np.repeat(np.cumsum(words) - words, size)
+        seq[stop - 1] += marked
+        return sym, seq, np.repeat(np.arange(len(names)), words)
+
+    def _other(self, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for any units, cut by the vocabulary's rule; a special token is one symbol."""
+        sym: list[int] = []
+        size: list[int] = []
         owner: list[int] = []
-        special = np.zeros(len(names), np.int64)
+        ids = self.byte_id.tolist()
         for k, name in enumerate(names):
-            parts = self.special.split(name) if self.special and "<|" in name else [name]
-            special[k] = len(parts) // 2
-            for p in parts[::2]:
-                for w in RULE.findall(p):
-                    words.append(w.encode())
+            for j, part in enumerate(self.special.split(name) if self.special and "<|" in name else [name]):
+                for own in [[self.added[part]]] if j % 2 else [[ids[b] for b in w.encode()] for w in RULE.findall(part)]:
+                    sym += own
+                    size.append(len(own))
                     owner.append(k)
-        return words, owner, special
-
-    def unit_counts(self, names: list[str]) -> list[int]:
-        """Tokens of each unit: its words, cut by the vocabulary's rule, merged together."""
-        words, owner, total = self.words_of(names)
-        held = np.cumsum([0, *map(len, words)])
-        at = 0
-        while at < len(words):  # as many words at once as SYMBOLS allows
-            to = max(at + 1, int(np.searchsorted(held, held[at] + SYMBOLS, "right")) - 1)
-            np.add.at(total, np.array(owner[at:to]), self.surviving(words[at:to]))
-            at = to
-        return total.tolist()
+        return np.array(sym, np.int64), np.repeat(np.arange(len(size)), np.array(size, np.int64)), np.array(owner, np.int64)
+
+    def encode_units(self, cut: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all distinct units: one array, with the start and the number of each unit's."""
+        plain = pc.match_substring_regex(cut.names, PLAIN).to_numpy(zero_copy_only=False)
+        here, there = np.flatnonzero(plain), np.flatnonzero(~plain)
+        size = np.zeros(len(cut.names) + len(cut.extra), np.int64)
+        units = np.r_[here, there, np.arange(len(cut.names), len(size))]
+        flat = []
+        step = 1 << 15  # words whose arrays stay in the processor's cache
+        for k in range(0, len(here), step):
+            sym, seq, owner = self._plain(cut.names.take(pa.array(here[k : k + step])))
+            sym, seq = self.pairs.merge_all(sym, seq)
+            size[here[k : k + step]] = np.bincount(owner[seq], minlength=len(here[k : k + step]))
+            flat.append(sym)
+        rest = [" " + s for s in cut.names.take(pa.array(there)).to_pylist()] + cut.extra
+        for k in range(0, len(rest), step):
+            sym, seq, owner = self._other(rest[k : k + step])
+            sym, seq = self.pairs.merge_all(sym, seq)
+            size[units[len(here) + k :][: len(rest[k : k + step])]] = np.bincount(owner[seq], minlength=len(rest[k : k + step]))
+            flat.append(sym)
+        start = np.zeros(len(size), np.int64)
+        stop = np.cumsum(size[units])
+        start[units] = stop - size[units]
+        return np.concatenate([*flat, np.zeros(0, np.int64)]), start, size
 
 
 @lru_cache(2)
-def _table(path: str) -> tuple[MergeTable, Kept]:
+def _table(path: str) -> MergeTable:
     """Kept for as long as the Python worker lives."""
-    return MergeTable(path), Kept()
+    return MergeTable(path)
 
 
 def count_batch(texts: pa.Array, path: str) -> np.ndarray:
-    table, kept = _table(path)
+    table = _table(path)
     cut = rule_units(as_text(texts), table.special)
-    return cut.sums(np.array(kept.values_for(cut.distinct, table.unit_counts), np.int64))
+    return cut.sums(table.encode_units(cut)[2])
 
 
 def n_tokens(text: Column, path: str) -> Column:
@@ -157,7 +201,7 @@ def n_tokens(text: Column, path: str) -> Column:
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches)):
             yield pa.array(count_batch(texts, path), pa.int64())
 
     return count(text)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.llm.common import scratch_dir, small_batches
-from tallygrain.llm.pretokens import Kept, as_text, rule_units
+from tallygrain.llm.pretokens import as_text, gathered_batches, rule_units
 from tallygrain.llm.token_counts import MergeTable
 
 #: Fixed values of the seekable format.
@@ -47,34 +47,19 @@ MANIFEST = "file string, n_docs long, n_ids long, n_bytes long"
 
 
 @lru_cache(2)
-def _encoder(path: str) -> tuple[MergeTable, int, Kept]:
+def _encoder(path: str) -> tuple[MergeTable, int]:
     table = MergeTable(path)
-    return table, 2 if table.pairs.width <= 1 << 16 else 4, Kept()
-
-
-def unit_ids(names: list[str], table: MergeTable, width: int) -> list[bytes]:
-    """The ids of each unit as the tokenizers library gives them, little-endian."""
-    kind = f"<u{width}"
-    words, owner, _ = table.words_of(names)
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    sym, seq = table.pairs.merge_all(table.byte_id[np.frombuffer(b"".join(words), np.uint8)], np.repeat(np.arange(len(words)), size))
-    stop = np.cumsum(np.bincount(np.array(owner, np.int64)[seq], minlength=len(names)))
-    flat, width = sym.astype(kind).tobytes(), np.dtype(kind).itemsize
-    at = [0, *(stop * width).tolist()]
-    out = [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
-    for k, name in enumerate(names):
-        if "<|" in name and table.special and table.special.search(name):
-            parts = [np.array([table.added[p]], kind).tobytes() if j % 2 else b"".join(unit_ids([p], table, width)) for j, p in enumerate(table.special.split(name))]
-            out[k] = b"".join(parts)
-    return out
+    return table, 2 if table.pairs.width <= 1 << 16 else 4
 
 
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
-    """Ids of each whole text with the end id, little-endian."""
-    table, width, kept = _encoder(path)
+    """Ids of each whole text, as the tokenizers library gives them, with the end id; little-endian."""
+    table, width = _encoder(path)
     cut = rule_units(as_text(texts), table.special)
-    end = np.array([end_id], f"<u{width}").tobytes()
-    return [b"".join([*x, end]) for x in cut.lists(kept.values_for(cut.distinct, lambda new: unit_ids(new, table, width)))]
+    flat, start, size = table.encode_units(cut)
+    ids, bounds = cut.gathered(flat.astype(f"<u{width}"), start, size)
+    raw, at, end = ids.tobytes(), (bounds * width).tolist(), np.array([end_id], f"<u{width}").tobytes()
+    return [raw[a:b] + end for a, b in zip(at, at[1:], strict=False)]
 
 
 class FrameWriter:
@@ -154,29 +139,28 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
     small_batches(spark)
     folder = folder or scratch_dir(spark)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         name = f"part-{TaskContext.get().partitionId():06d}.ids.zst"
         own = f"{base}/_{uuid.uuid4().hex}"
         writer = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for held in gathered_batches(b for b in batches if b.num_rows):
             if writer is None:
                 fs.create_dir(base, recursive=True)
                 sink = fs.open_output_stream(own)
                 writer = FrameWriter(sink, _encoder(path)[1])
-            for known, doc_id, ids in zip(pdf["known"], pdf["doc_id"].tolist(), encode_texts(pa.array(pdf["text"], pa.large_string(), from_pandas=True), path, end_id), strict=True):
-                writer.add(doc_id if known else None, ids)
+            t = pa.Table.from_batches(held).combine_chunks()
+            texts = t["text"].chunk(0)
+            for doc_id, ids in zip(t["doc_id"].to_pylist(), encode_texts(texts, path, end_id), strict=True):
+                writer.add(doc_id, ids)
         if writer is not None:
             writer.close()
             sink.close()
             fs.move(own, f"{base}/{name}")
-            yield pd.DataFrame([(name, len(writer.ids), writer.n_ids, writer.n_bytes)], columns=["file", "n_docs", "n_ids", "n_bytes"])
+            yield pa.RecordBatch.from_pylist([{"file": name, "n_docs": len(writer.ids), "n_ids": writer.n_ids, "n_bytes": writer.n_bytes}])
 
-    # a null in a long column would reach Python as a float, so nulls travel as a flag
-    rows = docs.select(F.col(id_col).isNotNull().alias("known"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc_id"), F.col(text_col).alias("text"))
-    done = rows.repartitionByRange("known", "doc_id").sortWithinPartitions("known", "doc_id", "text").mapInPandas(write, MANIFEST).collect()
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    done = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, MANIFEST).collect()
     return folder, spark.createDataFrame(sorted(done), MANIFEST)
 
 
