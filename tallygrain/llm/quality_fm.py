@@ -28,8 +28,8 @@ from tallygrain.llm.hashed_words import WORD, Kept, Rows, adam, bucket, collecte
 
 BITS, FACTORS = 16, 8
 #: Most labelled rows that are used of the bounded sample.
-FIT_ROWS = 8_000
-ROUNDS, RATE, SHRINK = 120, 0.03, 1e-4
+FIT_ROWS = 4_000
+ROUNDS, RATE, SHRINK = 100, 0.03, 1e-4
 MARKS = "!?.,;:|$%&#*@=<>/\\_-+~^\"'()[]{}"
 N_STATS = 12 + len(MARKS)
 WIDTH = (1 << BITS) + N_STATS
