@@ -1,13 +1,11 @@
-import datetime
 import os
 import sys
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, os.environ.get("PYTHONPATH")) if x)
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -20,14 +18,3 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def plain(x):
-    if isinstance(x, float):
-        return round(x, 9)
-    return x.replace(tzinfo=None) if isinstance(x, datetime.datetime) else x
-
-
-def rows(df_rows, columns):
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return [columns[i] for i in order], sorted((tuple(plain(r[i]) for i in order) for r in df_rows), key=repr)

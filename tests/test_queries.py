@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL, rows
+from helpers import SMALL, rows
 
 from tallygrain.plans.facts import TABLES
 from tallygrain.plans.reference import query
