@@ -5,7 +5,9 @@ import pytest
 from helpers import SMALL, rows
 
 from tallygrain.plans.facts import TABLES
-from tallygrain.plans.reference import query
+from tallygrain.plans import more, reference
+
+QUERIES, SQL = reference.query.queries | more.query.queries, reference.query.sql | more.query.sql
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +18,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(query.sql))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows(spark, duck, name):
-    df = query.queries[name](spark, SMALL)
-    want = duck.sql(query.sql[name])
+    df = QUERIES[name](spark, SMALL)
+    want = duck.sql(SQL[name])
     assert rows(df.collect(), df.columns) == rows(want.fetchall(), want.columns)
 
 
