@@ -21,10 +21,7 @@ def base(lines: DataFrame, judged: Column) -> DataFrame:
 
 
 def ranked(b: DataFrame) -> DataFrame:
-    """Ranks by signed spend, largest first, ties by key; divergence, flag and status.
-
-    The ranks over all tenants are made without one sort in one task: groups are numbered inside
-    ranges of spend, and each range starts after the rows of the ranges above it."""
+    """Ranks by signed spend, largest first, ties by key; divergence, flag and status."""
     spend = F.coalesce(F.col("spend_signed"), F.lit(0))
     ratio = F.when(F.col("spend_signed") != 0, F.col("spend_absolute") / F.abs("spend_signed"))
     q = b.withColumn("vendor_key", stable_key(F.col("tenant"), F.col("supplier"))).withColumn("_s", spend).withColumn("divergence", ratio)
@@ -34,17 +31,19 @@ def ranked(b: DataFrame) -> DataFrame:
     return with_rank(with_rank(q, "vendor_rank", ["tenant"]), "global_rank", []).drop("_s", "_said")
 
 
-def with_rank(q: DataFrame, name: str, within: list[str], ranges: int = 64) -> DataFrame:
-    """row_number() by _s descending, vendor_key ascending, within groups or over all rows."""
-    if within:
-        return q.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(F.desc("_s"), "vendor_key")))
-    # of the sign and the number of bits of the amount: an order-keeping, bounded number of ranges
+def with_rank(q: DataFrame, name: str, within: list[str]) -> DataFrame:
+    """row_number() by _s descending, vendor_key ascending, within groups or over all rows.
+
+    Rows are numbered inside bands of the amount (its sign and number of bits, at most about 130), and
+    a band starts after the rows of the bands above it, so neither a large tenant nor the ranking of
+    all is sorted by one task."""
     band = F.signum("_s").cast("int") * F.floor(F.log2(F.abs(F.col("_s")).cast("double") + 1)).cast("int")
     b = q.withColumn("_b", band)
-    above = b.groupBy("_b").agg(F.count("*").alias("n"))
-    starts = above.select("_b", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_b").orderBy(F.desc("_s"), "vendor_key"))
-    return b.withColumn("_own", own).join(F.broadcast(starts), "_b").withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_b", "_own", "_before")
+    above = b.groupBy(*within, "_b").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*within).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = above.select(*within, "_b", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*within, "_b").orderBy(F.desc("_s"), "vendor_key"))
+    return b.withColumn("_own", own).join(starts, [*within, "_b"]).withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_b", "_own", "_before")
 
 
 def coverage(q: DataFrame, cuts: tuple[int, ...]) -> DataFrame:
