@@ -10,9 +10,10 @@ def hashed_order(key: Column) -> list[Column]:
     return [F.sha2(key.cast("string"), 256), key]
 
 
-def hash_sample(df: DataFrame, key: str, n: int | None) -> DataFrame:
-    """The n rows with the smallest hash of the key; all rows if n is None."""
-    return df if n is None else df.orderBy(*hashed_order(F.col(key))).limit(n)
+def hash_sample(df: DataFrame, key: str, n: int | None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The n rows with the smallest hash of the key, rows of one key in the order of ties; all rows
+    if n is None."""
+    return df if n is None else df.orderBy(*hashed_order(F.col(key)), *ties).limit(n)
 
 
 def stratified(df: DataFrame, key: str, blank: Column, n_filled: int, n_blank: int) -> DataFrame:

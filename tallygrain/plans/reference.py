@@ -189,10 +189,10 @@ def duplicate_rule_keys(spark, d):
     return profile.duplicate_keys(lines, "tenant", "rule_id")
 
 
-@query("SELECT line_id, tenant FROM lines ORDER BY sha256(CAST(line_id AS STRING)), line_id LIMIT 200")
+@query("SELECT line_id, tenant FROM lines ORDER BY sha256(CAST(line_id AS STRING)), line_id, tenant LIMIT 200")
 def hash_sample(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return sampling.hash_sample(lines.select("line_id", "tenant"), "line_id", 200)
+    return sampling.hash_sample(lines.select("line_id", "tenant"), "line_id", 200, ("tenant",))
 
 
 @query("(SELECT line_id, 'categorised' AS stratum FROM lines WHERE l0 <> '' ORDER BY sha256(CAST(line_id AS STRING)), line_id LIMIT 80) UNION ALL (SELECT line_id, 'uncategorised' FROM lines WHERE l0 = '' ORDER BY sha256(CAST(line_id AS STRING)), line_id LIMIT 40)")
