@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -236,6 +237,8 @@ def test_readers(spark, tmp_path):
     (tmp_path / "b.csv").write_text("﻿k,v\n1,x\n")
     (tmp_path / "a.csv").write_text("k,v\n1,x\n")
     assert readers.csv(spark, str(tmp_path / "b.csv")).columns == ["k", "v"]
+    for name, second in (("b.csv", 1_000), ("a.csv", 2_000)):
+        os.utime(tmp_path / name, (second, second))
     assert readers.newest(spark, str(tmp_path / "*.csv")).endswith("b.csv") and readers.newest(spark, str(tmp_path / "*.csv"), "time").endswith("a.csv")
     with pytest.raises(ValueError):
         readers.Source("t", "xlsx", "p").read(spark)
