@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("11101001", "11010011", "10110101")
 SPAN, WINDOW, SHARE = 8, 13, 0.8
+#: Most tokens of a window that stand before its seed.
+BEFORE = WINDOW - SPAN
 #: Rows of benchmark seeds up to which they are broadcast (about 200 bytes each); beyond, both sides
 #: are dealt out by seed.
 BROADCAST_ROWS = 500_000
@@ -53,15 +55,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """doc_id, item_id, first_token (where the first overlap starts in the text), n_overlaps (number
     of verified windows' places), equal_tokens (most in a window): a row for each document and item."""
     keys = benchmark_seeds(benchmark)
-    if keys.count() <= BROADCAST_ROWS:
+    small = keys.count() <= BROADCAST_ROWS
+    if small:
         keys = F.broadcast(keys)
     # explode_outer, as the optimizer derives a filter from explode that would tokenise twice
     h = docs.select(F.col(id_col).alias("doc_id"), F.transform(tokens(F.col(text_col)), lambda w: F.xxhash64(w)).alias("h"))
     at = h.select("doc_id", "h", F.explode_outer(positions(F.col("h"))).alias("i"))
     at = at.select("doc_id", "h", "i", F.explode_outer(F.when(F.col("i").isNotNull(), seeds(F.col("h"), F.col("i")))).alias("seed"))
+    place = F.col("i")
+    if not small:  # seeds are shuffled: each takes along the tokens that a window can reach, not all of the text's
+        first = F.greatest(F.lit(0), F.col("i") - BEFORE)
+        at = at.select("doc_id", F.slice("h", first + 1, F.lit(WINDOW + BEFORE)).alias("h"), "i", "seed")
+        place = F.least(F.col("i"), F.lit(BEFORE))
     hits = at.join(keys, "seed")
     # plain terms, as a lambda would keep the join out of code generation and copy h for every seed
-    equal = sum((F.when(F.get("h", F.col("i") - F.col("shift") + k) == F.get("win", F.lit(k)), 1).otherwise(0) for k in range(WINDOW)), F.lit(0))
+    equal = sum((F.when(F.get("h", place - F.col("shift") + k) == F.get("win", F.lit(k)), 1).otherwise(0) for k in range(WINDOW)), F.lit(0))
     # neither arrays nor texts are shuffled; the test stands behind the aggregate, as a test that the
     # optimizer moves into the join makes its loop too large to be compiled
     found = hits.select("doc_id", "item_id", (F.col("i") - F.col("shift")).alias("at"), equal.alias("equal"), F.size("win").alias("size"))
