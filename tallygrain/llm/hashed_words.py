@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallygrain.llm.common import small_batches
 from tallygrain.llm.pretokens import Kept
@@ -26,14 +27,15 @@ def chunks_of(texts: list[str | None]) -> list[list[str]]:
 
 
 def collected_rows(rows: DataFrame, features: Callable[[list[str | None]], list[bytes]]) -> list[tuple[int, bytes]]:
-    """(y, packed features) of a bounded sample of (doc_id, text, y) rows, in the order of doc_id."""
+    """(y, packed features) of a bounded sample of (doc_id, text, y) rows, in the order of doc_id. Of
+    rows that share an id one is taken, so that repeated ids don't widen the sample."""
     small_batches(rows.sparkSession)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "f": features(pdf["text"].tolist())})
 
-    got = rows.mapInPandas(pack, "doc_id long, y int, f binary").collect()
+    got = rows.mapInPandas(pack, "doc_id long, y int, f binary").groupBy("doc_id", "y").agg(F.min("f").alias("f")).collect()
     return [(r["y"], bytes(r["f"])) for r in sorted(got)]
 
 
