@@ -15,7 +15,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallygrain.llm import bpe_codec, decontam, ogg_media, quality_fm, queries, sharding, simhash_vp, token_counts, token_files, toxicity, url_filter
+from tallygrain.llm import bpe_codec, decontam, hashed_words, ogg_media, quality_fm, queries, sharding, simhash_vp, token_counts, token_files, toxicity, url_filter
 from tallygrain.llm.common import held_out
 
 SMALL = "/root/testdata/sf0.001"
@@ -197,6 +197,22 @@ def test_op4(spark, small):
     model = {r["host"]: r["verdict"] for r in got.where("rule IS NULL").collect()}
     assert model["m.casino-win.example.org"] == "block" and model["blog.ththing.example.org"] == "allow"
     assert url_filter.verdicts(pages.where("false")).count() == 0
+    table = spark.createDataFrame([(f"https://{h}.org/{k}", int(h == "red")) for h in ("red", "blue") for k in range(9)], "url string, y int")
+    own = {r["host"]: r["verdict"] for r in url_filter.verdicts(spark.createDataFrame([(1, "https://red.org/77"), (2, "https://blue.org/77")], "page_id long, url string"), labelled=table).collect()}
+    assert own == {"red.org": "block", "blue.org": "allow"}
+
+
+def test_url_training_by_hand(spark):
+    """The fold in one expression equals plain gradient descent."""
+    rows = url_filter.labelled_urls(spark).select("y", F.col("url").alias("_u")).select("y", url_filter.ngrams(url_filter.host_of(F.col("_u")), url_filter.path_of(F.col("_u"))).alias("g")).collect()
+    x = np.zeros((len(rows), url_filter.WIDTH))
+    for k, r in enumerate(rows):
+        x[k, r["g"]] = len(r["g"]) ** -0.5
+    y, w, b = np.array([r["y"] for r in rows], float), np.zeros(url_filter.WIDTH), 0.0
+    for _ in range(url_filter.ROUNDS):
+        d = 1 / (1 + np.exp(-(x @ w + b))) - y
+        w, b = w - url_filter.RATE * (x.T @ d / len(y) + url_filter.SHRINK * w), b - url_filter.RATE * d.mean()
+    assert np.allclose(url_filter.train(url_filter.labelled_urls(spark)), [*w, b], atol=1e-9)
 
 
 def test_ogg_checksum():
@@ -342,6 +358,18 @@ def test_seed_join_without_broadcast(spark, small, monkeypatch):
     a = by_id(decontam.contaminated(small["documents"], small["benchmark"]))
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
     assert by_id(decontam.contaminated(small["documents"], small["benchmark"])) == a and a
+    short = spark.createDataFrame([(k, " ".join(f"w{x}" for x in range(k))) for k in range(7, 20)], "item_id long, text string")
+    texts = spark.createDataFrame([(k, " ".join(f"w{x}" for x in range(k % 5, 30))) for k in range(9)], "doc_id long, text string")
+    b = by_id(decontam.contaminated(texts, short))
+    monkeypatch.undo()
+    assert b == by_id(decontam.contaminated(texts, short)) and b
+
+
+def test_sample_of_repeated_ids(spark, small):
+    """Rows that share an id count once in the sample that a classifier is fitted on."""
+    one = spark.createDataFrame([(k, f"some words {k}", 1) for k in range(3)], "doc_id long, text string, y int")
+    many = one.withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("x")
+    assert hashed_words.collected_rows(many, toxicity.packed) == hashed_words.collected_rows(one, toxicity.packed)
 
 
 def test_pipeline(spark, small):
