@@ -77,13 +77,14 @@ def train(labelled: DataFrame) -> list[float]:
     rows = host_path.select("y", ngrams(F.col("h"), F.col("p")).alias("g")).withColumn("x", 1 / F.sqrt(F.greatest(F.size("g"), F.lit(1)).cast("double")))
     all_rows = rows.agg(F.array_sort(F.collect_list(F.struct("y", "g", "x"))).alias("r"))
     holding = "filter(transform(r, (e, k) -> named_struct('k', k, 'x', e.x, 'has', array_contains(e.g, j))), q -> q.has)"
-    ready = all_rows.select("r", F.expr(f"transform(sequence(0, {WIDTH - 1}), j -> {holding})").alias("f"))
+    by_feature = f"array(transform(sequence(0, {WIDTH - 1}), j -> {holding}))"
     fit = f"""aggregate(sequence(1, {ROUNDS}), array_repeat(0D, {WIDTH + 1}), (w, i) ->
       transform(array(transform(r, e -> 1 / (1 + exp(-aggregate(e.g, 0D, (s, j) -> s + w[j]) * e.x - w[{WIDTH}])) - e.y)),
         d -> concat(
           transform(f, (l, j) -> w[j] - {RATE}D * (aggregate(l, 0D, (s, q) -> s + d[q.k] * q.x) / size(r) + {SHRINK}D * w[j])),
           array(w[{WIDTH}] - {RATE}D * aggregate(d, 0D, (s, v) -> s + v) / size(r))))[0])"""
-    return ready.select(F.expr(fit).alias("w")).first()["w"]
+    # an array of one binds the lists to a name, or the optimizer would make them in every round
+    return all_rows.select(F.expr(f"transform({by_feature}, f -> {fit})[0]").alias("w")).first()["w"]
 
 
 def verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", labelled: DataFrame | None = None) -> DataFrame:
