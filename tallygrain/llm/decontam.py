@@ -2,10 +2,10 @@
 
 A text's tokens are its lower-cased runs of letters and digits. Fixed masks pick some of SPAN tokens
 in a row and ignore the others, so a seed still matches where ignored tokens were replaced. Seeds of
-all positions of the training texts are joined with those of the benchmark; around each hit the
-WINDOW tokens of the item (the whole item, if shorter) are compared with the text's at the same
-distance, and at least SHARE of them must be equal. All of it is DataFrame functions, and the texts'
-seeds are made, joined and verified in one pass without moving a text.
+all positions of the training texts are joined with those of the benchmark; every
+WINDOW tokens of the item that hold the seed (the whole item, if shorter) are compared with the text's
+at the same distance, and at least SHARE of them must be equal. All of it is DataFrame functions, and
+the texts' seeds are made, joined and verified in one pass without moving a text.
 
 Edge cases: a null or empty text, and one with fewer than SPAN tokens, has no seeds and no hits; so
 has an item; texts of any length are searched whole; a null id is kept as it is; repeated rows are
@@ -43,12 +43,11 @@ def positions(h: Column) -> Column:
 
 
 def benchmark_seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """seed, item_id, shift and win: the tokens around the seed, which starts at win[shift]."""
+    """seed, item_id, lead and win: the tokens that a window with the seed can reach; it starts at win[lead]."""
     h = benchmark.select(F.col(item_col).alias("item_id"), F.transform(tokens(F.col(text_col)), lambda w: F.xxhash64(w)).alias("b"))
     at = h.select("item_id", "b", F.explode(positions(F.col("b"))).alias("p"))
-    start = F.greatest(F.lit(0), F.least(F.col("p"), F.size("b") - WINDOW))
-    at = at.select("item_id", "b", "p", start.alias("s"))
-    return at.select("item_id", (F.col("p") - F.col("s")).alias("shift"), F.slice("b", F.col("s") + 1, F.lit(WINDOW)).alias("win"), F.explode(seeds(F.col("b"), F.col("p"))).alias("seed"))
+    at = at.withColumn("lead", F.least("p", F.lit(BEFORE)))
+    return at.select("item_id", "lead", F.slice("b", F.col("p") - F.col("lead") + 1, F.col("lead") + WINDOW).alias("win"), F.explode(seeds(F.col("b"), F.col("p"))).alias("seed"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,12 +68,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         place = F.least(F.col("i"), F.lit(BEFORE))
     hits = at.join(keys, "seed")
     # plain terms, as a lambda would keep the join out of code generation and copy h for every seed
-    equal = sum((F.when(F.get("h", place - F.col("shift") + k) == F.get("win", F.lit(k)), 1).otherwise(0) for k in range(WINDOW)), F.lit(0))
-    # neither arrays nor texts are shuffled; the test stands behind the aggregate, as a test that the
-    # optimizer moves into the join makes its loop too large to be compiled
-    found = hits.select("doc_id", "item_id", (F.col("i") - F.col("shift")).alias("at"), equal.alias("equal"), F.size("win").alias("size"))
-    places = found.groupBy("doc_id", "item_id", "at").agg(F.max("equal").alias("equal"), F.max("size").alias("size"))
-    places = places.where(F.col("equal") >= F.ceil(F.col("size") * SHARE))
+    bits = sum((F.when(F.get("h", place - F.col("lead") + k) == F.get("win", F.lit(k)), 1 << k).otherwise(0) for k in range(WINDOW + BEFORE)), F.lit(0))
+    found = hits.select("doc_id", "item_id", (F.col("i") - F.col("lead")).alias("from"), bits.alias("bits"), F.size("win").alias("reach"))
+    # every window with the seed; neither arrays nor texts are shuffled. Again explode_outer: a filter
+    # derived from explode would move into the join and make its loop too large to be compiled
+    size = F.least("reach", F.lit(WINDOW))
+    window = lambda k: F.struct((F.col("from") + k).alias("at"), F.bit_count(F.col("bits").bitwiseAND(F.lit((1 << WINDOW) - 1 << k))).alias("equal"))
+    fits = lambda k: (F.col("reach") >= size + k) & (window(k)["equal"] >= F.ceil(size * SHARE))
+    over = F.array_compact(F.array(*[F.when(fits(k), window(k)) for k in range(BEFORE + 1)]))
+    places = found.select("doc_id", "item_id", F.explode_outer(over).alias("w")).where("w IS NOT NULL").select("doc_id", "item_id", "w.*")
+    places = places.groupBy("doc_id", "item_id", "at").agg(F.max("equal").alias("equal"))
     return places.groupBy("doc_id", "item_id").agg(F.min("at").cast("long").alias("first_token"), F.count("*").alias("n_overlaps"), F.max("equal").cast("long").alias("equal_tokens"))
 
 

@@ -354,6 +354,35 @@ def test_leaks_with_substitutions(spark, odd, empty):
     assert decontam.contaminated(odd, bench).count() == 0 and decontam.contaminated(empty, bench).count() == 0 and decontam.contaminated(docs, bench.where("false")).count() == 0
 
 
+def windows_by_hand(text, item, n=13):
+    """(first_token, n_overlaps, equal_tokens) over all windows of an item of n tokens or more, or None."""
+    t, b, over = text.split(), item.split(), {}
+    for s in range(len(b) - n + 1):
+        for at in range(2 - n, len(t)):
+            e = sum(0 <= at + k < len(t) and t[at + k] == b[s + k] for k in range(n))
+            if e >= 11:
+                over[at] = max(e, over.get(at, 0))
+    return (min(over), len(over), max(over.values())) if over else None
+
+
+@pytest.mark.parametrize("broadcast_rows", [decontam.BROADCAST_ROWS, 0])
+def test_every_window_with_a_seed_is_verified(spark, monkeypatch, broadcast_rows):
+    """Passages of 13 tokens or more of longer items, two to four of them replaced: all windows by brute force."""
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", broadcast_rows)
+    rnd, items, texts = random.Random(11), [], []
+    for k in range(300):
+        item = [f"i{k}w{x}" for x in range(rnd.randint(13, 25))]
+        start = rnd.randint(0, len(item) - 13)
+        text = item[start : rnd.randint(start + 13, len(item))]
+        for x in rnd.sample(range(len(text)), rnd.randint(2, 4)):
+            text[x] = "other"
+        items.append((k, " ".join(item)))
+        texts.append((k, " ".join(["before"] * rnd.randint(0, 7) + text + ["after"] * rnd.randint(0, 7))))
+    want = {(k, k, *w) for (k, t), (_, b) in zip(texts, items, strict=True) if (w := windows_by_hand(t, b))}
+    got = decontam.contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 100
+
+
 def test_seed_join_without_broadcast(spark, small, monkeypatch):
     a = by_id(decontam.contaminated(small["documents"], small["benchmark"]))
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
