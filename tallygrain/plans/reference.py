@@ -480,6 +480,30 @@ def tree_audit(spark, d):
     return taxonomy.audit(nodes.groupBy("path").agg(F.sum("lines").alias("lines"))).where(F.col("check").isin("hollow", "multi_home", "junk"))
 
 
+LOOSE = r"regexp_replace(upper(replace({}, '&', ' AND ')), '[^\p{{L}}\p{{N}}]', '', 'g')"
+STATE = "CASE " + " ".join(f"WHEN regexp_matches(lower({{0}}), '\\b{w}\\b') THEN '{st}'" for w, st in taxonomy.STATES.items()) + " END"
+AUDITED = f"""(SELECT *, s[-1] AS leaf, array_to_string(s[:-2], ' > ') AS parent, array_to_string(s[:2], ' > ') AS branch, coalesce(s[3], s[-1]) AS label
+ FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines, string_split(path, ' > ') AS s FROM nodes GROUP BY path))"""
+CONTENT = r"list_sort(list_distinct(list_filter(list_transform(regexp_split_to_array(lower(leaf), '[^a-z0-9]+'), lambda w: CASE WHEN length(w) > 3 THEN regexp_replace(w, 's$', '') ELSE w END), lambda w: length(w) >= 3 AND w NOT IN ('and', 'the', 'of'))))"
+LABELS = f"(SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT unnest(s[2:]) AS label, lines FROM {AUDITED}) GROUP BY label)"
+
+
+@query(f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUDITED} WHERE {LOOSE.format("leaf")} = ''
+ UNION ALL SELECT 'prefix_bucket', false, path, lines FROM {AUDITED} p WHERE EXISTS (FROM nodes q WHERE starts_with(q.path, p.path || ' > '))
+ UNION ALL SELECT 'sole_other', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY parent HAVING count(*) = 1 AND min(lower(leaf)) = 'other'
+ UNION ALL SELECT 'multi_home', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY {LOOSE.format("leaf")} HAVING count(DISTINCT parent) > 1
+ UNION ALL SELECT 'word_order', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} WHERE len({CONTENT}) > 0 GROUP BY parent, {CONTENT} HAVING count(DISTINCT {LOOSE.format("leaf")}) > 1
+ UNION ALL SELECT 'hollow', false, path, lines FROM {AUDITED} WHERE lines = 0
+ UNION ALL SELECT DISTINCT 'contradiction', true, path, lines FROM (SELECT path, lines, unnest(s) AS x, unnest(s[2:]) AS y FROM {AUDITED}) WHERE {STATE.format("x")} <> {STATE.format("y")}
+ UNION ALL SELECT 'near_label', false, a.label || ' ~ ' || b.label, a.lines + b.lines FROM {LABELS} a JOIN {LABELS} b ON a.label < b.label AND abs(length(a.label) - length(b.label)) <= 3 WHERE levenshtein(a.k, b.k) IN (1, 2)
+ UNION ALL SELECT 'generic', false, path, lines FROM {AUDITED} WHERE lines > 0 AND ({" OR ".join(f"contains(lower(leaf), '{g}')" for g in taxonomy.GENERIC)})
+ UNION ALL SELECT 'thin_branch', false, branch, CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY branch HAVING count(*) = 1
+ UNION ALL SELECT 'shared_group', false, min(label), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY {LOOSE.format("label")} HAVING count(DISTINCT branch) > 1""")
+def tree_audit_whole(spark, d):
+    (nodes,) = frames(spark, d, "nodes")
+    return taxonomy.audit(nodes.groupBy("path").agg(F.sum("lines").alias("lines")))
+
+
 @query("SELECT tenant, source_key, CASE WHEN l1 = lag(l1) OVER w THEN '' ELSE l1 END AS show_l1, CASE WHEN l1 = lag(l1) OVER w AND l2 = lag(l2) OVER w THEN '' ELSE l2 END AS show_l2 FROM (SELECT tenant, min(source_key) AS source_key, l1, l2 FROM nodes GROUP BY tenant, l1, l2) WINDOW w AS (PARTITION BY tenant ORDER BY l1, l2)")
 def tree_outline(spark, d):
     (nodes,) = frames(spark, d, "nodes")

@@ -173,6 +173,17 @@ def test_typos(spark):
     assert got == {("Cable", "Cables"): True, ("Inpatient", "Unpatient"): False}
 
 
+def test_audit_finds_each_kind(spark):
+    nodes = spark.createDataFrame([("C > Food > Fresh Produce > Processed Salads", 5), ("C > Food > Preserved Goods", 1), ("C > Food > Preserverd Goods", 2), ("C > Fees > Sundry Fees", 4), ("N > Food > Preserved Goods", 0), ("N > Food > Preserved Goods > Cans", 1), ("N > Food > -", 1), ("N > Lone > Rates > Other", 3), ("N > Travel > Air Transport", 1), ("N > Travel > Transport Air", 1)], "path string, lines long")
+    got = {(r["check"], r["path"], r["lines"]) for r in taxonomy.audit(nodes).collect()}
+    assert got == {
+        ("junk", "N > Food > -", 1), ("prefix_bucket", "N > Food > Preserved Goods", 0), ("sole_other", "N > Lone > Rates > Other", 3),
+        ("multi_home", "C > Food > Preserved Goods", 1), ("word_order", "N > Travel > Air Transport", 2), ("hollow", "N > Food > Preserved Goods", 0),
+        ("contradiction", "C > Food > Fresh Produce > Processed Salads", 5), ("near_label", "Preserved Goods ~ Preserverd Goods", 4),
+        ("generic", "C > Fees > Sundry Fees", 4), ("generic", "N > Lone > Rates > Other", 3), ("thin_branch", "C > Fees", 4), ("thin_branch", "N > Lone", 3), ("shared_group", "Preserved Goods", 2),
+    }
+
+
 def test_agreeing_group():
     pairs = [("a", "b", 0.9), ("a", "c", 0.8), ("b", "c", 0.2), ("c", "d", 0.9)]
     assert taxonomy.agreeing_group(pairs, ["a", "b", "c", "d"]) == ["a", "b"]
