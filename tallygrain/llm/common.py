@@ -8,10 +8,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch. Texts reach 100 KB and more, so the default of 10,000 rows could be a GB.
+#: Rows of an Arrow batch; Spark bounds its bytes too (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB).
 ARROW_ROWS = 512
-#: Most labelled rows that a classifier is fitted on.
-SAMPLE_ROWS = 20_000
+#: Most rows of keys (below 100 bytes each) that are broadcast to leave their rows out.
+BROADCAST_KEYS = 1_000_000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -46,19 +46,29 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def labelled_ids(labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, y): at most `rows` ids with a label outside the held-out fold, the first in an order
-    by hash. An id whose labels disagree is left out."""
+def labelled_ids(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y): the ids with a label outside the held-out fold. An id whose labels disagree is left out."""
     return (
         labels.where(~held_out() & F.col(label).isin(0, 1))
         .groupBy("doc_id")
         .agg(F.min(label).cast("int").alias("y"), F.max(label).cast("int").alias("y2"))
         .where("y = y2")
         .select("doc_id", "y")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
 
 
+def sampled(ids: DataFrame, rows: int, salt: int = 42) -> DataFrame:
+    """At most `rows` of the rows, the first in an order by the hash of doc_id."""
+    return ids.orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id").limit(rows)
+
+
+def left_out(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """The rows of docs whose key (never null) isn't in gone (one column, `key`). The keys are written
+    first; up to BROADCAST_KEYS they are broadcast and no text moves, beyond both sides are dealt out."""
+    gone = materialise(gone.select(F.col("key").alias("_gone")).distinct())
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
+    return docs.join(side, key == F.col("_gone"), "left_anti")
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]

@@ -26,16 +26,17 @@ def chunks_of(texts: list[str | None]) -> list[list[str]]:
     return [list(dict.fromkeys(t.lower().split())) if t else [] for t in texts]
 
 
-def collected_rows(rows: DataFrame, features: Callable[[list[str | None]], list[bytes]]) -> list[tuple[int, bytes]]:
-    """(y, packed features) of a bounded sample of (doc_id, text, y) rows, in the order of doc_id. Of
+def collected_rows(rows: DataFrame, features: Callable[[pd.DataFrame], list[bytes]]) -> list[tuple[int, bytes]]:
+    """(y, packed features) of a bounded sample of (doc_id, y, ...) rows, in the order of doc_id. Of
     rows that share an id one is taken, so that repeated ids don't widen the sample."""
     small_batches(rows.sparkSession)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "f": features(pdf["text"].tolist())})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "f": features(pdf)})
 
-    got = rows.mapInPandas(pack, "doc_id long, y int, f binary").groupBy("doc_id", "y").agg(F.min("f").alias("f")).collect()
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    got = rows.mapInPandas(pack, f"doc_id {kind}, y int, f binary").groupBy("doc_id", "y").agg(F.min("f").alias("f")).collect()
     return [(r["y"], bytes(r["f"])) for r in sorted(got)]
 
 
@@ -55,6 +56,14 @@ class Rows:
     def back(self, err: np.ndarray, width: int) -> np.ndarray:
         return np.bincount(self.col, self.val * err[self.row], minlength=width)
 
+    def only(self, names: np.ndarray, width: int) -> Rows:
+        """The same rows with these features alone, which are numbered anew."""
+        place = np.full(width, -1)
+        place[names] = np.arange(len(names))
+        out, ok = Rows([]), place[self.col] >= 0
+        out.n, out.row, out.col, out.val = self.n, self.row[ok], place[self.col[ok]], self.val[ok]
+        return out
+
 
 def adam(shape: tuple[int, ...], rate: float) -> Callable[[np.ndarray], np.ndarray]:
     """A function from a gradient to the step to subtract."""

@@ -9,7 +9,7 @@ half of (sum_i v_i x_i)^2 - sum_i (v_i x_i)^2 for each dimension.
 Edge cases: a null or empty text has no words and zero statistics and still gets a score; a null
 number of characters counts as the text's own; texts of any length are read whole; documents without
 a label are scored like others; repeated rows give repeated rows; an empty table gives an empty
-table; without training rows every score is 0.5. Only the id, the text, n_chars and the label are
+table; without training rows every score is 0.5; ids may be of any type. Only the id, the text, n_chars and the label are
 read, so other columns have no influence.
 """
 
@@ -23,11 +23,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import SAMPLE_ROWS, held_out, labelled_ids, small_batches
+from tallygrain.llm.common import held_out, labelled_ids, sampled, small_batches
 from tallygrain.llm.hashed_words import WORD, Kept, Rows, adam, bucket, collected_rows, sigmoid
 
 BITS, FACTORS = 16, 8
-#: Most labelled rows that are used of the bounded sample.
+#: Most labelled documents that the model is fitted on, sampled from all of them.
 FIT_ROWS = 4_000
 ROUNDS, RATE, SHRINK = 100, 0.03, 1e-4
 MARKS = "!?.,;:|$%&#*@=<>/\\_-+~^\"'()[]{}"
@@ -83,8 +83,9 @@ class Featurizer:
         return out
 
 
-def packed(texts: list[str | None]) -> list[bytes]:
-    return [ids.astype(np.int32).tobytes() + val.tobytes() for ids, val in Featurizer()(texts, [None] * len(texts))]
+def packed(rows: pd.DataFrame) -> list[bytes]:
+    """Features for the fit, from the same columns as for scoring."""
+    return [ids.astype(np.int32).tobytes() + val.tobytes() for ids, val in Featurizer()(rows["text"].tolist(), rows["n_chars"].tolist())]
 
 
 @dataclass
@@ -128,10 +129,10 @@ class FactorisationMachine:
         return cls(w0, w, v)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> FactorisationMachine:
-    """Fit on at most FIT_ROWS of at most `rows` labelled documents outside the held-out fold."""
-    known = labelled_ids(labels, label, rows).limit(FIT_ROWS)
-    got = collected_rows(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), packed)
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> FactorisationMachine:
+    """Fit on at most `rows` labelled documents outside the held-out fold."""
+    known = sampled(labelled_ids(labels, label), rows)
+    got = collected_rows(docs.select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars")).join(F.broadcast(known), "doc_id"), packed)
     if not got:
         return FactorisationMachine(0.0, np.zeros(WIDTH, np.float32), np.zeros((WIDTH, FACTORS), np.float32))
     half = [len(f) // 8 for _, f in got]

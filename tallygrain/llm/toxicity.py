@@ -1,15 +1,16 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-The classifier is linear in the distinct words of a text, each as a hashed word and two hashed word
+The classifier is linear in the distinct words of a text, each as a hashed word and hashed word
 beginnings (compounds share those). It is fitted in numpy from confirmed toxic texts and unlabelled
 texts only, on the risk of positive-unlabelled learning: pi * E+[l(g)] + max(0, Eu[l(-g)] -
 pi * E+[l(-g)]), where l is the logistic loss and pi the share of toxic texts. Where the second part
-would fall below zero, a step raises it instead. pi and the cut between the classes come from
-labelled rows outside the held-out fold.
+would fall below zero, a step raises it instead. Weights and bias are those of that risk, and a text
+is toxic where the risk puts it, at a score of 0.5. Labels of clean texts serve for pi alone.
 
 Edge cases: a null or empty text has no words and gets the score of the bias alone; texts of any
 length are read whole; documents without a label are scored like others; repeated rows give repeated
-rows; an empty table gives an empty table; without a single toxic training row every score is 0.
+rows and count once in the fit; ids may be of any type; an empty table gives an empty table. Where no
+feature is clearly commoner in confirmed texts, as with no or very few of them, every score is 0.
 Only the id, the text and the label are read, so other columns have no influence.
 """
 
@@ -23,17 +24,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import SAMPLE_ROWS, held_out, labelled_ids, small_batches
+from tallygrain.llm.common import held_out, labelled_ids, sampled, small_batches
 from tallygrain.llm.hashed_words import WORD, Kept, Rows, adam, bucket, chunks_of, collected_rows, sigmoid
 
 BITS = 20
-#: Of the bounded sample: most toxic and most unlabelled rows that the model is fitted on.
+#: Most confirmed toxic and most unlabelled documents that the model is fitted on, each sampled from all.
 POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 6_000
 #: A word's beginnings that count as features.
 BEGINNINGS = (4, 5, 6)
 #: A feature takes part if so many confirmed texts have it and its share among them exceeds that
 #: among unlabelled texts by so many standard errors.
 LEAST_ROWS, LEAST_Z = 3, 5.0
+#: The class prior where no clean text is labelled; it counts as so many labelled rows; and the least and
+#: most that labels may make of it.
+PRIOR, PRIOR_ROWS, LEAST_PRIOR, MOST_PRIOR = 0.05, 100, 0.001, 0.4
 ROUNDS, RATE, SHRINK = 300, 0.05, 1e-4
 
 
@@ -45,10 +49,10 @@ def word_features(chunk: str) -> list[int]:
     return out
 
 
-def packed(texts: list[str | None]) -> list[bytes]:
+def packed(rows: pd.DataFrame) -> list[bytes]:
     kept = Kept()
     out = []
-    for chunks in chunks_of(texts):
+    for chunks in chunks_of(rows["text"].tolist()):
         for c in kept.missing([chunks]):
             kept[c] = word_features(c)
         out.append(np.unique(np.array([f for c in chunks for f in kept[c]], np.int32)).tobytes())
@@ -86,67 +90,56 @@ def telling(positive: Rows, unlabelled: Rows, width: int) -> np.ndarray:
     return np.flatnonzero((c1 >= LEAST_ROWS) & (z >= LEAST_Z))
 
 
+def risk(positive: Rows, unlabelled: Rows, prior: float, b: float, w: np.ndarray) -> tuple[float, float]:
+    """The two parts of the risk: of the confirmed as toxic, and of the rest as clean before its bound of 0."""
+    gp, gu = positive.dot(w) + b, unlabelled.dot(w) + b
+    return float(prior * np.logaddexp(0, -gp).mean()), float(np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean())
+
+
+def slopes(positive: Rows, unlabelled: Rows, prior: float, b: float, w: np.ndarray) -> tuple[float, np.ndarray]:
+    """Slopes of the risk by bias and weights; where its second part is below zero, which no true risk
+    is, those of that part with the sign turned, so that a step undoes the fit to it."""
+    gp, gu = positive.dot(w) + b, unlabelled.dot(w) + b
+    up = -(1 - sigmoid(gp)) * prior / positive.n
+    down_p, down_u = -sigmoid(gp) * prior / positive.n, sigmoid(gu) / unlabelled.n
+    if np.logaddexp(0, gu).mean() >= prior * np.logaddexp(0, gp).mean():
+        ep, eu = up + down_p, down_u
+    else:
+        ep, eu = -down_p, -down_u
+    return float(ep.sum() + eu.sum()), positive.back(ep, len(w)) + unlabelled.back(eu, len(w))
+
+
 def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, width: int) -> tuple[float, np.ndarray]:
     """Bias and weights that minimise the non-negative risk, with a small penalty on weights."""
-    w, b = np.zeros(width), -1.0
+    b, w = float(np.log(prior / (1 - prior))), np.zeros(width)
     step_w, step_b = adam((width,), RATE), adam((1,), RATE)
     for _ in range(ROUNDS):
-        gp, gu = positive.dot(w) + b, unlabelled.dot(w) + b
-        as_negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        # derivatives of l(g) on positives, and of l(-g) on both
-        up = -(1 - sigmoid(gp)) * prior / positive.n
-        down_p, down_u = -sigmoid(gp) * prior / positive.n, sigmoid(gu) / unlabelled.n
-        if as_negative >= 0:
-            ep, eu = up + down_p, down_u
-        else:  # the estimate has gone below zero, which no true risk does: undo the fit to it
-            ep, eu = -down_p, -down_u
-        gw = positive.back(ep, width) + unlabelled.back(eu, width) + SHRINK * w
-        w -= step_w(gw)
-        b -= float(step_b(np.array([ep.sum() + eu.sum()]))[0])
+        gb, gw = slopes(positive, unlabelled, prior, b, w)
+        w -= step_w(gw + SHRINK * w)
+        b -= float(step_b(np.array([gb]))[0])
     return b, w
 
 
-def best_cut(g: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the gap at which F1 is best."""
-    order = np.argsort(-g, kind="stable")
-    g, y = g[order], y[order]
-    hit = np.cumsum(y)
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][g[:-1] == g[1:]] = -1  # no cut between equal scores
-    k = int(np.argmax(f1))
-    return float((g[k] + g[min(k + 1, len(g) - 1)]) / 2)
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Fit on a sample of at most POSITIVE_ROWS confirmed and UNLABELLED_ROWS unlabelled texts, drawn
-    from at most `rows` labelled rows and from all documents outside the held-out fold."""
-    known = labelled_ids(labels, label, rows)
-    known = known.where("y = 1").limit(POSITIVE_ROWS).unionByName(known.where("y = 0").limit(POSITIVE_ROWS))
-    free = docs.where(~held_out()).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(UNLABELLED_ROWS).distinct()
-    picks = known.unionByName(free.withColumn("y", F.lit(-1)))
+def class_prior(labelled: DataFrame) -> float:
+    """The share of toxic among labelled ids (doc_id, y); one aggregate reaches the driver."""
+    n, toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    return PRIOR if n == toxic else min(max((toxic + PRIOR * PRIOR_ROWS) / (n + PRIOR_ROWS), LEAST_PRIOR), MOST_PRIOR)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None) -> ToxicityModel:
+    """Fit on at most POSITIVE_ROWS confirmed and UNLABELLED_ROWS other documents outside the held-out fold."""
+    labelled = labelled_ids(labels, label)
+    confirmed = sampled(labelled.where("y = 1"), POSITIVE_ROWS)
+    free = sampled(docs.where(~held_out()).select("doc_id").distinct(), UNLABELLED_ROWS, 7)
+    picks = confirmed.unionByName(free.withColumn("y", F.lit(0)))
     got = collected_rows(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id"), packed)
-    known = [(y, np.frombuffer(f, np.int32)) for y, f in got if y >= 0]
-    loose = [np.frombuffer(f, np.int32) for y, f in got if y < 0]
-    if not any(y for y, _ in known) or not loose:
-        return ToxicityModel(-40.0, np.zeros(0, np.int64), np.zeros(0))
-    y_all = labels.where(~held_out() & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
-    prior = min(max(float(y_all), 0.01), 0.99)
+    positive, unlabelled = (Rows([np.frombuffer(f, np.int32) for y, f in got if y == k]) for k in (1, 0))
     width = 1 << BITS
-    positive = Rows([f for y, f in known if y == 1])
-    unlabelled = Rows(loose)
-    names = telling(positive, unlabelled, width)
-    place = np.full(width, -1)
-    place[names] = np.arange(len(names))
-    for r in (positive, unlabelled):
-        ok = place[r.col] >= 0
-        r.row, r.col, r.val = r.row[ok], place[r.col[ok]], r.val[ok]
-    _, w = fit_nnpu(positive, unlabelled, prior, len(names))
-    full = np.zeros(width)
-    full[names] = w
-    g = np.array([full[f].sum() for _, f in known])
-    cut = best_cut(g, np.array([y for y, _ in known]))
-    at = np.flatnonzero(full)
-    return ToxicityModel(-cut, at, full[at])
+    names = telling(positive, unlabelled, width) if positive.n and unlabelled.n else np.zeros(0, np.int64)
+    if not len(names):
+        return ToxicityModel(-40.0, names, np.zeros(0))
+    b, w = fit_nnpu(positive.only(names, width), unlabelled.only(names, width), prior or class_prior(labelled), len(names))
+    return ToxicityModel(b, names, w)
 
 
 def score(text: Column, model: ToxicityModel) -> Column:
