@@ -1,21 +1,29 @@
 """SimHash near-duplicates, found exactly with vantage-point trees.
 
-Fingerprints of 64 bits are linked if at most two bits differ. A tree is built from a bounded sample
-of them: an inner node has a vantage point, and its children are rings of distances to it. Every
+Fingerprints of 64 bits are linked if at most `radius` bits differ. A tree is built from a bounded
+sample of them: an inner node has a vantage point, and its children are rings of distances to it. Every
 distinct fingerprint belongs to the shard (leaf) that its distances lead to, and asks the shards
 beyond a ring's boundary that the triangle inequality leaves: one flipped bit moves every distance
 by exactly one, two flipped bits move it by two or not at all. Of two fingerprints that part ways at
-a node the one in the lower ring asks, so a pair meets once. Each shard searches its own rows with a
-tree of its own and gives back a spanning forest of the links, never all pairs.
+a node the one in the lower ring asks, so a pair meets once. A radius above two has a tree for each of
+several bands of bits: of `radius` flipped bits, some band has at most radius // bands. Each shard
+searches its own rows with rings of its own and gives back a spanning forest of the links, never all
+pairs; a shard with too many owners is a grid of tasks.
 
-Copies share a fingerprint and are one row in the search. Components come from rounds of star
-contraction, each written to the shared folder; neither links nor fingerprints of all documents
-reach the driver.
+`near_duplicates` links fingerprints of three-word shingles at two bits. `one_of_each` links texts
+with a Jaccard similarity of SIMILAR of their sets of five-word shingles. An edit changes five
+shingles but one word, so its trees hold fingerprints of the sets of words, which stay within NEAR
+bits; fingerprints of the shingles leave out what is far, and the sets themselves decide.
+
+Copies are one row in the search. Components come from rounds of star contraction, each written to
+the shared folder; neither links nor fingerprints of all documents reach the driver.
 
 Edge cases: a null or empty text, or one of white space alone, has the fingerprint zero and is
-linked like any other; one or two words are one shingle; a null id takes part in the links, but
-names a component only by null if no other id is there; repeated rows give repeated rows; an empty
-table gives an empty table; other columns are not read.
+linked like any other; with fewer words than a shingle has, the whole text is one; a null id takes
+part in the links, but names a component only by null if no other id is there; repeated rows give
+repeated rows in `near_duplicates`, while `one_of_each` keeps one row of a class whatever its ids
+(the smallest id, null last, then by the text's MD5); an empty table gives an empty table; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,26 +36,36 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import materialise, small_batches
+from tallygrain.llm.common import BROADCAST_KEYS, left_out, materialise, small_batches
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
-#: Fingerprints that a shard should own, and fingerprints of which the tree is built.
-SHARD, SAMPLE = 256, 1 << 16
+#: Of `one_of_each`: words of a shingle, least similarity, bits within which fingerprints of word sets
+#: are searched and bands of the search, bits beyond which fingerprints of shingles rule a pair out.
+WORDS, SIMILAR, NEAR, BANDS, FAR = 5, 0.8, 8, 3, 18
+#: Fingerprints that a shard should own, most that a task owns, and fingerprints of which a tree is built.
+SHARD, MOST, SAMPLE = 512, 50_000, 1 << 16
 #: Hashes or comparisons that are held at once.
 HELD = 1 << 18
+#: Texts and shingles of a task that compares sets.
+CELL_TEXTS, CELL_SHINGLES = 8_192, 4_000_000
+#: Rows of one key from which a join meets that key by broadcast; at most rows / HOT keys are so many.
+HOT = 200_000
 OWN = 4
 
 
-def word_hashes(text: str) -> Iterator[np.ndarray]:
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shingle_hashes(words: list[bytes], n: int = SHINGLE) -> Iterator[np.ndarray]:
     """XXH64 of the shingles of a whole text, in blocks."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return
     size = np.fromiter(map(len, words), np.int64, len(words))
     whole = b" ".join(words)
     stop = np.cumsum(size + 1) - 1
     start = stop - size
-    n = min(SHINGLE, len(words))
+    n = min(n, len(words))
     start, stop = start[: len(words) - n + 1], stop[n - 1 :]
     digest = xxhash.xxh64_intdigest
     for k in range(0, len(start), HELD):
@@ -71,7 +89,7 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
 
     n = 0
     for k, t in enumerate(texts):
-        for h in word_hashes(t or ""):
+        for h in shingle_hashes(words_of(t)):
             held.append(h)
             owner.append(k)
             total[k] += len(h)
@@ -84,6 +102,33 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.int64).reshape(-1)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if more than half of the hashes have it; as a signed number."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), HELD):
+        ones += np.unpackbits(hashes[k : k + HELD].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").view(np.int64)[0])
+
+
+def set_prints(text: str | None) -> tuple[int, int, bytes]:
+    """Fingerprints of the sets of words and of WORDS-word shingles, and the latter's hashes in order."""
+    words = words_of(text)
+    each = np.concatenate([*shingle_hashes(list(set(words)), 1), np.zeros(0, np.uint64)])
+    hashes = np.unique(np.concatenate([*shingle_hashes(words, WORDS), np.zeros(0, np.uint64)]))
+    return majority(each), majority(hashes), hashes.tobytes()
+
+
+def sets_of(text: Column) -> Column:
+    """Column struct: fp of the words, second of the shingles, and the shingles' hashes."""
+
+    @F.pandas_udf("fp long, second long, shingles binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([set_prints(t) for t in texts.tolist()], columns=["fp", "second", "shingles"])
+
+    return run(text)
+
+
 def fingerprint(text: Column) -> Column:
     """Column: the fingerprint of a text as a long."""
 
@@ -99,6 +144,14 @@ def distance(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     return np.bitwise_count(np.bitwise_xor(a, b).view(np.uint64)).astype(np.int64)
 
 
+def band_of(fp: np.ndarray, k: int, bands: int) -> np.ndarray:
+    """The bits of band k; bands are equally wide, but the last, which has what is left."""
+    if bands == 1:
+        return fp
+    width = 64 // bands
+    return (fp.view(np.uint64) >> np.uint64(k * width) & np.uint64((1 << (width if k < bands - 1 else 64 - k * width)) - 1)).view(np.int64)
+
+
 class Tree:
     """Rings around vantage points. child[k][d] is the child of node k for distance d; a child below
     zero is leaf -1 - child."""
@@ -106,21 +159,21 @@ class Tree:
     def __init__(self, sample: np.ndarray, scale: float, shard: int = SHARD, depth: int = 12):
         self.vantage: list[int] = []
         self.child: list[np.ndarray] = []
-        self.leaves = 0
-        self.root = self._grow(np.unique(sample), scale, shard, depth)
+        self.owners: list[float] = []  # expected in each leaf
+        self.root = self._grow(np.sort(sample), scale, shard, depth)
 
-    def _leaf(self) -> int:
-        self.leaves += 1
-        return -self.leaves
+    def _leaf(self, owners: float) -> int:
+        self.owners.append(owners)
+        return -len(self.owners)
 
     def _grow(self, fp: np.ndarray, scale: float, shard: int, depth: int) -> int:
-        if len(fp) * scale <= shard or len(fp) < 2 or not depth:
-            return self._leaf()
+        if len(fp) * scale <= shard or not depth or fp[0] == fp[-1]:
+            return self._leaf(len(fp) * scale)
         v = fp[(len(fp) * 7919 + depth) % len(fp)]
         d = distance(fp, v)
         count = np.bincount(d, minlength=65) * scale
         if count.max() >= count.sum() * 0.95 and depth < 4:
-            return self._leaf()
+            return self._leaf(count.sum())
         k = len(self.vantage)
         self.vantage.append(int(v))
         self.child.append(np.zeros(65, np.int64))
@@ -168,73 +221,120 @@ class Tree:
         return cat(leaf, np.int64), cat(place, np.int64), cat(own, bool)
 
 
-def close_pairs(asks: np.ndarray, owns: np.ndarray, depth: int = 8) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of fingerprints within RADIUS: rings around one of the owners, then blocks of XOR."""
+def close_pairs(metrics: list[tuple[np.ndarray, int]], asks: np.ndarray, owns: np.ndarray, depth: int = 12) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of asks and owners that are within the reach of the last metric, as they are in
+    the reach of each: rings around one of the owners, then blocks of XOR."""
     if not len(asks) or not len(owns):
         return
     if depth and len(owns) > 64 and len(asks) * len(owns) > HELD:
-        v = owns[len(owns) // 2]
-        da, do = distance(asks, v), distance(owns, v)
-        found = np.unique(do)
-        if len(found) > 1:
-            for k in found.tolist():
-                yield from close_pairs(asks[np.abs(da - k) <= RADIUS], owns[do == k], depth - 1)
-            return
+        for value, reach in metrics:
+            v = value[owns[len(owns) // 2]]
+            do = distance(value[owns], v)
+            if do[0] != do[-1] or len(np.unique(do)) > 1:
+                da = distance(value[asks], v)
+                for k in np.unique(do).tolist():
+                    yield from close_pairs(metrics, asks[np.abs(da - k) <= reach], owns[do == k], depth - 1)
+                return
+    value, reach = metrics[-1]
     step = max(1, HELD // len(owns))
     for k in range(0, len(asks), step):
-        a, b = np.nonzero(distance(asks[k : k + step, None], owns[None, :]) <= RADIUS)
+        a, b = np.nonzero(distance(value[asks[k : k + step], None], value[owns][None, :]) <= reach)
         if len(a):
             yield asks[k + a], owns[b]
 
 
-def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> dict[int, int]:
-    """For each linked fingerprint other than a root, the root of its tree."""
-    up: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (y := up.get(x, x)) != x:
-            up[x] = up.get(y, y)
-            x = y
-        return x
-
-    for a, b in pairs:
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            if x != y and (p := root(x)) != (q := root(y)):
-                up[max(p, q)] = min(p, q)
-    return {x: root(x) for x in list(up) if root(x) != x}
-
-
-def links(distinct: DataFrame, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
-    """(a, b): links that join the same fingerprints as all pairs within RADIUS do; distinct: fp."""
-    spark = distinct.sparkSession
+class Forest:
+    """Classes of n things: every label is the least of its class."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            p, q = self.label[a], self.label[b]
+            apart = p != q
+            if not apart.any():
+                return
+            a, b, p, q = a[apart], b[apart], p[apart], q[apart]
+            np.minimum.at(self.label, np.maximum(p, q), np.minimum(p, q))
+            while (after := self.label[self.label]).tobytes() != self.label.tobytes():
+                self.label = after
+
+    def edges(self, names: np.ndarray) -> pd.DataFrame:
+        some = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return pd.DataFrame({"a": names[some], "b": names[self.label[some]]})
+
+
+#: What a row is to its task: a question, an owner, or both.
+ASKS, OWNS, BOTH = 0, 1, 2
+
+
+def dealt(leaf: np.ndarray, own: np.ndarray, fp: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Place, leaf, row and column of a task and the part in it. A leaf is a grid of side x side tasks;
+    a task has a share of the owners and a share of the questions, so that each pair meets once."""
+    g = side[leaf]
+    at = np.flatnonzero(g == 1)
+    zero = np.zeros(len(at), np.int64)
+    out = [(at, leaf[at], zero, zero, np.where(own[at], BOTH, ASKS))]
+    h = (fp.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    for some, part in ((np.flatnonzero((g > 1) & own), OWNS), (np.flatnonzero(g > 1), ASKS)):
+        n = g[some]
+        at = np.repeat(some, n)
+        each = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        share = (h[at] % g[at].astype(np.uint64)).astype(np.int64)
+        row, column = (share, each) if part == OWNS else (each, share)
+        out.append((at, leaf[at], row, column, np.full(len(at), part)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, bands: int = 1, also: int | None = None, shard: int = SHARD, sample: int = SAMPLE, most: int = MOST) -> DataFrame:
+    """(a, b): links that join the same fingerprints as all pairs within radius do. distinct: fp; with
+    `also`, second too, and only rows whose seconds differ in at most so many bits are linked."""
+    if radius // bands > 2:
+        raise ValueError("a band must be searched within two bits at most")
+    spark, names = distinct.sparkSession, ["fp"] if also is None else ["fp", "second"]
     n = distinct.count()
-    some = distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample)
+    some = distinct.select(names).orderBy(F.xxhash64(*names), *names).limit(sample)
     fp = np.array([r[0] for r in some.collect()], np.int64)
-    tree = Tree(fp, n / max(len(fp), 1), shard)
-    shared = spark.sparkContext.broadcast(tree)
+    trees = [Tree(band_of(fp, k, bands), n / max(len(fp), 1), shard) for k in range(bands)]
+    first = np.r_[0, np.cumsum([len(t.owners) for t in trees])].tolist()
+    side = np.ceil(np.maximum(np.concatenate([t.owners for t in trees]) / most, 1)).astype(np.int64)
+    shared = spark.sparkContext.broadcast(trees)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def out(fp: np.ndarray) -> pd.DataFrame:
-            leaf, at, own = shared.value.route(fp)
-            return pd.DataFrame({"leaf": leaf, "fp": fp[at], "own": own})
-
-        held: list[np.ndarray] = []
+        def out(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            fp = rows["fp"].to_numpy(np.int64)
+            for k, tree in enumerate(shared.value):
+                leaf, at, own = tree.route(band_of(fp, k, bands))
+                place, leaf, row, column, part = dealt(leaf + first[k], own, fp[at], side)
+                yield rows.iloc[at[place]].assign(leaf=leaf.astype(np.int32), r=row.astype(np.int32), c=column.astype(np.int32), part=part.astype(np.int8), band=np.int8(k))
+
+        held: list[pd.DataFrame] = []
         for pdf in batches:
-            held.append(pdf["fp"].to_numpy(np.int64))
-            if sum(map(len, held)) >= HELD // 4:
-                yield out(np.concatenate(held))
+            held.append(pdf)
+            if sum(map(len, held)) >= HELD // 16:
+                yield from out(pd.concat(held))
                 held = []
         if held:
-            yield out(np.concatenate(held))
+            yield from out(pd.concat(held))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp, own = pdf["fp"].to_numpy(np.int64), pdf["own"].to_numpy(bool)
-        owns = fp[own]
-        up = forest(close_pairs(np.unique(fp), owns))
-        return pd.DataFrame({"a": np.fromiter(up, np.int64, len(up)), "b": np.fromiter(up.values(), np.int64, len(up))})
-
-    sent = distinct.select("fp").mapInPandas(route, "leaf long, fp long, own boolean")
-    return sent.groupBy("leaf").applyInPandas(search, "a long, b long").distinct()
+        pdf = pdf.sort_values("part", ascending=False).drop_duplicates([*names, "part"] if (pdf["part"] == OWNS).any() else names)
+        fp, part = pdf["fp"].to_numpy(np.int64), pdf["part"].to_numpy()
+        metrics = [(band_of(fp, int(pdf["band"].iloc[0]), bands), radius // bands), (fp, radius)] if bands > 1 else [(fp, radius)]
+        name, place = np.unique(fp, return_inverse=True)
+        found = Forest(len(name))
+        for a, b in close_pairs(metrics, np.flatnonzero(part != OWNS), np.flatnonzero(part != ASKS)):
+            if also is not None:
+                second = pdf["second"].to_numpy(np.int64)
+                ok = distance(second[a], second[b]) <= also
+                a, b = a[ok], b[ok]
+            found.join(place[a], place[b])
+        return found.edges(name)
+
+    kinds = ", ".join(f"{c} long" for c in names) + ", leaf int, r int, c int, part byte, band byte"
+    sent = distinct.select(names).mapInPandas(route, kinds)
+    return sent.groupBy("leaf", "r", "c").applyInPandas(search, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -258,21 +358,105 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def with_hot_keys(rows: DataFrame, facts: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """rows joined with facts, unique by key, whose column n counts the key's rows. Keys of more than
+    HOT rows, of which there are few, are broadcast, so no task gets all rows of one key."""
+    hot = F.broadcast(facts.where(F.col(n) > HOT))
+    often = rows.join(hot, key)
+    return often.unionByName(rows.join(F.broadcast(facts.where(F.col(n) > HOT).select(key)), key, "left_anti").join(facts.where(F.col(n) <= HOT), key))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id (the smallest id that links reach),
     a row for each row of docs."""
     small_batches(docs.sparkSession)
     prints = materialise(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"))
     roots = components(links(distinct.select("fp")))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "n", "least_id", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
+    by_fp = materialise(rooted.join(named, "root").select("fp", "n", "component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(by_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return with_hot_keys(prints, by_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def similar_in_cell(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) between questions and owners (t, second, shingles, part) of one task whose sets are
+    similar. Sets meet as rows of bits, over a block of shingles at a time; pairs already joined are passed over."""
+    pdf = pdf.sort_values(["t", "part"], ascending=[True, False]).drop_duplicates(["t", "part"] if (pdf["part"] == OWNS).any() else ["t"])
+    name, place = np.unique(pdf["t"].to_numpy(object), return_inverse=True)
+    second, part = pdf["second"].to_numpy(np.int64), pdf["part"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    row = np.repeat(np.arange(len(sets)), size)
+    _, col, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(often > 1) - 1
+    shared = often[col] > 1
+    row, col = row[shared], number[col[shared]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+
+    def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        both, width = np.zeros(len(a), np.int64), 4096
+        for low in range(0, int(col[-1]) + 1 if len(col) else 0, width):
+            i, j = np.searchsorted(col, (low, low + width))
+            bits = np.zeros((len(sets), width // 8), np.uint8)
+            np.bitwise_or.at(bits, (row[i:j], (col[i:j] - low) >> 3), (1 << ((col[i:j] - low) & 7)).astype(np.uint8))
+            words = bits.view(np.uint64)
+            for k in range(0, len(a), 8192):
+                both[k : k + 8192] += np.bitwise_count(words[a[k : k + 8192]] & words[b[k : k + 8192]]).sum(1, dtype=np.int64)
+        return both
+
+    found, asks, owns = Forest(len(name)), np.flatnonzero(part != OWNS), np.flatnonzero(part != ASKS)
+    step = max(1, HELD // max(1, len(owns)))
+    for k in range(0, len(asks), step):
+        some = asks[k : k + step, None]
+        fit = (found.label[place[some]] != found.label[place[owns]]) & (distance(second[some], second[owns][None, :]) <= FAR)
+        fit &= np.minimum(size[some], size[owns]) >= SIMILAR * np.maximum(size[some], size[owns])
+        a, b = np.nonzero(fit)
+        a, b = asks[k + a], owns[b]
+        both = common(a, b)
+        ok = both >= SIMILAR * (size[a] + size[b] - both)  # two empty sets are alike
+        found.join(place[a[ok]], place[b[ok]])
+    return found.edges(name)
+
+
+def similar_texts(prints: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, root) of texts t that similarity joins. prints: key, t, second, shingles; texts: a row for
+    each t with one of its keys, fp, second and the number of shingles."""
+    rough = components(links(texts.select("fp", "second").distinct(), NEAR, BANDS, FAR))
+    rooted = materialise(texts.join(rough, F.col("fp") == F.col("node"), "left").select("key", "shingles", F.coalesce("root", "fp").alias("root")))
+    held = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("shingles").alias("s")).where("n > 1")
+    side = F.greatest(F.ceil(F.col("n") / CELL_TEXTS), F.ceil(F.col("s") / CELL_SHINGLES)).cast("int")
+    many = materialise(rooted.join(held.select("root", side.alias("side")), "root").select("key", "root", "side"))
+    few = many.count() <= BROADCAST_KEYS
+    sets = prints.select("key", "t", "second", "shingles").join(F.broadcast(many) if few else many, "key")
+    h = F.pmod(F.xxhash64("t"), F.col("side")).cast("int")
+    each = F.sequence(F.lit(0), F.col("side") - 1)
+    cell = lambda r, c, part: F.struct(r.cast("int").alias("r"), c.cast("int").alias("c"), F.lit(part).alias("part"))
+    whole = F.array(cell(F.lit(0), F.lit(0), BOTH))
+    grid = F.concat(F.transform(each, lambda k: cell(h, k, OWNS)), F.transform(each, lambda k: cell(k, h, ASKS)))
+    dealt_out = sets.select("root", "t", "second", "shingles", F.explode(F.when(F.col("side") == 1, whole).otherwise(grid)).alias("x")).select("root", "t", "second", "shingles", "x.*")
+    return components(dealt_out.groupBy("root", "r", "c").applyInPandas(similar_in_cell, "a string, b string").distinct())
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, but those whose component has a smaller id."""
-    more = near_duplicates(docs).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(more, "doc_id", "left_anti").select(docs.columns)
+    """One row, with all its columns, of each class of similar texts: that with the smallest id."""
+    small_batches(docs.sparkSession)
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest)
+    prints = materialise(docs.select("doc_id", key.alias("key"), digest.alias("t"), sets_of(F.col("text")).alias("p")).select("doc_id", "key", "t", "p.*"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    texts = prints.groupBy("t").agg(F.min(order).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("second").alias("second"), F.min(F.octet_length("shingles") / 8).cast("long").alias("shingles"))
+    texts = materialise(texts)
+    alike = similar_texts(prints, texts.select("t", "least.key", "fp", "second", "shingles"))
+    classed = texts.join(alike, F.col("t") == F.col("node"), "left").select("t", "n", "least", F.coalesce("root", "t").alias("class"))
+    best = classed.groupBy("class").agg(F.min("least").alias("best"))
+    kept = materialise(classed.join(best, "class").select("t", "n", F.col("best.key").alias("best")))
+    gone = with_hot_keys(prints.select("t", "key"), kept.where("n > 1 OR NOT endswith(best, t)"), "t").where("key <> best").select("key")
+    rows = left_out(docs, key, gone)
+    again = materialise(prints.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    if not again.count():
+        return rows
+    once = rows.withColumn("_key", key).join(again.withColumnRenamed("key", "_again"), F.col("_key") == F.col("_again"), "left_semi").dropDuplicates(["_key"])
+    return left_out(rows, key, again).unionByName(once.select(docs.columns))
