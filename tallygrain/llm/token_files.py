@@ -6,13 +6,14 @@ pass over: the document ids, then the seek table of the public seekable format (
 size and low 32 bits of the XXH64 of each frame's content). Ids are little-endian and as narrow as
 the vocabulary allows; the width stands with the document ids.
 
-The writer sorts the table by range of id and writes a file in each task, through pyarrow's file
-systems, into a folder that all nodes share: under a name of its own first, then renamed, so a task
-that is run again or twice leaves one whole file. Only a line for each file reaches the driver.
+The writer sorts the table by range of id and writes a file in each task, of about FILE_BYTES of
+text, through pyarrow's file systems into a folder that all nodes share. Every attempt of a task
+writes a file of its own; the table of files, a line for each, comes from the attempts that Spark
+counts, and files of others are removed once it is there. Only those lines reach the driver.
 
 Edge cases: a null or empty text is the end id alone; a null id sorts first; rows that share an id
-stand together, ordered by text; an empty table gives no files and an empty result; texts are
-encoded whole; other columns are not read.
+stand together, ordered by the hash of the text and then by the text, and may go over several files;
+an empty table gives no files and an empty result; texts are encoded whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 IDS = 0x184D2A50
 CHECKSUMS = 0x80
 LEVEL = 3
+#: Bytes of text for a file, and bytes that the reader of whole files asks for at once.
+FILE_BYTES, READ_BYTES = 256 << 20, 8 << 20
 MANIFEST = "file string, n_docs long, n_ids long, n_bytes long"
 
 
@@ -125,9 +128,23 @@ class FrameReader:
     def __len__(self) -> int:
         return len(self.table)
 
+    def frames(self) -> Iterator[bytes]:
+        """All frames in order, many of them with each request."""
+        k = 0
+        while k < len(self):
+            low = int(self.start[k])
+            end = max(k + 1, int(np.searchsorted(self.start, low + READ_BYTES, "right")) - 1)
+            held = self._at(low, int(self.start[end]) - low)
+            for i in range(k, end):
+                yield self._unpacked(i, held[int(self.start[i]) - low : int(self.start[i + 1]) - low])
+            k = end
+
     def frame(self, k: int) -> bytes:
-        packed, size, check = self.table[k].tolist()
-        b = self.unpacker.decompress(self._at(int(self.start[k]), packed), max_output_size=size)
+        return self._unpacked(k, self._at(int(self.start[k]), int(self.table[k, 0])))
+
+    def _unpacked(self, k: int, packed: bytes) -> bytes:
+        _, size, check = self.table[k].tolist()
+        b = self.unpacker.decompress(packed, max_output_size=size)
         if len(b) != size or xxhash.xxh64_intdigest(b) & 0xFFFFFFFF != check:
             raise ValueError(f"frame {k} fails its checksum")
         return b
@@ -141,13 +158,12 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
-        name = f"part-{TaskContext.get().partitionId():06d}.ids.zst"
-        own = f"{base}/_{uuid.uuid4().hex}"
+        name = f"part-{TaskContext.get().partitionId():08d}-{uuid.uuid4().hex}.ids.zst"
         writer = None
         for held in gathered_batches(b for b in batches if b.num_rows):
             if writer is None:
                 fs.create_dir(base, recursive=True)
-                sink = fs.open_output_stream(own)
+                sink = fs.open_output_stream(f"{base}/{name}")
                 writer = FrameWriter(sink, _encoder(path)[1])
             t = pa.Table.from_batches(held).combine_chunks()
             texts = t["text"].chunk(0)
@@ -156,12 +172,19 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
         if writer is not None:
             writer.close()
             sink.close()
-            fs.move(own, f"{base}/{name}")
             yield pa.RecordBatch.from_pylist([{"file": name, "n_docs": len(writer.ids), "n_ids": writer.n_ids, "n_bytes": writer.n_bytes}])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    done = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, MANIFEST).collect()
-    return folder, spark.createDataFrame(sorted(done), MANIFEST)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    files = max(-(-int(size) // FILE_BYTES), spark.sparkContext.defaultParallelism)
+    placed = rows.repartitionByRange(files, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
+    done = sorted(placed.mapInArrow(write, MANIFEST).collect())
+    fs, base = pafs.FileSystem.from_uri(folder)
+    known = {r["file"] for r in done}
+    for f in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
+        if f.is_file and f.base_name.endswith(".ids.zst") and f.base_name not in known:
+            fs.delete_file(f.path)
+    return folder, spark.createDataFrame(done, MANIFEST)
 
 
 def read_token_files(folder: str, manifest: DataFrame) -> DataFrame:
@@ -178,8 +201,8 @@ def read_token_files(folder: str, manifest: DataFrame) -> DataFrame:
             for name, start in zip(pdf["file"], pdf["start"], strict=True):
                 with fs.open_input_file(f"{base}/{name}") as f:
                     reader, rows = FrameReader(f), []
-                    for k, doc_id in enumerate(reader.ids):
-                        ids = np.frombuffer(reader.frame(k), f"<u{reader.width}").astype("<u4")
+                    for k, (doc_id, frame) in enumerate(zip(reader.ids, reader.frames(), strict=True)):
+                        ids = np.frombuffer(frame, f"<u{reader.width}").astype("<u4")
                         rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
                         start += len(ids)
                         if len(rows) == 10_000 or k + 1 == len(reader):
