@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import small_batches
+from tallygrain.llm.common import materialise, small_batches
 
 #: Samples of a packet, samples a second, the streams' serial numbers, lacing values of a page.
 FRAME, RATE, SAMPLES, NOTE, LACES = 576, 8_000, 1, 2, 255
@@ -184,6 +184,11 @@ def media_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), to_ogg(F.col(text_col)).alias("media"))
 
 
+def stored(media: DataFrame) -> DataFrame:
+    """The media, written to the shared folder and read from there."""
+    return materialise(media)
+
+
 def media_digests(media: DataFrame) -> DataFrame:
     """doc_id and the fields of DIGEST, a row for each row of media."""
     return media.select("doc_id", digest(F.col("media")).alias("_d")).select("doc_id", "_d.*")

@@ -40,7 +40,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
-    return ogg_media.media_digests(ogg_media.media_table(docs))
+    return ogg_media.media_digests(ogg_media.stored(ogg_media.media_table(docs)))
 
 
 def op6_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
