@@ -35,7 +35,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_codec.encode_digests(docs, vocabulary("word_bpe_49k.json"))
+    return bpe_codec.encode(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
