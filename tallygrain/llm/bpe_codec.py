@@ -189,13 +189,16 @@ def encode_batch(texts: pa.Array, path: str) -> Iterator[Code]:
 
 
 def encoded(text: Column, path: str) -> Column:
-    """Column struct: n_tokens, ids (decimal, joined by a space), decoded."""
+    """Column struct: n_tokens, ids, decoded. Batches are smaller than those of digests, as whole ids and texts are given back."""
 
-    @F.arrow_udf("n_tokens long, ids string, decoded string")
+    @F.arrow_udf("n_tokens long, ids array<int>, decoded string")
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, HELD)):
+        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, HELD // 8)):
             n, ids, shown = zip(*encode_batch(texts, path), strict=True) if len(texts) else ([], [], [])
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())], ["n_tokens", "ids", "decoded"])
+            flat = " ".join(filter(None, ids))
+            numbers = pa.array(np.array(flat.split(" ") if flat else [], np.int32))
+            bounds = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.ListArray.from_arrays(bounds, numbers), pa.array(shown, pa.string())], ["n_tokens", "ids", "decoded"])
 
     return code(text)
 
@@ -218,8 +221,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """doc_id, n_tokens, ids array<int>, decoded: the real output, a row for each row of docs."""
     small_batches(docs.sparkSession)
     got = docs.select(F.col(id_col).alias("doc_id"), encoded(F.col(text_col), path).alias("_c"))
-    ids = F.when(F.col("_c.n_tokens") == 0, F.array().cast("array<int>")).otherwise(F.split("_c.ids", " ").cast("array<int>"))
-    return got.select("doc_id", "_c.n_tokens", ids.alias("ids"), "_c.decoded")
+    return got.select("doc_id", "_c.n_tokens", "_c.ids", "_c.decoded")
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -47,7 +47,7 @@ SHARD, MOST, SAMPLE = 512, 50_000, 1 << 16
 #: Hashes or comparisons that are held at once.
 HELD = 1 << 18
 #: Texts and shingles of a task that compares sets.
-CELL_TEXTS, CELL_SHINGLES = 8_192, 4_000_000
+CELL_TEXTS, CELL_SHINGLES = 4_096, 1_000_000
 #: Rows of one key from which a join meets that key by broadcast; at most rows / HOT keys are so many.
 HOT = 200_000
 OWN = 4
