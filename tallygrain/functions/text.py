@@ -87,15 +87,20 @@ def recovered_key(text: Column, valid: Column) -> Column:
 
 
 def verdict_in(raw: Column, allowed: tuple[str, ...]) -> Column:
-    """The verdict of a model's output: of its JSON, else of the first "verdict": "..." in prose."""
-    v = F.coalesce(F.get_json_object(raw, "$.verdict"), F.nullif(F.regexp_extract(raw, r'"verdict"\s*:\s*"([^"]+)"', 1), F.lit("")))
-    return F.when(v.isin(*allowed), v)
+    """The verdict of a model's output in any case: of its JSON, else of the first "verdict": "..." in
+    prose whose word is allowed."""
+    def known(v: Column) -> Column:
+        return F.coalesce(*[F.when(F.lower(F.trim(v)) == a.lower(), F.lit(a)) for a in allowed])
+
+    said = F.regexp_extract_all(raw, F.lit(r'"verdict"\s*:\s*"([^"]+)"'), 1)
+    return F.coalesce(known(F.get_json_object(raw, "$.verdict")), F.get(F.filter(F.transform(said, known), lambda v: v.isNotNull()), F.lit(0)))
 
 
 def content_words(label: Column, stop: tuple[str, ...]) -> Column:
-    """Words of three letters or more without stop words and plural s, in order."""
-    words = F.transform(F.split(F.lower(F.coalesce(label, F.lit(""))), "[^a-z0-9]+"), lambda w: F.when(F.length(w) > 3, F.regexp_replace(w, "s$", "")).otherwise(w))
-    return F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*stop))
+    """Words of three letters or more that aren't stop words, without plural s, in order."""
+    words = F.split(F.replace(F.lower(F.coalesce(label, F.lit(""))), F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}]+")
+    kept = F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*stop))
+    return F.transform(kept, lambda w: F.regexp_replace(w, "(?<!s)s$", ""))
 
 
 def unpipe(text: Column) -> Column:

@@ -16,12 +16,14 @@ ACTIONS = ("Out of scope", "Needs evidence", "Incomplete", "Re-mapped", "Miscate
 
 def classify(lines: DataFrame, crosswalk: DataFrame, keys: DataFrame) -> DataFrame:
     """Adds action and fill_key. lines: tenant, tax_key, l1..l4, verdict, suggested_key; crosswalk:
-    tenant, source_key, target_key, moved; keys: category_key, l0. The first rule that holds counts."""
-    cross = crosswalk.select("tenant", F.trim("source_key").alias("_src"), F.col("target_key").alias("_to"), F.col("moved").alias("_moved"))
-    gate = keys.select(F.col("category_key").alias("_k"), F.lower(F.trim("l0")).alias("_gate"))
-    j = tenant_join(lines.withColumn("_src", F.trim(F.col("tax_key").cast("string"))), cross, ["tenant", "_src"], small=True)
+    tenant, source_key, target_key, moved; keys: category_key, l0. The first rule that holds counts. Of a
+    key given twice the least row counts, so no line is doubled."""
+    cross = crosswalk.groupBy("tenant", F.trim("source_key").alias("_src")).agg(F.min(F.struct(F.col("target_key").alias("to"), F.col("moved").alias("moved"))).alias("_x"))
+    cross = cross.select("tenant", "_src", F.col("_x.to").alias("_to"), F.col("_x.moved").alias("_moved"))
+    gate = keys.groupBy(F.col("category_key").alias("_k")).agg(F.min(F.lower(F.trim("l0"))).alias("_gate"))
+    j = tenant_join(lines.withColumn("_src", F.trim(F.col("tax_key").cast("string"))), cross, ["tenant", "_src"])
     sug = F.nullif(F.trim("suggested_key"), F.lit(""))
-    j = j.withColumn("_k", sug).join(F.broadcast(gate), "_k", "left")
+    j = j.withColumn("_k", sug).join(gate, "_k", "left")
     empty = [text.undecided(F.col(f"l{i}")) for i in (1, 2, 3, 4)]
     incomplete = text.all_of(empty[1:])  # with or without a first level
     v, has = F.col("verdict"), F.col("_k").isNotNull()
@@ -68,8 +70,8 @@ def contradicts_itself(column: str, destination: str, rules: list[tuple[str, tup
     dest = F.lower(F.coalesce(F.col(destination), F.lit("")))
     out = F.lit(None).cast("string")
     for phrase, words in reversed(rules):
-        miss = text.all_of([~dest.contains(w) for w in words])
-        out = F.when(tail.contains(phrase), F.when(miss, phrase)).otherwise(out)
+        miss = text.all_of([~dest.contains(w.lower()) for w in words])
+        out = F.when(tail.contains(phrase.lower()), F.when(miss, phrase)).otherwise(out)
     return out
 
 

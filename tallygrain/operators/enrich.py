@@ -12,9 +12,10 @@ COHERENCE = ("coherent", "mixed", "incoherent")
 
 
 def best_match(master: DataFrame) -> DataFrame:
-    """One row a client's vendor name: surest match first, then largest spend, then id."""
-    w = Window.partitionBy("client_vendor_name").orderBy(F.desc_nulls_last("match_confidence"), F.desc_nulls_last("spend_total"), "vendor_id")
-    return master.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    """One row a tenant's vendor name: surest match first, then largest spend, then id."""
+    rest = [c for c in master.columns if c not in ("tenant", "client_vendor_name")]
+    sure = F.struct(F.coalesce(-F.col("match_confidence"), F.lit(float("inf"))), F.coalesce(-F.col("spend_total"), F.lit(float("inf"))), F.col("vendor_id"))
+    return master.groupBy("tenant", "client_vendor_name").agg(F.min_by(F.struct(*rest), sure).alias("r")).select("tenant", "client_vendor_name", "r.*")
 
 
 def latest_verdict(log: DataFrame, call_type: str) -> DataFrame:
@@ -23,12 +24,16 @@ def latest_verdict(log: DataFrame, call_type: str) -> DataFrame:
     return last.select("vendor_id", text.verdict_in(F.col("raw"), COHERENCE).alias("verdict"))
 
 
+#: A vendor that the master lacks, and one that nothing was scored for.
+NO_MATCH, UNEVALUATED = "not in master", "unevaluated"
+
+
 def coherence(vendors: DataFrame, master: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Each vendor's coherence: its verdict, or why there is none."""
-    ids = master.groupBy(F.col("client_vendor_name").alias("supplier")).agg(F.max("vendor_id").alias("vendor_id"))
-    j = vendors.join(ids, "supplier", "left").join(verdicts, "vendor_id", "left")
-    state = F.when(F.col("supplier").isNull(), "no vendor").when(F.col("vendor_id").isNull(), "not in master").otherwise(F.coalesce("verdict", F.lit("not judged")))
-    return j.withColumn("coherence", state).drop("verdict")
+    """Each vendor's coherence, by name within its tenant: its verdict, or why there is none. A name that
+    the master has without a vendor behind it is unevaluated, not missing."""
+    ids = master.groupBy("tenant", F.col("client_vendor_name").alias("supplier")).agg(F.max("vendor_id").alias("vendor_id")).withColumn("_known", F.lit(True))
+    j = vendors.join(ids, ["tenant", "supplier"], "left").join(verdicts, "vendor_id", "left")
+    return j.withColumn("coherence", F.when(F.col("_known").isNull(), NO_MATCH).otherwise(F.coalesce("verdict", F.lit(UNEVALUATED)))).drop("verdict", "_known")
 
 
 def coherence_tally(flagged: DataFrame) -> DataFrame:
@@ -36,9 +41,9 @@ def coherence_tally(flagged: DataFrame) -> DataFrame:
 
 
 def lane(lines: DataFrame, master: DataFrame, on: str, category: str, own: str) -> DataFrame:
-    """Whether a line's category is its vendor's: agrees, differs, or unknown vendor."""
-    m = best_match(master).select(F.col("client_vendor_name").alias(on), F.col(category).alias("_c"))
-    return lines.join(m, on, "left").withColumn("lane", F.when(F.col("_c").isNull(), "unknown vendor").when(F.col("_c") == F.col(own), "agrees").otherwise("differs")).drop("_c")
+    """Whether a line's category is its vendor's, by name within its tenant: agrees, differs, or unknown vendor."""
+    m = best_match(master).select("tenant", F.col("client_vendor_name").alias(on), F.col(category).alias("_c"))
+    return lines.join(m, ["tenant", on], "left").withColumn("lane", F.when(F.col("_c").isNull(), "unknown vendor").when(F.col("_c") == F.col(own), "agrees").otherwise("differs")).drop("_c")
 
 
 def coherence_label(score, low: float = 0.4, high: float = 0.7):

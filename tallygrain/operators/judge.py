@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrain.functions import text
 from tallygrain.functions.text import VERDICTS, confidence
 
 #: On what a verdict may rest.
@@ -34,12 +35,31 @@ def contradictions(lines: DataFrame) -> DataFrame:
     return lines.groupBy("tenant", "subject_id").agg(F.countDistinct("unit_id").alias("units")).where("units > 1")
 
 
+#: What a line without a verdict gets before any model is asked, in this order.
+FINDINGS = (("contradiction", "Incorrect"), ("uncategorised", "Uncertain"), ("unjudgeable", "Uncertain"))
+
+
 def deterministic(lines: DataFrame) -> DataFrame:
-    """Contradictory, uncategorised, unjudgeable: the first that holds; a verdict that is there stays."""
+    """finding, verdict, confidence and basis of lines without a verdict: contradictory (the same
+    subject in several categories, so one is wrong), uncategorised, unjudgeable: the first that holds.
+    Lines with a verdict keep it and have no finding."""
     c = contradictions(lines).select("tenant", "subject_id", F.lit(True).alias("_c"))
     j = lines.join(c, ["tenant", "subject_id"], "left")
     found = F.when(F.col("_c"), "contradiction").when(F.col("l0") == "", "uncategorised").when(F.col("description_usable") == "N", "unjudgeable")
-    return j.withColumn("finding", found).withColumn("verdict", F.coalesce("verdict", F.when(F.col("finding").isNotNull(), "Uncertain"))).drop("_c")
+    j = j.withColumn("finding", F.when(F.col("verdict").isNull(), found)).drop("_c")
+    given = F.coalesce(*[F.when(F.col("finding") == f, v) for f, v in FINDINGS])
+    return j.withColumn("verdict", F.coalesce("verdict", given)).withColumn("confidence", F.when(F.col("finding").isNotNull(), 1.0)).withColumn("basis", F.concat(F.lit("deterministic_"), "finding"))
+
+
+def suggested_levels(lines: DataFrame, tree: DataFrame, levels: list[str], key: str = "suggested_key") -> DataFrame:
+    """Adds suggested_<level> for each level of the suggested key, all null without one. A level that
+    the key lacks reads as not used, or, where no category has it at all, as no such level."""
+    some = tree.agg(*[F.count_if(~text.blank(F.col(c))).alias(f"_n{k}") for k, c in enumerate(levels)])  # one row
+    marks = [F.when(F.col(f"_n{k}") > 0, text.NOT_USED).otherwise(f"(no level {k} in this taxonomy)") for k in range(len(levels))]
+    filled = tree.crossJoin(F.broadcast(some)).select(F.col("category_key").alias("_k"), F.struct(*[F.coalesce(F.nullif(text.clean(F.col(c)), F.lit("")), m).alias(c) for c, m in zip(levels, marks, strict=True)]).alias("_s"))
+    one = filled.groupBy("_k").agg(F.min("_s").alias("_s"))
+    j = lines.withColumn("_k", F.nullif(F.trim(key), F.lit(""))).join(one, "_k", "left")
+    return j.select(*lines.columns, *[F.col(f"_s.{c}").alias(f"suggested_{c}") for c in levels])
 
 
 def tally(votes: DataFrame, keys: DataFrame, uncategorised: Column | None = None) -> DataFrame:

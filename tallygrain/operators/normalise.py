@@ -128,14 +128,95 @@ def masked_condition(field_: Column, op: Column, value: Column, allowed: tuple[s
 
 
 def sibling_counts(nodes: DataFrame, levels: list[str]) -> DataFrame:
-    """For each row of nodes (tenant and levels), how many different values its deepest level has
-    under the same parent. A grouped count for each depth replaces the correlated lookup."""
-    depth = sum((F.when(~text.blank(F.col(c)), 1).otherwise(0) for c in levels), F.lit(0))
-    d = nodes.withColumn("_d", depth)
-    counts = None
-    for k in range(1, len(levels) + 1):
-        parent = [F.coalesce(F.col(c), F.lit("\0")) for c in levels[: k - 1]]
-        c = d.groupBy("tenant", F.lit(k).alias("_d"), F.concat_ws("\1", *parent).alias("_p") if parent else F.lit("").alias("_p")).agg(F.countDistinct(levels[k - 1]).alias("siblings"))
-        counts = c if counts is None else counts.unionByName(c)
-    parent = F.coalesce(*[F.when(F.col("_d") == k, F.concat_ws("\1", *[F.coalesce(F.col(c), F.lit("\0")) for c in levels[: k - 1]]) if k > 1 else F.lit("")) for k in range(1, len(levels) + 1)])
-    return d.withColumn("_p", parent).join(counts, ["tenant", "_d", "_p"], "left").drop("_d", "_p").withColumn("siblings", F.coalesce("siblings", F.lit(0)))
+    """For each row of nodes (tenant and levels), how many values stand beside its real leaf. Trees repeat
+    a leaf to fill their levels, so the leaf is at the number of *distinct* non-blank levels, and its
+    parent is the levels before that. A null in the parent matches nothing. Children of all parents are
+    counted in one pass, instead of a lookup for each row."""
+    at = [text.clean(F.col(c)) for c in levels]
+
+    def parent(k: int) -> Column:
+        return F.when(text.all_of([F.lit(True), *[x.isNotNull() for x in at[:k]]]), F.array(*at[:k]).cast("array<string>"))
+
+    d = nodes.withColumn("_d", paths.distinct_depth([F.col(c) for c in levels]))
+    child = F.explode(F.array(*[F.struct(F.lit(k + 1).alias("d"), parent(k).alias("p"), x.alias("v")) for k, x in enumerate(at)]))
+    counts = nodes.select("tenant", child.alias("c")).select("tenant", "c.*").where("p IS NOT NULL").groupBy("tenant", F.col("d").alias("_d"), F.col("p").alias("_p")).agg(F.countDistinct("v").alias("siblings"))
+    own = F.coalesce(*[F.when(F.col("_d") == k + 1, parent(k)) for k in range(len(levels))])
+    return d.withColumn("_p", own).join(counts, ["tenant", "_d", "_p"], "left").drop("_d", "_p").withColumn("siblings", F.coalesce("siblings", F.lit(0)))
+
+
+#: The label of spend that nobody procures, and how agreement of two paths is told.
+NON_PROCUREMENT, NO_JOIN = "Non-Procurement", "(no join)"
+
+
+def non_procurement(l0: Column, l1: Column) -> Column:
+    """Whether a path is accounting noise by its first or second level: a label, never a filter."""
+    return F.coalesce(text.clean(l0) == NON_PROCUREMENT, F.lit(False)) | F.coalesce(text.clean(l1) == NON_PROCUREMENT, F.lit(False))
+
+
+def path_agrees(own: list[Column], tree: list[Column], joined: Column) -> Column:
+    """Y or N: whether a line's levels still equal those of the tree it points to, blank as null."""
+    same = [F.coalesce(text.clean(a), F.lit("")) == F.coalesce(text.clean(b), F.lit("")) for a, b in zip(own, tree, strict=True)]
+    return F.when(~joined, NO_JOIN).when(text.all_of(same), "Y").otherwise("N")
+
+
+def output_names(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns under their outside names; one that isn't named gets its own in upper case."""
+    return df.select(*[F.col(c).alias(names.get(c, c.upper())) for c in df.columns])
+
+
+def rule_census(lines: DataFrame, stratum: Column) -> DataFrame:
+    """The rules that a stratum of lines uses, and how many lines each has there and in all."""
+    n = lines.groupBy("tenant", "rule_id").agg(F.count_if(stratum).alias("in_stratum"), F.count("*").alias("lines"))
+    return n.where("in_stratum > 0")
+
+
+def without_own_output(df: DataFrame, name: str, column: str = "tenant") -> DataFrame:
+    """Input rows but those that an earlier run of this engine wrote under its own name."""
+    return df.where(~F.col(column).eqNullSafe(F.lit(name)))
+
+
+def within_roots(nodes: DataFrame, path: str, roots: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Nodes whose first level is an allowed root, and the others, to be reported."""
+    ok = F.coalesce(F.upper(F.get(paths.split_path(F.col(path)), F.lit(0))).isin(*[r.upper() for r in roots]), F.lit(False))
+    return nodes.where(ok), nodes.where(~ok)
+
+
+def tenant_tree(raw: DataFrame, levels: list[str], usage: DataFrame, excluded: tuple[str, ...], clinical: tuple[str, ...] = ("Clinical",)) -> DataFrame:
+    """A tenant's categories from its raw tree (tenant, category_key, levels, description): path with
+    markers, branch, leaf, parent and depth by distinct levels, siblings, scope and lines in use. A
+    repeated key is one row, of the least path. usage: (tenant, category_key, lines)."""
+    t = raw.select("tenant", text.clean(F.col("category_key")).alias("category_key"), *[F.nullif(text.clean(F.col(c)), F.lit("")).alias(c) for c in levels], "description")
+    t = t.where(F.coalesce("category_key", F.lit("")) != "")
+    real = F.array_distinct(F.array_compact(F.array(*levels)))
+    gap = F.when(F.col(levels[0]).isNull(), text.UNCATEGORISED).otherwise(text.NOT_USED)
+    t = t.withColumn("_r", real).select(
+        "*",
+        F.concat_ws(paths.SEP, *[F.coalesce(F.col(c), gap) for c in levels]).alias("path_full"),
+        F.col(levels[1]).alias("branch"),
+        F.element_at(F.when(F.size("_r") > 0, F.col("_r")), -1).alias("leaf"),
+        F.when(F.size("_r") > 1, paths.joined(F.slice("_r", F.lit(1), F.greatest(F.size("_r") - 1, F.lit(0))))).alias("parent"),
+        F.size("_r").alias("depth_distinct"),
+        F.coalesce(F.col(levels[0]).isin(*clinical), F.lit(False)).alias("is_clinical"),
+        (~F.coalesce(F.col(levels[0]).isin(*clinical, *excluded), F.lit(False))).alias("in_scope"),
+    ).drop("_r")
+    kids = t.groupBy("tenant", F.coalesce("parent", F.lit("")).alias("_p")).agg(F.size(F.collect_set(F.coalesce("leaf", F.lit("")))).alias("sibling_count"))
+    rest = [c for c in t.columns if c not in ("tenant", "category_key")]
+    one = t.groupBy("tenant", "category_key").agg(F.min_by(F.struct(*rest), F.struct("path_full", *rest)).alias("r"), (F.count("*") - 1).alias("repeats")).select("tenant", "category_key", "r.*", "repeats")
+    used = usage.groupBy("tenant", text.clean(F.col("category_key")).alias("category_key")).agg(F.sum("lines").alias("lines_in_scope"))
+    out = one.withColumn("_p", F.coalesce("parent", F.lit(""))).join(kids, ["tenant", "_p"]).drop("_p").join(used, ["tenant", "category_key"], "left")
+    return out.withColumn("lines_in_scope", F.coalesce("lines_in_scope", F.lit(0)))
+
+
+def branches(tree: DataFrame, in_scope_only: bool = True, used_only: bool = False) -> DataFrame:
+    """First step of a choice: a tenant's branches, with leaves and lines of each."""
+    return _offered(tree, in_scope_only, used_only).where("branch IS NOT NULL").groupBy("tenant", "branch").agg(F.count("*").alias("leaves"), F.sum("lines_in_scope").alias("lines"))
+
+
+def leaves_of(tree: DataFrame, branch: Column, in_scope_only: bool = True, used_only: bool = False) -> DataFrame:
+    """Second step: what stands below a branch of a tenant."""
+    return _offered(tree, in_scope_only, used_only).where(F.col("branch") == branch).select("tenant", "branch", "category_key", "leaf", "path_full", "description", "lines_in_scope")
+
+
+def _offered(tree: DataFrame, in_scope_only: bool, used_only: bool) -> DataFrame:
+    t = tree.where("in_scope") if in_scope_only else tree
+    return t.where("lines_in_scope > 0") if used_only else t

@@ -89,5 +89,5 @@ def duplicate_keys(rules: DataFrame, by: str, key: str) -> DataFrame:
 
 
 def checksum(df: DataFrame, cols: list[str]) -> DataFrame:
-    """A checksum that no order of rows changes."""
-    return df.agg(F.bit_xor(F.xxhash64(*cols)).alias("checksum"), F.count("*").alias("rows"))
+    """A checksum that no order of rows changes, and that repeated rows don't cancel: a sum of hashes."""
+    return df.agg(F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("checksum"), F.count("*").alias("rows"))

@@ -41,11 +41,21 @@ def reattach(lines: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
 
 
 def agreement(his: str, levels: list[str]):
-    """Column: leaf, branch, differs or none, comparing a person's path with the engine's levels."""
-    h = F.transform(paths.canonical(paths.split_path(F.col(his))), plain)
-    e = F.transform(paths.canonical(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in levels])), plain)
-    leaf = F.element_at(F.when(F.size(h) > 0, h), -1)
-    return F.when(F.size(h) == 0, "none").when(F.coalesce(F.array_contains(e, leaf), F.lit(False)), "leaf").when(F.arrays_overlap(h, e), "branch").otherwise("differs")
+    """Column: leaf, branch or differs, comparing what a person typed with the engine's levels; none
+    without an answer. People write parts of names, so equal or contained texts agree, with the leaf
+    before its parent; else the first level, from the top, that shares a word decides."""
+    h = plain(F.col(his))
+    lv = F.filter(F.array(*[F.when((F.col(c) != "") & ~F.lower(F.col(c)).contains("not used"), plain(F.col(c))) for c in levels]), lambda x: x.isNotNull())
+    n = F.size(lv)
+    leaf, parent = F.coalesce(F.get(lv, n - 1), F.lit("")), F.coalesce(F.get(lv, n - 2), F.lit(""))
+    words = lambda x: F.array_remove(F.split(x, " "), "")
+    meets = lambda c: (c != "") & (F.contains(c, h) | F.contains(h, c))
+    shared = F.array_position(F.transform(lv, lambda x: F.arrays_overlap(words(x), words(h))), True)
+    return (
+        F.when(F.col(his).isNull(), "none").when((h == "") | (n == 0), "differs")
+        .when(meets(leaf), "leaf").when(meets(parent), "branch")
+        .when(shared == n, "leaf").when(shared > 0, "branch").otherwise("differs")
+    )
 
 
 def score(scored: DataFrame, column: str = "match") -> DataFrame:

@@ -22,16 +22,12 @@ def stratified(df: DataFrame, key: str, blank: Column, n_filled: int, n_blank: i
     return a.unionByName(hash_sample(df.where(blank), key, n_blank).withColumn("stratum", F.lit("uncategorised")))
 
 
-def plan_strata(want: int, have: dict[str, int]) -> dict[str, int]:
-    """Equal quotas, rounded up; what a stratum lacks goes to the others, largest first."""
-    quota = -(-want // max(len(have), 1))
-    out = {k: min(quota, n) for k, n in have.items()}
-    short = want - sum(out.values())
-    for k in sorted(have, key=lambda k: (-have[k], k)):
-        more = min(max(short, 0), have[k] - out[k])
-        out[k] += more
-        short -= more
-    return out
+def plan_strata(want: int, pct: int, categorised: int, blank: int) -> tuple[int, int]:
+    """How many lines with and without a category: at least pct percent with one, rounded up. Where lines
+    without one are short, more with one take their place, never the other way round."""
+    floor = -(-want * pct // 100)
+    without = min(want - floor, blank)
+    return min(want - without, categorised), without
 
 
 def one_in(df: DataFrame, key: Column, n: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallygrain.functions import paths, text
-from tallygrain.operators import actions, judge, normalise, preflight, profile, rulings
+from tallygrain.operators import actions, judge, normalise, preflight, profile, queue, rulings, taxonomy
 from tallygrain.plans.facts import Registry, frames
 from tallygrain.sources import writers
 
@@ -161,3 +161,105 @@ def coherence_labels(spark, d):
 def thin_juries(spark, d):
     (lines,) = frames(spark, d, "lines")
     return lines.where(F.col("verdict").isin(*judge.VERDICTS) & (F.col("jury") < 3) & F.col("supplier").isNotNull()).select("tenant", "line_id", F.col("jury").alias("seats"))
+
+
+#: A tenant's raw tree, with gaps, and how many lines use each key.
+RAW = """SELECT tenant, ' ' || source_key AS category_key, CASE WHEN length(l3) % 7 = 0 THEN NULL WHEN length(l1) % 4 = 0 THEN 'Clinical' ELSE g END AS c0, CASE WHEN length(l3) % 5 = 0 THEN NULL ELSE l1 END AS c1,
+ l2 AS c2, l3 AS c3, CASE WHEN length(l4) % 2 = 0 THEN ' ' ELSE l4 END AS c4, CAST(NULL AS STRING) AS description, lines FROM nodes"""
+ORDERED = "list_filter([c0, c1, c2, c3, c4], lambda x, i: x IS NOT NULL AND list_position([c0, c1, c2, c3, c4], x) = i)"
+TREE = f"""(SELECT *, (SELECT 0) AS repeats FROM (SELECT t.*, (SELECT count(DISTINCT coalesce(u.leaf, '')) FROM (SELECT tenant, r[-1] AS leaf, CASE WHEN len(r) > 1 THEN array_to_string(r[:-2], ' > ') END AS parent FROM (SELECT *, {ORDERED} AS r FROM
+  (SELECT tenant, nullif(trim(c0), '') AS c0, nullif(trim(c1), '') AS c1, nullif(trim(c2), '') AS c2, nullif(trim(c3), '') AS c3, nullif(trim(c4), '') AS c4 FROM ({RAW})))) u WHERE u.tenant = t.tenant AND u.parent IS NOT DISTINCT FROM t.parent) AS sibling_count
+ FROM (SELECT tenant, category_key, concat_ws(' > ', coalesce(c0, gap), coalesce(c1, gap), coalesce(c2, gap), coalesce(c3, gap), coalesce(c4, gap)) AS path_full, c1 AS branch, r[-1] AS leaf, CASE WHEN len(r) > 1 THEN array_to_string(r[:-2], ' > ') END AS parent, CAST(len(r) AS INTEGER) AS depth_distinct,
+   coalesce(c0 = 'Clinical', false) AS is_clinical, NOT coalesce(c0 = 'Clinical', false) AS in_scope, CASE WHEN lines > 5 THEN lines ELSE 0 END AS lines_in_scope
+  FROM (SELECT *, {ORDERED} AS r, CASE WHEN c0 IS NULL THEN 'Uncategorised' ELSE '(not used at this level)' END AS gap FROM
+   (SELECT tenant, trim(category_key) AS category_key, nullif(trim(c0), '') AS c0, nullif(trim(c1), '') AS c1, nullif(trim(c2), '') AS c2, nullif(trim(c3), '') AS c3, nullif(trim(c4), '') AS c4, lines FROM ({RAW})))) t))"""
+OF_TREE = ("tenant", "category_key", "path_full", "branch", "leaf", "parent", "depth_distinct", "sibling_count", "is_clinical", "in_scope", "lines_in_scope")
+
+
+def raw_tree(spark, d):
+    (nodes,) = frames(spark, d, "nodes")
+    return nodes.selectExpr(*[x.strip() for x in (
+        "tenant", "' ' || source_key AS category_key", "CASE WHEN length(l3) % 7 = 0 THEN NULL WHEN length(l1) % 4 = 0 THEN 'Clinical' ELSE g END AS c0", "CASE WHEN length(l3) % 5 = 0 THEN NULL ELSE l1 END AS c1",
+        "l2 AS c2", "l3 AS c3", "CASE WHEN length(l4) % 2 = 0 THEN ' ' ELSE l4 END AS c4", "CAST(NULL AS STRING) AS description", "lines",
+    )])
+
+
+def tree_of(spark, d):
+    raw = raw_tree(spark, d)
+    return normalise.tenant_tree(raw, ["c0", "c1", "c2", "c3", "c4"], raw.where("lines > 5").select("tenant", "category_key", "lines"), ())
+
+
+@query(f"SELECT {', '.join(OF_TREE)} FROM {TREE}")
+def tenant_taxonomy(spark, d):
+    return tree_of(spark, d).select(*OF_TREE)
+
+
+@query(f"SELECT tenant, branch, count(*) AS leaves, CAST(sum(lines_in_scope) AS BIGINT) AS lines FROM {TREE} WHERE in_scope AND lines_in_scope > 0 AND branch IS NOT NULL GROUP BY tenant, branch")
+def branch_choice(spark, d):
+    return normalise.branches(tree_of(spark, d), used_only=True)
+
+
+@query(f"SELECT tenant, branch, category_key, leaf, path_full, lines_in_scope FROM {TREE} WHERE in_scope AND branch = 'Brand#1' || substr(tenant, -1)")
+def leaves_of_branch(spark, d):
+    own = F.concat(F.lit("Brand#1"), F.substring("tenant", -1, 1))
+    return normalise.leaves_of(tree_of(spark, d), own).drop("description")
+
+
+@query("SELECT tenant, CASE WHEN p_partkey IS NULL THEN '(no join)' WHEN trim(l1) = trim(p_brand) AND trim(l2) = trim(p_type) THEN 'Y' ELSE 'N' END AS agrees, count(*) AS lines FROM lines LEFT JOIN (SELECT * FROM part WHERE p_partkey % 9 <> 0) p ON part_id = p_partkey GROUP BY 1, 2")
+def path_agreement(spark, d):
+    lines, part = frames(spark, d, "lines", "part")
+    j = lines.join(part.where("p_partkey % 9 <> 0"), F.col("part_id") == F.col("p_partkey"), "left")
+    agrees = normalise.path_agrees([F.col("l1"), F.col("l2")], [F.col("p_brand"), F.col("p_type")], F.col("p_partkey").isNotNull())
+    return j.groupBy("tenant", agrees.alias("agrees")).agg(F.count("*").alias("lines"))
+
+
+@query("SELECT tenant, non_procurement, count(*) AS lines FROM (SELECT tenant, CASE WHEN l0 = 'Excluded' THEN true ELSE l1 = 'Brand#11' AND line_no = 1 END AS non_procurement FROM lines) GROUP BY 1, 2")
+def non_procurement_lines(spark, d):
+    (lines,) = frames(spark, d, "lines")
+    l0 = F.when(F.col("l0") == "Excluded", " Non-Procurement ").otherwise(F.col("l0"))
+    l1 = F.when((F.col("l1") == "Brand#11") & (F.col("line_no") == 1), "Non-Procurement").otherwise(F.nullif("l1", F.lit("Brand#12")))
+    return lines.groupBy("tenant", normalise.non_procurement(l0, l1).alias("non_procurement")).agg(F.count("*").alias("lines"))
+
+
+@query("""SELECT line_id, CASE WHEN k IS NOT NULL THEN l0 END AS suggested_l0, CASE WHEN k IS NOT NULL THEN CASE WHEN k = 'NC-0002' THEN '(not used at this level)' ELSE 'Branch ' || k END END AS suggested_l1, CASE WHEN k IS NOT NULL THEN '(no level 2 in this taxonomy)' END AS suggested_l2
+ FROM lines x LEFT JOIN (SELECT category_key AS k, l0 FROM keys_) y ON x.suggested_key = y.k""".replace("CASE WHEN k IS NOT NULL THEN l0 END", "y.l0"))
+def suggestion_levels(spark, d):
+    lines, keys_ = frames(spark, d, "lines", "keys_")
+    tree = keys_.withColumn("l1", F.when(F.col("category_key") == "NC-0002", " ").otherwise(F.concat(F.lit("Branch "), "category_key"))).withColumn("l2", F.lit(None).cast("string"))
+    return judge.suggested_levels(lines, tree, ["l0", "l1", "l2"]).select("line_id", "suggested_l0", "suggested_l1", "suggested_l2")
+
+
+@query("SELECT tenant, rule_id, count(*) FILTER (l0 = '') AS in_stratum, count(*) AS lines FROM lines GROUP BY tenant, rule_id HAVING count(*) FILTER (l0 = '') > 0")
+def rule_census(spark, d):
+    (lines,) = frames(spark, d, "lines")
+    return normalise.rule_census(lines, F.col("l0") == "")
+
+
+@query("SELECT l1 IN ('Brand#11', 'Brand#12') AS inside, count(*) AS nodes FROM nodes WHERE tenant <> 'NATION_1' GROUP BY 1")
+def nodes_within_roots(spark, d):
+    (nodes,) = frames(spark, d, "nodes")
+    own = normalise.without_own_output(nodes.withColumn("p", F.concat_ws(" > ", "l1", "l2")), "NATION_1")
+    inside, outside = normalise.within_roots(own, "p", ("BRAND#11", "Brand#12"))
+    return inside.withColumn("inside", F.lit(True)).unionByName(outside.withColumn("inside", F.lit(False))).groupBy("inside").agg(F.count("*").alias("nodes"))
+
+
+@query("SELECT tenant, supplier FROM (SELECT tenant, supplier, count(*) FILTER (verdict IS NULL) AS open, row_number() OVER (PARTITION BY tenant ORDER BY CAST(sum(cents) AS BIGINT) DESC, upper(left(sha256(tenant || '|' || coalesce(supplier, '')), 20))) AS r FROM lines GROUP BY 1, 2) WHERE r <= 5 AND open > 0")
+def sliced_vendors(spark, d):
+    (lines,) = frames(spark, d, "lines")
+    q = queue.ranked(queue.base(lines, F.col("verdict").isNotNull()))
+    return queue.slice_then_filter(q, "vendor_rank", 5, F.col("lines_unjudged") > 0).select("tenant", "supplier")
+
+
+@query("SELECT tenant AS \"TENANT\", line_id AS \"QA_LINE\", cents AS \"SPEND\" FROM lines")
+def output_names(spark, d):
+    (lines,) = frames(spark, d, "lines")
+    return normalise.output_names(lines.select("tenant", "line_id", "cents"), {"line_id": "QA_LINE", "cents": "SPEND"})
+
+
+@query("SELECT path, CASE WHEN starts_with(path, 'Goods > Brand#11 > ') THEN 'Goods > Brand#11 > Group ' || substr(path, 20) WHEN upper(split_part(path, ' > ', 4)) = 'BOLT' THEN replace(replace(path, ' > bolt', ' > Bolts'), ' > BOLT', ' > Bolts') ELSE path END AS now FROM (SELECT DISTINCT path FROM nodes WHERE split_part(path, ' > ', 5) NOT IN ('bolt', 'BOLT'))".replace("'Goods > Brand#11 > Group ' || substr(path, 20)", "CASE WHEN upper(split_part(path, ' > ', 4)) = 'BOLT' THEN replace(replace('Goods > B11 > ' || substr(path, 20), ' > bolt', ' > Bolts'), ' > BOLT', ' > Bolts') ELSE 'Goods > B11 > ' || substr(path, 20) END"))
+def rewritten_paths(spark, d):
+    (nodes,) = frames(spark, d, "nodes")
+    p = nodes.select("path").distinct().where("split_part(path, ' > ', 5) NOT IN ('bolt', 'BOLT')")
+    rewrites = spark.sql("SELECT 3 AS level, 'BOLT' AS label, 'Bolts' AS winner")
+    by_parent = spark.sql("SELECT 'GOODS' AS parent, 1 AS level, 'BRAND#11' AS label, 'B11' AS winner")
+    return taxonomy.apply_rewrites(p.withColumn("now", F.col("path")), "now", rewrites, by_parent)

@@ -21,12 +21,12 @@ KEY = "upper(left(sha256({}), 20))"
 #: The time that stands for now in panels over events.
 NOW = "2024-01-30 12:00:00"
 BASE = """SELECT tenant, supplier, count(*) AS lines_total, count(*) FILTER (verdict IS NULL) AS lines_unjudged, count(DISTINCT subject_id) AS subjects,
- CAST(sum(cents) AS BIGINT) AS spend_signed, CAST(sum(abs(cents)) AS BIGINT) AS spend_absolute, max(CASE WHEN description_usable = 'Y' THEN 1 ELSE 0 END) AS said FROM lines GROUP BY tenant, supplier"""
+ CAST(sum(cents) AS BIGINT) AS spend_signed, CAST(sum(abs(cents)) AS BIGINT) AS spend_absolute, count(*) FILTER (supplier IS NULL AND coalesce(description_usable, 'N') <> 'Y') AS has_no_evidence FROM lines GROUP BY tenant, supplier"""
 QUEUE = f"""SELECT tenant, supplier, lines_total, lines_unjudged, subjects, spend_signed, spend_absolute, {KEY.format("tenant || '|' || coalesce(supplier, '')")} AS vendor_key,
- CASE WHEN spend_signed <> 0 THEN spend_absolute / abs(spend_signed) END AS d, CASE WHEN said = 0 THEN 'Y' ELSE 'N' END AS has_no_evidence FROM ({BASE})"""
+ CASE WHEN spend_signed <> 0 THEN spend_absolute / abs(spend_signed) END AS d, has_no_evidence FROM ({BASE})"""
 RANKED = f"""SELECT tenant, supplier, lines_total, lines_unjudged, subjects, spend_signed, spend_absolute, vendor_key, round(d, 6) AS divergence, has_no_evidence,
- CASE WHEN supplier IS NULL THEN 'no vendor' WHEN spend_signed = 0 THEN 'nets to zero' WHEN d > 2 THEN 'mostly offset' ELSE 'ok' END AS flag,
- CASE WHEN lines_unjudged = 0 THEN 'done' WHEN lines_unjudged = lines_total THEN 'open' ELSE 'started' END AS status,
+ CASE WHEN supplier IS NULL THEN 'no_vendor_name' WHEN d >= 100 THEN 'divergent' END AS flag,
+ CASE WHEN lines_unjudged = 0 THEN 'done' WHEN lines_unjudged = lines_total THEN 'pending' ELSE 'in_progress' END AS status,
  row_number() OVER (PARTITION BY tenant ORDER BY spend_signed DESC, vendor_key) AS vendor_rank, row_number() OVER (ORDER BY spend_signed DESC, vendor_key) AS global_rank FROM ({QUEUE})"""
 
 
@@ -68,10 +68,15 @@ def lines_without_vendor(spark, d):
     return queue.of_vendor(lines, F.lit(None).cast("string")).select("line_id", "tenant", "cents")
 
 
-@query("SELECT line_id FROM lines WHERE (verdict IS NULL AND l0 <> '') OR (l0 = '' AND verdict IS NULL) OR (verdict IS NOT NULL AND coalesce(jury, 0) < 3)")
+@query("""SELECT 'plain' AS mode, line_id FROM lines WHERE verdict IS NULL UNION ALL SELECT 'uncategorised', line_id FROM lines WHERE suggested_key IS NULL AND l0 = ''
+ UNION ALL SELECT 'rejudge', line_id FROM lines WHERE suggested_key IS NULL AND l0 <> '' UNION ALL SELECT 'rejudge uncategorised', line_id FROM lines WHERE suggested_key IS NULL AND l0 = ''
+ UNION ALL SELECT 'top up', line_id FROM lines WHERE verdict IS NULL OR (jury < 3 AND l0 <> '')""")
 def work_selection(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return queue.work_selection(lines, top_up=True).select("line_id")
+    modes = {"plain": {}, "uncategorised": {"uncategorised": True}, "rejudge": {"rejudge": True}, "rejudge uncategorised": {"rejudge": True, "uncategorised": True}, "top up": {"top_up": True}}
+    parts = [queue.work_selection(lines, **k, blank=F.col("l0") == "", answer="suggested_key").select(F.lit(m).alias("mode"), "line_id") for m, k in modes.items()]
+    return checks.together(parts)
+
 
 
 USABLE = "({0} IS NOT NULL AND trim({0}) <> '' AND upper(trim({0})) NOT IN ('NO DESCRIPTION', 'NO DESC', 'N/A', 'NA', 'UNKNOWN', 'NONE', 'NIL', 'TBA', 'MISC', 'MISCELLANEOUS', 'SUNDRY', '.', '-', 'XXX', 'NULL'))"
@@ -115,7 +120,9 @@ def first_rule_join(spark, d):
     return normalise.tenant_join(lines, normalise.first_rule([a, b], ["tenant", "rule_id"]), ["tenant", "rule_id"]).select("line_id", "src")
 
 
-@query("""SELECT tenant, source_key, (SELECT count(DISTINCT b.l4) FROM nodes b WHERE b.tenant = a.tenant AND b.g = a.g AND b.l1 = a.l1 AND b.l2 = a.l2 AND b.l3 = a.l3) AS siblings FROM nodes a""")
+@query("""SELECT tenant, source_key, (SELECT count(DISTINCT CASE a.dd WHEN 1 THEN trim(b.g) WHEN 2 THEN trim(b.l1) WHEN 3 THEN trim(b.l2) WHEN 4 THEN trim(b.l3) WHEN 5 THEN trim(b.l4) END) FROM nodes b WHERE b.tenant = a.tenant
+ AND (a.dd < 2 OR trim(b.g) = trim(a.g)) AND (a.dd < 3 OR trim(b.l1) = trim(a.l1)) AND (a.dd < 4 OR trim(b.l2) = trim(a.l2)) AND (a.dd < 5 OR trim(b.l3) = trim(a.l3))) AS siblings
+ FROM (SELECT *, len(list_distinct(list_filter([trim(g), trim(l1), trim(l2), trim(l3), trim(l4)], lambda x: x <> ''))) AS dd FROM nodes) a""")
 def sibling_counts(spark, d):
     (nodes,) = frames(spark, d, "nodes")
     return normalise.sibling_counts(nodes.select("tenant", "source_key", "g", "l1", "l2", "l3", "l4"), ["g", "l1", "l2", "l3", "l4"]).select("tenant", "source_key", "siblings")
@@ -222,10 +229,12 @@ def contradictions(spark, d):
 FOUND = "CASE WHEN c.subject_id IS NOT NULL THEN 'contradiction' WHEN l0 = '' THEN 'uncategorised' WHEN description_usable = 'N' THEN 'unjudgeable' END"
 
 
-@query(f"SELECT line_id, {FOUND} AS finding, coalesce(verdict, CASE WHEN {FOUND} IS NOT NULL THEN 'Uncertain' END) AS verdict FROM lines l LEFT JOIN (SELECT tenant, subject_id FROM lines GROUP BY 1, 2 HAVING count(DISTINCT unit_id) > 1) c ON l.tenant = c.tenant AND l.subject_id = c.subject_id")
+@query(f"""SELECT line_id, CASE WHEN verdict IS NULL THEN {FOUND} END AS finding, coalesce(verdict, CASE {FOUND} WHEN 'contradiction' THEN 'Incorrect' WHEN 'uncategorised' THEN 'Uncertain' WHEN 'unjudgeable' THEN 'Uncertain' END) AS verdict,
+ CASE WHEN verdict IS NULL AND {FOUND} IS NOT NULL THEN 1.0::DOUBLE END AS confidence, CASE WHEN verdict IS NULL THEN 'deterministic_' || {FOUND} END AS basis
+ FROM lines l LEFT JOIN (SELECT tenant, subject_id FROM lines GROUP BY 1, 2 HAVING count(DISTINCT unit_id) > 1) c ON l.tenant = c.tenant AND l.subject_id = c.subject_id""")
 def deterministic_verdicts(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return judge.deterministic(lines).select("line_id", "finding", "verdict")
+    return judge.deterministic(lines).select("line_id", "finding", "verdict", "confidence", "basis")
 
 
 TALLY = """WITH_v AS (SELECT *, nullif(trim(suggested_key), '') AS k FROM votes WHERE verdict IN ('Correct', 'Incorrect', 'Uncertain')),
@@ -318,13 +327,21 @@ def action_mix(spark, d):
     return monitor.action_mix(acted(spark, d))
 
 
-@query(f"""SELECT 'row count' AS name, count(*) AS value, count(*) AS expected, true AS ok FROM ({ACTION}) UNION ALL SELECT 'unknown verdict', count(*) FILTER (verdict NOT IN ('Correct', 'Incorrect', 'Uncertain')), 0, count(*) FILTER (verdict NOT IN ('Correct', 'Incorrect', 'Uncertain')) = 0 FROM ({ACTION})
-UNION ALL SELECT 'verdict without action', count(*) FILTER (action IS NULL), 0, count(*) FILTER (action IS NULL) = 0 FROM ({ACTION}) UNION ALL SELECT 'suggestion on Correct', count(*) FILTER (verdict = 'Correct' AND suggested_key IS NOT NULL AND action <> 'Re-mapped'), 0, count(*) FILTER (verdict = 'Correct' AND suggested_key IS NOT NULL AND action <> 'Re-mapped') = 0 FROM ({ACTION})
-UNION ALL SELECT 'no tenant', count(*) FILTER (tenant IS NULL), 0, count(*) FILTER (tenant IS NULL) = 0 FROM ({ACTION}) UNION ALL SELECT 'unique lines', count(DISTINCT line_id), count(*), count(DISTINCT line_id) = count(*) FROM ({ACTION}) UNION ALL SELECT 'thin juries', CAST(count(*) FILTER (jury < 3) <= count(*) * 0.01 AS INT), 1, count(*) FILTER (jury < 3) <= count(*) * 0.01 FROM ({ACTION})""")
+CHECKED = f"(SELECT * REPLACE (CASE WHEN verdict IS NOT NULL THEN action END AS action), CASE WHEN line_id % 50 = 0 THEN 'see Account Name' ELSE 'fits' END AS rationale FROM ({ACTION.removesuffix(' WHERE verdict IS NOT NULL')}))"
+
+
+@query(f"""WITH_c AS (SELECT count(*) AS n, 1 AS runs, count(*) FILTER (verdict IS NULL) AS unjudged, count(*) FILTER (action IS NULL) AS no_action,
+ count(*) FILTER (rationale ILIKE '%account name%' OR rationale ILIKE '%cost centre%' OR rationale ILIKE '%GL %' OR rationale ILIKE '%general ledger%') AS leaks,
+ count(*) FILTER (action = 'Re-mapped' AND suggested_key IS NULL) AS remapped, count(*) FILTER (action = 'Miscategorised' AND suggested_key IS NULL) AS misc, count(*) FILTER (jury < 3) AS thin FROM {CHECKED})
+SELECT 'lines as loaded' AS name, n AS value, (SELECT count(*) FROM lineitem) AS expected, n = (SELECT count(*) FROM lineitem) AS ok FROM WITH_c UNION ALL SELECT 'distinct runs', runs, 1, runs = 1 FROM WITH_c
+UNION ALL SELECT 'lines without a verdict', unjudged, 0, unjudged = 0 FROM WITH_c UNION ALL SELECT 'lines without an action', no_action, 0, no_action = 0 FROM WITH_c UNION ALL SELECT 'rationales citing the ledger', leaks, 0, leaks = 0 FROM WITH_c
+UNION ALL SELECT 'Re-mapped without a destination', remapped, 0, remapped = 0 FROM WITH_c UNION ALL SELECT 'Miscategorised without a destination', misc, 0, misc = 0 FROM WITH_c
+UNION ALL SELECT 'lines with a thin jury', thin, CAST(floor(n * 0.01) AS BIGINT), thin <= floor(n * 0.01) FROM WITH_c""".replace("WITH_c AS (SELECT count", ", WITH_c AS (SELECT count", 1))
 def run_invariants(spark, d):
-    a = acted(spark, d)
-    (lines,) = frames(spark, d, "lines")
-    return checks.invariants(a, lines.where(judged()).count(), text.VERDICTS)
+    lines, cross, keys_, items = frames(spark, d, "lines", "cross_", "keys_", "lineitem")
+    a = actions.classify(lines, cross, keys_).withColumn("action", F.when(judged(), F.col("action"))).withColumn("run_id", F.lit("r1"))
+    a = a.withColumn("rationale", F.when(F.col("line_id") % 50 == 0, "see Account Name").otherwise("fits"))
+    return checks.invariants(a, items.agg(F.lit("r1").alias("run_id"), F.count("*").alias("lines_loaded")))
 
 
 @query("SELECT tenant, count(*) AS lines, count(*) FILTER (supplier IS NULL) AS \"foreign\" FROM lines GROUP BY tenant")
@@ -333,7 +350,7 @@ def tenant_isolation(spark, d):
     return checks.isolation(lines, F.col("supplier").startswith("Supplier#"))
 
 
-@query("SELECT tenant, a.n AS a, b.n AS b, true AS ok FROM (SELECT tenant, count(*) AS n FROM lines GROUP BY tenant) a FULL JOIN (SELECT tenant, count(*) AS n FROM lines GROUP BY tenant) b USING (tenant)")
+@query("SELECT tenant, a.n AS a, b.n AS b, a.n IS NOT DISTINCT FROM b.n AS ok FROM (SELECT tenant, count(*) AS n FROM lines GROUP BY tenant) a FULL JOIN (SELECT n_name AS tenant, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name) b USING (tenant)")
 def reconciled_counts(spark, d):
     (lines,) = frames(spark, d, "lines")
     q = queue.base(lines, judged()).groupBy("tenant").agg(F.sum("lines_total").alias("n"))
@@ -424,10 +441,19 @@ def unified_spelling(spark, d):
     return taxonomy.unified_spelling(nodes, ["g", "l1", "l2", "l3", "l4"]).select("tenant", "source_key", "l1", "l2", "l3")
 
 
-@query("SELECT level, a, b, CAST(min(e) AS INTEGER) AS edits, count(DISTINCT parent) AS parents, min(e) = 1 AND (starts_with(upper(a), upper(b)) OR starts_with(upper(b), upper(a)) OR count(DISTINCT parent) >= 3) AS apply FROM (SELECT DISTINCT x.parent, x.level, x.label AS a, y.label AS b, levenshtein(upper(x.label), upper(y.label)) AS e FROM (SELECT l2 AS parent, 1 AS level, l1 AS label FROM nodes) x JOIN (SELECT l2 AS parent, 1 AS level, l1 AS label FROM nodes) y ON x.parent = y.parent AND x.level = y.level AND x.label < y.label AND length(x.label) >= 5 AND length(y.label) >= 5) WHERE e BETWEEN 1 AND 2 GROUP BY level, a, b")
+LOOSE = r"regexp_replace(upper(replace({}, '&', ' AND ')), '[^\p{{L}}\p{{N}}]', '', 'g')"
+SIBLINGS = "(SELECT parent, level, label, sum(lines) AS lines FROM (" + " UNION ALL ".join(f"SELECT {p} AS parent, {k} AS level, {c} AS label, lines FROM nodes" for k, c, p in ((1, "l1", "g"), (2, "l2", "g || '/' || l1"), (3, "l3", "g || '/' || l1 || '/' || l2"), (4, "l4", "g || '/' || l1 || '/' || l2 || '/' || l3"))) + ") GROUP BY ALL)"
+
+
+@query(f"""SELECT level, a, b, CAST(min(e) AS INTEGER) AS edits, count(DISTINCT parent) AS parents, CAST(sum(la) AS BIGINT) AS lines_a, CAST(sum(lb) AS BIGINT) AS lines_b,
+ CASE WHEN min(e) = 1 AND (starts_with(any_value(ka), any_value(kb)) OR starts_with(any_value(kb), any_value(ka)) OR ends_with(any_value(ka), any_value(kb)) OR ends_with(any_value(kb), any_value(ka)) OR count(DISTINCT parent) >= 3) THEN 'auto' ELSE 'flag' END AS ruling
+ FROM (SELECT x.parent, x.level, x.label AS a, y.label AS b, {LOOSE.format("x.label")} AS ka, {LOOSE.format("y.label")} AS kb, levenshtein({LOOSE.format("x.label")}, {LOOSE.format("y.label")}) AS e, x.lines AS la, y.lines AS lb
+  FROM {SIBLINGS} x JOIN {SIBLINGS} y ON x.parent = y.parent AND x.level = y.level AND x.label < y.label) WHERE e BETWEEN 1 AND 2 AND length(ka) >= 5 AND length(kb) >= 5 GROUP BY level, a, b""")
 def typo_pairs(spark, d):
     (nodes,) = frames(spark, d, "nodes")
-    return taxonomy.typo_pairs(nodes.select(F.col("l2").alias("parent"), F.lit(1).alias("level"), F.col("l1").alias("label")))
+    levels = ["g", "l1", "l2", "l3", "l4"]
+    each = F.explode(F.array(*[F.struct(F.concat_ws("/", *levels[:k]).alias("parent"), F.lit(k).alias("level"), F.col(levels[k]).alias("label")) for k in range(1, 5)]))
+    return taxonomy.typo_pairs(nodes.select(each.alias("x"), "lines").select("x.*", "lines"))
 
 
 @query("SELECT x.tenant AS a, y.tenant AS b, count(*) AS shared, round(count(*) / least(any_value(nx.n), any_value(ny.n)), 6) AS overlap FROM (SELECT DISTINCT tenant, path FROM nodes) x JOIN (SELECT DISTINCT tenant, path FROM nodes) y ON x.path = y.path AND x.tenant < y.tenant JOIN (SELECT tenant, count(DISTINCT path) AS n FROM nodes GROUP BY 1) nx ON nx.tenant = x.tenant JOIN (SELECT tenant, count(DISTINCT path) AS n FROM nodes GROUP BY 1) ny ON ny.tenant = y.tenant GROUP BY x.tenant, y.tenant")
@@ -474,36 +500,41 @@ def tree_numbered(spark, d):
     return taxonomy.numbered(tree, previous).select("resolved", "category_key", "lines", "nodes", "absorbed")
 
 
-@query("SELECT 'hollow' AS \"check\", false AS blocking, path, lines FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines FROM nodes GROUP BY path) WHERE lines = 0 UNION ALL SELECT 'multi_home', false, min(path), CAST(sum(lines) AS BIGINT) FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines, any_value(upper(l4)) AS leaf, regexp_replace(path, ' > [^>]*$', '') AS parent FROM nodes GROUP BY path) GROUP BY leaf HAVING count(DISTINCT parent) > 1")
-def tree_audit(spark, d):
-    (nodes,) = frames(spark, d, "nodes")
-    return taxonomy.audit(nodes.groupBy("path").agg(F.sum("lines").alias("lines"))).where(F.col("check").isin("hollow", "multi_home", "junk"))
-
-
-LOOSE = r"regexp_replace(upper(replace({}, '&', ' AND ')), '[^\p{{L}}\p{{N}}]', '', 'g')"
 STATE = "CASE " + " ".join(f"WHEN regexp_matches(lower({{0}}), '\\b{w}\\b') THEN '{st}'" for w, st in taxonomy.STATES.items()) + " END"
 AUDITED = f"""(SELECT *, s[-1] AS leaf, array_to_string(s[:-2], ' > ') AS parent, array_to_string(s[:2], ' > ') AS branch, coalesce(s[3], s[-1]) AS label
  FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines, string_split(path, ' > ') AS s FROM nodes GROUP BY path))"""
-CONTENT = r"list_sort(list_distinct(list_filter(list_transform(regexp_split_to_array(lower(leaf), '[^a-z0-9]+'), lambda w: CASE WHEN length(w) > 3 THEN regexp_replace(w, 's$', '') ELSE w END), lambda w: length(w) >= 3 AND w NOT IN ('and', 'the', 'of'))))"
+STOPS = ", ".join(f"'{w}'" for w in taxonomy.STOP)
+CONTENT = r"list_transform(list_filter(regexp_split_to_array(replace(lower({}), '&', ' and '), '[^\p{{L}}\p{{N}}]+'), lambda w: length(w) >= 3 AND w NOT IN (STOPS)), lambda w: CASE WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN w[:-2] ELSE w END)".replace("STOPS", STOPS)
 LABELS = f"(SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT unnest(s[2:]) AS label, lines FROM {AUDITED}) GROUP BY label)"
-
-
-@query(f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUDITED} WHERE {LOOSE.format("leaf")} = ''
- UNION ALL SELECT 'prefix_bucket', false, path, lines FROM {AUDITED} p WHERE EXISTS (FROM nodes q WHERE starts_with(q.path, p.path || ' > '))
- UNION ALL SELECT 'sole_other', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY parent HAVING count(*) = 1 AND min(lower(leaf)) = 'other'
- UNION ALL SELECT 'multi_home', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY {LOOSE.format("leaf")} HAVING count(DISTINCT parent) > 1
- UNION ALL SELECT 'word_order', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} WHERE len({CONTENT}) > 0 GROUP BY parent, {CONTENT} HAVING count(DISTINCT {LOOSE.format("leaf")}) > 1
- UNION ALL SELECT 'hollow', false, path, lines FROM {AUDITED} WHERE lines = 0
+KIDS = f"""(SELECT parent, min(child) AS child, string_split(parent, ' > ')[-1] AS tail, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT array_to_string(s[:i - 1], ' > ') AS parent, s[i] AS child, lines FROM (SELECT s, lines, unnest(range(2, len(s) + 1)) AS i FROM {AUDITED}))
+ GROUP BY parent HAVING count(DISTINCT child) = 1)"""
+OTHER = f"{LOOSE.format('child')} = {LOOSE.format("(tail || ' - Other')")}"
+GENERICS = ", ".join(LOOSE.format(f"'{g}'") for g in taxonomy.GENERIC)
+FINDINGS = f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUDITED} WHERE len(list_filter(s[2:], lambda x: length(x) > 60 OR contains(x, '?') OR regexp_matches(x, '(?i),.{{0,12}}\\bthe\\b.{{0,20}}\\blevel\\b'))) > 0
  UNION ALL SELECT DISTINCT 'contradiction', true, path, lines FROM (SELECT path, lines, unnest(s) AS x, unnest(s[2:]) AS y FROM {AUDITED}) WHERE {STATE.format("x")} <> {STATE.format("y")}
+ UNION ALL SELECT 'prefix_bucket', true, path, lines FROM {AUDITED} p WHERE EXISTS (FROM nodes q WHERE starts_with(q.path, p.path || ' > '))
+ UNION ALL SELECT 'sole_other', true, path, lines FROM {AUDITED} WHERE len(s) >= 3 AND {LOOSE.format("leaf")} = {LOOSE.format("(s[-2] || ' - Other')")} AND parent IN (SELECT parent FROM {KIDS})
+ UNION ALL SELECT 'hollow', false, parent || ' > ' || child, lines FROM (SELECT *, {CONTENT.format("child")} AS wc, {CONTENT.format("tail")} AS wp FROM {KIDS}) WHERE contains(parent, ' > ') AND NOT ({OTHER}) AND (levenshtein({LOOSE.format("tail")}, {LOOSE.format("child")}) <= 2
+  OR contains({LOOSE.format("parent")}, {LOOSE.format("child")}) OR contains({LOOSE.format("child")}, {LOOSE.format("tail")}) OR (len(wc) > 0 AND len(wp) > 0 AND (list_has_all(wp, wc) OR list_has_all(wc, wp))))
+ UNION ALL SELECT 'multi_home', false, min(path), CAST(sum(lines) AS BIGINT) FROM {AUDITED} WHERE {LOOSE.format("leaf")} NOT IN ({GENERICS}) GROUP BY {LOOSE.format("leaf")} HAVING count(DISTINCT parent) > 1
  UNION ALL SELECT 'near_label', false, a.label || ' ~ ' || b.label, a.lines + b.lines FROM {LABELS} a JOIN {LABELS} b ON a.label < b.label AND abs(length(a.label) - length(b.label)) <= 3 WHERE levenshtein(a.k, b.k) IN (1, 2)
+ UNION ALL SELECT 'word_order', false, min(label), CAST(sum(lines) AS BIGINT) FROM (SELECT *, {CONTENT.format("label")} AS w FROM {LABELS}) WHERE len(list_distinct(w)) > 1 GROUP BY list_sort(list_distinct(w)) HAVING count(DISTINCT w) > 1
  UNION ALL SELECT 'generic', false, path, lines FROM {AUDITED} WHERE lines > 0 AND ({" OR ".join(f"contains(lower(leaf), '{g}')" for g in taxonomy.GENERIC)})
  UNION ALL SELECT 'thin_branch', false, branch, CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY branch HAVING count(*) = 1
- UNION ALL SELECT 'shared_group', false, min(label), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY {LOOSE.format("label")} HAVING count(DISTINCT branch) > 1""")
-def tree_audit_whole(spark, d):
+ UNION ALL SELECT 'shared_group', false, min(label), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY {LOOSE.format("label")} HAVING count(DISTINCT branch) > 1"""
+
+
+@query(FINDINGS)
+def tree_audit(spark, d):
     (nodes,) = frames(spark, d, "nodes")
     return taxonomy.audit(nodes.groupBy("path").agg(F.sum("lines").alias("lines")))
 
 
+@query(f'SELECT "check", blocking, count(*) AS findings, CAST(sum(lines) AS BIGINT) AS lines FROM ({FINDINGS}) GROUP BY 1, 2')
+def tree_audit_whole(spark, d):
+    return tree_audit(spark, d).groupBy("check", "blocking").agg(F.count("*").alias("findings"), F.sum("lines").alias("lines"))
+
+
 @query("SELECT tenant, source_key, CASE WHEN l1 = lag(l1) OVER w THEN '' ELSE l1 END AS show_l1, CASE WHEN l1 = lag(l1) OVER w AND l2 = lag(l2) OVER w THEN '' ELSE l2 END AS show_l2 FROM (SELECT tenant, min(source_key) AS source_key, l1, l2 FROM nodes GROUP BY tenant, l1, l2) WINDOW w AS (PARTITION BY tenant ORDER BY l1, l2)")
 def tree_outline(spark, d):
     (nodes,) = frames(spark, d, "nodes")
@@ -532,30 +563,41 @@ def review_agreement(spark, d):
     return review.agreement_by_verdict(lines.withColumn("response", F.when(F.col("line_id") % 3 == 0, F.when(F.col("line_id") % 4 > 0, "Agree").otherwise("Disagree"))))
 
 
-@query("SELECT tenant, leaf, branch, differs, \"none\", round(100.0 * leaf / nullif(leaf + branch + differs, 0), 4) AS leaf_pct, round(100.0 * (leaf + branch) / nullif(leaf + branch + differs, 0), 4) AS branch_pct FROM (SELECT tenant, count(*) FILTER (m = 'leaf') AS leaf, count(*) FILTER (m = 'branch') AS branch, count(*) FILTER (m = 'differs') AS differs, count(*) FILTER (m = 'none') AS \"none\" FROM (SELECT tenant, CASE WHEN source_key = '' THEN 'none' WHEN line_no % 3 = 0 THEN 'leaf' WHEN line_no % 3 = 1 THEN 'branch' ELSE 'differs' END AS m FROM (SELECT tenant, 'x' AS source_key, line_no FROM lines)) GROUP BY tenant)")
+HIS = "CASE line_no % 5 WHEN 0 THEN upper(l3) || 's' WHEN 1 THEN l1 || ' & more' WHEN 2 THEN 'some ' || split_part(l2, ' ', 1) WHEN 3 THEN ' - ' END"
+MEANS = r"regexp_replace(trim(regexp_replace(replace(lower(trim({})), '&', ' and '), '[^a-z0-9]+', ' ', 'g')), 's\b', '', 'g')"
+MATCHED = f"""(SELECT tenant, CASE WHEN his IS NULL THEN 'none' WHEN h = '' OR n = 0 THEN 'differs' WHEN lv[n] <> '' AND (contains(lv[n], h) OR contains(h, lv[n])) THEN 'leaf'
+ WHEN n > 1 AND lv[n - 1] <> '' AND (contains(lv[n - 1], h) OR contains(h, lv[n - 1])) THEN 'branch' WHEN coalesce(hit, 0) = 0 THEN 'differs' WHEN hit = n THEN 'leaf' ELSE 'branch' END AS m
+ FROM (SELECT *, len(lv) AS n, list_position(list_transform(lv, lambda x: len(list_intersect(list_filter(string_split(x, ' '), lambda w: w <> ''), string_split(h, ' '))) > 0), true) AS hit
+  FROM (SELECT tenant, his, {MEANS.format("his")} AS h, list_transform(list_filter([l1, l2, l3, l4], lambda x: x <> '' AND NOT contains(lower(x), 'not used')), lambda x: {MEANS.format("x")}) AS lv FROM (SELECT *, {HIS} AS his FROM lines))))"""
+
+
+@query(f"SELECT tenant, leaf, branch, differs, \"none\", round(100.0 * leaf / nullif(leaf + branch + differs, 0), 4) AS leaf_pct, round(100.0 * (leaf + branch) / nullif(leaf + branch + differs, 0), 4) AS branch_pct FROM (SELECT tenant, count(*) FILTER (m = 'leaf') AS leaf, count(*) FILTER (m = 'branch') AS branch, count(*) FILTER (m = 'differs') AS differs, count(*) FILTER (m = 'none') AS \"none\" FROM {MATCHED} GROUP BY tenant)")
 def answer_scores(spark, d):
     (lines,) = frames(spark, d, "lines")
-    his = F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("Zzz > "), F.col("l1"))).when(F.col("line_no") % 3 == 1, F.concat(F.col("l1"), F.lit(" > Qqq"))).otherwise(F.lit("Vvv > Www"))
-    scored = lines.withColumn("his", his).withColumn("match", review.agreement("his", ["l1", "l2", "l3", "l4"]))
-    return review.score(scored)
+    return review.score(lines.withColumn("his", F.expr(HIS)).withColumn("match", review.agreement("his", ["l1", "l2", "l3", "l4"])))
+
 
 
-MASTER = "SELECT s_name AS client_vendor_name, s_suppkey AS vendor_id, s_acctbal AS spend_total, CAST(s_suppkey % 3 AS DOUBLE) AS match_confidence, 'Brand#' || CAST(1 + s_suppkey % 25 AS STRING) AS category FROM supplier UNION ALL SELECT s_name, s_suppkey + 1000000, s_acctbal + 1, CAST((s_suppkey + 1) % 3 AS DOUBLE), 'Brand#1' FROM supplier WHERE s_suppkey % 4 = 0"
+MASTER = """SELECT n_name AS tenant, s_name AS client_vendor_name, CASE WHEN s_suppkey % 6 <> 1 THEN s_suppkey END AS vendor_id, s_acctbal AS spend_total, CAST(s_suppkey % 3 AS DOUBLE) AS match_confidence, 'Brand#' || CAST(1 + s_suppkey % 25 AS STRING) AS category
+ FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 7 <> 2
+ UNION ALL SELECT n_name, s_name, s_suppkey + 1000000, s_acctbal + 1, CAST((s_suppkey + 1) % 3 AS DOUBLE), 'Brand#1' FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 4 = 0
+ UNION ALL SELECT 'elsewhere', s_name, s_suppkey + 1, s_acctbal, 9.0, 'Brand#2' FROM supplier"""
 LOG = """SELECT event_id AS log_id, event_id % 300 AS vendor_id, CASE WHEN event_id % 2 = 0 THEN 'coherence' ELSE 'other' END AS call_type,
  CASE WHEN event_id % 5 = 0 THEN 'I say "verdict": "mixed" here' WHEN event_id % 7 = 0 THEN 'nothing' WHEN event_id % 3 = 0 THEN '{"verdict": "incoherent"}' ELSE '{"verdict": "coherent"}' END AS raw_output FROM events"""
 VERDICT = """CASE WHEN log_id % 5 = 0 THEN 'mixed' WHEN log_id % 7 = 0 THEN NULL WHEN log_id % 3 = 0 THEN 'incoherent' ELSE 'coherent' END"""
 
 
 def master_and_log(spark, d):
-    supplier, events = frames(spark, d, "supplier", "events")
+    supplier, events, nation = frames(spark, d, "supplier", "events", "nation")
     supplier.createOrReplaceTempView("supplier")
+    nation.createOrReplaceTempView("nation")
     events.createOrReplaceTempView("events")
     return spark.sql(MASTER), spark.sql(LOG)
 
 
-@query(f"SELECT client_vendor_name, vendor_id, category FROM (SELECT *, row_number() OVER (PARTITION BY client_vendor_name ORDER BY match_confidence DESC NULLS LAST, spend_total DESC NULLS LAST, vendor_id) AS r FROM ({MASTER})) WHERE r = 1", derived=False)
+@query(f"SELECT tenant, client_vendor_name, vendor_id, category FROM (SELECT *, row_number() OVER (PARTITION BY tenant, client_vendor_name ORDER BY match_confidence DESC NULLS LAST, spend_total DESC NULLS LAST, vendor_id) AS r FROM ({MASTER})) WHERE r = 1", derived=False)
 def vendor_best_match(spark, d):
-    return enrich.best_match(master_and_log(spark, d)[0]).select("client_vendor_name", "vendor_id", "category")
+    return enrich.best_match(master_and_log(spark, d)[0]).select("tenant", "client_vendor_name", "vendor_id", "category")
 
 
 LATEST = f"SELECT vendor_id, {VERDICT} AS verdict FROM (SELECT vendor_id, max(log_id) AS log_id FROM ({LOG}) WHERE call_type = 'coherence' GROUP BY vendor_id)"
@@ -566,14 +608,14 @@ def vendor_latest_verdict(spark, d):
     return enrich.latest_verdict(master_and_log(spark, d)[1], "coherence")
 
 
-@query(f"SELECT tenant, coherence, count(*) AS vendors, CAST(sum(n) AS BIGINT) AS lines FROM (SELECT v.tenant, v.n, CASE WHEN v.supplier IS NULL THEN 'no vendor' WHEN m.vendor_id IS NULL THEN 'not in master' ELSE coalesce(c.verdict, 'not judged') END AS coherence FROM (SELECT tenant, supplier, count(*) AS n FROM lines GROUP BY 1, 2) v LEFT JOIN (SELECT client_vendor_name, max(vendor_id) AS vendor_id FROM ({MASTER}) GROUP BY 1) m ON m.client_vendor_name = v.supplier LEFT JOIN ({LATEST}) c ON c.vendor_id = m.vendor_id) GROUP BY tenant, coherence")
+@query(f"SELECT tenant, coherence, count(*) AS vendors, CAST(sum(n) AS BIGINT) AS lines FROM (SELECT v.tenant, v.n, CASE WHEN m.client_vendor_name IS NULL THEN 'not in master' ELSE coalesce(c.verdict, 'unevaluated') END AS coherence FROM (SELECT tenant, supplier, count(*) AS n FROM lines GROUP BY 1, 2) v LEFT JOIN (SELECT tenant, client_vendor_name, max(vendor_id) AS vendor_id FROM ({MASTER}) GROUP BY 1, 2) m ON m.client_vendor_name = v.supplier AND m.tenant = v.tenant LEFT JOIN ({LATEST}) c ON c.vendor_id = m.vendor_id) GROUP BY tenant, coherence")
 def vendor_coherence(spark, d):
     (lines,) = frames(spark, d, "lines")
     master, log = master_and_log(spark, d)
     return enrich.coherence_tally(enrich.coherence(queue.base(lines, judged()), master, enrich.latest_verdict(log, "coherence")))
 
 
-@query(f"SELECT lane, count(*) AS lines FROM (SELECT CASE WHEN m.category IS NULL THEN 'unknown vendor' WHEN m.category = l.l1 THEN 'agrees' ELSE 'differs' END AS lane FROM lines l LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY client_vendor_name ORDER BY match_confidence DESC NULLS LAST, spend_total DESC NULLS LAST, vendor_id) AS r FROM ({MASTER})) WHERE r = 1) m ON l.supplier = m.client_vendor_name) GROUP BY lane")
+@query(f"SELECT lane, count(*) AS lines FROM (SELECT CASE WHEN m.category IS NULL THEN 'unknown vendor' WHEN m.category = l.l1 THEN 'agrees' ELSE 'differs' END AS lane FROM lines l LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tenant, client_vendor_name ORDER BY match_confidence DESC NULLS LAST, spend_total DESC NULLS LAST, vendor_id) AS r FROM ({MASTER})) WHERE r = 1) m ON l.supplier = m.client_vendor_name AND l.tenant = m.tenant) GROUP BY lane")
 def vendor_lane(spark, d):
     (lines,) = frames(spark, d, "lines")
     return enrich.lane(lines, master_and_log(spark, d)[0], "supplier", "category", "l1").groupBy("lane").agg(F.count("*").alias("lines"))

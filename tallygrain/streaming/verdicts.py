@@ -18,23 +18,28 @@ def hourly(events: DataFrame, ts: str = "ts", late: str = "2 hours") -> DataFram
 def trailing(events: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataFrame:
     """Rows and the first time in each 60-minute window, sliding by a minute."""
     w = events.withWatermark(ts, late).groupBy(F.window(ts, "60 minutes", "1 minute")).agg(F.count("*").alias("n"), F.min(ts).alias("first"))
-    span = F.least((F.unix_micros("window.end") - F.unix_micros("first")) / 60e6, F.lit(60.0))
+    span = F.least(F.greatest((F.unix_micros("window.end") - F.unix_micros("first")) / 60e6, F.lit(1 / 60)), F.lit(60.0))  # a second at least
     return w.select(F.col("window.end").alias("at"), "n", F.round(F.when(span > 0, F.col("n") / span), 4).alias("per_minute"))
 
 
-def stalls(events: DataFrame, key: str, ts: str = "ts", minutes: int = 60, late: str = "5 minutes") -> DataFrame:
-    """One 'stalled' row when nothing came for so long, one 'recovered' row when work is back."""
+def stalls(events: DataFrame, key: str, ts: str = "ts", minutes: int = 60, late: str = "5 minutes", done: str | None = None) -> DataFrame:
+    """One 'stalled' row when nothing came for so long, one 'recovered' row when work is back. A run
+    that has finished, told by a true `done` column, isn't waited for."""
     gap = minutes * 60_000
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, stalled = state.get if state.exists else (None, False)
+        last, stalled, ended = state.get if state.exists else (None, False, False)
         if state.hasTimedOut:
-            state.update((last, True))
+            state.update((last, True, ended))
             yield pd.DataFrame({"key": [str(k[0])], "state": ["stalled"], "at": [pd.Timestamp(last + gap, unit="ms")]})
             return
         rows = []
-        times = sorted(int(t.value // 1_000_000) for pdf in batches for t in pdf[ts])
-        for t in times:
+        times = []
+        for pdf in batches:
+            flags = pdf[done].fillna(False).astype(bool) if done else [False] * len(pdf)
+            times += [(int(t.value // 1_000_000), bool(f)) for t, f in zip(pdf[ts], flags, strict=True)]
+        for t, f in sorted(times):
+            ended = ended or f
             if last is not None and t - last > gap:
                 if not stalled:
                     rows.append(("stalled", last + gap))
@@ -44,13 +49,13 @@ def stalls(events: DataFrame, key: str, ts: str = "ts", minutes: int = 60, late:
                 rows.append(("recovered", t))
                 stalled = False
             last = t if last is None else max(last, t)
-        state.update((last, stalled))
-        if state.getCurrentWatermarkMs() < last + gap:
+        state.update((last, stalled, ended))
+        if not ended and state.getCurrentWatermarkMs() < last + gap:
             state.setTimeoutTimestamp(last + gap)
         if rows:
             yield pd.DataFrame({"key": str(k[0]), "state": [r[0] for r in rows], "at": [pd.Timestamp(r[1], unit="ms") for r in rows]})
 
-    return events.withWatermark(ts, late).groupBy(key).applyInPandasWithState(step, "key string, state string, at timestamp", "last long, stalled boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return events.withWatermark(ts, late).groupBy(key).applyInPandasWithState(step, "key string, state string, at timestamp", "last long, stalled boolean, ended boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def merged_into(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
