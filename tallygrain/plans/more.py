@@ -199,9 +199,9 @@ def branch_choice(spark, d):
     return normalise.branches(tree_of(spark, d), used_only=True)
 
 
-@query(f"SELECT tenant, branch, category_key, leaf, path_full, lines_in_scope FROM {TREE} WHERE in_scope AND branch = 'Brand#1' || substr(tenant, -1)")
+@query(f"SELECT tenant, branch, category_key, leaf, path_full, lines_in_scope FROM {TREE} WHERE in_scope AND branch = 'Brand#' || substr(tenant, -1)")
 def leaves_of_branch(spark, d):
-    own = F.concat(F.lit("Brand#1"), F.substring("tenant", -1, 1))
+    own = F.concat(F.lit("Brand#"), F.substring("tenant", -1, 1))
     return normalise.leaves_of(tree_of(spark, d), own).drop("description")
 
 
