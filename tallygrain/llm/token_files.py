@@ -163,7 +163,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
         for held in gathered_batches(b for b in batches if b.num_rows):
             if writer is None:
                 fs.create_dir(base, recursive=True)
-                sink = fs.open_output_stream(f"{base}/{name}")
+                sink = fs.open_output_stream(f"{base}/{name}", compression=None)  # or it would go by the name
                 writer = FrameWriter(sink, _encoder(path)[1])
             t = pa.Table.from_batches(held).combine_chunks()
             texts = t["text"].chunk(0)
