@@ -86,7 +86,7 @@ def urls_of(names: list[str]) -> list[str]:
 
 def labelled_urls(spark: SparkSession, blocked: tuple[str, ...] = BLOCKED, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     """(url, y): the small training table, a few hundred rows made from words by rule; y is 1 for block."""
-    rows = [(u, 1) for u in urls_of(host_names(blocked, allowed))] + [(u, 0) for u in urls_of(host_names(allowed) + invented(0, 200))]
+    rows = [(u, 1) for u in urls_of(host_names(blocked, allowed))] + [(u, 0) for u in urls_of(host_names(allowed) + invented(0, 100))]
     values = ", ".join(f"('{u}', {y})" for u, y in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t(url, y)")
 
