@@ -12,7 +12,11 @@ def share(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b)
 
 
-def volume(lines: DataFrame, supplier: str, amount: str, description: str, by: list[str]) -> DataFrame:
+#: Signs of a patient in a description.
+PII_MARKERS = r"(?i)MRN|UR NO|U/R|D\.O\.B|DOB "
+
+
+def volume(lines: DataFrame, supplier: str, amount: str, description: str, gate: str, by: list[str]) -> DataFrame:
     """Counts, sums and text quality in one scan."""
     d, a = F.rtrim(F.coalesce(F.col(description), F.lit(""))), F.col(amount)
     return lines.groupBy(*by).agg(
@@ -22,7 +26,12 @@ def volume(lines: DataFrame, supplier: str, amount: str, description: str, by: l
         F.countDistinct(supplier).alias("vendors"),
         F.count_if(F.col(supplier).isNull()).alias("no_vendor"),
         F.count_if(a < 0).alias("credits"),
+        F.coalesce(F.sum(F.when(a < 0, -a)), F.lit(0)).alias("credited"),
         F.count_if(a.isNull()).alias("unparseable"),
+        F.count_if(text.blank(F.col(gate))).alias("no_gate"),
+        F.count_if(d == "").alias("blank_text"),
+        F.count_if(F.length(d).between(1, 7)).alias("very_short"),
+        F.count_if(d.rlike(PII_MARKERS)).alias("pii_marker"),
         F.count_if(F.length(d) < 10).alias("short_text"),
         F.count_if((d != "") & ~d.rlike("[^0-9 .,/-]")).alias("numeric_only"),
         F.count_if(d.rlike("[0-9]{6}")).alias("long_digits"),

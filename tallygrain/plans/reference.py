@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallygrain.functions import keys, paths, text
 from tallygrain.operators import actions, checks, enrich, judge, monitor, normalise, profile, queue, review, sampling, taxonomy
 from tallygrain.plans.facts import Registry, frames
+from tallygrain.sources.shared import shared
 
 query = Registry()
 
@@ -128,11 +129,12 @@ def sibling_counts(spark, d):
     return normalise.sibling_counts(nodes.select("tenant", "source_key", "g", "l1", "l2", "l3", "l4"), ["g", "l1", "l2", "l3", "l4"]).select("tenant", "source_key", "siblings")
 
 
-@query("""SELECT tenant, count(*) AS lines, CAST(sum(cents) AS BIGINT) AS signed, CAST(sum(abs(cents)) AS BIGINT) AS absolute, count(DISTINCT supplier) AS vendors, count(*) FILTER (supplier IS NULL) AS no_vendor, count(*) FILTER (cents < 0) AS credits, count(*) FILTER (cents IS NULL) AS unparseable,
+@query("""SELECT tenant, count(*) AS lines, CAST(sum(cents) AS BIGINT) AS signed, CAST(sum(abs(cents)) AS BIGINT) AS absolute, count(DISTINCT supplier) AS vendors, count(*) FILTER (supplier IS NULL) AS no_vendor, count(*) FILTER (cents < 0) AS credits, CAST(coalesce(sum(abs(cents)) FILTER (cents < 0), 0) AS BIGINT) AS credited, count(*) FILTER (cents IS NULL) AS unparseable,
+ count(*) FILTER (l0 = '') AS no_gate, count(*) FILTER (rtrim(coalesce(d1, '')) = '') AS blank_text, count(*) FILTER (length(rtrim(d1)) IN (1, 2, 3, 4, 5, 6, 7)) AS very_short, count(*) FILTER (upper(d1) LIKE '%MRN%' OR upper(d1) LIKE '%UR NO%' OR upper(d1) LIKE '%U/R%' OR upper(d1) LIKE '%D.O.B%' OR upper(d1) LIKE '%DOB %') AS pii_marker,
  count(*) FILTER (length(rtrim(coalesce(d1, ''))) < 10) AS short_text, count(*) FILTER (rtrim(coalesce(d1, '')) <> '' AND NOT regexp_matches(d1, '[^0-9 .,/-]')) AS numeric_only, count(*) FILTER (regexp_matches(coalesce(d1, ''), '[0-9]{6}')) AS long_digits FROM lines GROUP BY tenant""")
 def profile_volume(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return profile.volume(lines, "supplier", "cents", "d1", ["tenant"])
+    return profile.volume(lines, "supplier", "cents", "d1", "l0", ["tenant"])
 
 
 @query("SELECT tenant, count(*) AS units, count(DISTINCT coalesce(supplier, '?') || '/' || subject_id) AS subjects, CAST(sum(n) AS BIGINT) AS lines FROM (SELECT tenant, supplier, subject_id, unit_id, count(*) AS n FROM lines GROUP BY ALL) GROUP BY tenant")
@@ -475,28 +477,47 @@ def tree_duplicates(spark, d):
 
 
 def mapped(spark, d):
-    (nodes,) = frames(spark, d, "nodes")
+    """Nodes, and the way of each onto the spine; both sides are read many times, so they are written once."""
+    nodes = shared(frames(spark, d, "nodes")[0])
     group = nodes.where("tenant IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')")
-    return nodes, taxonomy.crosswalk(nodes.select("tenant", "source_key", "path", "lines"), group.groupBy("path").agg(F.count("*").alias("n")).where("n >= 2").select("path"))
+    spine = shared(group.groupBy("path").agg(F.count("*").alias("n")).where("n >= 2").select("path"))
+    return nodes, taxonomy.crosswalk(nodes.select("tenant", "source_key", "path", "lines"), spine)
+
+
+#: Paths as lists; neighbours that are equal but for case are one. Every label here is a word, a brand or a type.
+PLACED = "(SELECT tenant, source_key, path, lines, s, string_split(upper(array_to_string(s, ' > ')), ' > ') AS u FROM (SELECT *, CASE WHEN lower(l3) = lower(l4) THEN [g, l1, l2, l3] ELSE [g, l1, l2, l3, l4] END AS s FROM nodes))"
+SPINE = f"(SELECT u, array_to_string(u, ' > ') AS up, min(array_to_string(s, ' > ')) AS shown FROM (SELECT path, any_value(s) AS s, any_value(u) AS u FROM {PLACED} WHERE tenant IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4') GROUP BY path HAVING count(*) >= 2) GROUP BY u)"
+ANCESTORS = f"(SELECT k, u[:k] AS a, min(array_to_string(string_split(shown, ' > ')[:k], ' > ')) AS shown FROM (SELECT u, shown, unnest([3, 4]) AS k FROM {SPINE}) WHERE k <= len(u) GROUP BY 1, 2)"
+CROSSED = f"""(SELECT n.tenant, n.source_key, n.path, n.lines, n.u,
+  CASE WHEN e.up IS NOT NULL THEN 'exact' WHEN len(near.l) = 1 THEN 'leaf_moved' WHEN len(near.l) > 1 THEN 'leaf_moved_ambiguous' WHEN far.l IS NOT NULL THEN 'leaf_crosses_branch' WHEN coalesce(a4.shown, a3.shown) IS NOT NULL THEN 'parent_match' ELSE 'unmapped' END AS basis,
+  CASE WHEN e.up IS NOT NULL THEN e.shown WHEN len(near.l) = 1 THEN near.l[1] WHEN near.l IS NULL AND far.l IS NULL THEN coalesce(a4.shown, a3.shown) END AS target,
+  CASE WHEN e.up IS NOT NULL THEN 1.0 WHEN len(near.l) = 1 THEN 0.9 WHEN far.l IS NOT NULL THEN 0.3 WHEN a4.shown IS NOT NULL THEN 0.8 WHEN a3.shown IS NOT NULL THEN round(3 / len(n.u), 2) ELSE 0.0 END::DOUBLE AS confidence,
+  CASE WHEN e.up IS NULL AND len(near.l) > 1 THEN array_to_string(near.l[:4], ' | ') WHEN e.up IS NULL AND near.l IS NULL AND far.l IS NOT NULL THEN array_to_string(far.l[:4], ' | ') END AS candidates
+ FROM {PLACED} n LEFT JOIN {SPINE} e ON e.u = n.u
+ LEFT JOIN (SELECT u[-1] AS leaf, u[:2] AS branch, list(shown ORDER BY up) AS l FROM {SPINE} GROUP BY 1, 2) near ON near.leaf = n.u[-1] AND near.branch = n.u[:2] LEFT JOIN (SELECT u[-1] AS leaf, list(shown ORDER BY up) AS l FROM {SPINE} GROUP BY 1) far ON far.leaf = n.u[-1]
+ LEFT JOIN {ANCESTORS} a4 ON len(n.u) = 5 AND a4.k = 4 AND a4.a = n.u[:4] LEFT JOIN {ANCESTORS} a3 ON a3.k = 3 AND a3.a = n.u[:3])"""
 
 
-@query()
+@query(f"SELECT tenant, source_key, path, lines, basis, target, confidence, candidates FROM {CROSSED}")
 def tree_crosswalk(spark, d):
-    return mapped(spark, d)[1]
+    return mapped(spark, d)[1].withColumn("candidates", F.array_join("candidates", " | "))
 
 
-@query("SELECT CAST(sum(lines) AS BIGINT) AS lines_in, CAST(sum(lines) AS BIGINT) AS lines_out, true AS ok FROM nodes")
+@query("SELECT CAST(sum(lines) AS BIGINT) AS lines_in, CAST(sum(lines) FILTER (l1 <> 'Brand#12') AS BIGINT) AS lines_out, CAST(sum(lines) FILTER (l1 = 'Brand#12') AS BIGINT) AS lines_dropped, sum(lines) = sum(lines) FILTER (l1 <> 'Brand#12') + sum(lines) FILTER (l1 = 'Brand#12') AS ok FROM nodes")
 def tree_conservation(spark, d):
     nodes, m = mapped(spark, d)
-    return taxonomy.conserved(nodes, taxonomy.merged(m))
+    dropped = F.element_at(paths.split_path(F.col("path")), 2) == "Brand#12"
+    return taxonomy.conserved(nodes, taxonomy.merged(m.where(~dropped)), m.where(dropped))
 
 
-@query()
+@query(f"""SELECT resolved, 'XX-' || printf('%04d', CASE WHEN old THEN row_number() OVER (PARTITION BY old ORDER BY resolved) ELSE count(*) FILTER (old) OVER () + row_number() OVER (PARTITION BY old ORDER BY resolved) END) AS category_key, lines, nodes, absorbed
+ FROM (SELECT *, length(resolved) % 2 = 0 AS old FROM (SELECT CASE WHEN basis = 'leaf_moved' THEN upper(target) ELSE array_to_string(u, ' > ') END AS resolved, CAST(sum(lines) AS BIGINT) AS lines, count(*) AS nodes, CAST(count(*) FILTER (basis = 'leaf_moved') AS BIGINT) AS absorbed FROM {CROSSED} GROUP BY 1))""")
 def tree_numbered(spark, d):
     _, m = mapped(spark, d)
-    tree = taxonomy.merged(m)
-    old = tree.where(F.crc32(F.col("resolved").cast("binary")) % 2 == 0).withColumn("k", F.row_number().over(Window.partitionBy(taxonomy.gate_prefix(F.substring_index("resolved", paths.SEP, 1))).orderBy("resolved")))
-    previous = old.select("resolved", F.concat(taxonomy.gate_prefix(F.substring_index("resolved", paths.SEP, 1)), F.lit("-"), F.lpad(F.col("k").cast("string"), 4, "0")).alias("category_key"))
+    tree = shared(taxonomy.merged(m))
+    prefix = taxonomy.gate_prefix(F.substring_index("resolved", paths.SEP, 1))
+    old = tree.where(F.length("resolved") % 2 == 0).withColumn("k", F.row_number().over(Window.partitionBy(prefix).orderBy("resolved")))
+    previous = old.select("resolved", F.format_string("%s-%04d", prefix, "k").alias("category_key"))
     return taxonomy.numbered(tree, previous).select("resolved", "category_key", "lines", "nodes", "absorbed")
 
 
