@@ -102,6 +102,23 @@ def coverage(units: DataFrame, answers: DataFrame) -> DataFrame:
     return hit.crossJoin(F.broadcast(u.agg(F.count("*").alias("sent")))).withColumn("missing", F.col("sent") - F.col("answered"))
 
 
+def line_coverage(units: DataFrame, answers: DataFrame, seats: tuple[int, ...]) -> DataFrame:
+    """How many of the seats answered about each line that was sent, by its id: votes, thin (fewer than
+    all) and lost (none). Answers about lines that weren't sent count nowhere, repeated ones once."""
+    a = answers.where(F.col("seat").isin(*seats)).select("line_id", "seat").distinct().groupBy("line_id").agg(F.count("*").alias("votes"))
+    j = units.select("line_id").distinct().join(a, "line_id", "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
+    return j.select("line_id", "votes", (F.col("votes") < len(seats)).alias("thin"), (F.col("votes") == 0).alias("lost"))
+
+
+def ask_again(units: DataFrame, answers: DataFrame, seats: tuple[int, ...]) -> DataFrame:
+    """Units (batch, line_id, ...) with the seat that must be asked about them again: whole batches in which
+    that seat answered about no line that was sent. Who answered about a part of a batch isn't asked again;
+    line_coverage tells which lines lack it."""
+    batches = units.select("batch").distinct().select("batch", F.explode(F.array(*map(F.lit, seats))).alias("seat"))
+    heard = answers.select("seat", "line_id").join(units.select("batch", "line_id"), "line_id").select("batch", "seat").distinct()
+    return units.join(batches.join(heard, ["batch", "seat"], "left_anti"), "batch")
+
+
 def validated(answers: DataFrame, keys: DataFrame) -> DataFrame:
     """reject_reason: null for an answer that may be applied."""
     known = keys.select(F.col("category_key").alias("suggested_key"), F.col("in_scope"))

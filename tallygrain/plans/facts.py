@@ -39,6 +39,8 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
 JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 """
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+#: Setting that names the folder of stored fact lines; without it each query joins the star schema anew.
+STORED = "spark.tallygrain.lines"
 #: The crosswalk and the keys of the merged tree, as in the two engines.
 CROSS = "SELECT n_name AS tenant, CAST(k AS STRING) AS source_key, 'NC-000' || CAST(k % 6 AS STRING) AS target_key, k % 2 = 0 AS moved FROM nation CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6)) AS t(k)"
 KEYS = "SELECT 'NC-000' || CAST(k AS STRING) AS category_key, CASE WHEN k = 5 THEN 'Clinical' ELSE 'Goods' END AS l0, k <> 5 AS in_scope FROM (VALUES (0), (1), (2), (3), (4), (5)) AS t(k)"
@@ -66,7 +68,11 @@ WITH = f"WITH lines AS ({LINES}), cross_ AS ({CROSS}), keys_ AS ({KEYS}), votes
 def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Lazy frames of the derived relations and tables by name; nothing is registered in the session
     but views of the tables under names of their own."""
-    texts = {"lines": LINES, "cross_": CROSS, "keys_": KEYS, "votes": VOTES, "nodes": NODES}
+    stored = spark.conf.get(STORED, None)
+    if stored:
+        spark.read.parquet(stored).createOrReplaceTempView("stored_lines")
+    lines = "SELECT * FROM stored_lines" if stored else LINES
+    texts = {"lines": lines, "cross_": CROSS, "keys_": KEYS, "votes": VOTES, "nodes": NODES}
     out = []
     for n in names:
         if n not in texts:
@@ -74,10 +80,16 @@ def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
             continue
         for t in TABLES[:7]:
             spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        out.append(spark.sql(f"WITH lines AS ({LINES}) {texts[n]}" if n != "lines" else LINES))
+        out.append(spark.sql(f"WITH lines AS ({lines}) {texts[n]}" if n != "lines" else lines))
     return out
 
 
+def stored_facts(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the fact lines once, as a tenant's load does; the session's later queries read them there."""
+    frames(spark, sf_dir, "lines")[0].write.mode("overwrite").parquet(path)
+    spark.conf.set(STORED, path)
+
+
 class Registry:
     """Queries by name, each with its SQL where SQL can say it."""
 

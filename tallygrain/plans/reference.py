@@ -270,6 +270,22 @@ def answer_coverage(spark, d):
     return judge.coverage(lines.where(judged()), answers)
 
 
+@query("SELECT line_id, votes, votes < 3 AS thin, votes = 0 AS lost FROM (SELECT u.line_id, count(DISTINCT v.seat) AS votes FROM lines u LEFT JOIN (SELECT line_id, seat FROM votes WHERE verdict IS NOT NULL AND (line_id + seat) % 17 <> 0 AND line_id % 31 <> 0) v USING (line_id) WHERE verdict IS NOT NULL GROUP BY u.line_id)")
+def line_coverage(spark, d):
+    lines, votes = frames(spark, d, "lines", "votes")
+    alien = F.when((F.col("line_id") + F.col("seat")) % 17 == 0, -1).otherwise(1)  # answers about lines that nobody sent
+    answers = votes.where("verdict IS NOT NULL AND line_id % 31 <> 0").withColumn("line_id", F.col("line_id") * alien)
+    return judge.line_coverage(lines.where(judged()), answers.unionByName(answers), (0, 1, 2))
+
+
+@query("SELECT CAST(line_id % 997 AS BIGINT) AS batch, line_id, seat FROM lines CROSS JOIN (VALUES (0), (1), (2)) AS s(seat) WHERE verdict IS NOT NULL AND (line_id % 997 + seat) % 50 = 0")
+def ask_again(spark, d):
+    lines, votes = frames(spark, d, "lines", "votes")
+    batch = (F.col("line_id") % 997).alias("batch")
+    heard = votes.where("(line_id % 997 + seat) % 50 <> 0 AND NOT (line_id % 997 > 900 AND verdict IS NULL)")
+    return judge.ask_again(lines.where(judged()).select(batch, "line_id"), heard, (0, 1, 2))
+
+
 @query("SELECT line_id, seat, CASE WHEN verdict IS NULL OR verdict NOT IN ('Correct', 'Incorrect', 'Uncertain') THEN 'verdict' WHEN basis NOT IN ('description', 'supplier', 'rule', 'no_evidence') THEN 'basis' WHEN category_key IS NULL THEN 'unknown key' WHEN NOT in_scope AND line_id % 2 = 0 THEN 'out of scope' END AS reject_reason FROM votes LEFT JOIN keys_ ON trim(suggested_key) = category_key")
 def validated_answers(spark, d):
     votes, keys_ = frames(spark, d, "votes", "keys_")
