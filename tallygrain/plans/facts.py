@@ -73,14 +73,18 @@ def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
         spark.read.parquet(stored).createOrReplaceTempView("stored_lines")
     lines = "SELECT * FROM stored_lines" if stored else LINES
     texts = {"lines": lines, "cross_": CROSS, "keys_": KEYS, "votes": VOTES, "nodes": NODES}
+    # reading a table looks into its footers, so only those that the lines or the crosswalk name are read, once
+    need = set() if stored or not any(n in texts and n not in ("cross_", "keys_") for n in names) else {"lineitem", "supplier", "nation", "part", "orders"}
+    for t in need | ({"nation"} if "cross_" in names else set()):
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     out = []
     for n in names:
         if n not in texts:
             out.append(spark.read.parquet(f"{sf_dir}/{n}.parquet"))
-            continue
-        for t in TABLES[:7]:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        out.append(spark.sql(f"WITH lines AS ({lines}) {texts[n]}" if n != "lines" else lines))
+        elif n in ("lines", "cross_", "keys_"):
+            out.append(spark.sql(texts[n]))
+        else:
+            out.append(spark.sql(f"WITH lines AS ({lines}) {texts[n]}"))
     return out
 
 

@@ -278,7 +278,7 @@ def line_coverage(spark, d):
     return judge.line_coverage(lines.where(judged()), answers.unionByName(answers), (0, 1, 2))
 
 
-@query("SELECT CAST(line_id % 997 AS BIGINT) AS batch, line_id, seat FROM lines CROSS JOIN (VALUES (0), (1), (2)) AS s(seat) WHERE verdict IS NOT NULL AND (line_id % 997 + seat) % 50 = 0")
+@query("SELECT batch, line_id, seat FROM (SELECT line_id % 997 AS batch, line_id, CAST(seat AS INTEGER) AS seat FROM lines CROSS JOIN (VALUES (0), (1), (2)) AS s(seat) WHERE verdict IS NOT NULL) WHERE (batch, seat) NOT IN (SELECT (line_id % 997, seat) FROM votes WHERE (line_id % 997 + seat) % 50 <> 0 AND (line_id % 997 <= 900 OR verdict IS NOT NULL))")
 def ask_again(spark, d):
     lines, votes = frames(spark, d, "lines", "votes")
     batch = (F.col("line_id") % 997).alias("batch")
