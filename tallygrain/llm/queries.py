@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrain.llm import bpe_codec, decontam, ogg_media, quality_fm, sharding, simhash_vp, token_counts, token_files, toxicity, url_filter
+from tallygrain.llm import bpe_codec, decontam, ogg_media, quality_fm, quality_rules, sharding, simhash_vp, token_counts, token_files, toxicity, url_filter
 from tallygrain.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(*tables(spark, sf_dir, "documents", "benchmark"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(*tables(spark, sf_dir, "documents", "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
