@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygrain.llm import bpe_codec, decontam, ogg_media, quality_fm, quality_rules, sharding, simhash_vp, spelling, token_counts, token_files, toxicity, url_filter
+from tallygrain.llm import bpe_codec, collocations, decontam, ogg_media, quality_fm, quality_rules, sharding, simhash_vp, spelling, token_counts, token_files, toxicity, url_filter
 from tallygrain.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +76,14 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(docs)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return collocations.collocations(docs)
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontamination": decontam.oracle(), "op12_spelling_variants": spelling.oracle()}
+    return {"op10_decontamination": decontam.oracle(), "op12_spelling_variants": spelling.oracle(), "op13_collocations": collocations.oracle()}
