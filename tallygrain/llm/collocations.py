@@ -209,7 +209,8 @@ def walked(frequent: DataFrame, reverse: bool, rows: int = RANGE_ROWS) -> DataFr
                 names, counts = p, counts[:d] + [f]
                 if own and d:
                     out.append((lang, phrase, counts[:d]))
-            yield pd.DataFrame(out, columns=["lang", "phrase", "parts"])
+            if out:
+                yield pd.DataFrame(out, columns=["lang", "phrase", "parts"])
 
     kinds = "lang string, phrase string, f long, path array<string>, range int, own boolean"
     ordered = nodes.mapInPandas(dealt, kinds).repartition("range").sortWithinPartitions("range", "lang", "path", F.desc("own"))
@@ -227,6 +228,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     return words.unionByName(pairs).unionByName(longer), shard.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
+def weakest_cut() -> Column:
+    """Column struct (score, k, l, r): the cut with the least score, the first of equal ones, of a phrase's count
+    a, the words n, and the counts of its beginnings ls and ends rs. Products are decimals of 38 digits."""
+    return F.expr("""array_min(transform(sequence(1, size(ls)), k -> struct(
+      (1000 * CAST(a AS DECIMAL(19, 0)) * CAST(n AS DECIMAL(19, 0))) div (CAST(ls[k - 1] AS DECIMAL(19, 0)) * CAST(rs[size(rs) - k] AS DECIMAL(19, 0))) AS score,
+      k AS k, ls[k - 1] AS l, rs[size(rs) - k] AS r)))""")
+
+
 def collocations(docs: DataFrame, top: int = TOP, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's best phrases of two words or more, by the
     score of their weakest cut, without those that a longer one replaces."""
@@ -238,11 +247,8 @@ def collocations(docs: DataFrame, top: int = TOP, text_col: str = "text", lang_c
     inside = phrases.where(m > 2).select("lang", F.col("a").alias("longer"), F.explode(spans).alias("phrase")).groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     gone = inside.join(phrases, ["lang", "phrase"]).where(100 * F.col("longer") >= REPLACES * F.col("a")).select("lang", "phrase")
     left, right = (walked(counts, reverse).withColumnRenamed("parts", name) for reverse, name in ((False, "ls"), (True, "rs")))
-    cut = F.expr("""array_min(transform(sequence(1, size(ls)), k -> struct(
-      (1000 * CAST(a AS DECIMAL(19, 0)) * CAST(n AS DECIMAL(19, 0))) div (CAST(ls[k - 1] AS DECIMAL(19, 0)) * CAST(rs[size(rs) - k] AS DECIMAL(19, 0))) AS score,
-      k AS k, ls[k - 1] AS l, rs[size(rs) - k] AS r)))""")
     small = total.count() <= BROADCAST_KEYS  # a row for each language
-    scored = phrases.join(gone, ["lang", "phrase"], "left_anti").join(left, ["lang", "phrase"]).join(right, ["lang", "phrase"]).join(F.broadcast(total) if small else total, "lang").withColumn("x", cut)
+    scored = phrases.join(gone, ["lang", "phrase"], "left_anti").join(left, ["lang", "phrase"]).join(right, ["lang", "phrase"]).join(F.broadcast(total) if small else total, "lang").withColumn("x", weakest_cut())
     best = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("x.score"), F.desc("a"), "phrase"))
     ranked = scored.withColumn("rank", best).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "x.l", "x.r", "n", F.col("x.score").cast("long").alias("score"))

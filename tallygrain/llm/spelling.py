@@ -69,7 +69,8 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 if len(held) >= HELD:
                     yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                     held.clear()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())}, columns=["word", "n"])
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= times)
