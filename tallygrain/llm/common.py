@@ -62,12 +62,21 @@ def sampled(ids: DataFrame, rows: int, salt: int = 42) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id").limit(rows)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def left_out(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """The rows of docs whose key (never null) isn't in gone (one column, `key`). The keys are written
     first; up to BROADCAST_KEYS they are broadcast and no text moves, beyond both sides are dealt out."""
-    gone = materialise(gone.select(F.col("key").alias("_gone")).distinct())
+    name = unused(docs, "_gone")
+    gone = materialise(gone.select(F.col("key").alias(name)).distinct())
     side = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
-    return docs.join(side, key == F.col("_gone"), "left_anti")
+    return docs.join(side, key == F.col(name), "left_anti")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -11,7 +11,7 @@ a window, one of them misses both. A shorter item that may have s tokens replace
 each of every (s + 1)th token from a start of its own, so one of them is whole whichever s are
 replaced. So no overlap is lost in either case.
 
-Edge cases: a null or empty text has no tokens and no hits; items with fewer than LEAST tokens are no
+Edge cases: a null or empty text has no tokens and no hits; items with fewer than LEAST tokens (a parameter) are no
 passage and have no hits; texts of any length are searched whole; a null id is kept as it is; rows of
 one id are one document or item where results are counted, but each row's text is compared by itself;
 an empty table gives an empty result; other columns are not read.
@@ -29,7 +29,7 @@ from tallygrain.llm.common import left_out, materialise
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("11101001", "11010011", "10110101")
 SPAN, WINDOW, SHARE = 8, 13, 0.8
-#: Least tokens of an item: one or two words stand in any text.
+#: Least tokens of an item, unless the caller asks for fewer: one or two words stand in any text.
 LEAST = 3
 #: Most tokens of a window that stand before its seed.
 BEFORE = WINDOW - SPAN
@@ -62,10 +62,10 @@ def positions(h: Column, span: int) -> Column:
     return F.when(F.size(h) >= span, F.sequence(F.lit(0), F.size(h) - span))
 
 
-def benchmark_seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> tuple[list[str], DataFrame]:
+def benchmark_seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", least: int = LEAST) -> tuple[list[str], DataFrame]:
     """The masks, and seed, item_id, lead and win: the tokens that a window with the seed can reach; the
     seed starts at win[lead]."""
-    items = hashed(benchmark, item_col, text_col, "item_id").withColumn("n", F.size("h")).where(F.col("n") >= LEAST)
+    items = hashed(benchmark, item_col, text_col, "item_id").withColumn("n", F.size("h")).where(F.col("n") >= max(least, 1))
     at = items.where(F.col("n") >= WINDOW).select("item_id", "h", F.explode(positions(F.col("h"), SPAN)).alias("p"))
     at = at.withColumn("lead", F.least("p", F.lit(BEFORE)))
     win = F.slice("h", F.col("p") - F.col("lead") + 1, F.col("lead") + WINDOW)
@@ -79,10 +79,11 @@ def benchmark_seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: s
     return masks, keys
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", fewest: int = LEAST) -> DataFrame:
     """doc_id, item_id, first_token (where the first overlap starts in the text), n_overlaps (number
-    of verified windows' places), equal_tokens (most in a window): a row for each document and item."""
-    masks, keys = benchmark_seeds(benchmark)
+    of verified windows' places), equal_tokens (most in a window): a row for each document and item.
+    fewest: least tokens of an item; 1 searches single words too."""
+    masks, keys = benchmark_seeds(benchmark, least=fewest)
     keys = materialise(keys)
     n_keys = keys.count()
     h, i, least = F.col("h"), F.col("i"), min(map(len, masks))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import BROADCAST_KEYS, left_out, materialise, small_batches
+from tallygrain.llm.common import BROADCAST_KEYS, left_out, materialise, small_batches, unused
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: Of `one_of_each`: words of a shingle, least similarity, bits within which fingerprints of word sets
@@ -380,7 +380,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return with_hot_keys(prints, by_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def similar_in_cell(pdf: pd.DataFrame) -> pd.DataFrame:
+def similar_in_cell(pdf: pd.DataFrame, far: int = FAR) -> pd.DataFrame:
     """Links (a, b) between questions and owners (t, second, shingles, part) of one task whose sets are
     similar. Sets meet as rows of bits, over a block of shingles at a time; pairs already joined are passed over."""
     pdf = pdf.sort_values(["t", "part"], ascending=[True, False]).drop_duplicates(["t", "part"] if (pdf["part"] == OWNS).any() else ["t"])
@@ -411,7 +411,7 @@ def similar_in_cell(pdf: pd.DataFrame) -> pd.DataFrame:
     step = max(1, HELD // max(1, len(owns)))
     for k in range(0, len(asks), step):
         some = asks[k : k + step, None]
-        fit = (found.label[place[some]] != found.label[place[owns]]) & (distance(second[some], second[owns][None, :]) <= FAR)
+        fit = (found.label[place[some]] != found.label[place[owns]]) & (distance(second[some], second[owns][None, :]) <= far)
         fit &= np.minimum(size[some], size[owns]) >= SIMILAR * np.maximum(size[some], size[owns])
         a, b = np.nonzero(fit)
         a, b = asks[k + a], owns[b]
@@ -421,10 +421,10 @@ def similar_in_cell(pdf: pd.DataFrame) -> pd.DataFrame:
     return found.edges(name)
 
 
-def similar_texts(prints: DataFrame, texts: DataFrame) -> DataFrame:
+def similar_texts(prints: DataFrame, texts: DataFrame, near: int = NEAR, far: int = FAR) -> DataFrame:
     """(node, root) of texts t that similarity joins. prints: key, t, second, shingles; texts: a row for
     each t with one of its keys, fp, second and the number of shingles."""
-    rough = components(links(texts.select("fp", "second").distinct(), NEAR, BANDS, FAR))
+    rough = components(links(texts.select("fp", "second").distinct(), near, max(BANDS, near // 3 + 1), far))
     rooted = materialise(texts.join(rough, F.col("fp") == F.col("node"), "left").select("key", "shingles", F.coalesce("root", "fp").alias("root")))
     held = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("shingles").alias("s")).where("n > 1")
     side = F.greatest(F.ceil(F.col("n") / CELL_TEXTS), F.ceil(F.col("s") / CELL_SHINGLES)).cast("int")
@@ -437,11 +437,12 @@ def similar_texts(prints: DataFrame, texts: DataFrame) -> DataFrame:
     whole = F.array(cell(F.lit(0), F.lit(0), BOTH))
     grid = F.concat(F.transform(each, lambda k: cell(h, k, OWNS)), F.transform(each, lambda k: cell(k, h, ASKS)))
     dealt_out = sets.select("root", "t", "second", "shingles", F.explode(F.when(F.col("side") == 1, whole).otherwise(grid)).alias("x")).select("root", "t", "second", "shingles", "x.*")
-    return components(dealt_out.groupBy("root", "r", "c").applyInPandas(similar_in_cell, "a string, b string").distinct())
+    return components(dealt_out.groupBy("root", "r", "c").applyInPandas(lambda pdf: similar_in_cell(pdf, far), "a string, b string").distinct())
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row, with all its columns, of each class of similar texts: that with the smallest id."""
+def one_of_each(docs: DataFrame, near: int = NEAR, far: int = FAR) -> DataFrame:
+    """One row, with all its columns, of each class of similar texts: that with the smallest id. Pairs
+    beyond `near` and `far` bits are not looked at; larger numbers find more of them and cost more."""
     small_batches(docs.sparkSession)
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest)
@@ -449,7 +450,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     texts = prints.groupBy("t").agg(F.min(order).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("second").alias("second"), F.min(F.octet_length("shingles") / 8).cast("long").alias("shingles"))
     texts = materialise(texts)
-    alike = similar_texts(prints, texts.select("t", "least.key", "fp", "second", "shingles"))
+    alike = similar_texts(prints, texts.select("t", "least.key", "fp", "second", "shingles"), near, far)
     classed = texts.join(alike, F.col("t") == F.col("node"), "left").select("t", "n", "least", F.coalesce("root", "t").alias("class"))
     best = classed.groupBy("class").agg(F.min("least").alias("best"))
     kept = materialise(classed.join(best, "class").select("t", "n", F.col("best.key").alias("best")))
@@ -458,5 +459,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     again = materialise(prints.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     if not again.count():
         return rows
-    once = rows.withColumn("_key", key).join(again.withColumnRenamed("key", "_again"), F.col("_key") == F.col("_again"), "left_semi").dropDuplicates(["_key"])
-    return left_out(rows, key, again).unionByName(once.select(docs.columns))
+    own, other = unused(docs, "_key"), unused(docs, "_again")
+    once = rows.withColumn(own, key).join(again.withColumnRenamed("key", other), F.col(own) == F.col(other), "left_semi").dropDuplicates([own])
+    return left_out(rows, key, again).union(once.drop(own))

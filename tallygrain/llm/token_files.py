@@ -13,6 +13,7 @@ counts, and files of others are removed once it is there. Only those lines reach
 
 Edge cases: a null or empty text is the end id alone; a null id sorts first; rows that share an id
 stand together, ordered by the hash of the text and then by the text, and may go over several files;
+ids are stored as 64-bit numbers, so one that is none counts as null;
 an empty table gives no files and an empty result; texts are encoded whole; other columns are not read.
 """
 
@@ -174,7 +175,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
             sink.close()
             yield pa.RecordBatch.from_pylist([{"file": name, "n_docs": len(writer.ids), "n_ids": writer.n_ids, "n_bytes": writer.n_bytes}])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     files = max(-(-int(size) // FILE_BYTES), spark.sparkContext.defaultParallelism)
     placed = rows.repartitionByRange(files, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")

@@ -33,12 +33,14 @@ POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 6_000
 #: A word's beginnings that count as features.
 BEGINNINGS = (4, 5, 6)
 #: A feature takes part if so many confirmed texts have it and its share among them exceeds that
-#: among unlabelled texts by so many standard errors.
+#: among unlabelled texts that aren't confirmed by so many standard errors.
 LEAST_ROWS, LEAST_Z = 3, 5.0
-#: The class prior where no clean text is labelled; it counts as so many labelled rows; and the least and
-#: most that labels may make of it.
-PRIOR, PRIOR_ROWS, LEAST_PRIOR, MOST_PRIOR = 0.05, 100, 0.001, 0.4
+#: The class prior where no clean text is labelled; it counts as so many labelled rows; and how near to 0
+#: and 1 labels may bring it, so that its log odds are finite.
+PRIOR, PRIOR_ROWS, LEAST_PRIOR = 0.05, 100, 0.001
 ROUNDS, RATE, SHRINK = 300, 0.05, 1e-4
+#: Marks an unlabelled document of the sample that is a confirmed one too.
+CONFIRMED_TOO = 2
 
 
 def word_features(chunk: str) -> list[int]:
@@ -81,10 +83,11 @@ class ToxicityModel:
         return score
 
 
-def telling(positive: Rows, unlabelled: Rows, width: int) -> np.ndarray:
-    """The features that are clearly commoner in confirmed toxic than in unlabelled texts."""
-    n1, n0 = positive.n, unlabelled.n
-    c1, c0 = np.bincount(positive.col, minlength=width), np.bincount(unlabelled.col, minlength=width)
+def telling(positive: Rows, rest: Rows, width: int) -> np.ndarray:
+    """The features that are clearly commoner in confirmed toxic texts than in the unlabelled that aren't
+    confirmed. Where most texts are toxic and confirmed, all unlabelled ones would hardly differ."""
+    n1, n0 = positive.n, rest.n
+    c1, c0 = np.bincount(positive.col, minlength=width), np.bincount(rest.col, minlength=width)
     p = (c1 + c0) / (n1 + n0)
     z = (c1 / n1 - c0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
     return np.flatnonzero((c1 >= LEAST_ROWS) & (z >= LEAST_Z))
@@ -123,19 +126,23 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, width: int) -> tupl
 def class_prior(labelled: DataFrame) -> float:
     """The share of toxic among labelled ids (doc_id, y); one aggregate reaches the driver."""
     n, toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    return PRIOR if n == toxic else min(max((toxic + PRIOR * PRIOR_ROWS) / (n + PRIOR_ROWS), LEAST_PRIOR), MOST_PRIOR)
+    return PRIOR if n == toxic else min(max((toxic + PRIOR * PRIOR_ROWS) / (n + PRIOR_ROWS), LEAST_PRIOR), 1 - LEAST_PRIOR)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None) -> ToxicityModel:
-    """Fit on at most POSITIVE_ROWS confirmed and UNLABELLED_ROWS other documents outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None, screen: bool = True) -> ToxicityModel:
+    """Fit on at most POSITIVE_ROWS confirmed and UNLABELLED_ROWS other documents outside the held-out fold.
+    prior: the share of toxic texts, else that among the labels; screen: only telling features take part."""
     labelled = labelled_ids(labels, label)
     confirmed = sampled(labelled.where("y = 1"), POSITIVE_ROWS)
     free = sampled(docs.where(~held_out()).select("doc_id").distinct(), UNLABELLED_ROWS, 7)
-    picks = confirmed.unionByName(free.withColumn("y", F.lit(0)))
+    both = free.join(labelled.where("y = 1").select("doc_id", F.lit(True).alias("known")), "doc_id", "left")
+    picks = confirmed.unionByName(both.select("doc_id", F.when(F.col("known"), CONFIRMED_TOO).otherwise(0).alias("y")))
     got = collected_rows(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id"), packed)
-    positive, unlabelled = (Rows([np.frombuffer(f, np.int32) for y, f in got if y == k]) for k in (1, 0))
+    positive, unlabelled, rest = (Rows([np.frombuffer(f, np.int32) for y, f in got if y in k]) for k in ((1,), (0, CONFIRMED_TOO), (0,)))
     width = 1 << BITS
-    names = telling(positive, unlabelled, width) if positive.n and unlabelled.n else np.zeros(0, np.int64)
+    names = np.zeros(0, np.int64)
+    if positive.n and unlabelled.n:
+        names = telling(positive, rest, width) if screen and rest.n else np.unique(np.concatenate([positive.col, unlabelled.col]))
     if not len(names):
         return ToxicityModel(-40.0, names, np.zeros(0))
     b, w = fit_nnpu(positive.only(names, width), unlabelled.only(names, width), prior or class_prior(labelled), len(names))
@@ -154,15 +161,15 @@ def score(text: Column, model: ToxicityModel) -> Column:
     return run(text)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.5) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.5, prior: float | None = None, screen: bool = True) -> DataFrame:
     """doc_id, held_out, score, predicted (1 if score >= cut), a row for each row of docs."""
     small_batches(docs.sparkSession)
-    model = train(docs, labels)
+    model = train(docs, labels, prior=prior, screen=screen)
     got = docs.select("doc_id", held_out().alias("held_out"), score(F.col("text"), model).alias("score"))
     return got.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.5, prior: float | None = None, screen: bool = True) -> DataFrame:
     """The rows of docs, with all their columns, whose text isn't toxic."""
     small_batches(docs.sparkSession)
-    return docs.where(score(F.col("text"), train(docs, labels)) < cut)
+    return docs.where(score(F.col("text"), train(docs, labels, prior=prior, screen=screen)) < cut)
