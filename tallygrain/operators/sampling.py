@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrain.operators import ordered
+
 
 def hashed_order(key: Column) -> list[Column]:
     return [F.sha2(key.cast("string"), 256), key]
@@ -36,8 +38,6 @@ def one_in(df: DataFrame, key: Column, n: int) -> DataFrame:
 
 
 def ranges(df: DataFrame, by: str, number: str) -> DataFrame:
-    """Consecutive numbers as ranges."""
-    from pyspark.sql import Window
-
-    k = F.row_number().over(Window.partitionBy(by).orderBy(number))
-    return df.select(by, number).distinct().withColumn("_g", F.col(number) - k).groupBy(by, "_g").agg(F.min(number).alias("low"), F.max(number).alias("high")).drop("_g")
+    """Consecutive numbers as ranges: what stays equal inside a range is the number less its place."""
+    placed = ordered.numbered(df.select(by, number).distinct(), [by], [number], "_k")
+    return placed.withColumn("_g", F.col(number) - F.col("_k")).groupBy(by, "_g").agg(F.min(number).alias("low"), F.max(number).alias("high")).drop("_g")

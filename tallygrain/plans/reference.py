@@ -486,6 +486,12 @@ def tree_spine(spark, d):
     return taxonomy.spine(nodes, ["NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_16", "NATION_20"])
 
 
+@query(f"SELECT a.label AS a, b.label AS b, CAST(levenshtein(a.k, b.k) AS INTEGER) AS edits, a.lines + b.lines AS lines FROM (SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM {SIBLINGS} GROUP BY label) a JOIN (SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM {SIBLINGS} GROUP BY label) b ON a.label < b.label AND abs(length(a.label) - length(b.label)) <= 3 WHERE levenshtein(a.k, b.k) IN (1, 2)")
+def near_labels(spark, d):
+    (nodes,) = frames(spark, d, "nodes")
+    return taxonomy.near_labels(nodes.select(F.explode(F.array("l1", "l2", "l3", "l4")).alias("label"), "lines"))
+
+
 @query("SELECT tenant, canon, count(*) AS nodes, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT tenant, lines, upper('Goods > ' || l1 || ' > ' || l2 || ' > ' || l3 || CASE WHEN lower(l3) = lower(l4) THEN '' ELSE ' > ' || l4 END) AS canon FROM nodes) GROUP BY tenant, canon HAVING count(*) > 1")
 def tree_duplicates(spark, d):
     (nodes,) = frames(spark, d, "nodes")
@@ -547,7 +553,7 @@ KIDS = f"""(SELECT parent, min(child) AS child, string_split(parent, ' > ')[-1]
  GROUP BY parent HAVING count(DISTINCT child) = 1)"""
 OTHER = f"{LOOSE.format('child')} = {LOOSE.format("(tail || ' - Other')")}"
 GENERICS = ", ".join(LOOSE.format(f"'{g}'") for g in taxonomy.GENERIC)
-FINDINGS = f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUDITED} WHERE len(list_filter(s[2:], lambda x: length(x) > 60 OR contains(x, '?') OR regexp_matches(x, '(?i),.{{0,12}}\\bthe\\b.{{0,20}}\\blevel\\b'))) > 0
+FINDINGS = f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUDITED} WHERE len(list_filter(s[2:], lambda x: length(x) > 60 OR contains(x, '?') OR (contains(x, ',') AND list_has_all(regexp_split_to_array(lower(x[instr(x, ',') + 1:]), '[^a-z]+'), ['the', 'level'])))) > 0
  UNION ALL SELECT DISTINCT 'contradiction', true, path, lines FROM (SELECT path, lines, unnest(s) AS x, unnest(s[2:]) AS y FROM {AUDITED}) WHERE {STATE.format("x")} <> {STATE.format("y")}
  UNION ALL SELECT 'prefix_bucket', true, path, lines FROM {AUDITED} p WHERE EXISTS (FROM nodes q WHERE starts_with(q.path, p.path || ' > '))
  UNION ALL SELECT 'sole_other', true, path, lines FROM {AUDITED} WHERE len(s) >= 3 AND {LOOSE.format("leaf")} = {LOOSE.format("(s[-2] || ' - Other')")} AND parent IN (SELECT parent FROM {KIDS})

@@ -62,12 +62,12 @@ def reset(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def batches(units: DataFrame, size: int, by: str, order: Column) -> DataFrame:
-    """One JSON document for each batch of at most `size` units of a group."""
-    from pyspark.sql import Window
+    """One JSON document for each batch of at most `size` units of a group, in order."""
+    from tallygrain.operators import ordered
 
-    k = F.floor((F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1) / size)
     body = F.struct(*[c for c in units.columns if c != by])
-    return units.withColumn("batch", k).groupBy(by, "batch").agg(F.to_json(F.struct(F.array_sort(F.collect_list(body)).alias("units"))).alias("payload"), F.count("*").alias("units"))
+    placed = ordered.numbered(units, [by], [order], "_k")
+    return placed.withColumn("batch", F.floor((F.col("_k") - 1) / size)).groupBy(by, "batch").agg(F.to_json(F.struct(F.array_sort(F.collect_list(body)).alias("units"))).alias("payload"), F.count("*").alias("units"))
 
 
 def crosswalk_csv(df: DataFrame, path: str) -> None:
