@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallygrain.functions.text import loose, plain, undecided
+from tallygrain.functions.text import NO_MATCH, NOT_USED, loose, plain, undecided
 
 SEP = " > "
 
@@ -15,8 +15,9 @@ def split_path(path: Column) -> Column:
 
 
 def canonical(segments: Column) -> Column:
-    """Trimmed segments without blanks and (markers); of equal neighbours by loose key, the first."""
-    kept = F.filter(F.transform(segments, lambda x: F.trim(x)), lambda x: F.coalesce(x != "", F.lit(False)) & ~x.startswith("("))
+    """Trimmed segments without blanks and the mark of an unused level, in any case; of equal neighbours by loose
+    key, the first. A label in brackets is a label."""
+    kept = F.filter(F.transform(segments, lambda x: F.trim(x)), lambda x: F.coalesce((x != "") & (F.lower(x) != NOT_USED), F.lit(False)))
     return F.filter(kept, lambda x, i: (i == 0) | (loose(x) != loose(F.get(kept, i - 1))))
 
 
@@ -33,8 +34,13 @@ def distinct_depth(levels: list[Column]) -> Column:
 
 
 def readable(levels: list[Column]) -> Column:
-    """Levels that say something, joined; blanks and (markers) are passed over."""
-    return F.concat_ws(SEP, *[F.when((F.trim(c) != "") & ~F.trim(c).startswith("("), F.trim(c)) for c in levels])
+    """Levels that say something, joined; blanks and marks of absence are passed over."""
+    return F.concat_ws(SEP, *[F.when((F.trim(c) != "") & ~absent(F.trim(c)), F.trim(c)) for c in levels])
+
+
+def absent(label: Column) -> Column:
+    """Whether a label is a mark that a level isn't used, isn't there or has no match."""
+    return F.lower(label).isin(NOT_USED, NO_MATCH) | label.rlike(r"^\(no level \d+ in this taxonomy\)$")
 
 
 def padded(segments: Column, depth: int = 4) -> Column:

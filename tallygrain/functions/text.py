@@ -24,6 +24,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(clean(c), F.lit("")) == ""
 
 
+def uncategorised(l0: Column) -> Column:
+    """Whether a first level says that nothing was decided: null, blank, or the word that normalise() writes."""
+    return blank(l0) | F.coalesce(clean(l0) == UNCATEGORISED, F.lit(False))
+
+
 def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
@@ -101,8 +106,3 @@ def content_words(label: Column, stop: tuple[str, ...]) -> Column:
     words = F.split(F.replace(F.lower(F.coalesce(label, F.lit(""))), F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}]+")
     kept = F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*stop))
     return F.transform(kept, lambda w: F.regexp_replace(w, "(?<!s)s$", ""))
-
-
-def unpipe(text: Column) -> Column:
-    """What stands between the first { and the last } of a fenced answer."""
-    return F.regexp_extract(F.coalesce(text, F.lit("")), r"(?s)(\{.*\})", 1)

@@ -45,7 +45,7 @@ def deterministic(lines: DataFrame) -> DataFrame:
     Lines with a verdict keep it and have no finding."""
     c = contradictions(lines).select("tenant", "subject_id", F.lit(True).alias("_c"))
     j = lines.join(c, ["tenant", "subject_id"], "left")
-    found = F.when(F.col("_c"), "contradiction").when(F.col("l0") == "", "uncategorised").when(F.col("description_usable") == "N", "unjudgeable")
+    found = F.when(F.col("_c"), "contradiction").when(text.uncategorised(F.col("l0")), "uncategorised").when(F.col("description_usable") == "N", "unjudgeable")
     j = j.withColumn("finding", F.when(F.col("verdict").isNull(), found)).drop("_c")
     given = F.coalesce(*[F.when(F.col("finding") == f, v) for f, v in FINDINGS])
     return j.withColumn("verdict", F.coalesce("verdict", given)).withColumn("confidence", F.when(F.col("finding").isNotNull(), 1.0)).withColumn("basis", F.concat(F.lit("deterministic_"), "finding"))

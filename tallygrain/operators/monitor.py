@@ -35,6 +35,13 @@ def panel(lines: DataFrame) -> DataFrame:
     )
 
 
+def mix(lines: DataFrame, column: str) -> DataFrame:
+    """Judged lines of each tenant by one of their columns, such as the verdict or the basis, and their share."""
+    n = lines.where("verdict IS NOT NULL").groupBy("tenant", column).agg(F.count("*").alias("lines"))
+    all_ = n.groupBy("tenant").agg(F.sum("lines").alias("_all"))
+    return n.join(all_, "tenant").withColumn("pct", F.round(100.0 * F.col("lines") / F.col("_all"), 4)).drop("_all")
+
+
 def action_mix(lines: DataFrame) -> DataFrame:
     return lines.groupBy("tenant", "action").agg(F.count("*").alias("lines"), F.sum("cents").alias("cents"))
 

@@ -19,12 +19,42 @@ class TenantConfig:
     descriptions: tuple[str, ...]
     excluded_l0: tuple[str, ...] = ()
     tables: dict[str, str] = field(default_factory=dict)
+    line_identity: tuple[str, ...] = ()
+    gate: bool = False
+    keywords: tuple[str, ...] = ()
 
     REQUIRED = ("supplier", "spend", "l0", "l1")
     REPORT = ("rule_id", "invoice_date", "source_row_id")
 
+    @staticmethod
+    def of(tenant: str, settings: dict) -> TenantConfig:
+        """The configuration in a nested mapping, as a YAML or JSON file holds it: source (columns,
+        description_fields, table, taxonomy_table, line_identity) and clinical_gate (enabled, exclude_values,
+        exclude_keywords). Blank entries count as absent."""
+        text = lambda v: str(v).strip() if v is not None else ""
+        listed = lambda v: tuple(t for t in map(text, v or []) if t)
+        source, gate = settings.get("source") or {}, settings.get("clinical_gate") or {}
+        columns = {k: text(v) for k, v in (source.get("columns") or {}).items() if text(v)}
+        tables = {k: text(source.get(k)) for k in ("table", "taxonomy_table") if text(source.get(k))}
+        return TenantConfig(
+            tenant, columns, listed(source.get("description_fields")), listed(gate.get("exclude_values")), tables,
+            listed(source.get("line_identity")), bool(gate.get("enabled")), listed(gate.get("exclude_keywords")),
+        )
+
     def missing_for_run(self) -> list[str]:
-        return [c for c in self.REQUIRED if c not in self.columns] + ([] if self.descriptions else ["descriptions"])
+        """What keeps a run from starting. Exclusion by keywords is refused: what is out of scope is told by the
+        first level of the category alone."""
+        out = [c for c in self.REQUIRED if c not in self.columns] + ([] if self.descriptions else ["descriptions"])
+        out += ["excluded_l0"] * (self.gate and not self.excluded_l0)
+        return out + ["keywords, by which nothing may be excluded"] * bool(self.keywords)
+
+    def identity(self) -> tuple[str, ...]:
+        """The physical columns that tell a tenant's lines apart: as configured, else the source's row id, else
+        what an invoice has."""
+        if self.line_identity:
+            return tuple(self.columns.get(c, c) for c in self.line_identity)
+        names = ("source_row_id",) if "source_row_id" in self.columns else ("invoice_id", "invoice_number", "invoice_line_number")
+        return tuple(self.columns[c] for c in names if c in self.columns)
 
     def missing_for_report(self) -> list[str]:
         return self.missing_for_run() + [c for c in self.REPORT if c not in self.columns]
@@ -64,7 +94,9 @@ def scope_status(l0: Column, excluded: tuple[str, ...]) -> Column:
 
 
 def normalise(df: DataFrame, cfg: TenantConfig, run_id: str, source: str, levels: int = 5) -> DataFrame:
-    """All fact columns in one projection; a missing optional column becomes a typed null."""
+    """All fact columns in one projection, under the names that queue, judge, profile, monitor, preflight and
+    actions read; a missing optional column becomes a typed null. line_id is the source's row id if that is a
+    whole number, else a hash of the columns that identify a line; cents is spend in whole hundredths."""
     if cfg.missing_for_run():
         raise ValueError(f"{cfg.tenant}: no mapping for {cfg.missing_for_run()}")
     cfg.same_catalog()
@@ -74,15 +106,20 @@ def normalise(df: DataFrame, cfg: TenantConfig, run_id: str, source: str, levels
     spend = at("spend").try_cast("double")
     named = [level(lev[0], x) for x in lev]
     described = text.first_usable(desc)
+    same = [column_of(df, [c]) for c in cfg.identity()] or [F.lit(None).cast("string")]
+    line_id = F.xxhash64(F.lit(cfg.tenant), *same)
+    line_id = F.coalesce(same[0].try_cast("long"), line_id) if len(same) == 1 else line_id
     return df.select(
         F.lit(run_id).alias("run_id"),
         F.lit(cfg.tenant).alias("tenant"),
+        line_id.alias("line_id"),
         at("source_row_id").alias("source_row_id"),
         at("supplier").alias("supplier"),
         described.alias("description"),
         F.when(text.any_of([text.usable(d) for d in desc]), "Y").otherwise("N").alias("description_usable"),
         text.filled_by(dict(zip(cfg.descriptions, desc, strict=True))).alias("description_source"),
         spend.alias("spend"),
+        F.round(spend * 100).cast("long").alias("cents"),
         F.when(spend < 0, 1).otherwise(0).alias("is_credit"),
         *[c.alias(f"l{i}") for i, c in enumerate(named)],
         scope_status(lev[0], cfg.excluded_l0).alias("scope"),
@@ -92,9 +129,11 @@ def normalise(df: DataFrame, cfg: TenantConfig, run_id: str, source: str, levels
         text.clean(at("rule_id")).alias("rule_id"),
         at("invoice_date").alias("invoice_date"),
         F.to_date(F.to_timestamp(at("invoice_date").try_cast("timestamp"))).alias("invoice_day"),
-        keys.stable_key(F.lit(cfg.tenant), at("supplier"), described, *named).alias("unit_key"),
-        keys.stable_key(F.lit(cfg.tenant), at("supplier"), described).alias("subject_key"),
+        keys.stable_key(F.lit(cfg.tenant), at("supplier"), described, *named).alias("unit_id"),
+        keys.stable_key(F.lit(cfg.tenant), at("supplier"), described).alias("subject_id"),
         keys.stable_key(at("supplier")).alias("vendor_key"),
+        text.clean(at("taxonomy_key")).alias("tax_key"),
+        *[F.lit(None).cast(k).alias(c) for c, k in (("verdict", "string"), ("jury", "long"), ("suggested_key", "string"))],
         F.lit(source).alias("provenance"),
     ).where(in_scope(F.col("l0"), cfg.excluded_l0))
 

@@ -17,13 +17,13 @@ PII_MARKERS = r"(?i)MRN|UR NO|U/R|D\.O\.B|DOB "
 
 
 def volume(lines: DataFrame, supplier: str, amount: str, description: str, gate: str, by: list[str]) -> DataFrame:
-    """Counts, sums and text quality in one scan."""
+    """Counts, sums and text quality in one scan. Vendors that differ in case or outer spaces alone are one."""
     d, a = F.rtrim(F.coalesce(F.col(description), F.lit(""))), F.col(amount)
     return lines.groupBy(*by).agg(
         F.count("*").alias("lines"),
         F.sum(a).alias("signed"),
         F.sum(F.abs(a)).alias("absolute"),
-        F.countDistinct(supplier).alias("vendors"),
+        F.countDistinct(F.upper(F.trim(F.col(supplier)))).alias("vendors"),
         F.count_if(F.col(supplier).isNull()).alias("no_vendor"),
         F.count_if(a < 0).alias("credits"),
         F.coalesce(F.sum(F.when(a < 0, -a)), F.lit(0)).alias("credited"),
@@ -45,7 +45,8 @@ def units(lines: DataFrame, by: list[str], unit: list[str], subject: list[str])
 
 
 def fill_rates(lines: DataFrame, cols: list[str]) -> DataFrame:
-    """For each field: filled and distinct values, and for how many rows it is the first filled."""
+    """For each field: filled values and their share, and for how many rows it is the first filled; the last row,
+    (all blank), is of rows where none is."""
     first = text.filled_by({c: F.col(c) for c in cols})
     agg = lines.withColumn("_f", first).agg(
         F.count("*").alias("n"),
@@ -53,7 +54,9 @@ def fill_rates(lines: DataFrame, cols: list[str]) -> DataFrame:
         *[F.count_if(F.col("_f") == c).alias(f"w_{c}") for c in cols],
     )
     parts = ", ".join(f"'{c}', f_{c}, w_{c}" for c in cols)
-    return agg.selectExpr(f"stack({len(cols)}, {parts}) AS (field, filled, first_filled)", "n AS lines")
+    none = " - ".join(["n", *[f"w_{c}" for c in cols]])
+    out = agg.selectExpr(f"stack({len(cols) + 1}, {parts}, '(all blank)', 0L, {none}) AS (field, filled, first_filled)", "n AS lines")
+    return out.withColumn("share", F.round(F.try_divide(100.0 * F.col("filled"), "lines"), 4))
 
 
 def level_counts(lines: DataFrame, levels: list[str]) -> DataFrame:
@@ -73,11 +76,11 @@ def fill_matrix(lines: DataFrame, cols: list[str], tenants: list[str]) -> DataFr
     return lines.select("tenant", f.alias("p")).groupBy("p.field").pivot("tenant", tenants).agg(F.sum("p.f").cast("long"))
 
 
-def rule_impact(lines: DataFrame) -> DataFrame:
+def rule_impact(lines: DataFrame, excluded: tuple[str, ...] = ("Excluded",)) -> DataFrame:
     """Aggregated before any join: lines, units, vendors, amount and out-of-scope lines of each rule."""
     return lines.groupBy("tenant", "rule_id").agg(
         F.count("*").alias("lines"), F.countDistinct("unit_id").alias("units"), F.countDistinct("supplier").alias("vendors"),
-        F.sum("cents").alias("cents"), F.count_if(F.trim("l0") == "Excluded").alias("out_of_scope"),
+        F.sum("cents").alias("cents"), F.count_if(F.trim("l0").isin(*excluded)).alias("out_of_scope"),
     )
 
 
@@ -88,6 +91,21 @@ def monthly(lines: DataFrame, day: str, last: int = 12) -> tuple[DataFrame, Data
     return m, m.withColumn("_k", k).where(F.col("_k") <= last).groupBy("tenant").agg(F.min("lines").alias("least"), F.median("lines").alias("middle"), F.max("lines").alias("most"), F.count("*").alias("months"))
 
 
+def combined_range(months: DataFrame, last: int = 12) -> DataFrame:
+    """Over all tenants' monthly lines (tenant, month, lines), each tenant's last months alone: lines of each
+    calendar month, and of those the least, median and most, so that the peak is a real month."""
+    k = F.row_number().over(Window.partitionBy("tenant").orderBy(F.desc("month")))
+    per = months.withColumn("_k", k).where(F.col("_k") <= last).groupBy("month").agg(F.sum("lines").alias("lines"))
+    return per.agg(F.min("lines").alias("least"), F.median("lines").alias("middle"), F.max("lines").alias("most"), F.count("*").alias("months"))
+
+
+def top_rules(impact: DataFrame, n: int) -> DataFrame:
+    """Each tenant's n rules with most lines a unit: where one ruling settles most."""
+    r = impact.where("units > 0").withColumn("leverage", F.round(F.col("lines") / F.col("units"), 6))
+    k = F.row_number().over(Window.partitionBy("tenant").orderBy(F.desc("leverage"), F.desc("lines"), "rule_id"))
+    return r.withColumn("place", k).where(F.col("place") <= n)
+
+
 def top_by_absolute(lines: DataFrame, key: str, amount: str, n: int) -> DataFrame:
     """The n values of key with the largest sum of absolute amounts."""
     return lines.groupBy(key).agg(F.count("*").alias("lines"), F.sum(F.abs(amount)).alias("absolute")).orderBy(F.desc("absolute"), key).limit(n)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.functions import paths
-from tallygrain.functions.text import plain
+from tallygrain.functions.text import plain, uncategorised
+from tallygrain.operators.profile import checksum
 
 #: What a reviewer may answer.
 RESPONSES = ("Agree", "Disagree", "Unsure")
@@ -26,6 +29,92 @@ def ingest(answers: DataFrame, lines: DataFrame, names: DataFrame) -> DataFrame:
     return a.join(n, "line_id").select("line_id", "response", "category", "note", "category_key", why.alias("reject_reason"))
 
 
+# What a reviewer may say about a finding, and the state that it puts a line into.
+AGREES, CURRENT_FITS, ELSEWHERE = "agree", "disagree - the current category is fine", "disagree - another category"
+STATES = {AGREES: "agreed", CURRENT_FITS: "disagreed_current_ok", ELSEWHERE: "disagreed_new_category"}
+
+
+def intake(answers: DataFrame, lines: DataFrame, tree: DataFrame) -> DataFrame:
+    """Answers (line_id, response, category, note) with what they do: status, override_verdict and
+    override_category, or reject_reason. An answer without anything in it is `blank`. lines: line_id, tenant, verdict, path,
+    l1 and so on; tree: tenant, path, in_scope. Only a line without a category may be sent out of scope."""
+    said = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    a = answers.select("line_id", said("response").alias("response"), said("category").alias("category"), said("note").alias("note"))
+    twice = a.where("response IS NOT NULL").groupBy("line_id").agg((F.count("*") > 1).alias("_twice"))
+    j = a.join(lines.select("line_id", F.lit(True).alias("_line"), F.col("tenant").alias("_t"), F.col("verdict").alias("_v"), F.col("path").alias("_path"), uncategorised(F.col("l0")).alias("_none")), "line_id", "left")
+    known = tree.groupBy(F.col("tenant").alias("_t"), F.trim("path").alias("category")).agg(F.max("in_scope").alias("_in"))
+    j = j.join(known, ["_t", "category"], "left").join(twice, "line_id", "left")
+    r, c = F.col("response"), F.col("category")
+    why = (
+        F.when(F.col("_line").isNull(), "unknown line")
+        .when(r.isNull() & (c.isNotNull() | F.col("note").isNotNull()), "no response")
+        .when(r.isNull(), "blank")
+        .when(~r.isin(*STATES), "unknown response")
+        .when(F.col("_twice"), "answered twice")
+        .when((r == AGREES) & c.isNotNull(), "agrees and names a category")
+        .when((r == ELSEWHERE) & c.isNull(), "names no category")
+        .when((r == CURRENT_FITS) & (F.col("_v") == "Correct"), "that is agreement")
+        .when((r == CURRENT_FITS) & F.col("_none"), "there is no category")
+        .when(c.isNotNull() & F.col("_in").isNull(), "unknown category")
+        .when(c.isNotNull() & ~F.col("_in") & ~F.col("_none"), "out of scope")
+    )
+    j = j.withColumn("reject_reason", why)
+    ok = F.col("reject_reason").isNull()
+    status = F.coalesce(*[F.when(ok & (r == k), v) for k, v in STATES.items()])
+    verdict = F.when(ok & (r == CURRENT_FITS), "Correct").when(ok & (r == ELSEWHERE), "Incorrect")
+    category = F.when(ok & (r == CURRENT_FITS), F.col("_path")).when(ok & (r == ELSEWHERE), c)
+    return j.select("line_id", "response", status.alias("status"), verdict.alias("override_verdict"), category.alias("override_category"), "note", "reject_reason")
+
+
+#: Columns that a review may write; all others are the finding, which it never changes.
+REVIEWED = ("review_status", "reviewed_by", "review_override_verdict", "review_override_category", "review_note")
+
+
+def reviewed(lines: DataFrame, taken: DataFrame, reviewer: str) -> DataFrame:
+    """Lines with the answers that intake() accepted; other lines keep what they had."""
+    a = taken.where("reject_reason IS NULL").select("line_id", F.struct(F.col("status"), F.lit(reviewer).alias("by"), F.col("override_verdict"), F.col("override_category"), F.col("note")).alias("_a"))
+    j = lines.join(a, "line_id", "left")
+    new = dict(zip(REVIEWED, ("status", "by", "override_verdict", "override_category", "note"), strict=True))
+    had = lambda c: F.col(c) if c in lines.columns else F.lit(None).cast("string")
+    return j.select(*[c for c in lines.columns if c not in REVIEWED], *[F.when(F.col("_a").isNotNull(), F.col(f"_a.{n}")).otherwise(had(c)).alias(c) for c, n in new.items()])
+
+
+def publish(old: DataFrame, new: DataFrame, path: str, may_change: tuple[str, ...] = REVIEWED) -> DataFrame:
+    """Write, audit, publish: new is written beside path and read back; only if every other column has the same
+    checksum as in old, row by row, does it get its name. Else nothing is left of it, and path is as it was."""
+    spark = old.sparkSession
+    same = [c for c in old.columns if c not in may_change]
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    new.write.parquet(staged)
+    back = spark.read.schema(new.schema).parquet(staged)
+    sums = [tuple(checksum(df, same).first()) for df in (old, back)]
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if sums[0] != sums[1]:
+        fs.delete(at, True)
+        raise RuntimeError(f"columns that a review never changes differ: {sums[0]} before, {sums[1]} after")
+    if not fs.rename(at, jvm.org.apache.hadoop.fs.Path(path)):
+        fs.delete(at, True)
+        raise RuntimeError(f"{path} can't be written")
+    return spark.read.schema(new.schema).parquet(path)
+
+
+#: What a reviewer may type into a blind sheet.
+BLIND_ANSWERS = ("RIGHT", "WRONG")
+
+
+def blind_sheet(lines: DataFrame, by: list[str], shown: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The questions (group_key, lines, `shown`) with empty columns for answers, and apart from them the key with
+    the engine's own verdicts, one row each for the same groups. shown may not hold a verdict or a suggestion."""
+    ours = ("verdict", "confidence", "basis", "rationale", "suggested_key", "jury")
+    if bad := [c for c in shown if c in ours]:
+        raise ValueError(f"a blind sheet can't show {bad}")
+    g = lines.groupBy(*by).agg(F.min("unit_id").alias("group_key"), F.count("*").alias("lines"), *[F.min(c).alias(c) for c in dict.fromkeys((*shown, *[c for c in ours if c in lines.columns])) if c not in by])
+    empty = [F.lit(None).cast("string").alias(c) for c in ("your_answer", "where_it_should_go", "your_note")]
+    return g.select("group_key", "lines", *shown, *empty), g.select("group_key", "lines", *[c for c in ours if c in lines.columns])
+
+
 def answer_groups(lines: DataFrame, by: list[str]) -> DataFrame:
     """One question for lines that look alike: its least unit key and its lines."""
     return lines.groupBy(*by).agg(F.min("unit_id").alias("group_key"), F.count("*").alias("lines"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallygrain.functions import paths, text
-from tallygrain.operators import actions, judge, normalise, preflight, profile, queue, rulings, taxonomy
+from tallygrain.functions import answers, paths, text
+from tallygrain.operators import actions, judge, monitor, normalise, preflight, profile, queue, review, rulings, taxonomy
 from tallygrain.plans.facts import Registry, frames
+from tallygrain.plans.reference import NORMALISED, normal
 from tallygrain.sources import writers
 
 query = Registry()
@@ -71,10 +72,20 @@ def generic_share(spark, d):
 @query("""SELECT name, round(v, 6) AS value, CASE WHEN round(v, 6) > f THEN 'FAIL' WHEN round(v, 6) > w THEN 'WARN' ELSE 'PASS' END AS grade FROM (
 SELECT 'empty' AS name, 0.0 AS v, 0 AS w, 0 AS f FROM lines HAVING count(*) > 0 UNION ALL SELECT 'no vendor', count(*) FILTER (supplier IS NULL) / count(*), 0.01, 0.2 FROM lines UNION ALL SELECT 'no description', count(*) FILTER (description_usable = 'N') / count(*), 0.05, 0.5 FROM lines
 UNION ALL SELECT 'no spend', count(*) FILTER (cents IS NULL) / count(*), 0, 0.01 FROM lines UNION ALL SELECT 'uncategorised', count(*) FILTER (l0 = '') / count(*), 0.05, 0.5 FROM lines UNION ALL SELECT 'repeated ids', 1 - count(DISTINCT line_id) / count(*), 0, 0.3 FROM lines
-UNION ALL SELECT 'no taxonomy node', count(*) FILTER (tax_key NOT IN (SELECT source_key FROM cross_)) / count(*), 0.01, 0.5 FROM lines)""")
+UNION ALL SELECT 'no taxonomy node', count(*) FILTER (tax_key NOT IN (SELECT source_key FROM cross_)) / count(*), 0.01, 0.5 FROM lines UNION ALL SELECT 'no rule', count(*) FILTER (rule_id > '3') / count(*), 0.01, 0.5 FROM lines
+UNION ALL SELECT 'no vendor master', count(*) FILTER (supplier IS NULL OR supplier NOT IN (SELECT s_name FROM supplier WHERE s_suppkey % 3 > 0)) / count(*), 0.01, 0.5 FROM lines)""")
 def tenant_preflight(spark, d):
-    lines, cross = frames(spark, d, "lines", "cross_")
-    return preflight.tenant(lines, cross, "cents", "tax_key")
+    lines, cross, suppliers, nations = frames(spark, d, "lines", "cross_", "supplier", "nation")
+    rules = lines.where("rule_id <= '3'").select("tenant", "rule_id").distinct()
+    master = suppliers.where("s_suppkey % 3 > 0").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("tenant"), F.col("s_name").alias("supplier"))
+    return preflight.tenant(lines, cross, "cents", "tax_key", rules, master)
+
+
+@query(f"""SELECT name, round(v, 6) AS value FROM (SELECT 'uncategorised' AS name, count(*) FILTER (l0 = 'Uncategorised') / count(*) AS v FROM {NORMALISED} UNION ALL SELECT 'no description', count(*) FILTER (description_usable = 'N') / count(*) FROM {NORMALISED} UNION ALL SELECT 'repeated ids', 1 - count(DISTINCT line_id) / count(*) FROM {NORMALISED}
+ UNION ALL SELECT 'no vendor', count(*) FILTER (supplier IS NULL) / count(*) FROM {NORMALISED} UNION ALL SELECT 'no taxonomy node', count(*) FILTER (tax_key NOT IN (SELECT source_key FROM cross_)) / count(*) FROM {NORMALISED} UNION ALL SELECT unnest(['empty', 'no spend']), 0.0)""")
+def normalised_preflight(spark, d):
+    (cross,) = frames(spark, d, "cross_")
+    return preflight.tenant(normal(spark, d), cross.select(F.lit("T").alias("tenant"), "source_key").distinct(), "cents", "tax_key").select("name", "value")
 
 
 @query("SELECT 'nation' AS name, 3 AS columns, count(*) AS rows, count(*) = 25 AS ok FROM nation UNION ALL SELECT 'region', 2, count(*), count(*) = 4 FROM region", derived=False)
@@ -139,11 +150,54 @@ def ruled_targets(spark, d):
     return rulings.targets(ruled(spark, d))
 
 
-@query("SELECT tenant, CAST(batch AS BIGINT) AS batch, count(*) AS units FROM (SELECT tenant, floor((row_number() OVER (PARTITION BY tenant ORDER BY line_id, part_id) - 1) / 50) AS batch FROM lines WHERE verdict IS NULL) GROUP BY tenant, batch")
+@query("""SELECT tenant, CAST(batch AS BIGINT) AS batch, count(*) AS units, '{"units":[' || string_agg('{"line_id":' || line_id || ',"part_id":' || part_id || ',"description":"' || d1 || '"}', ',' ORDER BY line_id, part_id) || ']}' AS payload
+ FROM (SELECT tenant, line_id, part_id, d1, floor((row_number() OVER (PARTITION BY tenant ORDER BY line_id, part_id) - 1) / 50) AS batch FROM lines WHERE verdict IS NULL) GROUP BY tenant, batch""")
 def batch_payloads(spark, d):
     (lines,) = frames(spark, d, "lines")
     units = lines.where("verdict IS NULL").select("tenant", "line_id", "part_id", F.col("d1").alias("description"))
-    return writers.batches(units, 50, "tenant", F.struct("line_id", "part_id")).select("tenant", "batch", "units")
+    return writers.batches(units, 50, "tenant", F.struct("line_id", "part_id")).select("tenant", "batch", "units", "payload")
+
+
+#: Votes as models send them: a list in an object, a bare list, fences, prose with brackets around, a vote said twice,
+#: and JSON that is cut off, by the order that a batch is of.
+@query("""SELECT DISTINCT order_id, line_id, verdict, basis, suggested_key FROM (SELECT line_id, verdict, basis, suggested_key, CAST(line_id // 10 AS BIGINT) AS order_id FROM votes WHERE seat = 1) WHERE order_id % 6 <> 5""")
+def parsed_answers(spark, d):
+    (votes,) = frames(spark, d, "votes")
+    v = votes.where("seat = 1").select(F.floor(F.col("line_id") / 10).cast("long").alias("order_id"), F.struct("line_id", "verdict", "basis", "suggested_key", "rationale").alias("v"))
+    texts = v.groupBy("order_id").agg(F.to_json(F.array_sort(F.collect_list("v"))).alias("rows"), F.min("v.line_id").alias("first"))
+    bare, inside = F.col("rows"), F.concat(F.lit('{"verdicts":'), F.col("rows"), F.lit("}"))
+    twice = F.concat(F.lit("["), F.concat(F.lit('{"line_id":'), F.col("first").cast("string"), F.lit(',"verdict":"withdrawn"},{"verdict":"no id"},')), F.substring(bare, F.lit(2), F.length(bare)))
+    k = F.col("order_id") % 6
+    said = (
+        F.when(k == 0, inside).when(k == 1, bare).when(k == 2, F.concat(F.lit("```json\n"), inside, F.lit("\n```")))
+        .when(k == 3, F.concat(F.lit("Here is what I think: "), inside, F.lit(" - I left {some} out."))).when(k == 4, twice).otherwise(F.substring(inside, F.lit(1), F.length(inside) - 3))
+    )
+    return answers.answers(texts.select("order_id", said.alias("said")), "said", ["order_id"]).select("order_id", "line_id", "verdict", "basis", "suggested_key")
+
+
+@query("SELECT tenant, basis, count(*) AS lines, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY tenant), 4) AS pct FROM (SELECT l.tenant, v.basis, l.verdict FROM lines l JOIN (SELECT line_id, basis FROM votes WHERE seat = 2) v USING (line_id)) WHERE verdict IS NOT NULL GROUP BY tenant, basis")
+def basis_mix(spark, d):
+    lines, votes = frames(spark, d, "lines", "votes")
+    return monitor.mix(lines.select("tenant", "line_id", "verdict").join(votes.where("seat = 2").select("line_id", "basis"), "line_id"), "basis")
+
+
+#: A reviewer's answers, made from the votes of a seat: where the vote is another one, it names the suggested category.
+REVIEWED = """(SELECT l.line_id, l.verdict, l.l0, CASE WHEN v.verdict = l.verdict THEN 'agree' WHEN v.verdict = 'Correct' THEN 'disagree - the current category is fine' WHEN v.verdict = 'Incorrect' THEN 'disagree - another category' ELSE v.verdict END AS response,
+ CASE WHEN v.verdict = 'Incorrect' THEN trim(v.suggested_key) END AS category FROM (SELECT line_id, min(verdict) AS verdict, min(l0) AS l0 FROM lines GROUP BY 1) l JOIN (SELECT DISTINCT line_id, verdict, suggested_key FROM votes WHERE seat = 0) v USING (line_id))"""
+
+
+@query(f"""SELECT line_id, CASE WHEN reject IS NULL THEN CASE response WHEN 'agree' THEN 'agreed' WHEN 'disagree - the current category is fine' THEN 'disagreed_current_ok' ELSE 'disagreed_new_category' END END AS status, reject AS reject_reason,
+ CASE WHEN reject IS NULL AND response <> 'agree' THEN CASE WHEN response LIKE '%fine' THEN 'Correct' ELSE 'Incorrect' END END AS override_verdict FROM (SELECT *, CASE WHEN response IS NULL AND category IS NOT NULL THEN 'no response' WHEN response IS NULL THEN 'blank'
+ WHEN response NOT IN ('agree', 'disagree - the current category is fine', 'disagree - another category') THEN 'unknown response' WHEN response = 'agree' AND category IS NOT NULL THEN 'agrees and names a category' WHEN response LIKE '%fine' AND verdict = 'Correct' THEN 'that is agreement'
+ WHEN response LIKE '%fine' AND l0 = '' THEN 'there is no category' WHEN category = 'NC-0006' THEN 'unknown category' WHEN category = 'NC-0005' AND l0 <> '' THEN 'out of scope' END AS reject FROM {REVIEWED})""")
+def review_intake(spark, d):
+    lines, votes, keys_ = frames(spark, d, "lines", "votes", "keys_")
+    lines = lines.groupBy("line_id").agg(*[F.min(c).alias(c) for c in ("tenant", "verdict", "l0", "l1")])  # ids repeat here
+    v, l = votes.where("seat = 0").select("line_id", F.col("verdict").alias("v"), "suggested_key").distinct(), lines.select("line_id", F.col("verdict").alias("own"))
+    said = F.when(F.col("v") == F.col("own"), review.AGREES).when(F.col("v") == "Correct", review.CURRENT_FITS).when(F.col("v") == "Incorrect", review.ELSEWHERE).otherwise(F.col("v"))
+    typed = v.join(l, "line_id").select("line_id", said.alias("response"), F.when(F.col("v") == "Incorrect", F.col("suggested_key")).alias("category"), F.lit(None).cast("string").alias("note"))
+    tree = keys_.crossJoin(F.broadcast(lines.select("tenant").distinct())).select("tenant", F.col("category_key").alias("path"), "in_scope")  # six keys
+    return review.intake(typed, lines.withColumn("path", F.concat_ws(" > ", "l0", "l1")), tree).select("line_id", "status", "reject_reason", "override_verdict")
 
 
 @query("SELECT subject_id, a.units AS before, b.units AS after, CASE WHEN a.units IS NULL THEN 'new' WHEN b.units IS NULL THEN 'gone' WHEN a.units = b.units THEN 'same' ELSE 'moved' END AS movement FROM (SELECT tenant || subject_id AS subject_id, count(DISTINCT unit_id) AS units FROM lines WHERE line_no < 5 GROUP BY 1) a FULL JOIN (SELECT tenant || subject_id AS subject_id, count(DISTINCT unit_id) AS units FROM lines WHERE line_no > 2 GROUP BY 1) b USING (subject_id)")

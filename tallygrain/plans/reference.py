@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygrain.functions import keys, paths, text
-from tallygrain.operators import actions, checks, enrich, judge, monitor, normalise, profile, queue, review, sampling, taxonomy
+from tallygrain.operators import actions, checks, decisions, enrich, judge, monitor, normalise, profile, queue, review, sampling, taxonomy
 from tallygrain.plans.facts import Registry, frames
 from tallygrain.sources.shared import shared
 
@@ -86,19 +86,43 @@ NAMED = ", ".join(f"{LEV.format(c)} AS {c}" for c in LEVELS)
 DESC = f"coalesce(CASE WHEN {USABLE.format('d1')} THEN trim(d1) END, CASE WHEN {USABLE.format('d2')} THEN trim(d2) END, trim(d1), '')"
 
 
-@query(f"""SELECT source_row_id, supplier, description, description_usable, description_source, spend, is_credit, l0, l1, l2, l3, l4, scope,
+NORMALISED = f"""(SELECT 'T' AS tenant, line_id, source_row_id, supplier, description, description_usable, description_source, spend, CAST(round(spend * 100) AS BIGINT) AS cents, is_credit, l0, l1, l2, l3, l4, scope,
   concat_ws(' > ', l0, l1, l2, l3, l4) AS path_full,
-  array_to_string(list_filter([l0, l1, l2, l3, l4], lambda x: NOT starts_with(x, '(')), ' > ') AS path, depth_distinct,
-  {KEY.format("concat_ws('|', 'T', coalesce(supplier, ''), description, l0, l1, l2, l3, l4)")} AS unit_key, {KEY.format("concat_ws('|', 'T', coalesce(supplier, ''), description)")} AS subject_key, {KEY.format("coalesce(supplier, '')")} AS vendor_key
-FROM (SELECT CAST(line_id AS STRING) AS source_row_id, supplier, {DESC} AS description, CASE WHEN {USABLE.format('d1')} OR {USABLE.format('d2')} THEN 'Y' ELSE 'N' END AS description_usable,
+  array_to_string(list_filter([l0, l1, l2, l3, l4], lambda x: NOT starts_with(x, '(')), ' > ') AS path, depth_distinct, rule_id, tax_key,
+  {KEY.format("concat_ws('|', 'T', coalesce(supplier, ''), description, l0, l1, l2, l3, l4)")} AS unit_id, {KEY.format("concat_ws('|', 'T', coalesce(supplier, ''), description)")} AS subject_id, {KEY.format("coalesce(supplier, '')")} AS vendor_key
+FROM (SELECT line_id, CAST(line_id AS STRING) AS source_row_id, supplier, rule_id, tax_key, {DESC} AS description, CASE WHEN {USABLE.format('d1')} OR {USABLE.format('d2')} THEN 'Y' ELSE 'N' END AS description_usable,
   CASE WHEN trim(coalesce(d1, '')) <> '' THEN 'd1' WHEN trim(coalesce(d2, '')) <> '' THEN 'd2' ELSE '(none)' END AS description_source, CAST(cents AS DOUBLE) AS spend, CASE WHEN cents < 0 THEN 1 ELSE 0 END AS is_credit,
   {NAMED}, CASE WHEN trim(l0) = '' THEN 'uncategorised' WHEN l0 = 'Excluded' THEN 'out of scope' ELSE 'in scope' END AS scope,
-  CAST(len(list_distinct(list_filter([trim(l0), trim(l1), trim(l2), trim(l3), trim(l4)], lambda x: x <> ''))) AS INTEGER) AS depth_distinct FROM lines) WHERE l0 <> 'Excluded'""")
-def normalised_lines(spark, d):
+  CAST(len(list_distinct(list_filter([trim(l0), trim(l1), trim(l2), trim(l3), trim(l4)], lambda x: x <> ''))) AS INTEGER) AS depth_distinct FROM lines) WHERE l0 <> 'Excluded')"""
+OF_LINE = ("line_id", "source_row_id", "supplier", "description", "description_usable", "description_source", "spend", "cents", "is_credit", *LEVELS, "scope", "path_full", "path", "depth_distinct", "unit_id", "subject_id", "vendor_key")
+
+
+def normal(spark, d):
     (lines,) = frames(spark, d, "lines")
-    cfg = normalise.TenantConfig("T", {"supplier": "supplier", "spend": "cents", "source_row_id": "line_id", "rule_id": "rule_id", **{c: c for c in LEVELS}}, ("d1", "d2"), ("Excluded",))
-    out = normalise.normalise(lines, cfg, "R1", "star schema")
-    return out.select("source_row_id", "supplier", "description", "description_usable", "description_source", "spend", "is_credit", *LEVELS, "scope", "path_full", "path", "depth_distinct", "unit_key", "subject_key", "vendor_key")
+    cfg = normalise.TenantConfig("T", {"supplier": "supplier", "spend": "cents", "source_row_id": "line_id", "rule_id": "rule_id", "taxonomy_key": "tax_key", **{c: c for c in LEVELS}}, ("d1", "d2"), ("Excluded",))
+    return normalise.normalise(lines, cfg, "R1", "star schema")
+
+
+@query(f"SELECT {', '.join(OF_LINE)} FROM {NORMALISED}")
+def normalised_lines(spark, d):
+    return normal(spark, d).select(*OF_LINE)
+
+
+@query(f"""SELECT finding, verdict, count(*) AS lines FROM (SELECT CASE WHEN units > 1 THEN 'contradiction' WHEN l0 = 'Uncategorised' THEN 'uncategorised' WHEN description_usable = 'N' THEN 'unjudgeable' END AS finding,
+ CASE WHEN units > 1 THEN 'Incorrect' WHEN l0 = 'Uncategorised' OR description_usable = 'N' THEN 'Uncertain' END AS verdict FROM {NORMALISED} JOIN (SELECT subject_id, count(DISTINCT unit_id) AS units FROM {NORMALISED} GROUP BY 1) USING (subject_id)) GROUP BY finding, verdict""")
+def normalised_findings(spark, d):
+    return judge.deterministic(normal(spark, d)).groupBy("finding", "verdict").agg(F.count("*").alias("lines"))
+
+
+@query(f"""SELECT supplier, lines_total, lines_unjudged, subjects, spend_signed, row_number() OVER (ORDER BY spend_signed DESC, k) AS vendor_rank FROM (SELECT supplier, {KEY.format("'T|' || coalesce(supplier, '')")} AS k, count(*) AS lines_total,
+ count(*) AS lines_unjudged, count(DISTINCT subject_id) AS subjects, CAST(sum(cents) AS BIGINT) AS spend_signed FROM {NORMALISED} GROUP BY supplier)""")
+def normalised_queue(spark, d):
+    return queue.ranked(queue.base(normal(spark, d), judged())).select("supplier", "lines_total", "lines_unjudged", "subjects", "spend_signed", "vendor_rank")
+
+
+@query(f"SELECT rule_id, count(*) AS lines, count(DISTINCT unit_id) AS units, count(DISTINCT supplier) AS vendors, CAST(sum(cents) AS BIGINT) AS cents, round(count(*) / count(DISTINCT unit_id), 6) AS leverage FROM {NORMALISED} GROUP BY rule_id ORDER BY leverage DESC, lines DESC, rule_id LIMIT 3")
+def normalised_top_rules(spark, d):
+    return profile.top_rules(profile.rule_impact(normal(spark, d)), 3).select("rule_id", "lines", "units", "vendors", "cents", "leverage")
 
 
 @query("SELECT tenant, count(*) AS lines, count(*) FILTER (l0 <> '') AS categorised, count(*) FILTER (l0 = '') AS blank FROM lines WHERE (trim(l0) NOT IN ('Excluded') OR l0 IS NULL) GROUP BY tenant")
@@ -143,8 +167,8 @@ def profile_units(spark, d):
     return profile.units(lines, ["tenant"], ["supplier", "subject_id", "unit_id"], ["supplier", "subject_id"])
 
 
-@query("""SELECT field, filled, first_filled, lines FROM (SELECT count(*) AS lines, unnest(['d1', 'd2']) AS field, unnest([count(*) FILTER (trim(coalesce(d1, '')) <> ''), count(*) FILTER (trim(coalesce(d2, '')) <> '')]) AS filled,
- unnest([count(*) FILTER (trim(coalesce(d1, '')) <> ''), count(*) FILTER (trim(coalesce(d1, '')) = '' AND trim(coalesce(d2, '')) <> '')]) AS first_filled FROM lines)""")
+@query("""SELECT field, filled, first_filled, lines, round(100.0 * filled / lines, 4) AS share FROM (SELECT count(*) AS lines, unnest(['d1', 'd2', '(all blank)']) AS field, unnest([count(*) FILTER (trim(coalesce(d1, '')) <> ''), count(*) FILTER (trim(coalesce(d2, '')) <> ''), 0]) AS filled,
+ unnest([count(*) FILTER (trim(coalesce(d1, '')) <> ''), count(*) FILTER (trim(coalesce(d1, '')) = '' AND trim(coalesce(d2, '')) <> ''), count(*) FILTER (trim(coalesce(d1, '')) = '' AND trim(coalesce(d2, '')) = '')]) AS first_filled FROM lines)""")
 def profile_fill_rates(spark, d):
     (lines,) = frames(spark, d, "lines")
     return profile.fill_rates(lines, ["d1", "d2"])
@@ -162,10 +186,14 @@ def profile_level_values(spark, d):
     return profile.level_values(lines, LEVELS, "cents")
 
 
-@query("".join(f"{' UNION ALL ' if k else ''}SELECT '{c}' AS field, CAST(sum(CASE WHEN trim(coalesce({c}, '')) <> '' THEN 1 ELSE 0 END) FILTER (tenant = 'NATION_1') AS BIGINT) AS \"NATION_1\", CAST(sum(CASE WHEN trim(coalesce({c}, '')) <> '' THEN 1 ELSE 0 END) FILTER (tenant = 'NATION_16') AS BIGINT) AS \"NATION_16\" FROM lines" for k, c in enumerate(["supplier", "d1", "d2", "l0", "l2"])))
+TENANTS = [f"NATION_{k}" for k in range(25)]
+FILLED = ["supplier", "d1", "d2", "l0", "l2"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS field, " + ", ".join(f"CAST(sum(CASE WHEN trim(coalesce({c}, '')) <> '' THEN 1 ELSE 0 END) FILTER (tenant = '{t}') AS BIGINT) AS \"{t}\"" for t in TENANTS) + " FROM lines" for c in FILLED))
 def profile_fill_matrix(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return profile.fill_matrix(lines, ["supplier", "d1", "d2", "l0", "l2"], ["NATION_1", "NATION_16"])
+    return profile.fill_matrix(lines, FILLED, TENANTS)
 
 
 @query("SELECT tenant, rule_id, count(*) AS lines, count(DISTINCT unit_id) AS units, count(DISTINCT supplier) AS vendors, CAST(sum(cents) AS BIGINT) AS cents, count(*) FILTER (l0 = 'Excluded') AS out_of_scope FROM lines GROUP BY tenant, rule_id")
@@ -186,6 +214,12 @@ def monthly_range(spark, d):
     return profile.monthly(lines, "shipped")[1]
 
 
+@query("SELECT min(lines) AS least, median(lines) AS middle, max(lines) AS most, count(*) AS months FROM (SELECT month, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT *, row_number() OVER (PARTITION BY tenant ORDER BY month DESC) AS k FROM (SELECT tenant, strftime(shipped, '%Y-%m') AS month, count(*) AS lines FROM lines GROUP BY 1, 2)) WHERE k <= 12 GROUP BY month)")
+def monthly_combined(spark, d):
+    (lines,) = frames(spark, d, "lines")
+    return profile.combined_range(profile.monthly(lines, "shipped")[0])
+
+
 @query("SELECT d1, count(*) AS lines, CAST(sum(abs(cents)) AS BIGINT) AS absolute FROM lines GROUP BY d1 ORDER BY absolute DESC, d1 LIMIT 10")
 def top_descriptions(spark, d):
     (lines,) = frames(spark, d, "lines")
@@ -486,6 +520,11 @@ def tree_spine(spark, d):
     return taxonomy.spine(nodes, ["NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_16", "NATION_20"])
 
 
+QUESTIONS = f"""(SELECT CASE basis WHEN 'unmapped' THEN 'home' WHEN 'leaf_crosses_branch' THEN 'cross' WHEN 'leaf_moved_ambiguous' THEN 'amb' WHEN 'leaf_moved' THEN 'gran' END AS kind, tenant, lines, up, c, target,
+ CASE basis WHEN 'unmapped' THEN up WHEN 'leaf_crosses_branch' THEN up || ' | ' || c[1] WHEN 'leaf_moved_ambiguous' THEN c[1] || ' | ' || c[2] ELSE up || ' | ' || upper(target) END AS parts FROM (SELECT *, array_to_string(u, ' > ') AS up, string_split(candidates, ' | ') AS c FROM (SELECT * FROM {{}}))
+ WHERE basis IN ('unmapped', 'leaf_crosses_branch', 'leaf_moved_ambiguous') OR basis = 'leaf_moved' AND upper(target) <> up)"""
+
+
 @query(f"SELECT a.label AS a, b.label AS b, CAST(levenshtein(a.k, b.k) AS INTEGER) AS edits, a.lines + b.lines AS lines FROM (SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM {SIBLINGS} GROUP BY label) a JOIN (SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM {SIBLINGS} GROUP BY label) b ON a.label < b.label AND abs(length(a.label) - length(b.label)) <= 3 WHERE levenshtein(a.k, b.k) IN (1, 2)")
 def near_labels(spark, d):
     (nodes,) = frames(spark, d, "nodes")
@@ -525,6 +564,15 @@ def tree_crosswalk(spark, d):
     return mapped(spark, d)[1].withColumn("candidates", F.array_join("candidates", " | "))
 
 
+@query(f"""SELECT left(md5(kind || ' | ' || parts), 10) AS decision_id, kind, array_to_string(list_sort(list_distinct(list(tenant))), ',') AS tenants, CAST(sum(lines) AS BIGINT) AS lines, CAST(CASE kind WHEN 'amb' THEN count(DISTINCT up) WHEN 'cross' THEN CAST(max(len(c)) > 1 AS INTEGER) ELSE 0 END AS INTEGER) AS also,
+ CASE WHEN substr(left(md5(kind || ' | ' || parts), 10), 1, 1) IN ('0', '1', '2', '3') THEN 'B' END AS ruling FROM {QUESTIONS.format(CROSSED)} GROUP BY kind, parts""")
+def open_questions(spark, d):
+    nodes, m = mapped(spark, d)
+    asked = decisions.gathered(decisions.of_nodes(m))
+    answered = shared(asked).where(F.left("decision_id", F.lit(1)).isin("0", "1", "2", "3")).select("decision_id", F.lit("B").alias("ruling"))
+    return decisions.gathered(decisions.of_nodes(m), answered).select("decision_id", "kind", F.array_join("tenants", ",").alias("tenants"), "lines", F.size("applies").alias("also"), "ruling")
+
+
 @query("SELECT CAST(sum(lines) AS BIGINT) AS lines_in, CAST(sum(lines) FILTER (l1 <> 'Brand#12') AS BIGINT) AS lines_out, CAST(sum(lines) FILTER (l1 = 'Brand#12') AS BIGINT) AS lines_dropped, sum(lines) = sum(lines) FILTER (l1 <> 'Brand#12') + sum(lines) FILTER (l1 = 'Brand#12') AS ok FROM nodes")
 def tree_conservation(spark, d):
     nodes, m = mapped(spark, d)
@@ -543,6 +591,15 @@ def tree_numbered(spark, d):
     return taxonomy.numbered(tree, previous).select("resolved", "category_key", "lines", "nodes", "absorbed")
 
 
+@query(f"""SELECT resolved, 'XX-' || printf('%04d', row_number() OVER (ORDER BY resolved)) AS category_key, lines FROM (SELECT CASE WHEN basis = 'leaf_moved' THEN upper(target) ELSE array_to_string(u, ' > ') END AS resolved, CAST(sum(lines) AS BIGINT) AS lines FROM {CROSSED} GROUP BY 1
+ UNION ALL SELECT DISTINCT 'GOODS > ' || upper(l1) || ' > BY HAND', 0 FROM nodes)""")
+def tree_with_added(spark, d):
+    nodes, m = mapped(spark, d)
+    added = nodes.select(F.concat(F.lit("Goods > "), F.col("l1"), F.lit(" > by hand")).alias("path")).unionByName(nodes.select("path").limit(5))
+    none = spark.createDataFrame([], "resolved string, category_key string")
+    return taxonomy.refuse_shared_keys(taxonomy.numbered(taxonomy.with_added(shared(taxonomy.merged(m)), added), none)).select("resolved", "category_key", "lines")
+
+
 STATE = "CASE " + " ".join(f"WHEN regexp_matches(lower({{0}}), '\\b{w}\\b') THEN '{st}'" for w, st in taxonomy.STATES.items()) + " END"
 AUDITED = f"""(SELECT *, s[-1] AS leaf, array_to_string(s[:-2], ' > ') AS parent, array_to_string(s[:2], ' > ') AS branch, coalesce(s[3], s[-1]) AS label
  FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines, string_split(path, ' > ') AS s FROM nodes GROUP BY path))"""

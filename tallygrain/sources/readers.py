@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallygrain.sources import databases
+
 FORMATS = ("parquet", "orc", "csv", "json", "avro", "text", "binaryFile")
 
 
 @dataclass(frozen=True)
 class Source:
-    """A tenant's source: a folder of files, a table of the catalog, or a database."""
+    """A tenant's source: a folder of files, a table of the catalog, or a database (options dbtable, and key and
+    parts for reading it in parts)."""
 
     tenant: str
     kind: str
@@ -25,7 +28,9 @@ class Source:
         if self.kind == "table":
             return spark.table(self.place)
         if self.kind == "jdbc":
-            return spark.read.format("jdbc").options(url=self.place, fetchsize="20000", **dict(self.options)).load()
+            own = dict(self.options)
+            table, key, parts = own.pop("dbtable"), own.pop("key", None), int(own.pop("parts", "1"))
+            return databases.read(spark, self.place, table, key, parts, own)
         if self.kind not in FORMATS:
             raise ValueError(f"{self.tenant}: unknown kind of source {self.kind}")
         r = spark.read.options(**dict(self.options))

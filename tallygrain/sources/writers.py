@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE = ("run_id", "tenant")
@@ -35,14 +35,32 @@ def refuse_if_precious(old: DataFrame, verdict: str = "verdict", review: str = "
 
 
 def supersede(new: DataFrame, path: str, old_run: str, expected: int) -> DataFrame:
-    """Write the new run first, count it, and only then leave out the old one. Returns what stays."""
+    """Write the new run first, count it, and only then remove the folders of the old one, but of one that holds
+    a verdict or a review. Returns what stays."""
     spark = new.sparkSession
-    replace_slices(new, path)
     run = new.select("run_id").first()[0]
-    got = spark.read.parquet(path).where(F.col("run_id") == run).count()
+    if run == old_run:
+        raise ValueError(f"the new run has the name of the old one, {run}")
+    replace_slices(new, path)
+    rows = spark.read.schema(new.schema).parquet(path)
+    got = rows.where(F.col("run_id") == run).count()
     if got != expected:
         raise RuntimeError(f"{got} rows were written and {expected} expected; the old run stays")
-    return spark.read.parquet(path).where(F.col("run_id") != old_run)
+    old = rows.where(F.col("run_id") == old_run)
+    if {"verdict", "response"} <= set(new.columns):
+        refuse_if_precious(old)
+    purge(spark, path, {"run_id": old_run})
+    return spark.read.schema(new.schema).parquet(path)
+
+
+def purge(spark: SparkSession, path: str, partition: dict[str, str]) -> int:
+    """Remove the folders of a partition (its first columns, in order) through the file system that Spark uses;
+    how many there were. A second call finds none."""
+    name = "/".join(f"{k}={v}" for k, v in partition.items())
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path, name)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.exists(folder) and fs.delete(folder, True))
 
 
 def updated(old: DataFrame, new: DataFrame, key: list[str], cols: list[str]) -> DataFrame:

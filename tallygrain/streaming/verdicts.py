@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def hourly(events: DataFrame, ts: str = "ts", late: str = "2 hours") -> DataFrame:
@@ -58,13 +60,67 @@ def stalls(events: DataFrame, key: str, ts: str = "ts", minutes: int = 60, late:
     return events.withWatermark(ts, late).groupBy(key).applyInPandasWithState(step, "key string, state string, at timestamp", "last long, stalled boolean, ended boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def merged_into(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: merge a batch into a table of versions. A version is a folder named by its
-    batch, so a batch that runs again writes the same folder and reads the same one before it."""
+#: Name of the partition column that holds a version's batch.
+VERSION = "batch_no"
+
+
+def newest(spark: SparkSession, path: str, schema: StructType, slices: tuple[str, ...], before: int | None = None) -> DataFrame:
+    """The rows of each slice's newest version, without the version; of those before a batch, if one is given. A
+    table that isn't there has no rows. Only names of partitions are read to find the versions."""
+    kinds = StructType([*schema.fields, StructField(VERSION, LongType())])
+    try:
+        all_ = spark.read.schema(kinds).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    if before is not None:
+        all_ = all_.where(F.col(VERSION) < before)
+    last = all_.select(*slices, VERSION).distinct().groupBy(*slices).agg(F.max(VERSION).alias("_last"))
+    on = F.col(VERSION) == F.col("_last")
+    for c in slices:
+        on = on & all_[c].eqNullSafe(last[c])
+    return all_.join(F.broadcast(last), on, "left_semi").select(*schema.fieldNames())  # a row for each slice
+
+
+def merged_into(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], slices: tuple[str, ...] = ("run_id", "tenant")) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: merge a batch into a table kept in slices. Only slices that the batch touches are read
+    and written; each gets a new version under the number of the batch, beside the version before, whose files
+    stay. A batch that runs again reads what was before it and writes the same versions, so one that was killed
+    anywhere leaves no trace. merge(old, batch) must keep a row in every slice that it is given."""
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = spark.read.parquet(f"{path}/v{number - 1}") if number else spark.createDataFrame([], batch.schema)
-        merge(old, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
+        batch = batch.persist()  # read twice: for its slices and for its rows
+        touched = batch.select(*slices).distinct()
+        if not touched.isEmpty():
+            old = newest(spark, path, batch.schema, slices, number)
+            on = [old[c].eqNullSafe(touched[c]) for c in slices]
+            got = merge(old.join(F.broadcast(touched), on, "left_semi"), batch).select(*batch.columns)
+            got.withColumn(VERSION, F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*slices, VERSION).parquet(path)
+        batch.unpersist()
 
     return run
+
+
+def refreshes(events: DataFrame, key: str, counts: Column, every: int) -> DataFrame:
+    """(key, total, moved): a row when the count of a key's rows that `counts` selects has moved by `every` since
+    the last row for it, and with its first rows. The count lives in the stream's state. Rows are counted in
+    their tasks before the shuffle, so a key with most of the rows sends a number from each batch of a task."""
+
+    def partly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            n = pdf.groupby("key", dropna=False)["counts"].sum()
+            yield pd.DataFrame({"key": n.index.astype(object), "n": n.to_numpy("int64")})
+
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        total, shown = state.get if state.exists else (0, -1)
+        total += sum(int(pdf["n"].sum()) for pdf in batches)
+        moved = total if shown < 0 else total - shown
+        due = shown < 0 or moved >= every
+        state.update((total, total if due else shown))
+        if due:
+            yield pd.DataFrame({"key": pd.Series([k[0]], dtype=object), "total": [total], "moved": [moved]})
+
+    counted = events.select(F.col(key).cast("string").alias("key"), F.coalesce(counts.cast("int"), F.lit(0)).alias("counts")).mapInPandas(partly, "key string, n long")
+    return counted.groupBy("key").applyInPandasWithState(step, "key string, total long, moved long", "total long, shown long", "update", GroupStateTimeout.NoTimeout)
