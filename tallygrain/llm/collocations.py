@@ -2,8 +2,10 @@
 
 Texts are cut into shards of words of one language: a sorted dictionary and the words by number, with
 breaks between pieces. A shard counts its phrases in a trie of limited depth, level by level in numpy: a
-node of the next level is a node and a word after it. Nodes are written in the order of their paths, and the
-sorted tries of all shards are merged by ranges of prefixes, where counts of equal paths are added.
+node of the next level is a node and a word after it. Nodes leave in the order of their paths, each with the
+range of prefixes that its path is in, and the sorted tries of all shards are merged by these ranges, where
+counts of equal paths are added. Ranges are of about equal weight by the counts of first words; a very common
+first word is cut into several by the word after it.
 
 A phrase that occurs LEAST times has parts that do too. So words are counted first, then pairs of frequent
 words, then longer phrases of frequent pairs. What is frequent is handed on as a bit map of hashes with a
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -40,11 +42,13 @@ from tallygrain.llm.common import BROADCAST_KEYS, materialise, small_batches
 #: Words of a phrase; least occurrences; percent of a phrase's count from which a longer one replaces it; results of a language.
 LONGEST, LEAST, REPLACES, TOP = 5, 100, 100, 2000
 #: Words of a shard, unless one text has more.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 #: Bits of a bit map for each thing in it, and most bits in all (16 MB).
 BITS_EACH, MOST_BITS = 32, 1 << 27
-#: Frequent phrases of a range of a walk, and rows of the sample that ranges are made from.
-RANGE_ROWS, RANGE_SAMPLE = 100_000, 20_000
+#: Frequent phrases of a range of a walk, and rows of the samples that ranges are made from.
+RANGE_ROWS, RANGE_SAMPLE = 20_000, 20_000
+#: Ranges of prefixes for each task that merges tries.
+RANGES_A_TASK = 4
 MARKS = re.compile(rb"[.,;:!?\x0a-\x0d]+")
 
 
@@ -137,10 +141,45 @@ def levels(t: np.ndarray, n_words: int, frequent: np.ndarray, pair_ok: np.ndarra
             at, parent = at[on], inverse[on]
 
 
-def tries(shard: DataFrame, words: BitMap | None = None, pairs: BitMap | None = None) -> DataFrame:
-    """(lang, phrase, f): the serialised tries of shards: words; with `words`, pairs of frequent words; with
-    `pairs` too, longer phrases of frequent pairs."""
+Bounds = list[tuple[str, str, str]]
+
+
+def prefix_ranges(words: DataFrame, ranges: int) -> Bounds:
+    """At most 2 * ranges bounds (lang, first word, second word), in order, between ranges of about equal weight, of the words
+    (lang, phrase, f). Words with a range's weight or more, of which there are at most `ranges`, are all known; a
+    sample stands for the others. A word of several ranges is cut where its language's words would be."""
+    all_, n = words.agg(F.coalesce(F.sum("f"), F.lit(0)), F.count("*")).first()
+    full = all_ / ranges
+    heavy = words.where(F.col("f") >= full)
+    light = words.where(F.col("f") < full)
+    some = light.orderBy(F.xxhash64("lang", "phrase"), "lang", "phrase").limit(RANGE_SAMPLE)
+    scale = max(1.0, (n - heavy.count()) / RANGE_SAMPLE)
+    rows = sorted((lang, w, f, s) for df, s in ((heavy, 1.0), (some, scale)) for lang, w, f in df.select("lang", "phrase", "f").collect())
+    by_lang: dict[str, list[tuple[str, float]]] = defaultdict(list)
+    for lang, w, f, s in rows:
+        by_lang[lang].append((w, f * s))
+    bounds, held = [], 0.0
+    for lang, w, f, s in rows:
+        if held >= full:
+            bounds.append((lang, w, ""))
+            held = 0.0
+        parts = int(f * s // full)
+        if parts > 1:
+            total, seen, k = sum(x for _, x in by_lang[lang]), 0.0, 1
+            for w2, x in by_lang[lang]:
+                if k < parts and seen >= total * k / parts:
+                    bounds.append((lang, w, w2))
+                    k += 1
+                seen += x
+        held += f * s
+    return sorted(set(bounds))
+
+
+def tries(shard: DataFrame, words: BitMap | None = None, pairs: BitMap | None = None, bounds: Bounds | None = None) -> DataFrame:
+    """(lang, phrase, f, range): the tries of shards: words; with `words`, pairs of frequent words; with
+    `pairs` too, longer phrases of frequent pairs. A shard's nodes come in the order of their paths."""
     shared = shard.sparkSession.sparkContext.broadcast((words, pairs))
+    bounds = bounds or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_pairs = shared.value
@@ -150,27 +189,39 @@ def tries(shard: DataFrame, words: BitMap | None = None, pairs: BitMap | None =
                 t = np.frombuffer(ids, "<i4").astype(np.int64)
                 column = pa.array([w.decode("utf-8", "surrogatepass") for w in names], pa.string())
                 if known is None:
-                    yield rows_of(lang, column, np.bincount(t[t >= 0], minlength=len(names)))
+                    yield rows_of(lang, column, np.bincount(t[t >= 0], minlength=len(names)), np.zeros(len(names), np.int32))
                 elif names:
                     h = crc(lang, names)
                     may, pair_ok = known.has(h), None
                     if known_pairs is not None:
                         both = may[t[:-1]] & may[t[1:]] & (t[:-1] >= 0) & (t[1:] >= 0)
                         pair_ok = both & known_pairs.has(mixed(h[t[:-1]], h[t[1:]]))
+                    cuts = cuts_of(lang, names)
                     for paths, counts in levels(t, len(names), may, pair_ok):
-                        yield rows_of(lang, pc.binary_join_element_wise(*[column.take(pa.array(p)) for p in paths.T], " "), counts)
+                        place = np.searchsorted(cuts, paths[:, 0] * np.int64(len(names)) + paths[:, 1], "right")
+                        yield rows_of(lang, pc.binary_join_element_wise(*[column.take(pa.array(p)) for p in paths.T], " "), counts, place)
 
-    def rows_of(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(counts, pa.int64())], ["lang", "phrase", "f"])
+    def cuts_of(lang: str, names: list[bytes]) -> np.ndarray:
+        """The bounds as numbers of a shard's pairs of words; those of other languages are before or after all."""
+        code = lambda w: w.encode("utf-8", "surrogatepass")
+        out = []
+        for of, w, w2 in bounds:
+            k = bisect_left(names, code(w))
+            there = k < len(names) and names[k] == code(w)
+            at = k * len(names) + (bisect_left(names, code(w2)) if there else 0)
+            out.append(-1 if of < lang else len(names) ** 2 if of > lang else at)
+        return np.array(out, np.int64)
 
-    return shard.mapInArrow(run, "lang string, phrase string, f long")
+    def rows_of(lang: str, phrases: pa.Array, counts: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(counts, pa.int64()), pa.array(place, pa.int32())], ["lang", "phrase", "f", "range"])
+
+    return shard.mapInArrow(run, "lang string, phrase string, f long, range int")
 
 
 def merged(nodes: DataFrame, least: int = LEAST) -> DataFrame:
-    """Tries merged by ranges of paths, as sorted runs are; of what occurs `least` times."""
-    nodes = materialise(nodes)
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialise(nodes.repartitionByRange(tasks, "lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
+    """Tries merged by their ranges of prefixes; of what occurs `least` times."""
+    ranged = nodes.repartition("range").groupBy("range", "lang", "phrase").agg(F.sum("f").alias("f"))
+    return materialise(ranged.where(F.col("f") >= least).drop("range"))
 
 
 def walked(frequent: DataFrame, reverse: bool, rows: int = RANGE_ROWS) -> DataFrame:
@@ -220,11 +271,12 @@ def walked(frequent: DataFrame, reverse: bool, rows: int = RANGE_ROWS) -> DataFr
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f) of the phrases of up to LONGEST words that occur LEAST times, and (lang, n)."""
     shard = materialise(shards(docs, text_col, lang_col))
-    words = merged(tries(shard))
+    words = materialise(tries(shard).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST))
     known = BitMap(words, hashed(F.col("lang"), F.col("phrase")))
-    pairs = merged(tries(shard, known))
+    bounds = prefix_ranges(words, RANGES_A_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = merged(tries(shard, known, bounds=bounds))
     part = lambda k: hashed(F.col("lang"), F.get(F.split("phrase", " "), F.lit(k)))
-    longer = merged(tries(shard, known, BitMap(pairs, mixed(part(0), part(1)))))
+    longer = merged(tries(shard, known, BitMap(pairs, mixed(part(0), part(1))), bounds))
     return words.unionByName(pairs).unionByName(longer), shard.groupBy("lang").agg(F.sum("n").alias("n"))
 
 

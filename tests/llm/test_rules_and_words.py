@@ -228,6 +228,7 @@ def test_collocations(spark, odd, monkeypatch, least, shard, ranged):
     monkeypatch.setattr(collocations.merged, "__defaults__", (least,))
     monkeypatch.setattr(collocations.shards, "__defaults__", ("text", "lang", shard))
     monkeypatch.setattr(collocations.walked, "__defaults__", (ranged,))
+    monkeypatch.setattr(collocations, "RANGES_A_TASK", 1 if ranged > 100 else 40)
     docs = spark.createDataFrame([(i, lang, t, "x", "y") for i, (lang, t) in enumerate(texts)], "doc_id long, lang string, text string, phrase string, rank string")
     assert sorted(map(tuple, collocations.collocations(docs, top=30).collect())) == phrases_by_hand(texts, least, 30)
     if shard == 50:
@@ -244,6 +245,21 @@ def test_op13(spark, empty):
     assert collocations.collocations(empty).count() == 0
 
 
+def test_prefix_ranges(spark):
+    """Bounds are in order, a very common word is cut, and ranges have about equal weight."""
+    rows_ = [("en", f"w{k:03d}", 100 + k) for k in range(300)] + [("en", "the", 40_000), ("de", "und", 20_000)]
+    words = spark.createDataFrame(rows_, "lang string, phrase string, f long")
+    bounds = collocations.prefix_ranges(words, 20)
+    assert bounds == sorted(set(bounds)) and sum(b[1] == "the" and b[2] > "" for b in bounds) >= 4
+    weight = Counter()
+    for lang, w, f in rows_:
+        mine = [x for x in rows_ if x[0] == lang]
+        for _, w2, f2 in mine:  # pairs as if words were independent
+            weight[sum(b <= (lang, w, w2) for b in bounds)] += f * f2 / sum(x[2] for x in mine)
+    assert max(weight.values()) <= 3 * sum(weight.values()) / 20
+    assert collocations.prefix_ranges(words.where("false"), 20) == []
+
+
 def test_products_beyond_64_bits(spark):
     """The score of a cut whose products pass 64 bits is exact."""
     from pyspark.sql import functions as F
