@@ -120,12 +120,12 @@ def applied_rulings(spark, d):
 
 #: Decisions of every type with the answers that people type, one for each part.
 DECISIONS = """SELECT p_partkey, 'T1, T2' AS tenants, CASE WHEN p % 17 < 8 THEN 'ALMOST THE SAME' WHEN p % 17 = 8 THEN 'MANUAL ADD' WHEN p % 17 = 9 THEN 'manual drop' WHEN p % 17 = 10 THEN 'MANUAL RENAME' WHEN p % 17 = 11 THEN 'MANUAL DEFINE' ELSE 'mapping' END AS type,
- CASE WHEN p % 17 < 8 THEN '' ELSE 'Clinical > Old ' || p_brand || ' > (none)' END AS detail, 'Paste ' || p_name AS option_a, 'Pasta ' || p_name AS option_b,
+ CASE WHEN p % 17 < 8 THEN '' ELSE 'Clinical > Old ' || p_brand || ' > (not used at this level)' END AS detail, 'Paste ' || p_name AS option_a, 'Pasta ' || p_name AS option_b,
  CASE p % 17 WHEN 0 THEN 'Option A' WHEN 1 THEN ' b ' WHEN 2 THEN 'Keep both' WHEN 3 THEN 'these can''t be merged' WHEN 4 THEN 'merge them as "Spreads"' WHEN 5 THEN 'Dough' WHEN 6 THEN '  ' WHEN 7 THEN NULL
   WHEN 8 THEN CASE WHEN p % 2 = 0 THEN 'Clinical >  New > New ' ELSE 'Elsewhere > New' END WHEN 9 THEN 'Clinical > Gone' WHEN 10 THEN CASE WHEN p % 2 = 0 THEN 'Fire' ELSE 'Clinical > Fire' END WHEN 11 THEN 'What burns, not what smokes'
   WHEN 12 THEN 'isn''t this medical?' WHEN 13 THEN 'CLINICAL > OLD ' || p_brand WHEN 14 THEN 'Clinical > Old ' || lower(p_brand) ELSE 'Non-Clinical > Here > here' END AS ruling FROM (SELECT *, CAST(p_partkey AS INTEGER) AS p FROM part) x"""
 RULED = f"""(SELECT *, ['spelling', 'spelling', 'keep', 'keep', 'spelling', 'spelling', 'open', 'open', CASE WHEN p_partkey % 2 = 0 THEN 'add' ELSE 'rejected' END, 'drop', CASE WHEN p_partkey % 2 = 0 THEN 'rename' ELSE 'rejected' END, 'define', 'rejected', 'rejected', 'own', 'target', 'target'][1 + p_partkey % 17] AS kind,
- CASE WHEN p_partkey % 17 IN (11, 14, 15, 16) THEN replace(detail, ' > (none)', '') END AS subject,
+ CASE WHEN p_partkey % 17 IN (11, 14, 15, 16) THEN replace(detail, ' > (not used at this level)', '') END AS subject,
  CASE p_partkey % 17 WHEN 0 THEN option_a WHEN 1 THEN option_b WHEN 4 THEN 'Spreads' WHEN 8 THEN CASE WHEN p_partkey % 2 = 0 THEN 'Clinical > New' ELSE ruling END WHEN 15 THEN 'Non-Clinical > Here' WHEN 16 THEN 'Non-Clinical > Here' WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 6 THEN NULL WHEN 14 THEN NULL ELSE ruling END AS argument FROM ({DECISIONS}))"""
 
 
