@@ -76,8 +76,23 @@ def contradicts_itself(column: str, destination: str, rules: list[tuple[str, tup
 
 
 def wordy(column: str, least: int = 3):
-    """Whether a text has words: three tokens of letters or more."""
-    return F.size(F.filter(F.split(F.coalesce(F.col(column), F.lit("")), r"[\s,()\[\]:;#*]+"), lambda x: x.rlike(r"^[A-Za-z][A-Za-z\-'/]{2,}$"))) >= least
+    """Whether a text has `least` words: tokens of three letters or more, between which and among which only
+    hyphens, apostrophes and slashes may stand. A code or an identifier has none."""
+    tokens = F.split(F.translate(F.coalesce(F.col(column), F.lit("")), ",()[]:;#*", " " * 9), r"\s+")
+    letters = lambda x: F.upper(F.translate(x, "-'/", "aaa"))
+    word = lambda x: (F.length(x) >= 3) & letters(x).rlike("^[A-Z]+$") & F.upper(F.left(x, F.lit(1))).between("A", "Z")
+    return F.size(F.filter(tokens, word)) >= least
+
+
+# What a rationale says that denies a description, in lower case.
+DENIALS = ("no usable desc", "unusable", "no description", "does not identify what was bought")
+
+
+def false_denials(lines: DataFrame, rationale: str = "rationale", description: str = "description") -> DataFrame:
+    """Lines whose rationale denies a description that there is, and that has words: a false statement about the
+    evidence. One that is an identifier alone may be called unusable."""
+    said = F.lower(F.coalesce(F.col(rationale), F.lit("")))
+    return lines.where((F.col("description_usable") == "Y") & text.any_of([said.contains(x) for x in DENIALS]) & wordy(description))
 
 
 def breakdown(lines: DataFrame, actions: tuple[str, ...] = ACTIONS) -> DataFrame:

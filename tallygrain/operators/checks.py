@@ -67,9 +67,12 @@ def schema_parity(a: DataFrame, b: DataFrame) -> list[tuple[str, str, str]]:
 
 
 def best_join_key(left: DataFrame, right: DataFrame, candidates: list[tuple[str, str]]) -> DataFrame:
-    """For each candidate pair of columns, how many rows of left find a partner."""
-    parts = []
-    for a, b in candidates:
-        k = right.select(F.trim(F.col(b).cast("string")).alias("_k")).distinct()
-        parts.append(left.select(F.trim(F.col(a).cast("string")).alias("_k")).join(k, "_k", "left_semi").agg(F.count("*").alias("matches")).select(F.lit(f"{a}={b}").alias("pair"), "matches"))
-    return together(parts)
+    """For each candidate pair of columns, how many rows of left find a partner. Each table is read once, and its
+    values are counted before they meet."""
+
+    def values(df: DataFrame, side: int) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit("=".join(p)).alias("pair"), F.trim(F.col(p[side]).cast("string")).alias("k")) for p in candidates]))
+        return df.select(each.alias("x")).select("x.*").groupBy("pair", "k").agg(F.count("*").alias("n"))
+
+    met = values(left, 0).join(values(right, 1).select("pair", "k", F.lit(True).alias("_met")), ["pair", "k"], "left")
+    return met.groupBy("pair").agg(F.coalesce(F.sum(F.when(F.col("_met"), F.col("n"))), F.lit(0)).alias("matches"))

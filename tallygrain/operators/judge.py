@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.functions import text
@@ -66,23 +66,26 @@ def tally(votes: DataFrame, keys: DataFrame, uncategorised: Column | None = None
     """One consensus a line of long votes (line_id, seat, verdict, confidence, basis, suggested_key,
     rationale). Two equal verdicts decide, ties alphabetically; the destination is voted among those
     that agree, on known keys in scope; one decider alone is a split."""
-    valid = votes.where(F.col("verdict").isin(*VERDICTS)).withColumn("_k", F.nullif(F.trim("suggested_key"), F.lit("")))
-    n = valid.groupBy("line_id", "verdict").agg(F.count("*").alias("n"))
-    first = Window.partitionBy("line_id").orderBy(F.desc("n"), "verdict")
-    win = n.withColumn("r", F.row_number().over(first)).withColumn("got", F.sum("n").over(Window.partitionBy("line_id"))).where("r = 1").drop("r")
-    agree = valid.join(win, ["line_id", "verdict"])
-    known = keys.select(F.col("category_key").alias("_k"), F.col("in_scope").alias("_in"))
+    known = keys.groupBy(F.col("category_key").alias("_k")).agg(F.max("in_scope").alias("_in"))
+    valid = votes.where(F.col("verdict").isin(*VERDICTS)).withColumn("_k", F.nullif(F.trim("suggested_key"), F.lit(""))).join(known, "_k", "left")
     free = uncategorised if uncategorised is not None else F.lit(False)
-    named = agree.join(F.broadcast(known), "_k").where(free | F.col("_in")).groupBy("line_id", "_k").agg(F.count("*").alias("c")).where("c >= 2")
-    dest = named.groupBy("line_id").agg(F.min_by("_k", F.struct(-F.col("c"), F.col("_k"))).alias("suggested_key"))
-    got = agree.groupBy("line_id").agg(
-        F.first("verdict").alias("verdict"), F.first("n").alias("n"), F.first("got").alias("got"),
-        F.round(F.avg(F.coalesce(confidence(F.col("confidence")), F.lit(0.0))), 3).alias("confidence"),
-        F.mode(F.when(F.col("basis").isin(*BASES), F.col("basis")), True).alias("basis"),
-        F.min_by("rationale", F.when(F.coalesce(F.col("rationale"), F.lit("")) != "", F.col("seat"))).alias("rationale"),
-    )
+    sure = F.coalesce(confidence(F.col("confidence")), F.lit(0.0))
+    said = F.coalesce(F.col("rationale"), F.lit("")) != ""
+    figures = []
+    for k, v in enumerate(VERDICTS):  # what each verdict would give, so that lines are grouped once
+        mine = F.col("verdict") == v
+        figures += [
+            F.count_if(mine).alias(f"n{k}"), F.round(F.avg(F.when(mine, sure)), 3).alias(f"c{k}"), F.mode(F.when(mine & F.col("basis").isin(*BASES), F.col("basis")), True).alias(f"b{k}"),
+            F.min_by("rationale", F.when(mine & said, F.col("seat"))).alias(f"r{k}"), F.collect_list(F.when(mine & F.col("_in").isNotNull() & (free | F.col("_in")), F.col("_k"))).alias(f"k{k}"),
+        ]
+    g = valid.groupBy("line_id").agg(F.count("*").alias("got"), *figures)
+    g = g.withColumn("_w", F.least(*[F.struct((-F.col(f"n{k}")).alias("n"), F.lit(v).alias("verdict"), F.lit(k).alias("k")) for k, v in enumerate(VERDICTS)]))
+    won = lambda c: F.coalesce(*[F.when(F.col("_w.k") == k, F.col(f"{c}{k}")) for k in range(len(VERDICTS))])
+    g = g.select("line_id", "got", F.col("_w.verdict").alias("verdict"), *[won(c).alias(n) for c, n in (("n", "n"), ("c", "confidence"), ("b", "basis"), ("r", "rationale"), ("k", "ks"))])
+    times = F.transform(F.array_distinct("ks"), lambda x: F.struct((-F.size(F.filter("ks", lambda y: y == x))).alias("n"), x.alias("k")))
+    got = g.withColumn("suggested_key", F.array_min(F.filter(times, lambda t: t["n"] <= -2))["k"])
     split = F.col("n") < 2
-    return got.join(dest, "line_id", "left").select(
+    return got.select(
         "line_id",
         F.when(split, "Uncertain").otherwise(F.col("verdict")).alias("verdict"),
         F.when(split, "split").otherwise(F.concat(F.col("n").cast("string"), F.lit("of"), F.col("got").cast("string"))).alias("agreement"),
@@ -122,7 +125,7 @@ def ask_again(units: DataFrame, answers: DataFrame, seats: tuple[int, ...]) -> D
 def validated(answers: DataFrame, keys: DataFrame) -> DataFrame:
     """reject_reason: null for an answer that may be applied."""
     known = keys.select(F.col("category_key").alias("suggested_key"), F.col("in_scope"))
-    j = answers.join(F.broadcast(known), "suggested_key", "left")
+    j = answers.join(known, "suggested_key", "left")
     why = (
         F.when(~F.coalesce(F.col("verdict").isin(*VERDICTS), F.lit(False)), "verdict")
         .when(~F.coalesce(F.col("basis").isin(*BASES), F.lit(False)), "basis")

@@ -259,3 +259,31 @@ def leaves_of(tree: DataFrame, branch: Column, in_scope_only: bool = True, used_
 def _offered(tree: DataFrame, in_scope_only: bool, used_only: bool) -> DataFrame:
     t = tree.where("in_scope") if in_scope_only else tree
     return t.where("lines_in_scope > 0") if used_only else t
+
+
+def placement(lines: DataFrame, nodes: DataFrame, levels: list[str]) -> DataFrame:
+    """Adds placing: uncategorised, exact (all levels are a node's), finer (all but the last are) or branch missing."""
+    e = nodes.select(*levels).distinct().withColumn("_e", F.lit(True))
+    b = nodes.select(*levels[:-1]).distinct().withColumn("_b", F.lit(True))
+    j = lines.join(e, levels, "left").join(b, levels[:-1], "left")
+    how = F.when(text.uncategorised(F.col("l0")), "uncategorised").when(F.col("_e"), "exact").when(F.col("_b"), "finer").otherwise("branch missing")
+    return j.withColumn("placing", how).drop("_e", "_b")
+
+
+def kept_by(lines: DataFrame, rules: tuple[str, ...] = (), categories: tuple[str, ...] = (), names: tuple[str, ...] = (), category: str = "l0", name: str = "description") -> DataFrame:
+    """Lines but those of some rules, of some categories, or whose name contains some text; null is none of these."""
+    hit = [F.coalesce(F.col("rule_id").isin(*rules), F.lit(False))] * bool(rules) + [F.coalesce(F.col(category).isin(*categories), F.lit(False))] * bool(categories)
+    hit += [F.coalesce(F.contains(F.col(name), F.lit(x)), F.lit(False)) for x in names]
+    return lines.where(~text.any_of([F.lit(False), *hit]))
+
+
+def suspects(lines: DataFrame, category: str, categories: tuple[str, ...], name: str, words: str) -> DataFrame:
+    """(rule_id, suspects): lines that a rule put into one of the categories though their name has one of the words
+    (a pattern, upper case)."""
+    return lines.where(F.col(category).isin(*categories) & F.upper(F.coalesce(name, F.lit(""))).rlike(words)).groupBy("rule_id").agg(F.count("*").alias("suspects"))
+
+
+def branch_summary(nodes: DataFrame, path: str = "path") -> DataFrame:
+    """Nodes, lines and tenants of each branch, the first two levels of a path."""
+    s = paths.split_path(F.col(path))
+    return nodes.groupBy(F.get(s, F.lit(0)).alias("l0"), F.get(s, F.lit(1)).alias("l1")).agg(F.count("*").alias("nodes"), F.sum("lines").alias("lines"), F.countDistinct("tenant").alias("tenants"))

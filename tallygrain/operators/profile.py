@@ -118,3 +118,21 @@ def duplicate_keys(rules: DataFrame, by: str, key: str) -> DataFrame:
 def checksum(df: DataFrame, cols: list[str]) -> DataFrame:
     """A checksum that no order of rows changes, and that repeated rows don't cancel: a sum of hashes."""
     return df.agg(F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("checksum"), F.count("*").alias("rows"))
+
+
+def generic_share(lines: DataFrame, name: str, amount: str, n: int) -> DataFrame:
+    """The share of the absolute amount of the n largest names that names which say nothing have."""
+    top = top_by_absolute(lines, name, amount, n)
+    return top.agg(F.round(F.sum(F.when(~text.usable(F.col(name)), F.col("absolute")).otherwise(0)).cast("double") / F.sum("absolute").cast("double"), 6).alias("generic_share"))
+
+
+def vendor_terms(lines: DataFrame, name: str) -> DataFrame:
+    """How many usable names each vendor has, and the first."""
+    return lines.where(text.usable(F.col(name))).groupBy("tenant", "supplier").agg(F.countDistinct(name).alias("texts"), F.min(name).alias("first_text"))
+
+
+def moved(before: DataFrame, after: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, before, after, movement): distinct values of each key in two runs: new, gone, same or moved."""
+    side = lambda df, n: df.groupBy(key).agg(F.countDistinct(value).alias(n))
+    j = side(before, "before").join(side(after, "after"), key, "full")
+    return j.withColumn("movement", F.when(F.col("before").isNull(), "new").when(F.col("after").isNull(), "gone").when(F.col("before") == F.col("after"), "same").otherwise("moved"))

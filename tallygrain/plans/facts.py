@@ -6,6 +6,7 @@ themselves are compared. Money is in whole cents, whose sums no order of adding
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,14 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
 JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 """
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
-#: Setting that names the folder of stored fact lines; without it each query joins the star schema anew.
+#: Settings that name the folder of stored fact lines, one for each folder of tables; without it a query joins the star schema anew.
 STORED = "spark.tallygrain.lines"
+
+
+def stored_key(sf_dir: str) -> str:
+    return f"{STORED}.{zlib.crc32(sf_dir.rstrip('/').encode())}"
+
+
 #: The crosswalk and the keys of the merged tree, as in the two engines.
 CROSS = "SELECT n_name AS tenant, CAST(k AS STRING) AS source_key, 'NC-000' || CAST(k % 6 AS STRING) AS target_key, k % 2 = 0 AS moved FROM nation CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6)) AS t(k)"
 KEYS = "SELECT 'NC-000' || CAST(k AS STRING) AS category_key, CASE WHEN k = 5 THEN 'Clinical' ELSE 'Goods' END AS l0, k <> 5 AS in_scope FROM (VALUES (0), (1), (2), (3), (4), (5)) AS t(k)"
@@ -68,10 +75,11 @@ WITH = f"WITH lines AS ({LINES}), cross_ AS ({CROSS}), keys_ AS ({KEYS}), votes
 def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Lazy frames of the derived relations and tables by name; nothing is registered in the session
     but views of the tables under names of their own."""
-    stored = spark.conf.get(STORED, None)
+    stored = spark.conf.get(stored_key(sf_dir), None)
+    view = stored_key(sf_dir).replace(".", "_")
     if stored:
-        spark.read.parquet(stored).createOrReplaceTempView("stored_lines")
-    lines = "SELECT * FROM stored_lines" if stored else LINES
+        spark.read.parquet(stored).createOrReplaceTempView(view)
+    lines = f"SELECT * FROM {view}" if stored else LINES
     texts = {"lines": lines, "cross_": CROSS, "keys_": KEYS, "votes": VOTES, "nodes": NODES}
     # reading a table looks into its footers, so only those that the lines or the crosswalk name are read, once
     need = set() if stored or not any(n in texts and n not in ("cross_", "keys_") for n in names) else {"lineitem", "supplier", "nation", "part", "orders"}
@@ -89,9 +97,10 @@ def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 
 def stored_facts(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write the fact lines once, as a tenant's load does; the session's later queries read them there."""
+    """Write the fact lines of a folder of tables once, as a tenant's load does; the session's later queries over
+    that folder read them there."""
     frames(spark, sf_dir, "lines")[0].write.mode("overwrite").parquet(path)
-    spark.conf.set(STORED, path)
+    spark.conf.set(stored_key(sf_dir), path)
 
 
 class Registry:

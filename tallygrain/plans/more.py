@@ -16,10 +16,7 @@ query = Registry()
 @query("SELECT line_id, CASE WHEN l0 = '' THEN 'uncategorised' WHEN e.p IS NOT NULL THEN 'exact' WHEN b.p IS NOT NULL THEN 'finer' ELSE 'branch missing' END AS placing FROM lines l LEFT JOIN (SELECT DISTINCT l1 || '/' || l2 || '/' || l3 AS p FROM nodes WHERE tenant < 'NATION_2') e ON e.p = l.l1 || '/' || l.l2 || '/' || l.l3 LEFT JOIN (SELECT DISTINCT l1 || '/' || l2 AS p FROM nodes WHERE tenant < 'NATION_2') b ON b.p = l.l1 || '/' || l.l2")
 def placement_class(spark, d):
     lines, nodes = frames(spark, d, "lines", "nodes")
-    known = nodes.where("tenant < 'NATION_2'")
-    e, b = known.select("l1", "l2", "l3").distinct().withColumn("_e", F.lit(True)), known.select("l1", "l2").distinct().withColumn("_b", F.lit(True))
-    j = lines.join(F.broadcast(e), ["l1", "l2", "l3"], "left").join(F.broadcast(b), ["l1", "l2"], "left")
-    return j.select("line_id", F.when(text.blank(F.col("l0")), "uncategorised").when(F.col("_e"), "exact").when(F.col("_b"), "finer").otherwise("branch missing").alias("placing"))
+    return normalise.placement(lines, nodes.where("tenant < 'NATION_2'"), ["l1", "l2", "l3"]).select("line_id", "placing")
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN 'Y' ELSE 'N' END AS reads_description, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN 'Item Description contains ' || p_name ELSE '[withheld GL Account]' END AS fires_on FROM part", derived=False)
@@ -50,23 +47,32 @@ def contradictory_rationales(spark, d):
     return j.select("line_id", actions.contradicts_itself("said", "l3", [("fuel", ("fuel",)), ("bolt", ("bolt",))]).alias("phrase"), actions.wordy("said").alias("wordy"))
 
 
+#: What a seat might say; the SQL counts words in another way, by pieces between what isn't of a word.
+DENIED = "CASE WHEN line_id % 3 = 0 THEN 'There is No Description of it' WHEN line_id % 3 = 1 THEN 'the text is unusable' ELSE 'a plain item' END"
+
+
+@query(f"SELECT line_id, d1 FROM lines WHERE description_usable = 'Y' AND line_id % 3 < 2 AND len(list_filter(string_split(d1, ' '), lambda x: length(x) >= 3 AND regexp_full_match(x, '[a-zA-Z]+'))) >= 3")
+def false_denials(spark, d):
+    (lines,) = frames(spark, d, "lines")
+    return actions.false_denials(lines.withColumn("said", F.expr(DENIED)), "said", "d1").select("line_id", "d1")
+
+
 @query("SELECT line_id FROM lines WHERE rule_id NOT IN ('1-URGENT') AND l0 <> 'Excluded' AND (d1 IS NULL OR d1 NOT LIKE '%ring%')")
 def template_exclusions(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return lines.where(~F.col("rule_id").isin("1-URGENT") & (F.col("l0") != "Excluded") & ~F.coalesce(F.col("d1").contains("ring"), F.lit(False))).select("line_id")
+    return normalise.kept_by(lines, ("1-URGENT",), ("Excluded",), ("ring",), name="d1").select("line_id")
 
 
 @query("SELECT rule_id, count(*) AS suspects FROM lines WHERE l2 IN ('ECONOMY', 'PROMO') AND regexp_matches(upper(coalesce(d1, '')), 'GEAR|BOLT') GROUP BY rule_id")
 def rule_suspects(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return lines.where(F.col("l2").isin("ECONOMY", "PROMO") & F.upper(F.coalesce("d1", F.lit(""))).rlike("GEAR|BOLT")).groupBy("rule_id").agg(F.count("*").alias("suspects"))
+    return normalise.suspects(lines, "l2", ("ECONOMY", "PROMO"), "d1", "GEAR|BOLT")
 
 
 @query("SELECT round(CAST(sum(CASE WHEN d1 IN ('n/a', '  ') THEN absolute ELSE 0 END) AS DOUBLE) / CAST(sum(absolute) AS DOUBLE), 6) AS generic_share FROM (SELECT d1, sum(abs(cents)) AS absolute FROM lines GROUP BY d1 ORDER BY absolute DESC, d1 LIMIT 20)")
 def generic_share(spark, d):
     (lines,) = frames(spark, d, "lines")
-    top = profile.top_by_absolute(lines, "d1", "cents", 20)
-    return top.agg(F.round(F.sum(F.when(~text.usable(F.col("d1")), F.col("absolute")).otherwise(0)).cast("double") / F.sum("absolute").cast("double"), 6).alias("generic_share"))
+    return profile.generic_share(lines, "d1", "cents", 20)
 
 
 @query("""SELECT name, round(v, 6) AS value, CASE WHEN round(v, 6) > f THEN 'FAIL' WHEN round(v, 6) > w THEN 'WARN' ELSE 'PASS' END AS grade FROM (
@@ -203,22 +209,20 @@ def review_intake(spark, d):
 @query("SELECT subject_id, a.units AS before, b.units AS after, CASE WHEN a.units IS NULL THEN 'new' WHEN b.units IS NULL THEN 'gone' WHEN a.units = b.units THEN 'same' ELSE 'moved' END AS movement FROM (SELECT tenant || subject_id AS subject_id, count(DISTINCT unit_id) AS units FROM lines WHERE line_no < 5 GROUP BY 1) a FULL JOIN (SELECT tenant || subject_id AS subject_id, count(DISTINCT unit_id) AS units FROM lines WHERE line_no > 2 GROUP BY 1) b USING (subject_id)")
 def movement_between_runs(spark, d):
     (lines,) = frames(spark, d, "lines")
-    side = lambda w, n: lines.where(w).groupBy(F.concat("tenant", "subject_id").alias("subject_id")).agg(F.countDistinct("unit_id").alias(n))
-    j = side("line_no < 5", "before").join(side("line_no > 2", "after"), "subject_id", "full")
-    return j.withColumn("movement", F.when(F.col("before").isNull(), "new").when(F.col("after").isNull(), "gone").when(F.col("before") == F.col("after"), "same").otherwise("moved"))
+    named = lines.withColumn("subject_id", F.concat("tenant", "subject_id"))
+    return profile.moved(named.where("line_no < 5"), named.where("line_no > 2"), "subject_id", "unit_id")
 
 
 @query("SELECT l0, l1, count(*) AS nodes, CAST(sum(lines) AS BIGINT) AS lines, count(DISTINCT tenant) AS tenants FROM (SELECT 'Goods' AS l0, l1, tenant, lines FROM nodes) GROUP BY l0, l1")
 def branch_summary(spark, d):
     (nodes,) = frames(spark, d, "nodes")
-    s = paths.split_path(F.col("path"))
-    return nodes.groupBy(F.get(s, F.lit(0)).alias("l0"), F.get(s, F.lit(1)).alias("l1")).agg(F.count("*").alias("nodes"), F.sum("lines").alias("lines"), F.countDistinct("tenant").alias("tenants"))
+    return normalise.branch_summary(nodes)
 
 
 @query("SELECT tenant, supplier, count(DISTINCT d1) AS texts, min(d1) AS first_text FROM lines WHERE trim(coalesce(d1, '')) NOT IN ('', 'n/a') GROUP BY tenant, supplier")
 def vendor_terms(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return lines.where(text.usable(F.col("d1"))).groupBy("tenant", "supplier").agg(F.countDistinct("d1").alias("texts"), F.min("d1").alias("first_text"))
+    return profile.vendor_terms(lines, "d1")
 
 
 @query("SELECT p_partkey, count(*) AS same FROM part a JOIN (SELECT upper(p_type) || '  ' AS t FROM part WHERE p_partkey < 40) b ON lower(rtrim(a.p_type)) = lower(rtrim(b.t)) GROUP BY p_partkey", derived=False)
