@@ -347,10 +347,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = materialise(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n")))
+        large = materialise(with_hot_keys(both, low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        low = materialise(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        moved = with_hot_keys(large, low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialise(low.select("a", F.col("m").alias("b")).unionByName(moved).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
@@ -374,8 +374,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"))
     roots = components(links(distinct.select("fp")))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "n", "least_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = materialise(rooted.join(named, "root").select("fp", "n", "component_id"))
+    rooted = materialise(rooted)
+    named = materialise(rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("size")))
+    by_fp = materialise(with_hot_keys(rooted, named, "root", "size").select("fp", "n", "component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return with_hot_keys(prints, by_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
@@ -451,9 +452,9 @@ def one_of_each(docs: DataFrame, near: int = NEAR, far: int = FAR) -> DataFrame:
     texts = prints.groupBy("t").agg(F.min(order).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("second").alias("second"), F.min(F.octet_length("shingles") / 8).cast("long").alias("shingles"))
     texts = materialise(texts)
     alike = similar_texts(prints, texts.select("t", "least.key", "fp", "second", "shingles"), near, far)
-    classed = texts.join(alike, F.col("t") == F.col("node"), "left").select("t", "n", "least", F.coalesce("root", "t").alias("class"))
-    best = classed.groupBy("class").agg(F.min("least").alias("best"))
-    kept = materialise(classed.join(best, "class").select("t", "n", F.col("best.key").alias("best")))
+    classed = materialise(texts.join(alike, F.col("t") == F.col("node"), "left").select("t", "n", "least", F.coalesce("root", "t").alias("class")))
+    best = materialise(classed.groupBy("class").agg(F.min("least").alias("best"), F.count("*").alias("size")))
+    kept = materialise(with_hot_keys(classed, best, "class", "size").select("t", "n", F.col("best.key").alias("best")))
     gone = with_hot_keys(prints.select("t", "key"), kept.where("n > 1 OR NOT endswith(best, t)"), "t").where("key <> best").select("key")
     rows = left_out(docs, key, gone)
     again = materialise(prints.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
