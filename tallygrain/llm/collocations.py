@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ from tallygrain.llm.common import BROADCAST_KEYS, materialise, small_batches
 #: Words of a phrase; least occurrences; percent of a phrase's count from which a longer one replaces it; results of a language.
 LONGEST, LEAST, REPLACES, TOP = 5, 100, 100, 2000
 #: Words of a shard, unless one text has more.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 21
 #: Bits of a bit map for each thing in it, and most bits in all (16 MB).
 BITS_EACH, MOST_BITS = 32, 1 << 27
 #: Frequent phrases of a range of a walk, and rows of the samples that ranges are made from.
@@ -52,9 +53,27 @@ RANGES_A_TASK = 4
 MARKS = re.compile(rb"[.,;:!?\x0a-\x0d]+")
 
 
+def packed_bytes(b: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b)
+
+
+def unpacked_bytes(b: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(b)
+
+
+def packed_ids(ids: np.ndarray) -> bytes:
+    """32-bit numbers, their first bytes together, then their second ones and so on."""
+    return packed_bytes(np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpacked_ids(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(unpacked_bytes(b), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1).astype(np.int64)
+
+
 def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", words: int = SHARD_WORDS) -> DataFrame:
-    """(lang, words, ids, n): the shard's distinct words in order, joined by line ends, its words by number as
-    32-bit integers, -1 between pieces and texts, and their count."""
+    """(lang, words, ids, n): the shard's distinct words in order, joined by line ends, its words by number, -1
+    between pieces and texts, and their count; both are packed."""
     small_batches(docs.sparkSession)
 
     def packed(lang: str, names: dict[bytes, int], texts: list[np.ndarray]) -> pd.DataFrame:
@@ -62,7 +81,7 @@ def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word
         place = np.full(len(names), -1, np.int32)
         place[[names[w] for w in order]] = np.arange(len(order), dtype=np.int32)
         ids = place[np.concatenate(texts)]
-        return pd.DataFrame({"lang": [lang], "words": [b"\n".join(order)], "ids": [ids.astype("<i4").tobytes()], "n": [int((ids >= 0).sum())]})
+        return pd.DataFrame({"lang": [lang], "words": [packed_bytes(b"\n".join(order))], "ids": [packed_ids(ids)], "n": [int((ids >= 0).sum())]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, tuple[dict[bytes, int], list[np.ndarray]]] = {}
@@ -185,8 +204,9 @@ def tries(shard: DataFrame, words: BitMap | None = None, pairs: BitMap | None =
         known, known_pairs = shared.value
         for batch in batches:
             for lang, joined, ids in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "ids")), strict=True):
+                joined = unpacked_bytes(joined)
                 names = joined.split(b"\n") if joined else []
-                t = np.frombuffer(ids, "<i4").astype(np.int64)
+                t = unpacked_ids(ids)
                 column = pa.array([w.decode("utf-8", "surrogatepass") for w in names], pa.string())
                 if known is None:
                     yield rows_of(lang, column, np.bincount(t[t >= 0], minlength=len(names)), np.zeros(len(names), np.int32))
