@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.functions import text
 from tallygrain.functions.text import VERDICTS, confidence
+from tallygrain.sources.shared import shared
 
 #: On what a verdict may rest.
 BASES = ("description", "supplier", "rule", "no_evidence")
@@ -122,6 +123,31 @@ def ask_again(units: DataFrame, answers: DataFrame, seats: tuple[int, ...]) -> D
     return units.join(batches.join(heard, ["batch", "seat"], "left_anti"), "batch")
 
 
+def asked(units: DataFrame, scorers: dict[int, Scorer], rounds: int = 3, workers: int | None = None) -> DataFrame:
+    """Votes of every seat about units (batch, line_id, ...), asked again for the batches in which a seat stayed
+    silent, `rounds` times at most. Each round is written, so a later one doesn't call the scorers before it again."""
+    votes = None
+    for _ in range(rounds):
+        again = units.select("*", F.explode(F.array(*map(F.lit, scorers))).alias("seat")) if votes is None else shared(ask_again(units, votes, tuple(scorers)))
+        if votes is not None and again.isEmpty():
+            break
+        for seat, scorer in scorers.items():
+            more = score(again.where(F.col("seat") == seat).drop("seat"), scorer, workers).withColumn("seat", F.lit(seat))
+            votes = more if votes is None else votes.unionByName(more)
+        votes = shared(votes)
+    return votes
+
+
+def with_rollup(rules: DataFrame, lines: DataFrame) -> DataFrame:
+    """rules (tenant, rule_id, ...) with the figures of rule_rollup() in place of what they had; a rule without lines
+    keeps its own."""
+    figures = rule_rollup(lines)
+    new = [c for c in figures.columns if c not in ("tenant", "rule_id")]
+    j = rules.join(figures.select("tenant", "rule_id", F.struct(*new).alias("_f")), ["tenant", "rule_id"], "left")
+    had = lambda c: F.col(c) if c in rules.columns else F.lit(None).cast(figures.schema[c].dataType)
+    return j.select(*[c for c in rules.columns if c not in new], *[F.when(F.col("_f").isNotNull(), F.col(f"_f.{c}")).otherwise(had(c)).alias(c) for c in new])
+
+
 def validated(answers: DataFrame, keys: DataFrame) -> DataFrame:
     """reject_reason: null for an answer that may be applied."""
     known = keys.select(F.col("category_key").alias("suggested_key"), F.col("in_scope"))

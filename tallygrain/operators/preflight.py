@@ -26,11 +26,11 @@ def tenant(lines: DataFrame, taxonomy: DataFrame, spend: str, key: str, rules: D
     n = F.count("*")
     shares = {
         "empty": F.when(n == 0, 1.0).otherwise(0.0),
-        "no vendor": F.count_if(text.blank(F.col("supplier"))) / n,
-        "no description": F.count_if(F.col("description_usable") == "N") / n,
-        "no spend": F.count_if(F.col(spend).isNull()) / n,
-        "uncategorised": F.count_if(text.uncategorised(F.col("l0"))) / n,
-        "repeated ids": 1 - F.countDistinct("line_id") / n,
+        "no vendor": F.try_divide(F.count_if(text.blank(F.col("supplier"))), n),
+        "no description": F.try_divide(F.count_if(F.col("description_usable") == "N"), n),
+        "no spend": F.try_divide(F.count_if(F.col(spend).isNull()), n),
+        "uncategorised": F.try_divide(F.count_if(text.uncategorised(F.col("l0"))), n),
+        "repeated ids": 1 - F.try_divide(F.countDistinct("line_id"), n),
     }
     sides = [("no taxonomy node", key, taxonomy.select("tenant", F.col("source_key").alias(key)))]
     for name, c, side in (("no rule", "rule_id", rules), ("no vendor master", "supplier", vendors)):

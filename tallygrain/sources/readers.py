@@ -51,12 +51,24 @@ def verdict_files(spark: SparkSession, path: str, row: StructType) -> DataFrame:
 def discovered(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Tables and views of a database with their columns, a row for each column."""
     rows = []
-    for t in spark.catalog.listTables(database):
-        name = f"{database}.{t.name}" if database and not t.isTemporary else t.name
+    for t, name in _named(spark, database):
         rows += [(t.name, t.tableType, k, f.name, f.dataType.simpleString()) for k, f in enumerate(spark.table(name).schema)]
     return spark.createDataFrame(rows, "table string, kind string, position int, column string, type string")
 
 
+def _named(spark: SparkSession, database: str | None) -> list:
+    return [(t, f"{database}.{t.name}" if database and not t.isTemporary else t.name) for t in spark.catalog.listTables(database)]
+
+
+def row_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """(table, kind, rows) of a database's tables and views, counted in one job."""
+    parts = [spark.table(name).agg(F.count("*").alias("rows")).select(F.lit(t.name).alias("table"), F.lit(t.tableType).alias("kind"), "rows") for t, name in _named(spark, database)]
+    out = spark.createDataFrame([], "table string, kind string, rows long")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
 def columns(df: DataFrame) -> DataFrame:
     rows = [(k, f.name, f.dataType.simpleString(), f.nullable) for k, f in enumerate(df.schema)]
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
