@@ -10,6 +10,7 @@ import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,23 +73,35 @@ GROUP BY tenant, l1, kind, l3, l4x
 WITH = f"WITH lines AS ({LINES}), cross_ AS ({CROSS}), keys_ AS ({KEYS}), votes AS ({VOTES}), nodes AS ({NODES}) "
 
 
+#: Schemas of tables by session and path: they are read from footers once, not for each query.
+SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A table's rows; its schema is that which the session found when it first read the path."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in SCHEMAS:
+        SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[key]).parquet(path)
+
+
 def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Lazy frames of the derived relations and tables by name; nothing is registered in the session
     but views of the tables under names of their own."""
     stored = spark.conf.get(stored_key(sf_dir), None)
     view = stored_key(sf_dir).replace(".", "_")
     if stored:
-        spark.read.parquet(stored).createOrReplaceTempView(view)
+        table(spark, stored).createOrReplaceTempView(view)
     lines = f"SELECT * FROM {view}" if stored else LINES
     texts = {"lines": lines, "cross_": CROSS, "keys_": KEYS, "votes": VOTES, "nodes": NODES}
     # reading a table looks into its footers, so only those that the lines or the crosswalk name are read, once
     need = set() if stored or not any(n in texts and n not in ("cross_", "keys_") for n in names) else {"lineitem", "supplier", "nation", "part", "orders"}
     for t in need | ({"nation"} if "cross_" in names else set()):
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        table(spark, f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     out = []
     for n in names:
         if n not in texts:
-            out.append(spark.read.parquet(f"{sf_dir}/{n}.parquet"))
+            out.append(table(spark, f"{sf_dir}/{n}.parquet"))
         elif n in ("lines", "cross_", "keys_"):
             out.append(spark.sql(texts[n]))
         else:
@@ -100,6 +113,7 @@ def stored_facts(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write the fact lines of a folder of tables once, as a tenant's load does; the session's later queries over
     that folder read them there."""
     frames(spark, sf_dir, "lines")[0].write.mode("overwrite").parquet(path)
+    SCHEMAS.pop((spark.sparkContext.applicationId, path), None)
     spark.conf.set(stored_key(sf_dir), path)
 
 
