@@ -85,9 +85,14 @@ def confidence(raw: Column) -> Column:
     return F.when(raw.isNull(), None).otherwise(F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
 
 
+def keys_in(text: Column) -> Column:
+    """array<string>: the distinct tokens of a text that look like a key."""
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\b([A-Z]{2,4}-\d{3,5})\b"), 1))
+
+
 def recovered_key(text: Column, valid: Column) -> Column:
     """The key that prose names, if it names exactly one valid key."""
-    found = F.array_intersect(F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\b([A-Z]{2,4}-\d{3,5})\b"), 1)), valid)
+    found = F.array_intersect(keys_in(text), valid)
     return F.when(F.size(found) == 1, F.element_at(found, 1))
 
 

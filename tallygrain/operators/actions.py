@@ -44,11 +44,22 @@ def classify(lines: DataFrame, crosswalk: DataFrame, keys: DataFrame) -> DataFra
     return j.withColumn("action", F.element_at(names, F.col("_step") + 1)).withColumn("fill_key", F.when(F.col("_step") == 5, F.col("_to"))).drop("_src", "_to", "_moved", "_k", "_gate", "_step")
 
 
+def recovered(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """Lines without a suggested key get the one that their rationale names, if it names exactly one known key. Keys
+    in rationales are taken out and joined, once a text; lines that name none aren't moved."""
+    blank = F.nullif(F.trim("suggested_key"), F.lit("")).isNull()
+    found = text.keys_in(F.col("rationale"))
+    open_ = blank & (F.size(found) > 0)
+    todo = lines.where(open_).withColumn("_text", F.col("rationale"))
+    each = todo.select("_text", F.explode(text.keys_in(F.col("_text"))).alias("_key")).distinct()
+    known = each.join(keys.select(F.col("category_key").alias("_key")).distinct(), "_key").groupBy("_text").agg(F.count("*").alias("_n"), F.min("_key").alias("_key")).where("_n = 1").drop("_n")
+    named = todo.join(known, "_text", "left").withColumn("suggested_key", F.col("_key")).select(*lines.columns)
+    return lines.where(~open_).withColumn("suggested_key", F.nullif(F.trim("suggested_key"), F.lit(""))).unionByName(named)
+
+
 def classify_twice(lines: DataFrame, crosswalk: DataFrame, keys: DataFrame) -> DataFrame:
     """First keys named in rationales are recovered, then lines classified, then blanks filled."""
-    valid = keys.agg(F.array_sort(F.collect_set("category_key")).alias("_valid"))  # a taxonomy's keys
-    named = lines.crossJoin(F.broadcast(valid)).withColumn("suggested_key", F.coalesce(F.nullif(F.trim("suggested_key"), F.lit("")), text.recovered_key(F.col("rationale"), F.col("_valid")))).drop("_valid")
-    done = classify(named, crosswalk, keys)
+    done = classify(recovered(lines, keys), crosswalk, keys)
     return done.withColumn("suggested_key", F.coalesce("suggested_key", "fill_key"))
 
 

@@ -17,7 +17,7 @@ RESPONSES = ("Agree", "Disagree", "Unsure")
 
 def ingest(answers: DataFrame, lines: DataFrame, names: DataFrame) -> DataFrame:
     """Answers with line_id, response, category, note and why one is refused, if it is."""
-    a = answers.join(lines.select("line_id", F.lit(True).alias("_l")), "line_id", "left").join(F.broadcast(names.select(F.col("name").alias("category"), "category_key")), "category", "left")
+    a = answers.join(lines.select("line_id", F.lit(True).alias("_l")), "line_id", "left").join(names.select(F.col("name").alias("category"), "category_key"), "category", "left")
     n = a.groupBy("line_id").agg(F.count("*").alias("_n"))
     why = (
         F.when(F.col("_l").isNull(), "unknown line")

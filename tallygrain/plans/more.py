@@ -202,7 +202,7 @@ def review_intake(spark, d):
     v, l = votes.where("seat = 0").select("line_id", F.col("verdict").alias("v"), "suggested_key").distinct(), lines.select("line_id", F.col("verdict").alias("own"))
     said = F.when(F.col("v") == F.col("own"), review.AGREES).when(F.col("v") == "Correct", review.CURRENT_FITS).when(F.col("v") == "Incorrect", review.ELSEWHERE).otherwise(F.col("v"))
     typed = v.join(l, "line_id").select("line_id", said.alias("response"), F.when(F.col("v") == "Incorrect", F.col("suggested_key")).alias("category"), F.lit(None).cast("string").alias("note"))
-    tree = keys_.crossJoin(F.broadcast(lines.select("tenant").distinct())).select("tenant", F.col("category_key").alias("path"), "in_scope")  # six keys
+    tree = lines.select("tenant").distinct().crossJoin(F.broadcast(keys_)).select("tenant", F.col("category_key").alias("path"), "in_scope")  # six keys
     return review.intake(typed, lines.withColumn("path", F.concat_ws(" > ", "l0", "l1")), tree).select("line_id", "status", "reject_reason", "override_verdict")
 
 

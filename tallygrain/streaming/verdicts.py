@@ -80,7 +80,7 @@ def newest(spark: SparkSession, path: str, schema: StructType, slices: tuple[str
     on = F.col(VERSION) == F.col("_last")
     for c in slices:
         on = on & all_[c].eqNullSafe(last[c])
-    return all_.join(F.broadcast(last), on, "left_semi").select(*schema.fieldNames())  # a row for each slice
+    return all_.join(last, on, "left_semi").select(*schema.fieldNames())
 
 
 def merged_into(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], slices: tuple[str, ...] = ("run_id", "tenant")) -> Callable[[DataFrame, int], None]:
