@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,18 @@ class TenantConfig:
             listed(source.get("line_identity")), bool(gate.get("enabled")), listed(gate.get("exclude_keywords")),
         )
 
+    @staticmethod
+    def load(tenant: str, path: str) -> TenantConfig:
+        """The configuration in a JSON file, or a YAML file where a YAML package is installed; a byte order mark is
+        passed over, and an empty file is an empty configuration."""
+        with open(path, encoding="utf-8-sig") as f:
+            held = f.read()
+        if path.endswith(".json"):
+            return TenantConfig.of(tenant, json.loads(held or "{}"))
+        import yaml  # optional
+
+        return TenantConfig.of(tenant, yaml.safe_load(held) or {})
+
     def missing_for_run(self) -> list[str]:
         """What keeps a run from starting. Exclusion by keywords is refused: what is out of scope is told by the
         first level of the category alone."""

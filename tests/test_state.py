@@ -1,6 +1,7 @@
 """Operators that number, join by edits, merge into slices, refresh, read in parts and publish."""
 
 import itertools
+import json
 import random
 import uuid
 
@@ -157,6 +158,45 @@ def test_refresh_when_moved(spark, tmp_path):
     assert out == [("a", 8, 5)]
 
 
+def test_hours_as_a_stream(spark, tmp_path):
+    """Hours that the watermark has passed come out once, with late rows inside it, and agree with the batch form."""
+    src, schema, out = tmp_path / "src", "ts timestamp, k int", []
+    at = lambda h, m=0: f"TIMESTAMP '2024-01-01 {h:02d}:{m:02d}:00'"
+
+    def put(*times):
+        spark.sql("SELECT * FROM VALUES " + ", ".join(f"({t}, 1)" for t in times) + " AS v(ts, k)").coalesce(1).write.mode("append").parquet(str(src))
+
+    def run(form):
+        q = form(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))).writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "c")).foreachBatch(lambda df, n: out.extend(map(tuple, df.collect()))).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    hours = lambda df: verdicts.hourly(df, late="2 hours")
+    put(at(1), at(1, 30), at(2))
+    run(hours)
+    put(at(1, 59), at(6))  # late, but inside the watermark
+    run(hours)
+    put(at(9))
+    run(hours)
+    got = sorted((t.hour, n) for t, n in out)
+    assert got == [(1, 3), (2, 1), (6, 1)]
+    batch = monitor.hourly(spark.read.schema(schema).parquet(str(src)), "ts", F.lit("2024-01-01 09:30:00").cast("timestamp"), 9)
+    assert [(r["hour"].hour, r["n"]) for r in batch.where("n > 0").orderBy("hour").collect()] == [*got, (9, 1)]
+
+
+def test_folders_go_with_the_driver(spark):
+    from tallygrain.sources import shared
+
+    df = shared.shared(spark.range(3))
+    mine, before = shared.MADE[-1], list(shared.MADE[:-1])
+    assert df.count() == 3
+    shared.MADE[:] = [mine]
+    shared.swept()
+    assert shared.MADE == []
+    with pytest.raises(Exception):
+        spark.read.parquet(mine)
+    shared.MADE[:] = before
+
+
 def test_answers(spark):
     texts = [
         (1, '{"verdicts": [{"line_id": 1, "verdict": "Correct", "confidence": "when there is none"}, {"line_id": 1, "verdict": "Incorrect"}]}'),
@@ -296,11 +336,15 @@ def test_added_paths_and_shared_keys(spark):
 CONFIG = {"source": {"columns": {"supplier": "Vendor", "spend": "Amount", "l0": "Cat 0", "l1": " Cat 1 ", "rule_id": "", "invoice_id": "Inv"}, "description_fields": ["Text", None], "table": "s.lines"}, "clinical_gate": {"enabled": True, "exclude_values": ["Clinical"]}}
 
 
-def test_configuration(spark):
+def test_configuration(spark, tmp_path):
     c = normalise.TenantConfig.of("t", CONFIG)
     assert c.columns["l1"] == "Cat 1" and "rule_id" not in c.columns and c.descriptions == ("Text",) and c.missing_for_run() == [] and c.identity() == ("Inv",)
     assert normalise.TenantConfig.of("t", {**CONFIG, "clinical_gate": {"enabled": True, "exclude_keywords": ["drug"]}}).missing_for_run() == ["excluded_l0", "keywords, by which nothing may be excluded"]
     assert normalise.TenantConfig.of("t", {**CONFIG, "source": {**CONFIG["source"], "line_identity": ["invoice_id", "Line"]}}).identity() == ("Inv", "Line")
+    (tmp_path / "c.json").write_text("\ufeff" + json.dumps(CONFIG), encoding="utf-8")
+    assert normalise.TenantConfig.load("t", str(tmp_path / "c.json")) == c
+    (tmp_path / "d.json").write_text("")
+    assert "supplier" in normalise.TenantConfig.load("t", str(tmp_path / "d.json")).missing_for_run()
     df = spark.createDataFrame([("x", "1", "a", "b", "t", "i")], "Vendor string, Amount string, `Cat 0` string, `Cat 1` string, Text string, Inv string")
     assert preflight.mapping(df, c).where("NOT ok").count() == 0
     assert [(r["kind"], r["column"]) for r in preflight.mapping(df.drop("Text"), c).where("NOT ok").collect()] == [("description", "Text")]
