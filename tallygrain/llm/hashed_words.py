@@ -56,14 +56,6 @@ class Rows:
     def back(self, err: np.ndarray, width: int) -> np.ndarray:
         return np.bincount(self.col, self.val * err[self.row], minlength=width)
 
-    def only(self, names: np.ndarray, width: int) -> Rows:
-        """The same rows with these features alone, which are numbered anew."""
-        place = np.full(width, -1)
-        place[names] = np.arange(len(names))
-        out, ok = Rows([]), place[self.col] >= 0
-        out.n, out.row, out.col, out.val = self.n, self.row[ok], place[self.col[ok]], self.val[ok]
-        return out
-
 
 def adam(shape: tuple[int, ...], rate: float) -> Callable[[np.ndarray], np.ndarray]:
     """A function from a gradient to the step to subtract."""

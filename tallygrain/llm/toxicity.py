@@ -83,16 +83,30 @@ class ToxicityModel:
         return score
 
 
-def telling(positive: Rows, rest: Rows, width: int) -> np.ndarray:
-    """The features that are clearly commoner in confirmed toxic texts than in the unlabelled that aren't
-    confirmed. Where most texts are toxic and confirmed, all unlabelled ones would hardly differ."""
-    n1, n0 = positive.n, rest.n
-    c1, c0 = np.bincount(positive.col, minlength=width), np.bincount(rest.col, minlength=width)
+def counted(rows: list[bytes], width: int) -> np.ndarray:
+    """How many of the packed rows have each feature; a row has it once."""
+    out = np.zeros(width, np.int64)
+    for f in rows:
+        out[np.frombuffer(f, np.int32)] += 1
+    return out
+
+
+def telling(c1: np.ndarray, n1: int, c0: np.ndarray, n0: int) -> np.ndarray:
+    """The features that are clearly commoner in the n1 confirmed toxic texts, of which c1 have them, than in the
+    n0 unlabelled that aren't confirmed. Where most texts are toxic and confirmed, all unlabelled ones would hardly differ."""
     p = (c1 + c0) / (n1 + n0)
     z = (c1 / n1 - c0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
     return np.flatnonzero((c1 >= LEAST_ROWS) & (z >= LEAST_Z))
 
 
+def with_features(rows: list[bytes], names: np.ndarray, width: int) -> Rows:
+    """The packed rows with these features alone, which are numbered anew."""
+    place = np.full(width, -1, np.int32)
+    place[names] = np.arange(len(names), dtype=np.int32)
+    kept = (place[np.frombuffer(f, np.int32)] for f in rows)
+    return Rows([x[x >= 0] for x in kept])
+
+
 def risk(positive: Rows, unlabelled: Rows, prior: float, b: float, w: np.ndarray) -> tuple[float, float]:
     """The two parts of the risk: of the confirmed as toxic, and of the rest as clean before its bound of 0."""
     gp, gu = positive.dot(w) + b, unlabelled.dot(w) + b
@@ -138,14 +152,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float
     both = free.join(labelled.where("y = 1").select("doc_id", F.lit(True).alias("known")), "doc_id", "left")
     picks = confirmed.unionByName(both.select("doc_id", F.when(F.col("known"), CONFIRMED_TOO).otherwise(0).alias("y")))
     got = collected_rows(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id"), packed)
-    positive, unlabelled, rest = (Rows([np.frombuffer(f, np.int32) for y, f in got if y in k]) for k in ((1,), (0, CONFIRMED_TOO), (0,)))
-    width = 1 << BITS
-    names = np.zeros(0, np.int64)
-    if positive.n and unlabelled.n:
-        names = telling(positive, rest, width) if screen and rest.n else np.unique(np.concatenate([positive.col, unlabelled.col]))
+    positive, unlabelled, rest = ([f for y, f in got if y in k] for k in ((1,), (0, CONFIRMED_TOO), (0,)))
+    width, names = 1 << BITS, np.zeros(0, np.int64)
+    if positive and unlabelled:  # only features that take part are ever held as rows
+        c1 = counted(positive, width)
+        names = telling(c1, len(positive), counted(rest, width), len(rest)) if screen and rest else np.flatnonzero(c1 + counted(unlabelled, width))
     if not len(names):
         return ToxicityModel(-40.0, names, np.zeros(0))
-    b, w = fit_nnpu(positive.only(names, width), unlabelled.only(names, width), prior or class_prior(labelled), len(names))
+    b, w = fit_nnpu(*(with_features(x, names, width) for x in (positive, unlabelled)), prior or class_prior(labelled), len(names))
     return ToxicityModel(b, names, w)
 
 
