@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
@@ -103,6 +103,21 @@ def merged_into(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], s
     return run
 
 
+def drop_superseded(spark: SparkSession, path: str, schema: StructType, slices: tuple[str, ...] = ("run_id", "tenant")) -> int:
+    """Remove the folders of all but the newest version of each slice; how many there were. Not while a stream
+    writes: a batch that runs again needs the version before its own."""
+    kinds = StructType([*schema.fields, StructField(VERSION, LongType())])
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+    found = spark.read.schema(kinds).parquet(path).select(*slices, VERSION, folder.alias("folder")).distinct()
+    newest_ = F.max(VERSION).over(Window.partitionBy(*slices))  # a row for each version of a slice
+    old = found.withColumn("_last", newest_).where(F.col(VERSION) < F.col("_last")).select("folder").collect()
+    jvm = spark.sparkContext._jvm
+    for r in old:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["folder"]))
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(old)
+
+
 def refreshes(events: DataFrame, key: str, counts: Column, every: int) -> DataFrame:
     """(key, total, moved): a row when the count of a key's rows that `counts` selects has moved by `every` since
     the last row for it, and with its first rows. The count lives in the stream's state. Rows are counted in

@@ -124,12 +124,15 @@ def test_slices_of_batches(spark, tmp_path):
     now = lambda: sorted(map(tuple, verdicts.newest(spark, str(path), schema, ("run_id", "tenant")).collect()), key=repr)
     assert now() == want
     # killed: one slice of batch 2 is there, the others aren't
-    both = spark.createDataFrame([("1", "a", 9, "Correct", 1), ("1", "b", 5, "Correct", 1), (None, "c", 3, "Correct", 1)], schema)
+    both = spark.createDataFrame([("1", "a", 9, "Correct", 1), ("1", "b", 5, "Correct", 1), (None, "c d", 3, "Correct", 1)], schema)
     adding(both.where("tenant = 'a'"), 2)
     adding(both, 2)
-    assert now() == sorted([*want[:2], ("1", "a", 9, "Correct", 1), ("1", "b", 5, "Correct", 2), (None, "c", 3, "Correct", 1)], key=repr)
+    assert now() == sorted([*want[:2], ("1", "a", 9, "Correct", 1), ("1", "b", 5, "Correct", 2), (None, "c d", 3, "Correct", 1)], key=repr)
     step(both.where("false"), 3)
     assert not list(path.rglob("batch_no=3"))
+    kept = now()
+    assert verdicts.drop_superseded(spark, str(path), schema) == 3 and now() == kept
+    assert verdicts.drop_superseded(spark, str(path), schema) == 0 and len(list(path.rglob("batch_no=*"))) == 3
 
 
 def test_refresh_when_moved(spark, tmp_path):
