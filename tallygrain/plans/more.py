@@ -51,10 +51,11 @@ def contradictory_rationales(spark, d):
 DENIED = "CASE WHEN line_id % 3 = 0 THEN 'There is No Description of it' WHEN line_id % 3 = 1 THEN 'the text is unusable' ELSE 'a plain item' END"
 
 
-@query(f"SELECT line_id, d1 FROM lines WHERE description_usable = 'Y' AND line_id % 3 < 2 AND len(list_filter(string_split(d1, ' '), lambda x: length(x) >= 3 AND regexp_full_match(x, '[a-zA-Z]+'))) >= 3")
+@query("SELECT line_id, d FROM (SELECT *, d1 || ' ' || coalesce(d2, '') AS d FROM lines) WHERE description_usable = 'Y' AND line_id % 3 < 2 AND len(list_filter(string_split(d, ' '), lambda x: length(x) >= 3 AND regexp_full_match(x, '[a-zA-Z]+'))) >= 3")
 def false_denials(spark, d):
     (lines,) = frames(spark, d, "lines")
-    return actions.false_denials(lines.withColumn("said", F.expr(DENIED)), "said", "d1").select("line_id", "d1")
+    said = lines.withColumn("said", F.expr(DENIED)).withColumn("d", F.concat("d1", F.lit(" "), F.coalesce("d2", F.lit(""))))
+    return actions.false_denials(said, "said", "d").select("line_id", "d")
 
 
 @query("SELECT line_id FROM lines WHERE rule_id NOT IN ('1-URGENT') AND l0 <> 'Excluded' AND (d1 IS NULL OR d1 NOT LIKE '%ring%')")

@@ -571,7 +571,7 @@ def open_questions(spark, d):
     nodes, m = mapped(spark, d)
     asked = decisions.gathered(decisions.of_nodes(m))
     answered = shared(asked).where(F.left("decision_id", F.lit(1)).isin("0", "1", "2", "3")).select("decision_id", F.lit("B").alias("ruling"))
-    return decisions.gathered(decisions.of_nodes(m), answered).select("decision_id", "kind", F.array_join("tenants", ",").alias("tenants"), "lines", F.size("applies").alias("also"), "ruling")
+    return decisions.gathered(decisions.of_nodes(m), answered).select("decision_id", "kind", F.array_join("tenants", ",").alias("tenants"), "lines", F.size(F.array_distinct(F.transform("applies", F.upper))).alias("also"), "ruling")
 
 
 @query("SELECT CAST(sum(lines) AS BIGINT) AS lines_in, CAST(sum(lines) FILTER (l1 <> 'Brand#12') AS BIGINT) AS lines_out, CAST(sum(lines) FILTER (l1 = 'Brand#12') AS BIGINT) AS lines_dropped, sum(lines) = sum(lines) FILTER (l1 <> 'Brand#12') + sum(lines) FILTER (l1 = 'Brand#12') AS ok FROM nodes")
