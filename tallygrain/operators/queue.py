@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.functions import text
 from tallygrain.functions.keys import stable_key
+from tallygrain.sources.shared import shared
 
 
 #: Absolute over signed spend from which a vendor is flagged, flags and states.
@@ -43,8 +44,9 @@ def band(amount: str) -> Column:
 
 
 def both_ranks(q: DataFrame) -> DataFrame:
-    """vendor_rank within the tenant and global_rank, as with_rank makes each, from one set of counts."""
-    b = q.withColumn("_b", band("_s"))
+    """vendor_rank within the tenant and global_rank, as with_rank makes each, from one set of counts. Vendors are read
+    twice, so they are written once: else the lines that they come from would be joined and grouped for each reading."""
+    b = shared(q.withColumn("_b", band("_s")))
     held = b.groupBy("tenant", "_b").agg(F.count("*").alias("n"))
     above = F.coalesce(F.sum("n").over(Window.partitionBy("tenant").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     over_all = held.groupBy("_b").agg(F.sum("n").alias("n"))  # a row for each band

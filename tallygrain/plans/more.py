@@ -337,7 +337,7 @@ def nodes_within_roots(spark, d):
 @query("SELECT tenant, supplier FROM (SELECT tenant, supplier, count(*) FILTER (verdict IS NULL) AS open, row_number() OVER (PARTITION BY tenant ORDER BY CAST(sum(cents) AS BIGINT) DESC, upper(left(sha256(tenant || '|' || coalesce(supplier, '')), 20))) AS r FROM lines GROUP BY 1, 2) WHERE r <= 5 AND open > 0")
 def sliced_vendors(spark, d):
     (lines,) = frames(spark, d, "lines")
-    q = queue.ranked(queue.base(lines, F.col("verdict").isNotNull()))
+    q = queue.ranked(queue.base(lines, F.col("verdict").isNotNull()).drop("subjects"))
     return queue.slice_then_filter(q, "vendor_rank", 5, F.col("lines_unjudged") > 0).select("tenant", "supplier")
 
 
