@@ -5,25 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrain.functions.text import once
+
 FIELDS = "line_id bigint, verdict string, confidence string, basis string, suggested_key string, rationale string"
 
 
 def balanced(text: Column) -> Column:
-    """From the first { or [ to the bracket that closes it, passing over brackets in strings; null if none does."""
+    """From the first { or [ to the bracket that closes it, passing over brackets in strings; null if none does. The text
+    is cut after each bracket outside strings; a string that doesn't end stops that, as nothing after it is outside."""
     rest = F.regexp_extract(text, r"(?s)([\[{].*)", 1)
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(0).alias("at"), F.lit(0).alias("end"))
+    cuts = F.regexp_extract_all(rest, F.lit(r'(?s)\G(?:[^"\[\]{}]++|"(?:[^"\\]++|\\.)*+")*+[\[\]{}]'), 0)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"))
 
     def step(s: Column, c: Column) -> Column:
-        quote = (c == '"') & ~s["escaped"]
-        plain = ~s["quoted"] & ~quote
-        depth = s["depth"] + F.when(plain & c.isin("{", "["), 1).when(plain & c.isin("}", "]"), -1).otherwise(0)
-        closes = plain & c.isin("}", "]") & (depth == 0) & (s["end"] == 0)
-        return F.struct(
-            depth.alias("depth"), (s["quoted"] != quote).alias("quoted"), (s["quoted"] & ~s["escaped"] & (c == "\\")).alias("escaped"),
-            (s["at"] + 1).alias("at"), F.when(closes, s["at"] + 1).otherwise(s["end"]).alias("end"),
-        )
-
-    end = F.aggregate(F.split(rest, ""), start, step)["end"]
+        depth, at = s["depth"] + F.when(F.right(c, F.lit(1)).isin("{", "["), 1).otherwise(-1), s["at"] + F.length(c)
+        return F.struct(depth.alias("depth"), at.alias("at"), F.when((depth == 0) & (s["end"] == 0), at).otherwise(s["end"]).alias("end"))
+
+    end = F.aggregate(cuts, start, step)["end"]
     return F.when(end > 0, F.substring(rest, F.lit(1), end))
 
 
@@ -34,7 +32,7 @@ def parsed(raw: Column) -> Column:
     t = F.trim(F.coalesce(raw, F.lit("")))
     fenced = F.regexp_extract(t, r"(?s)```(?:json)?\s*(.*?)\s*```", 1)
     widest = F.regexp_extract(t, r"(?s)(\{.*\})", 1)
-    structure = lambda c: F.when(F.left(F.ltrim(c), F.lit(1)).isin("{", "["), F.try_parse_json(c))
+    structure = lambda c: once(c, lambda x: F.when(F.left(F.ltrim(x), F.lit(1)).isin("{", "["), F.try_parse_json(x)))
     return F.coalesce(*[structure(c) for c in (t, fenced, balanced(t), widest)])
 
 
@@ -42,9 +40,10 @@ def answers(df: DataFrame, raw: str, by: list[str], fields: str = FIELDS, id_: s
     """A row for each answer in the texts: by and the fields. The rows are the list in `inside`, or the top list,
     or a single object. Answers without an id are left out, and of those that share one in a text the last counts.
     A text without JSON gives no row."""
-    v = df.select(*by, parsed(F.col(raw)).alias("_v")).where("_v IS NOT NULL")
+    v = df.select(*by, parsed(F.col(raw)).alias("_v"))
     rows = F.coalesce(F.try_variant_get("_v", f"$.{inside}", "array<variant>"), F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
-    each = v.select(*by, F.posexplode(rows).alias("_k", "_x"))
+    # outer: else Spark filters by the rows before it makes them, and parses each text again for that; what is null has no id
+    each = v.select(*by, F.posexplode_outer(rows).alias("_k", "_x"))
     names = [f.strip().split(" ", 1) for f in fields.split(",")]
     got = each.select(*by, "_k", *[F.try_variant_get("_x", f"$.{n}", kind).alias(n) for n, kind in names]).where(F.col(id_).isNotNull())
     rest = [n for n, _ in names if n != id_]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -29,6 +30,11 @@ def uncategorised(l0: Column) -> Column:
     return blank(l0) | F.coalesce(clean(l0) == UNCATEGORISED, F.lit(False))
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c evaluated a single time, however often f names it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 

@@ -37,3 +37,45 @@ def test_narrow_lines_are_the_lines(spark):
     (narrow,) = facts.frames(spark, SMALL, "lines")
     assert (whole := spark.sql(facts.LINES)).columns == narrow.columns
     assert whole.exceptAll(narrow).count() == 0 and narrow.exceptAll(whole).count() == 0
+
+
+def made(df):
+    """The plan that runs, whole."""
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def first_balanced(t):
+    """As answers.balanced says, a character at a time."""
+    at = min((t.index(c) for c in "[{" if c in t), default=None)
+    depth, quoted, escaped = 0, False, False
+    for k in range(at if at is not None else len(t), len(t)):
+        c = t[k]
+        if quoted:
+            quoted, escaped = c != '"' or escaped, c == "\\" and not escaped
+        elif c == '"':
+            quoted = True
+        elif c in "[]{}":
+            depth += 1 if c in "[{" else -1
+            if depth == 0:
+                return t[at : k + 1]
+    return None
+
+
+def test_texts_are_parsed_once(spark):
+    from tallygrain.functions import answers
+
+    bits = ["{", "}", "[", "]", '"', "\\", '\\"', "a\n", "é𝄞", ","]
+    texts = ["".join(bits[(i * 7919 // 11**k + k * i) % len(bits)] for k in range(i % 15)) for i in range(2000)]
+    texts += ['say {"a": "' + '\\"' * 100_000 + '}"} and ]', "[" * 1000 + "]" * 1001, "{" + "x" * 100_000, "", "no json", '{"a": "}', '["\\\\"] [']
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", answers.balanced(F.col("t")).alias("b")).collect()
+    assert [r["b"] for r in got] == [first_balanced(t) for t in texts]
+    odd = spark.createDataFrame([(1, None), (2, "x"), (3, '[null, {"line_id": 3}, 4]'), (4, "[]")], "k int, said string")
+    df = answers.answers(odd, "said", ["k"])
+    assert [(r["k"], r["line_id"]) for r in df.collect()] == [(3, 3)] and made(df).count("```") == 1  # where fences are sought
+
+
+def test_labels_are_compared_once(spark):
+    from tallygrain.operators import review
+
+    df = spark.createDataFrame([("a", "b", "c")], "his string, x string, y string").select(review.agreement("his", ["x", "y"]).alias("m"))
+    assert df.first()["m"] == "differs" and made(df).count("regexp_replace") == 6
