@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.functions import paths
-from tallygrain.functions.text import plain, uncategorised
+from tallygrain.functions.text import once, plain, uncategorised
 from tallygrain.operators.profile import checksum
 
 #: What a reviewer may answer.
@@ -133,18 +133,18 @@ def agreement(his: str, levels: list[str]):
     """Column: leaf, branch or differs, comparing what a person typed with the engine's levels; none
     without an answer. People write parts of names, so equal or contained texts agree, with the leaf
     before its parent; else the first level, from the top, that shares a word decides."""
-    h = plain(F.col(his))
     lv = F.filter(F.array(*[F.when((F.col(c) != "") & ~F.lower(F.col(c)).contains("not used"), plain(F.col(c))) for c in levels]), lambda x: x.isNotNull())
-    n = F.size(lv)
-    leaf, parent = F.coalesce(F.get(lv, n - 1), F.lit("")), F.coalesce(F.get(lv, n - 2), F.lit(""))
     words = lambda x: F.array_remove(F.split(x, " "), "")
-    meets = lambda c: (c != "") & (F.contains(c, h) | F.contains(h, c))
-    shared = F.array_position(F.transform(lv, lambda x: F.arrays_overlap(words(x), words(h))), True)
-    return (
-        F.when(F.col(his).isNull(), "none").when((h == "") | (n == 0), "differs")
-        .when(meets(leaf), "leaf").when(meets(parent), "branch")
-        .when(shared == n, "leaf").when(shared > 0, "branch").otherwise("differs")
-    )
+
+    def compared(s: Column) -> Column:
+        h, at, n = s["h"], s["lv"], F.size(s["lv"])
+        leaf, parent = F.coalesce(F.get(at, n - 1), F.lit("")), F.coalesce(F.get(at, n - 2), F.lit(""))
+        meets = lambda c: (c != "") & (F.contains(c, h) | F.contains(h, c))
+        sharing = once(words(h), lambda said: F.array_position(F.transform(at, lambda x: F.arrays_overlap(words(x), said)), True))
+        by_word = once(sharing, lambda k: F.when(k == n, "leaf").when(k > 0, "branch").otherwise("differs"))
+        return F.when((h == "") | (n == 0), "differs").when(meets(leaf), "leaf").when(meets(parent), "branch").otherwise(by_word)
+
+    return F.when(F.col(his).isNull(), "none").otherwise(once(F.struct(plain(F.col(his)).alias("h"), lv.alias("lv")), compared))
 
 
 def score(scored: DataFrame, column: str = "match") -> DataFrame:
