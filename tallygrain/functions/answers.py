@@ -22,7 +22,7 @@ def balanced(text: Column) -> Column:
         return F.struct(depth.alias("depth"), at.alias("at"), F.when((depth == 0) & (s["end"] == 0), at).otherwise(s["end"]).alias("end"))
 
     end = F.aggregate(cuts, start, step)["end"]
-    return F.when(end > 0, F.substring(rest, F.lit(1), end))
+    return once(end, lambda n: F.when(n > 0, F.substring(rest, F.lit(1), n)))
 
 
 def parsed(raw: Column) -> Column:

@@ -71,7 +71,7 @@ def test_texts_are_parsed_once(spark):
     assert [r["b"] for r in got] == [first_balanced(t) for t in texts]
     odd = spark.createDataFrame([(1, None), (2, "x"), (3, '[null, {"line_id": 3}, 4]'), (4, "[]")], "k int, said string")
     df = answers.answers(odd, "said", ["k"])
-    assert [(r["k"], r["line_id"]) for r in df.collect()] == [(3, 3)] and made(df).count("```") == 1  # where fences are sought
+    assert [(r["k"], r["line_id"]) for r in df.collect()] == [(3, 3)] and made(df).count("(?:json)") == 1  # where fences are sought
 
 
 def test_labels_are_compared_once(spark):
@@ -79,3 +79,18 @@ def test_labels_are_compared_once(spark):
 
     df = spark.createDataFrame([("a", "b", "c")], "his string, x string, y string").select(review.agreement("his", ["x", "y"]).alias("m"))
     assert df.first()["m"] == "differs" and made(df).count("regexp_replace") == 6
+
+
+def lineitems(df):
+    return made(df).count("Relation [l_orderkey")
+
+
+def test_lines_are_read_once_for_all_modes(spark):
+    assert lineitems(reference.query.queries["work_selection"](spark, SMALL)) == 1
+
+
+def test_preflight_counts_keys_apart(spark):
+    """A supplier's lines are counted apart from rules and nodes: a group is a key, not a combination of keys."""
+    df = more.query.queries["tenant_preflight"](spark, SMALL)
+    assert not [x for x in made(df).splitlines() if "Aggregate [" in x and all(c in x.split("], [")[0] for c in ("tax_key", "rule_id", "supplier"))]
+    assert lineitems(df) == 2
