@@ -36,11 +36,13 @@ def tenant(lines: DataFrame, taxonomy: DataFrame, spend: str, key: str, rules: D
     for name, c, side in (("no rule", "rule_id", rules), ("no vendor master", "supplier", vendors)):
         if side is not None:
             sides.append((name, c, side.select("tenant", c)))
-    held = lines.groupBy("tenant", *dict.fromkeys(c for _, c, _ in sides)).agg(n.alias("_n"))
-    for k, (_, c, side) in enumerate(sides):
-        held = held.join(side.where(F.col(c).isNotNull()).distinct().withColumn(f"_has{k}", F.lit(True)), ["tenant", c], "left")
-    total = F.sum("_n")
-    lost = held.agg(*[(F.sum(F.when(F.col(f"_has{k}").isNull(), F.col("_n")).otherwise(0)) / total).alias(name) for k, (name, _, _) in enumerate(sides)])
+    # a row for each side and key, counted before it meets the side; sides have no key in common, so one pass serves all
+    keyed = F.explode(F.array(*[F.struct(F.lit(k).alias("_side"), F.col(c).cast("string").alias("_key")) for k, (_, c, _) in enumerate(sides)]))
+    held = lines.select("tenant", keyed.alias("_s")).groupBy("_s._side", "tenant", "_s._key").agg(n.alias("_n"))
+    known = [side.select(F.lit(k).alias("_side"), "tenant", F.col(c).cast("string").alias("_key")).where("_key IS NOT NULL") for k, (_, c, side) in enumerate(sides)]
+    held = held.join(together(known).distinct().withColumn("_has", F.lit(True)), ["_side", "tenant", "_key"], "left")
+    mine = lambda k: F.when(F.col("_side") == k, F.col("_n"))
+    lost = held.agg(*[(F.sum(F.when(F.col("_has").isNull(), mine(k)).otherwise(0)) / F.sum(mine(k))).alias(name) for k, (name, _, _) in enumerate(sides)])
     one = lines.agg(*[v.cast("double").alias(k) for k, v in shares.items()]).crossJoin(lost)  # one row and one row
     names = [*shares, *[x for x, _, _ in sides]]
     parts = ", ".join(f"'{x}', CAST(`{x}` AS DOUBLE), {LIMITS[x][0]}D, {LIMITS[x][1]}D" for x in names)

@@ -82,8 +82,8 @@ UNION ALL SELECT 'no spend', count(*) FILTER (cents IS NULL) / count(*), 0, 0.01
 UNION ALL SELECT 'no taxonomy node', count(*) FILTER (tax_key NOT IN (SELECT source_key FROM cross_)) / count(*), 0.01, 0.5 FROM lines UNION ALL SELECT 'no rule', count(*) FILTER (rule_id > '3') / count(*), 0.01, 0.5 FROM lines
 UNION ALL SELECT 'no vendor master', count(*) FILTER (supplier IS NULL OR supplier NOT IN (SELECT s_name FROM supplier WHERE s_suppkey % 3 > 0)) / count(*), 0.01, 0.5 FROM lines)""")
 def tenant_preflight(spark, d):
-    lines, cross, suppliers, nations = frames(spark, d, "lines", "cross_", "supplier", "nation")
-    rules = lines.where("rule_id <= '3'").select("tenant", "rule_id").distinct()
+    lines, cross, suppliers, nations, orders = frames(spark, d, "lines", "cross_", "supplier", "nation", "orders")
+    rules = nations.select(F.col("n_name").alias("tenant")).crossJoin(orders.where("o_orderpriority <= '3'").select(F.col("o_orderpriority").alias("rule_id")).distinct())
     master = suppliers.where("s_suppkey % 3 > 0").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("tenant"), F.col("s_name").alias("supplier"))
     return preflight.tenant(lines, cross, "cents", "tax_key", rules, master)
 
