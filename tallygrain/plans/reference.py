@@ -76,9 +76,7 @@ def lines_without_vendor(spark, d):
 def work_selection(spark, d):
     (lines,) = frames(spark, d, "lines")
     modes = {"plain": {}, "uncategorised": {"uncategorised": True}, "rejudge": {"rejudge": True}, "rejudge uncategorised": {"rejudge": True, "uncategorised": True}, "top up": {"top_up": True}}
-    parts = [queue.work_selection(lines, **k, blank=F.col("l0") == "", answer="suggested_key").select(F.lit(m).alias("mode"), "line_id") for m, k in modes.items()]
-    return checks.together(parts)
-
+    return queue.work_by_mode(lines, {m: k | {"blank": F.col("l0") == "", "answer": "suggested_key"} for m, k in modes.items()}).select("mode", "line_id")
 
 
 USABLE = "({0} IS NOT NULL AND trim({0}) <> '' AND upper(trim({0})) NOT IN ('NO DESCRIPTION', 'NO DESC', 'N/A', 'NA', 'UNKNOWN', 'NONE', 'NIL', 'TBA', 'MISC', 'MISCELLANEOUS', 'SUNDRY', '.', '-', 'XXX', 'NULL'))"
