@@ -11,9 +11,10 @@ searches its own rows with rings of its own and gives back a spanning forest of
 pairs; a shard with too many owners is a grid of tasks.
 
 `near_duplicates` links fingerprints of three-word shingles at two bits. `one_of_each` links texts
-with a Jaccard similarity of SIMILAR of their sets of five-word shingles. An edit changes five
-shingles but one word, so its trees hold fingerprints of the sets of words, which stay within NEAR
-bits; fingerprints of the shingles leave out what is far, and the sets themselves decide.
+with a Jaccard similarity of SIMILAR of their sets of five-word shingles. Of two such sets in one
+order, each has a shingle of the other among its first (1 - SIMILAR) n + 1, so texts meet by those, rare
+ones first; where many meet, rings around vantage points and fingerprints of the shingles leave out
+what is far, and the sets themselves decide.
 
 Copies are one row in the search. Components come from rounds of star contraction, each written to
 the shared folder; neither links nor fingerprints of all documents reach the driver.
@@ -28,7 +29,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,9 +40,12 @@ from pyspark.sql import functions as F
 from tallygrain.llm.common import BROADCAST_KEYS, left_out, materialise, small_batches, unused
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
-#: Of `one_of_each`: words of a shingle, least similarity, bits within which fingerprints of word sets
-#: are searched and bands of the search, bits beyond which fingerprints of shingles rule a pair out.
-WORDS, SIMILAR, NEAR, BANDS, FAR = 5, 0.8, 8, 3, 18
+#: Of `one_of_each`: words of a shingle, least similarity, bits beyond which fingerprints of word sets and
+#: of shingles rule a pair out; 64 rules none out.
+WORDS, SIMILAR, NEAR, FAR = 5, 0.8, 64, 18
+#: First shingles that a bucket should have, texts that are sampled for shingles to put last, and how many
+#: of those texts have such a shingle; most members of a shingle that are compared at once.
+BUCKET, COMMON_SAMPLE, COMMON, CROWD = 1 << 15, 4_096, 8, 64
 #: Fingerprints that a shard should own, most that a task owns, and fingerprints of which a tree is built.
 SHARD, MOST, SAMPLE = 512, 50_000, 1 << 16
 #: Hashes or comparisons that are held at once.
@@ -422,11 +426,98 @@ def similar_in_cell(pdf: pd.DataFrame, far: int = FAR) -> pd.DataFrame:
     return found.edges(name)
 
 
+def firsts(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Of a set's shingles, common ones last, those that a similar set shares one of; of no shingles, zero."""
+    if not len(shingles):
+        return np.zeros(1, np.uint64)
+    at = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
+    last = common[at] == shingles if len(common) else np.zeros(len(shingles), bool)
+    n = len(shingles) - int(np.ceil(SIMILAR * len(shingles) - 1e-9)) + 1
+    return np.concatenate([shingles[~last], shingles[last]])[:n]
+
+
+def common_shingles(prints: DataFrame, texts: int) -> np.ndarray:
+    """Shingles of many texts of a sample of about COMMON_SAMPLE, in order. Which they are changes what a search
+    costs, not what it finds."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sets = [np.frombuffer(x, np.int64) for x in pdf["shingles"]]
+            yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(np.int64), [len(x) for x in sets]), "first": np.concatenate([np.zeros(0, np.int64), *sets])})
+
+    some = prints.select(F.xxhash64("t").alias("id"), "shingles").where(F.pmod("id", F.lit(max(1, texts // COMMON_SAMPLE))) == 0)
+    often = some.mapInPandas(run, "id long, first long").groupBy("first").agg(F.countDistinct("id").alias("n")).where(F.col("n") >= COMMON)
+    return np.sort(np.array([r["first"] for r in often.orderBy(F.desc("n"), "first").limit(1 << 16).collect()], np.int64).view(np.uint64))
+
+
+def join_crowd(found: Forest, place: np.ndarray, second: np.ndarray, at: np.ndarray, far: int, fit: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> None:
+    """Joins what is linked among `at`, many members of one shingle. Some of them are compared with all; what that
+    leaves outside the largest class is compared with all by rings."""
+    rest = at
+    for _ in range(8):
+        if not len(rest):
+            return
+        hub = np.full(len(at), rest[len(rest) // 2])
+        ok = (distance(second[hub], second[at]) <= far) & fit(hub, at)
+        found.join(place[hub[ok]], place[at[ok]])
+        rest = rest[(found.label[place[rest]] != found.label[place[hub[0]]]) & (rest != hub[0])]
+    label = found.label[place[at]]
+    kinds, n = np.unique(label, return_counts=True)
+    for a, b in close_pairs([(second, far)], at[label != kinds[n.argmax()]], at):
+        ok = fit(a, b)
+        found.join(place[a[ok]], place[b[ok]])
+
+
+def alike_in_bucket(pdf: pd.DataFrame, near: int = NEAR, far: int = FAR) -> pd.DataFrame:
+    """Links (a, b) between texts (id, first, fp, second, n) that share a first shingle and that neither their
+    fingerprints nor their numbers of shingles rule out, as a spanning forest."""
+    pdf = pdf.drop_duplicates(["first", "id"]).sort_values(["first", "second"])
+    first, fp, second, n = (pdf[c].to_numpy(np.int64) for c in ("first", "fp", "second", "n"))
+    name, place = np.unique(pdf["id"].to_numpy(np.int64), return_inverse=True)
+    start = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+    size = np.diff(np.r_[start, len(first)])
+    crowd = np.repeat(size > CROWD, size)
+    found = Forest(len(name))
+
+    def fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (distance(fp[a], fp[b]) <= near) & (np.minimum(n[a], n[b]) >= SIMILAR * np.maximum(n[a], n[b]))
+
+    for k in range(1, min(int(size.max()), CROWD)):
+        a = np.flatnonzero((first[k:] == first[:-k]) & ~crowd[k:])
+        a = a[(distance(second[a], second[a + k]) <= far) & fit(a, a + k)]
+        found.join(place[a], place[a + k])
+    for k in np.flatnonzero(size > CROWD).tolist():
+        join_crowd(found, place, second, np.arange(start[k], start[k] + size[k]), far, fit)
+    return found.edges(name)
+
+
+def alike(prints: DataFrame, texts: DataFrame, near: int = NEAR, far: int = FAR) -> DataFrame:
+    """(a, b): links between texts, named by the XXH64 of t, that hold all similar pairs within near and far bits
+    together. Each text goes to the buckets of its first shingles, so rows grow with the texts alone."""
+    shingles = F.col("shingles")
+    n, rows = texts.agg(F.count("*"), F.sum(F.floor(shingles * (1 - SIMILAR)) + 1)).first()
+    buckets = max(1, (rows or 0) // BUCKET)
+    common = prints.sparkSession.sparkContext.broadcast(common_shingles(prints, n))
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf = pdf.drop_duplicates("id")
+            sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+            goes = [firsts(x, common.value) for x in sets]
+            out = pdf.drop(columns="shingles").assign(n=[len(x) for x in sets])
+            first = np.concatenate([np.zeros(0, np.uint64), *goes])
+            bucket = ((first & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32)
+            yield out.iloc[np.repeat(np.arange(len(out)), [len(x) for x in goes])].assign(first=first.view(np.int64), bucket=bucket)
+
+    sent = prints.select(F.xxhash64("t").alias("id"), "fp", "second", "shingles").mapInPandas(route, "id long, fp long, second long, n long, first long, bucket int")
+    return sent.groupBy("bucket").applyInPandas(lambda pdf: alike_in_bucket(pdf, near, far), "a long, b long").distinct()
+
+
 def similar_texts(prints: DataFrame, texts: DataFrame, near: int = NEAR, far: int = FAR) -> DataFrame:
-    """(node, root) of texts t that similarity joins. prints: key, t, second, shingles; texts: a row for
-    each t with one of its keys, fp, second and the number of shingles."""
-    rough = components(links(texts.select("fp", "second").distinct(), near, max(BANDS, near // 3 + 1), far))
-    rooted = materialise(texts.join(rough, F.col("fp") == F.col("node"), "left").select("key", "shingles", F.coalesce("root", "fp").alias("root")))
+    """(node, root) of texts t that similarity joins. prints: key, t, fp, second, shingles; texts: a row for
+    each t with one of its keys and the number of shingles."""
+    rough = components(alike(prints, texts, near, far))
+    rooted = materialise(texts.withColumn("id", F.xxhash64("t")).join(rough, F.col("id") == F.col("node"), "left").select("key", "shingles", F.coalesce("root", "id").alias("root")))
     held = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("shingles").alias("s")).where("n > 1")
     side = F.greatest(F.ceil(F.col("n") / CELL_TEXTS), F.ceil(F.col("s") / CELL_SHINGLES)).cast("int")
     many = materialise(rooted.join(held.select("root", side.alias("side")), "root").select("key", "root", "side"))
@@ -443,15 +534,15 @@ def similar_texts(prints: DataFrame, texts: DataFrame, near: int = NEAR, far: in
 
 def one_of_each(docs: DataFrame, near: int = NEAR, far: int = FAR) -> DataFrame:
     """One row, with all its columns, of each class of similar texts: that with the smallest id. Pairs
-    beyond `near` and `far` bits are not looked at; larger numbers find more of them and cost more."""
+    whose fingerprints differ in more than `near` (words) or `far` (shingles) bits are not looked at."""
     small_batches(docs.sparkSession)
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest)
     prints = materialise(docs.select("doc_id", key.alias("key"), digest.alias("t"), sets_of(F.col("text")).alias("p")).select("doc_id", "key", "t", "p.*"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    texts = prints.groupBy("t").agg(F.min(order).alias("least"), F.count("*").alias("n"), F.min("fp").alias("fp"), F.min("second").alias("second"), F.min(F.octet_length("shingles") / 8).cast("long").alias("shingles"))
+    texts = prints.groupBy("t").agg(F.min(order).alias("least"), F.count("*").alias("n"), F.min(F.octet_length("shingles") / 8).cast("long").alias("shingles"))
     texts = materialise(texts)
-    alike = similar_texts(prints, texts.select("t", "least.key", "fp", "second", "shingles"), near, far)
+    alike = similar_texts(prints, texts.select("t", "least.key", "shingles"), near, far)
     classed = materialise(texts.join(alike, F.col("t") == F.col("node"), "left").select("t", "n", "least", F.coalesce("root", "t").alias("class")))
     best = materialise(classed.groupBy("class").agg(F.min("least").alias("best"), F.count("*").alias("size")))
     kept = materialise(with_hot_keys(classed, best, "class", "size").select("t", "n", F.col("best.key").alias("best")))

@@ -125,3 +125,42 @@ def test_similar_in_cell_by_hand():
     of = lambda k: up.get(f"{k:03d}", f"{k:03d}")
     least = kept_by_hand(dict(enumerate(texts)))
     assert len({of(k) for k in range(40)}) == len(least) and len(shingle_set(texts[0])) == 76
+
+
+def test_similar_sets_share_a_first_shingle():
+    rnd = np.random.default_rng(5)
+    for size in (1, 4, 5, 9, 60, 300):
+        a = rnd.integers(0, 1 << 63, size, dtype=np.uint64)
+        for lost in range(size // 5 + 1):
+            for more in (0, 1, size // 4 - lost):
+                b = np.concatenate([a[lost:], rnd.integers(0, 1 << 63, max(more, 0), dtype=np.uint64)])
+                common = np.sort(np.concatenate([rnd.choice(a, size // 3), rnd.integers(0, 1 << 63, 5, dtype=np.uint64)]))
+                if len(np.intersect1d(a, b)) >= simhash_vp.SIMILAR * len(np.union1d(a, b)):
+                    for c in (common, common[:0]):
+                        assert len(np.intersect1d(simhash_vp.firsts(np.sort(a), c), simhash_vp.firsts(np.sort(b), c)))
+        assert len(simhash_vp.firsts(a, a[:0])) <= size / 5 + 1  # rows grow with the text alone
+
+
+def test_few_words_in_many_orders(spark):
+    """Sets of few words lie far apart after one edit, while the texts are similar."""
+    rnd = random.Random(4)
+    base = [rnd.choice("abcdef") for _ in range(400)]
+    rows = [(k, " ".join(edited(rnd, base, k))) for k in range(6)]
+    far = [simhash_vp.set_prints(t)[0] ^ simhash_vp.set_prints(rows[0][1])[0] for _, t in rows]
+    assert max((x & (1 << 64) - 1).bit_count() for x in far) > 8
+    assert [r["doc_id"] for r in simhash_vp.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
+
+
+def test_crowds_are_joined_as_all_pairs():
+    """Many texts with one first shingle: the classes of all pairs."""
+    rnd = random.Random(6)
+    centres = [rnd.getrandbits(64) for _ in range(9)]
+    second = [c ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 12))) for c in centres for _ in range(40)]
+    size = [rnd.choice((50, 60, 70, 90)) for _ in second]
+    label = simhash_vp.Forest(len(second))
+    near = [(i, j) for i in range(len(second)) for j in range(i) if (second[i] ^ second[j]).bit_count() <= 18 and min(size[i], size[j]) >= 0.8 * max(size[i], size[j])]
+    label.join(*map(np.array, zip(*near, strict=True)))
+    signed = [s - (1 << 64) if s >> 63 else s for s in second]
+    got = simhash_vp.alike_in_bucket(pd.DataFrame({"id": range(len(second)), "fp": 0, "second": signed, "n": size, "first": 7}))
+    up = dict(zip(got["a"], got["b"], strict=True))
+    assert [up.get(k, k) for k in range(len(second))] == label.label.tolist() and 1 < len(set(label.label)) < len(second)
