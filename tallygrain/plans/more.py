@@ -9,6 +9,7 @@ from tallygrain.operators import actions, judge, monitor, normalise, preflight,
 from tallygrain.plans.facts import Registry, frames
 from tallygrain.plans.reference import NORMALISED, normal
 from tallygrain.sources import writers
+from tallygrain.sources.shared import shared
 
 query = Registry()
 
@@ -276,7 +277,7 @@ def raw_tree(spark, d):
 
 
 def tree_of(spark, d):
-    raw = raw_tree(spark, d)
+    raw = shared(raw_tree(spark, d))  # a few nodes of many lines, read three times
     return normalise.tenant_tree(raw, ["c0", "c1", "c2", "c3", "c4"], raw.where("lines > 5").select("tenant", "category_key", "lines"), ())
 
 
