@@ -34,7 +34,8 @@ from tallygrain.llm.token_counts import NO_RANK, PairRanks, byte_letters
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
 NEVER = NO_RANK
-#: Chunks whose codes a Python worker keeps, at about 400 bytes each.
+#: Chunks whose codes a task keeps, at about 400 bytes each. A worker lives on for the tasks of other stages, so none
+#: are kept beyond the task: of new texts they spare a twentieth of the work.
 KEPT = 600_000
 #: Bytes of text that are encoded together.
 HELD = 1 << 23
@@ -150,9 +151,7 @@ class WordVocabulary:
         return got
 
 
-@lru_cache(2)
-def _vocabulary(path: str) -> tuple[WordVocabulary, Kept]:
-    return WordVocabulary(path), Kept(KEPT)
+_vocabulary = lru_cache(2)(WordVocabulary)
 
 
 def words_of(chunk: str, v: WordVocabulary) -> list[str]:
@@ -175,9 +174,9 @@ def codes(chunks: list[str], v: WordVocabulary) -> list[Code]:
     return out
 
 
-def encode_batch(texts: pa.Array, path: str) -> Iterator[Code]:
-    """(number of tokens, decimal ids joined by a space, decoded text) of each text."""
-    v, kept = _vocabulary(path)
+def encode_batch(texts: pa.Array, path: str, kept: Kept | None = None) -> Iterator[Code]:
+    """(number of tokens, decimal ids joined by a space, decoded text) of each text. kept: codes of earlier chunks."""
+    v, kept = _vocabulary(path), Kept(KEPT) if kept is None else kept
     cut = space_units(as_text(texts))
     got = kept.values_for(cut.names.to_pylist(), lambda new: codes(new, v))
     counts = cut.sums(np.array([c[0] for c in got], np.int64))
@@ -188,13 +187,21 @@ def encode_batch(texts: pa.Array, path: str) -> Iterator[Code]:
         yield n, " ".join(filter(None, a) if empty else a), " ".join(filter(None, b) if empty else b)
 
 
+def encode_batches(batches: Iterator[pa.Array], path: str, size: int) -> Iterator[tuple]:
+    """A task's batches, gathered to about `size` bytes: numbers of tokens, ids and decoded texts of each."""
+    kept = Kept(KEPT)
+    for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, size)):
+        yield tuple(zip(*encode_batch(texts, path, kept), strict=True)) if len(texts) else ((), (), ())
+    kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def encoded(text: Column, path: str) -> Column:
     """Column struct: n_tokens, ids, decoded. Batches are smaller than those of digests, as whole ids and texts are given back."""
 
     @F.arrow_udf("n_tokens long, ids array<int>, decoded string")
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, HELD // 8)):
-            n, ids, shown = zip(*encode_batch(texts, path), strict=True) if len(texts) else ([], [], [])
+        for n, ids, shown in encode_batches(batches, path, HELD // 8):
             flat = " ".join(filter(None, ids))
             numbers = pa.array(np.array(flat.split(" ") if flat else [], np.int32))
             bounds = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
@@ -209,10 +216,8 @@ def digested(text: Column, path: str) -> Column:
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for texts in (pa.concat_arrays(x) for x in gathered_batches(batches, HELD)):
-            rows = [(n, sha(i), sha(d)) for n, i, d in encode_batch(texts, path)]
-            n, ids, shown = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+        for n, ids, shown in encode_batches(batches, path, HELD):
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array(map(sha, shown), pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return code(text)
 

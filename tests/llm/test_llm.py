@@ -1,5 +1,6 @@
 """The training-data operators against libraries, brute force and SQL."""
 
+import gc
 import hashlib
 import random
 import re
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from tallygrain.llm import bpe_codec, decontam, hashed_words, ogg_media, quality_fm, queries, sharding, simhash_vp, token_counts, token_files, toxicity, url_filter
 from tallygrain.llm.common import held_out
+from tallygrain.llm.pretokens import Kept
 
 SMALL = "/root/testdata/sf0.001"
 BYTES, WORDS = queries.vocabulary("byte_bpe_50k.json"), queries.vocabulary("word_bpe_49k.json")
@@ -88,6 +90,16 @@ def test_op3(small, odd, empty):
     assert bpe_codec.encode_digests(empty, WORDS).count() == 0
 
 
+def test_op3_keeps_no_codes_beyond_a_task():
+    """A Python worker lives on for other tasks and stages, and its memory with it."""
+    held = lambda: sum(len(x) for x in gc.get_objects() if isinstance(x, Kept))
+    gc.collect()
+    before = held()
+    assert len(list(bpe_codec.encode_batch(pa.array(["words that no other test has: qzxv wvxq"]), WORDS))) == 1
+    gc.collect()
+    assert held() == before
+
+
 def test_op7(small, odd, empty):
     t = Tokenizer.from_file(BYTES)
     for docs in (small["documents"], odd):
