@@ -48,6 +48,9 @@ SELECT n_name AS tenant,
 NARROW = LINES.replace(JOINS, f"""FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, {CENTS} AS cents FROM lineitem)
 JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 """).replace(f"{CENTS} AS cents,\n", "cents,\n")
+#: Most suppliers that are broadcast to the lines, at below 100 bytes each; beyond that, or where Spark's own bound would
+#: stop it sooner, every line would be dealt out once more, by then with the names of its part.
+BROADCAST_SUPPLIERS = 1_000_000
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 #: Settings that name the folder of stored fact lines, one for each folder of tables; without it a query joins the star schema anew.
 STORED = "spark.tallygrain.lines"
@@ -83,6 +86,8 @@ WITH = f"WITH lines AS ({LINES}), cross_ AS ({CROSS}), keys_ AS ({KEYS}), votes
 
 #: Schemas of tables by session and path: they are read from footers once, not for each query.
 SCHEMAS: dict[tuple[str, str], StructType] = {}
+#: Rows of suppliers by session and path, counted once; they decide how lines meet them, not what comes out.
+SUPPLIERS: dict[tuple[str, str], int] = {}
 
 
 def table(spark: SparkSession, path: str) -> DataFrame:
@@ -93,6 +98,14 @@ def table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[key]).parquet(path)
 
 
+def narrow(spark: SparkSession, sf_dir: str) -> str:
+    """NARROW over the tables of a folder, with suppliers broadcast up to BROADCAST_SUPPLIERS."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/supplier.parquet")
+    if key not in SUPPLIERS:
+        SUPPLIERS[key] = table(spark, key[1]).count()
+    return NARROW.replace("SELECT", "SELECT /*+ BROADCAST(supplier, nation) */", 1) if SUPPLIERS[key] <= BROADCAST_SUPPLIERS else NARROW
+
+
 def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Lazy frames of the derived relations and tables by name; nothing is registered in the session
     but views of the tables under names of their own."""
@@ -100,10 +113,11 @@ def frames(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     view = stored_key(sf_dir).replace(".", "_")
     if stored:
         table(spark, stored).createOrReplaceTempView(view)
-    lines = f"SELECT * FROM {view}" if stored else NARROW
+    made = not stored and any(n in ("lines", "votes", "nodes") for n in names)
+    lines = narrow(spark, sf_dir) if made else f"SELECT * FROM {view}"
     texts = {"lines": lines, "cross_": CROSS, "keys_": KEYS, "votes": VOTES, "nodes": NODES}
     # reading a table looks into its footers, so only those that the lines or the crosswalk name are read, once
-    need = set() if stored or not any(n in texts and n not in ("cross_", "keys_") for n in names) else {"lineitem", "supplier", "nation", "part", "orders"}
+    need = {"lineitem", "supplier", "nation", "part", "orders"} if made else set()
     for t in need | ({"nation"} if "cross_" in names else set()):
         table(spark, f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     out = []

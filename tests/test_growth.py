@@ -33,6 +33,14 @@ def test_orders_are_met_by_narrow_lines(shuffled):
     assert keys and "nation" in names[-1] and "lineitem" in names[0] and "orders" in names[1]
 
 
+def test_named_lines_are_not_dealt_out_for_suppliers(shuffled, monkeypatch):
+    """Lines bear the names of parts when they meet suppliers: those are broadcast, up to a number of them."""
+    dealt = lambda: [x for x in plan(facts.frames(shuffled, SMALL, "lines")[0]).splitlines() if "Exchange hashpartitioning(l_suppkey" in x]
+    assert not dealt()
+    monkeypatch.setattr(facts, "BROADCAST_SUPPLIERS", 1)
+    assert dealt()
+
+
 def test_narrow_lines_are_the_lines(spark):
     (narrow,) = facts.frames(spark, SMALL, "lines")
     assert (whole := spark.sql(facts.LINES)).columns == narrow.columns
